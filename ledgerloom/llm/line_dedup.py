@@ -7,9 +7,10 @@ left, so they do not depend on an order of work.
 
 Steps. Equal lines collapse to their first occurrence, as numbers only (two 64-bit hashes, length). Two lines one edit
 apart agree in their first or in their last half, cut by the shorter one's length; lines that share no half with
-another line leave here, by an aggregate that is summed before its shuffle. The rest read their text again and emit
-their deletion variants as hashed keys: a line without its i-th character, keyed with i, meets its substitutions; a
-line itself meets the lines that have one character more. Within a variant all members are compared with the earliest
+another line leave here, by an aggregate that is summed before its shuffle. The rest read their text again and are cut
+into 16 blocks; one edit lies in one block, so lines go on only where all but one block agrees. They emit the deletion
+variants of that block as hashed keys: the block without its i-th character, keyed with i, meets its substitutions; the
+block itself meets those that have one character more. Within a variant all members are compared with the earliest
 only, so no pairs are made within a group; every such pair's edit distance is verified on the texts. Distinct lines of
 one variant differ in one character, so a variant's group is bounded by the alphabet, however often lines repeat.
 
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import release, stored
 
 EDITS = 1
+#: Parts of a line; deletion variants are made of the part that may differ.
+BLOCKS = 16
 MIN_CHARS = 20
 #: Kept apart from any column of the input.
 P = "__loom_"
@@ -50,6 +53,20 @@ def _half_keys(line: Column, n: Column) -> Column:
     return F.array(*keys)
 
 
+def _block_keys(line: Column, n: Column) -> Column:
+    """(k, same, block) of each block of the line: all but the block agrees where k does.
+
+    A line takes part at its own length (same), and as the longer partner of lines with one character less.
+    """
+    out = []
+    for same, base in ((True, n), (False, n - 1)):
+        for j in range(BLOCKS):
+            start, end = F.floor(base * j / BLOCKS).cast("int"), F.floor(base * (j + 1) / BLOCKS).cast("int")
+            k = F.xxhash64(base, F.lit(j), F.substring(line, F.lit(1), start), F.substring(line, n - (base - end) + 1, base - end))
+            out.append(F.struct(k.alias("k"), F.lit(same).alias("same"), F.substring(line, start + 1, end - start + (n - base)).alias("block")))
+    return F.array(*out)
+
+
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     """One row for each line that is long enough, without its text: where it is, its hashes and its half keys."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
@@ -74,13 +91,15 @@ def near_earlier(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     texts = stored(texts.dropDuplicates(["h1", "h2"]))
     release(docs.sparkSession)
 
-    line = F.col("line")
-    deleted = lambda i: F.concat(F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, F.col("n")))
-    spots = F.sequence(F.lit(1), F.col("n"))
-    itself = F.array(F.struct(F.xxhash64(F.lit("line"), line).alias("v"), F.lit(True).alias("whole")))
-    swaps = F.transform(spots, lambda i: F.struct(F.xxhash64(F.lit("swap"), i, deleted(i)).alias("v"), F.lit(False).alias("whole")))
-    drops = F.transform(spots, lambda i: F.struct(F.xxhash64(F.lit("line"), deleted(i)).alias("v"), F.lit(False).alias("whole")))
-    emitted = texts.select("h1", "at", F.explode(F.concat(itself, swaps, F.array_distinct(drops))).alias("e")).select("h1", "at", "e.v", "e.whole")
+    near = texts.select("h1", "at", "n", "line", F.explode(_block_keys(F.col("line"), F.col("n"))).alias("key")).select("h1", "at", "key.k", "key.same", "key.block")
+    shared_k = near.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
+    meets = near.join(shared_k, "k", "left_semi")
+    block, spots = F.col("block"), F.when(F.length("block") > 0, F.sequence(F.lit(1), F.length("block"))).otherwise(F.array().cast("array<int>"))
+    deleted = lambda i: F.concat(F.substring(block, F.lit(1), i - 1), F.substring(block, i + 1, F.length(block)))
+    itself = F.array(F.struct(F.xxhash64("k", F.lit("line"), block).alias("v"), F.lit(True).alias("whole")))
+    swaps = F.transform(spots, lambda i: F.struct(F.xxhash64("k", F.lit("swap"), i, deleted(i)).alias("v"), F.lit(False).alias("whole")))
+    drops = F.array_distinct(F.transform(spots, lambda i: F.struct(F.xxhash64("k", F.lit("line"), deleted(i)).alias("v"), F.lit(False).alias("whole"))))
+    emitted = meets.select("h1", "at", F.explode(F.when(F.col("same"), F.concat(itself, swaps)).otherwise(drops)).alias("e")).select("h1", "at", "e.v", "e.whole")
     # (member, earliest) of each variant; of a whole line and its extensions only pairs of one of each kind are an edit apart
     shared_v = emitted.groupBy("v").agg(
         F.min(F.struct("at", "h1")).alias("first"),
