@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm.common import arrow_rows, doc_crc
 
@@ -31,6 +32,8 @@ PROFILE = 400
 UNKNOWN = "und"
 #: Characters of text that are counted at a time while learning.
 LEARN_CHARS = 2_000_000
+#: Between documents that are counted together; no letter. And the bits of one character of an n-gram.
+BETWEEN, PART = 1, (1 << 21) - 1
 
 
 @lru_cache(maxsize=1)
@@ -90,6 +93,8 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def settle(lang: str) -> None:
         codes, counts = grams(np.concatenate(parts.pop(lang)))
+        inside = (codes & PART != BETWEEN) & (codes >> 21 & PART != BETWEEN) & (codes >> 42 != BETWEEN)
+        codes, counts = codes[inside], counts[inside]
         held.pop(lang)
         if lang in total:
             codes, counts = _summed(np.concatenate((total[lang][0], codes)), np.concatenate((total[lang][1], counts)))
@@ -99,7 +104,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
             cps = _points(text or "")
             if len(cps):
-                parts.setdefault(lang, []).append(cps)
+                parts.setdefault(lang, []).append(np.append(cps, BETWEEN))
                 held[lang] = held.get(lang, 0) + len(cps)
                 if held[lang] > LEARN_CHARS:
                     settle(lang)
@@ -177,5 +182,5 @@ def with_language(docs: DataFrame, size: int = PROFILE) -> DataFrame:
             found = [judge(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*b.schema.names, "__loom_lang", "__loom_score"])
 
-    schema = docs.schema.add("__loom_lang", "string").add("__loom_score", "double")
+    schema = T.StructType([*docs.schema.fields]).add("__loom_lang", "string").add("__loom_score", "double")
     return docs.mapInArrow(add, schema)

@@ -13,7 +13,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import stored, word_count
@@ -22,20 +22,23 @@ from ledgerloom.llm.common import stored, word_count
 LEVEL_BITS = 12
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source key, words, and the three 12-bit parts of the document's hash."""
+#: Kept apart from any column of the input.
+P = "__loom_"
+KEY = ["no_source", "source"]
+WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
+
+
+def _parts() -> list[Column]:
+    """The source as a key without nulls, and the three 12-bit parts of the document's hash."""
     h = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 9), 16, 10)
     h = h.cast("long")
     part = lambda k: F.shiftright(h, LEVEL_BITS * (2 - k)).bitwiseAND((1 << LEVEL_BITS) - 1).cast("int")
-    return docs.select(
-        F.col("doc_id"),
-        F.col("source").isNull().alias("no_source"),
-        F.coalesce(F.col("source"), F.lit("")).alias("source"),
-        word_count(F.col("text")).alias("size"),
-        part(0).alias("b0"),
-        part(1).alias("b1"),
-        part(2).alias("b2"),
-    )
+    return [F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source"), F.lit("")).alias("source"), *[part(k).alias(f"b{k}") for k in range(3)]]
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source key, hash parts and words."""
+    return docs.select("doc_id", *_parts(), word_count(F.col("text")).alias("size"))
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
@@ -80,23 +83,39 @@ def _boundary(hist: DataFrame, bucket: str, last: bool) -> DataFrame:
     return got.select("no_source", "source", cut.alias(f"cut_{bucket}"), (F.col("at.rest") - F.col("at.before")).alias("rest"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+def plan(base: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """For each source of sized() rows: its size, target, whole copies, and the hash below which one more is taken."""
+    hist = stored(base.groupBy(*KEY, "b0").agg(F.sum("size").alias("words")), 1)
+    goals = stored(targets(hist.groupBy(*KEY).agg(F.sum("words").alias("source_size")), weights, share, most), 1)
+    goals = goals.withColumn("copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
+    goals = goals.withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size"))
+    cut0 = stored(_boundary(hist.join(goals.select(*KEY, "rest"), KEY), "b0", False), 1)
+    level1 = base.join(cut0.withColumnRenamed("cut_b0", "b0"), [*KEY, "b0"]).groupBy(*KEY, "rest", "b1").agg(F.sum("size").alias("words"))
+    cut1 = stored(cut0.select(*KEY, "cut_b0").join(_boundary(level1, "b1", False), KEY), 1)
+    level2 = base.join(cut1.select(*KEY, F.col("cut_b0").alias("b0"), F.col("cut_b1").alias("b1"), "rest"), [*KEY, "b0", "b1"])
+    level2 = level2.groupBy(*KEY, "rest", "b2").agg(F.sum("size").alias("words"))
+    cuts = cut1.drop("rest").join(_boundary(level2, "b2", True).drop("rest"), KEY)
+    return stored(goals.join(cuts, KEY, "left"), 1)
+
+
+def _copies() -> Column:
+    below = F.struct("b0", "b1", "b2") < F.struct("cut_b0", "cut_b1", "cut_b2")
+    return F.col("copies") + F.when(F.col("cut_b0").isNotNull() & below, F.lit(1)).otherwise(F.lit(0))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """doc_id, size, source_size, target, taken: copies are whole documents, at most ceil(most) of each."""
     base = stored(sized(docs))
-    key = ["no_source", "source"]
-    hist = stored(base.groupBy(*key, "b0").agg(F.sum("size").alias("words")), 1)
-    plan = stored(targets(hist.groupBy(*key).agg(F.sum("words").alias("source_size")), weights, share, most), 1)
-    plan = plan.withColumn("copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
-    plan = plan.withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size"))
-    cut0 = stored(_boundary(hist.join(plan.select(*key, "rest"), key), "b0", False), 1)
-    inside = lambda cut, b: base.join(cut.withColumnRenamed(f"cut_{b}", b), [*key, b])
-    level1 = inside(cut0, "b0").groupBy(*key, "rest", "b1").agg(F.sum("size").alias("words"))
-    cut1 = stored(cut0.select(*key, "cut_b0").join(_boundary(level1, "b1", False), key), 1)
-    level2 = base.join(cut1.select(*key, F.col("cut_b0").alias("b0"), F.col("cut_b1").alias("b1"), "rest"), [*key, "b0", "b1"])
-    level2 = level2.groupBy(*key, "rest", "b2").agg(F.sum("size").alias("words"))
-    cuts = cut1.drop("rest").join(_boundary(level2, "b2", True).drop("rest"), key)
-    full = stored(plan.join(cuts, key, "left"), 1)
-    at = F.struct("b0", "b1", "b2")
-    below = F.coalesce(at < F.struct("cut_b0", "cut_b1", "cut_b2"), F.lit(False)) & F.col("cut_b0").isNotNull()
-    taken = F.col("size") * (F.col("copies") + below.cast("long"))
-    return base.join(full, key).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    out = base.join(plan(base, weights, share, most), KEY)
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The mix itself: the rows of docs with all their columns, each as often as it is taken."""
+    full = plan(stored(sized(docs)), weights, share, most)
+    full = full.select(*[F.col(c).alias(P + c) for c in full.columns])
+    names = ["no_source", "source", "b0", "b1", "b2"]
+    keyed = docs.withColumns({P + n: c for n, c in zip(names, _parts(), strict=True)})
+    times = F.expr(f"{P}copies + if({P}cut_b0 is not null and struct({P}b0, {P}b1, {P}b2) < struct({P}cut_b0, {P}cut_b1, {P}cut_b2), 1, 0)")
+    joined = keyed.join(full, [P + k for k in KEY]).withColumn(P + "times", times).filter(F.col(P + "times") > 0)
+    return joined.withColumn(P + "one", F.explode(F.array_repeat(F.lit(0), F.col(P + "times").cast("int")))).select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe_count, line_dedup, mixing, packing
+from ledgerloom.llm import bpe_count, langid, lattice_lm, line_dedup, media, mixing, packing, simhash, suffix_dedup, topk
 from ledgerloom.llm.common import table
 
 
@@ -15,6 +15,20 @@ def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(table(spark, sf_dir, "documents"))
+
+
+def op4_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -24,12 +38,31 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", F.col(f"{line_dedup.P}n_lines").alias("n_lines"), F.col(f"{line_dedup.P}n_dropped").alias("n_dropped"))
 
 
+def op7_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_telephony_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.store_texts(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hilbert_packing, op5_bpe_token_counts, op6_line_dedup, op9_hash_threshold_mix)}
+    ops = (op1_hilbert_packing, op2_suffix_array_dedup, op3_lattice_likelihood, op4_uniform_threshold_topk, op5_bpe_token_counts, op6_line_dedup, op7_gray_simhash, op8_rank_order_language, op9_hash_threshold_mix, op10_telephony_audio, pipeline)
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
