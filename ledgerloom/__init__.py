@@ -1 +1,20 @@
 """Ledgerloom: document analytics written as PySpark DataFrame plans."""
+
+from __future__ import annotations
+
+import tempfile
+import zipfile
+from pathlib import Path
+
+
+def ship(spark) -> None:
+    """Give the executors' Python this package, once for each Spark application."""
+    context = spark.sparkContext
+    if any(name.startswith("ledgerloom-") for name in context._python_includes):
+        return
+    home = Path(__file__).parent
+    path = Path(tempfile.mkdtemp(), f"ledgerloom-{context.applicationId}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f.relative_to(home.parent))
+    context.addPyFile(str(path))

@@ -1,15 +1,776 @@
-"""The queries over the reference tables, and the SQL that gives the same rows."""
+"""The queries over the driver tables, and the SQL that gives the same rows.
+
+The tables hold no invoices, so each operator reads a stand-in: a document's source is its set, a long text passed the
+gate, a label is the truth; events are corrections of users' (extractions') event types (fields); orders are documents
+with line items. Where no table has the text an operator is for, the rows are literal, in the query and in the SQL.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import fields, money, text
+from ledgerloom.operators import corrections, export, gate, governance, leakage, lineitems, rescue, sampling, scoring, voting
+
+PASS_CHARS = 500
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _values(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    return spark.createDataFrame(rows, names)
+
+
+def _literal(rows: list[tuple], names: str) -> str:
+    """The same rows as a SQL relation."""
+
+    def one(x) -> str:
+        return "NULL" if x is None else "'" + x.replace("'", "''") + "'" if isinstance(x, str) else str(x)
+
+    cols = ", ".join(n.split()[0] for n in names.split(", "))
+    return "(VALUES " + ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows) + f") v({cols})"
+
+
+def _stamp(c: str):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+# --- scoring -------------------------------------------------------------------------------------------------------
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", F.contains(F.col("text"), F.lit("@")).alias("at"))
+    found = docs.select(F.col("source").alias("set_slug"), "doc_id", (F.col("n_chars") >= PASS_CHARS).cast("int").cast("string").alias("quality"), F.col("at").cast("int").cast("string").alias("toxic"))
+    results = found.unpivot(["set_slug", "doc_id"], ["quality", "toxic"], "field_id", "value")
+    labels = _t(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"), F.col("toxic").cast("string").alias("toxic"))
+    truth = labels.unpivot(["doc_id"], ["quality", "toxic"], "field_id", "expected")
+    sets = docs.select(F.col("source").alias("set_slug"), "doc_id", (F.col("n_chars") >= PASS_CHARS).alias("gate_passed"), (F.col("n_chars") / 1024).alias("elapsed_s"))
+    return sets, scoring.compare_fields(results, truth)
+
+
+_WRONG = """
+  SELECT d.doc_id, max(CASE WHEN r.value = r.expected THEN 0 ELSE 1 END) AS wrong
+  FROM documents d JOIN labels l USING (doc_id),
+  LATERAL (VALUES (CAST(CASE WHEN d.n_chars >= 500 THEN 1 ELSE 0 END AS VARCHAR), CAST(l.quality AS VARCHAR)),
+                  (CAST(CASE WHEN contains(d.text, '@') THEN 1 ELSE 0 END AS VARCHAR), CAST(l.toxic AS VARCHAR))) r(value, expected)
+  WHERE r.expected IS NOT NULL GROUP BY d.doc_id
+"""
+
+
+@query(f"""
+WITH w AS ({_WRONG}), a AS (
+  SELECT d.source AS set_slug, count(*)::BIGINT AS n_docs, count(*) FILTER (d.n_chars >= 500)::BIGINT AS passed,
+    count(*) FILTER (d.n_chars < 500)::BIGINT AS bounced, count(*) FILTER (d.n_chars >= 500 AND w.wrong = 1)::BIGINT AS silent_failures,
+    sum(d.n_chars)::DOUBLE / 1024 AS total_time_s
+  FROM documents d LEFT JOIN w USING (doc_id) GROUP BY 1)
+SELECT *, passed::DOUBLE / n_docs AS straight_through_rate, bounced::DOUBLE / n_docs AS bounce_rate,
+  CASE WHEN passed = 0 THEN 0.0 ELSE silent_failures::DOUBLE / passed END AS silent_failure_rate, total_time_s / n_docs AS mean_s FROM a
+""")
+def set_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scorecard(*_compared(spark, sf_dir))
+
+
+@query(f"""
+WITH w AS ({_WRONG}), a AS (
+  SELECT count(*)::BIGINT AS n_docs, count(*) FILTER (d.n_chars >= 500)::BIGINT AS passed, count(*) FILTER (d.n_chars < 500)::BIGINT AS bounced,
+    count(*) FILTER (d.n_chars >= 500 AND w.wrong = 1)::BIGINT AS silent_failures FROM documents d LEFT JOIN w USING (doc_id))
+SELECT *, passed::DOUBLE / n_docs AS straight_through_rate, silent_failures::DOUBLE / passed AS silent_failure_rate FROM a
+""")
+def grand_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.totals(set_scorecard(spark, sf_dir))
+
+
+@query("""
+WITH r AS (
+  SELECT d.source AS set_slug, r.field_id, r.value = r.expected AS correct FROM documents d JOIN labels l USING (doc_id),
+  LATERAL (VALUES ('quality', CAST(CASE WHEN d.n_chars >= 500 THEN 1 ELSE 0 END AS VARCHAR), CAST(l.quality AS VARCHAR)),
+                  ('toxic', CAST(CASE WHEN contains(d.text, '@') THEN 1 ELSE 0 END AS VARCHAR), CAST(l.toxic AS VARCHAR))) r(field_id, value, expected)
+  WHERE r.expected IS NOT NULL)
+SELECT set_slug, field_id, count(*)::BIGINT AS seen, count(*) FILTER (correct)::BIGINT AS correct, count(*) FILTER (correct)::DOUBLE / count(*) AS accuracy
+FROM r GROUP BY 1, 2
+""")
+def field_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.field_accuracy(_compared(spark, sf_dir)[1])
+
+
+# --- corrections ---------------------------------------------------------------------------------------------------
+
+
+def _corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events")
+    return e.select(F.col("event_id").alias("id"), F.col("user_id").alias("extraction_id"), F.col("event_type").alias("field_id"), F.col("value").alias("corrected_value"), _stamp("ts").alias("submitted_at"), F.col("event_id").alias("ordinal"))
+
+
+def _extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _t(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias("extraction_id"), F.col("c_name").alias("doc_id"), F.col("c_nationkey").alias("tenant_id"), F.col("c_mktsegment").alias("original_form"))
+
+
+_LATEST = f"""
+  SELECT event_id AS id, user_id AS extraction_id, event_type AS field_id, value AS corrected_value, {STAMP.format("ts")} AS submitted_at
+  FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY {STAMP.format("ts")} DESC, event_id) = 1
+"""
+
+
+@query(_LATEST)
+def latest_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corrections.latest(_corrections(spark, sf_dir)).drop("ordinal")
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ex = _extractions(spark, sf_dir).withColumn("extraction_ordinal", F.col("extraction_id"))
+    return corrections.training_pairs(_corrections(spark, sf_dir), ex).drop("ordinal")
+
+
+@query(f"SELECT l.*, c_name AS doc_id, c_nationkey AS tenant_id, c_mktsegment AS original_form FROM ({_LATEST}) l JOIN customer ON c_custkey = l.extraction_id")
+def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairs(spark, sf_dir)
+
+
+@query(f"""
+WITH l AS ({_LATEST}), p AS (SELECT l.*, c_nationkey AS tenant_id FROM l JOIN customer ON c_custkey = l.extraction_id)
+SELECT 'raw_corrections' AS metric, 'all' AS key, count(*)::BIGINT AS n FROM events
+UNION ALL SELECT 'deduped_corrections', 'all', count(*)::BIGINT FROM l
+UNION ALL SELECT 'training_pairs', 'all', count(*)::BIGINT FROM p
+UNION ALL SELECT 'extractions_total', 'all', count(*)::BIGINT FROM customer
+UNION ALL SELECT 'per_field', field_id, count(*)::BIGINT FROM p GROUP BY 2
+UNION ALL SELECT 'per_tenant', CAST(tenant_id AS VARCHAR), count(*)::BIGINT FROM p GROUP BY 2
+""")
+def shard_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corrections.shard_metrics(_corrections(spark, sf_dir), _pairs(spark, sf_dir), _extractions(spark, sf_dir))
+
+
+@query(f"""
+SELECT event_id AS id, user_id AS extraction_id, event_type AS field_id, value AS corrected_value, {STAMP.format("ts")} AS submitted_at,
+  c_name AS doc_id, c_nationkey AS tenant_id, c_mktsegment AS original_form
+FROM events JOIN customer ON c_custkey = user_id ORDER BY submitted_at, id
+""")
+def corrections_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corrections.replay(_corrections(spark, sf_dir).drop("ordinal"), _extractions(spark, sf_dir))
+
+
+@query()
+def corrections_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of files until all are taken, then the latest of each field."""
+    import uuid
+
+    from ledgerloom.streaming import corrections as stream
+
+    root = _scratch(spark) + f"/corrections-{uuid.uuid4().hex}"
+    schema = _t(spark, sf_dir, "events").schema
+    events = stream.read_stream(spark, f"{sf_dir}/events.parque[t]", schema).select(F.col("event_id").alias("id"), F.col("user_id").alias("extraction_id"), F.col("event_type").alias("field_id"), F.col("value").alias("corrected_value"), _stamp("ts").alias("submitted_at"))
+    stream.append_stream(events, _extractions(spark, sf_dir), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return corrections.latest(spark.read.parquet(f"{root}/out").withColumn("ordinal", F.col("id"))).drop("ordinal")
+
+
+def _scratch(spark: SparkSession) -> str:
+    import tempfile
+
+    return (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="ledgerloom-")).rstrip("/")
+
+
+# --- review queue --------------------------------------------------------------------------------------------------
+
+
+def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("tenant_id"), (F.col("o_orderstatus") != "P").alias("gate_passed"), F.col("o_orderdate").alias("created_at"))
+    pushed = _t(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("target_id"))
+    return rescue.pending(o, pushed)
+
+
+_PENDING = """
+  SELECT o_orderkey AS id, o_custkey AS tenant_id, o_orderdate FROM orders o
+  WHERE o_orderstatus = 'P' AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey = o.o_orderkey)
+"""
+
+
+@query(f"SELECT id, tenant_id, strftime(o_orderdate, '%Y-%m-%d') AS created FROM ({_PENDING})")
+def pending_rescues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _queue(spark, sf_dir).select("id", "tenant_id", F.date_format("created_at", "yyyy-MM-dd").alias("created"))
+
+
+@query("""
+SELECT o_orderkey AS id FROM orders JOIN customer ON c_custkey = o_custkey
+WHERE o_orderstatus = 'P' AND c_mktsegment = 'MACHINERY' AND c_nationkey <> 3
+""")
+def plan_filtered_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue of one plan's tenants, those suppressed left out: one join instead of a query for each tenant."""
+    o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("tenant_id"), (F.col("o_orderstatus") != "P").alias("gate_passed"), F.col("o_orderdate").alias("created_at"))
+    tenants = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tenant_id"), F.col("c_mktsegment").alias("plan"), (F.col("c_nationkey") == 3).alias("suppressed"))
+    return rescue.pending(o, o.select(F.col("id").alias("target_id")).limit(0), tenants, "MACHINERY").select("id")
+
+
+@query(f"""
+WITH a AS (SELECT id, len(list_filter(generate_series(o_orderdate::DATE + 1, DATE '2001-08-10', INTERVAL 1 DAY), lambda x: isodow(x) < 6))::BIGINT AS business_days FROM ({_PENDING}))
+SELECT id, business_days, business_days > 3 AS overdue FROM a
+""")
+def sla_overdue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rescue.with_age(_queue(spark, sf_dir), F.to_date(F.lit("2001-08-10"))).select("id", "business_days", "overdue")
+
+
+@query("""
+SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS created FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate, o_orderkey LIMIT 30
+""")
+def oldest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert's list: the first thirty."""
+    o = _t(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    return o.orderBy("o_orderdate", "o_orderkey").limit(30).select(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("created"))
+
+
+# --- governance ----------------------------------------------------------------------------------------------------
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _t(spark, sf_dir, "documents")
+    role = F.get(F.array(*map(F.lit, ("TRAIN", "BACKFILL", "EVAL-ONLY-PRIVATE"))), (F.col("doc_id") % 3).cast("int"))
+    return d.select("doc_id", "source", F.when(F.col("lang") == "fr", governance.NON_COMMERCIAL).otherwise("CC0").alias("license_tag"), role.alias("role"))
+
+
+_ENTRIES = """
+  SELECT doc_id, source, CASE WHEN lang = 'fr' THEN 'CC-BY-NC-SA-4.0' ELSE 'CC0' END AS license_tag,
+    CASE doc_id % 3 WHEN 0 THEN 'TRAIN' WHEN 1 THEN 'BACKFILL' ELSE 'EVAL-ONLY-PRIVATE' END AS role FROM documents
+"""
+
+
+@query(f"SELECT source, license_tag, role, count(*)::BIGINT AS n, license_tag = 'CC-BY-NC-SA-4.0' AND role = 'TRAIN' AS violation FROM ({_ENTRIES}) GROUP BY 1, 2, 3")
+def licence_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return governance.licence_manifest(_entries(spark, sf_dir))
+
+
+@query(f"SELECT * FROM ({_ENTRIES}) WHERE license_tag = 'CC-BY-NC-SA-4.0' AND role = 'TRAIN'")
+def licence_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return governance.licence_violations(_entries(spark, sf_dir))
+
+
+_LABELS = [("synth-78d54e7d2bd6", "vet", "clean", 23.0, 12.5), ("synth-XYZ", "vet", "clean", 4.8, 1.0), ("synth-000000000000", "zoo", "dirty", 7.0, None), ("synth-0123456789ab", "credit_note", "heavy", None, -3.0)]
+_LABEL_COLS = "doc_id string, template_family string, corruption_bucket string, vat_rate double, total double"
+
+
+@query(f"""
+WITH v AS (SELECT * FROM {_literal(_LABELS, _LABEL_COLS)})
+SELECT doc_id, 'doc_id' AS rule FROM v WHERE NOT regexp_matches(doc_id, '^synth-[a-f0-9]{{12}}$')
+UNION ALL SELECT doc_id, 'template_family' FROM v WHERE template_family NOT IN ({", ".join(f"'{f}'" for f in governance.FAMILIES)})
+UNION ALL SELECT doc_id, 'corruption_bucket' FROM v WHERE corruption_bucket NOT IN ('clean', 'light', 'heavy', 'very-heavy')
+UNION ALL SELECT doc_id, 'vat_rate' FROM v WHERE vat_rate NOT IN (0.0, 4.8, 9.0, 13.5, 23.0)
+UNION ALL SELECT doc_id, 'total' FROM v WHERE total IS NULL
+""")
+def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return governance.contract_violations(_values(spark, _LABELS, _LABEL_COLS))
+
+
+@query("SELECT 'zoo' AS family")
+def unknown_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return governance.unknown_families(_values(spark, [("vet",), ("zoo",), ("credit_note",)], "family string"))
+
+
+# --- line items ----------------------------------------------------------------------------------------------------
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("doc_id"), F.col("l_tax").alias("rate"), F.col("l_extendedprice").alias("net"), F.col("l_extendedprice").alias("gross"), F.col("l_returnflag").alias("letter"), F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_tax").alias("ordinal"))
+
+
+_CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+# VAT of a line in hundredths of a cent, then half-even cents in whole numbers
+_VAT4 = f"({_CENTS} * CAST(round(l_tax * 100) AS BIGINT))"
+_VAT2 = f"({_VAT4} // 100 + CASE WHEN {_VAT4} % 100 > 50 OR ({_VAT4} % 100 = 50 AND ({_VAT4} // 100) % 2 = 1) THEN 1 ELSE 0 END)"
+
+
+@query(f"SELECT l_orderkey AS doc_id, l_tax AS rate, sum({_CENTS})::DOUBLE / 100 AS net, sum({_VAT2})::DOUBLE / 100 AS vat FROM lineitem GROUP BY 1, 2")
+def tax_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitems.vat_by_rate(_items(spark, sf_dir))
+
+
+@query(f"""
+SELECT l_orderkey AS doc_id, l_returnflag AS letter, sum({_CENTS})::DOUBLE / 100 AS gross, arg_min(l_tax, row(l_linenumber, l_partkey, l_suppkey, l_tax)) AS rate
+FROM lineitem WHERE l_returnflag <> '' GROUP BY 1, 2
+""")
+def letter_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitems.by_letter(_items(spark, sf_dir))
+
+
+@query(f"SELECT l_orderkey AS doc_id, sum({_CENTS})::DOUBLE / 100 AS subtotal, count(*)::BIGINT AS lines FROM lineitem GROUP BY 1")
+def document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitems.totals(_items(spark, sf_dir))
+
+
+@query(f"""
+WITH s AS (SELECT l_orderkey, sum({_CENTS}) AS c FROM lineitem GROUP BY 1)
+SELECT o_orderkey AS doc_id, o_totalprice AS total, c::DOUBLE / 100 AS subtotal, (CAST(round(o_totalprice * 100) AS BIGINT) - c)::DOUBLE / 100 AS difference,
+  coalesce(abs(CAST(round(o_totalprice * 100) AS BIGINT) - c) < 1, false) AS reconciled
+FROM orders LEFT JOIN s ON l_orderkey = o_orderkey
+""")
+def reconcile_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_totalprice").alias("total"))
+    return lineitems.reconcile(o, _items(spark, sf_dir))
+
+
+@query("""
+SELECT o_custkey AS account, o_orderkey AS id,
+  sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)::DOUBLE / 100 AS balance FROM orders
+""")
+def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("account"), F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"))
+    return lineitems.running_balance(o).select("account", "id", "balance")
+
+
+@query(f"""
+WITH r AS (SELECT l_tax, ({_CENTS} * l_tax) / ({_CENTS} * (1 + l_tax)) AS ratio FROM lineitem)
+SELECT l_tax AS rate, count(*)::BIGINT AS n, count(*) FILTER ({" OR ".join(f"abs(ratio - {money.net_ratio(r)!r}) < 0.005" for r in money.RATES)})::BIGINT AS plausible FROM r GROUP BY 1
+""")
+def ratio_plausibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.round(F.col("net") * 100).cast("bigint")
+    ok = money.plausible_ratio(c * F.col("rate"), c * (1 + F.col("rate")))
+    return _items(spark, sf_dir).groupBy("rate").agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("plausible"))
+
+
+_RATES = [(2.675, 0.0, 0.0, 1.0), (0.125, 0.0, 0.0, 1.0), (1.005, 0.0, 0.0, 1.0), (121.0, 23.0, 0.25, 1.17), (100.0, 9.0, 0.05, 0.85), (59.9, 13.5, 0.1, 1.0), (0.0, 0.0, 0.2, 0.5), (-40.5, 4.8, 0.15, 1.3)]
+_RATE_COLS = "amount double, rate double, discount double, fx double"
+
+
+@query(f"""
+SELECT amount, CAST(printf('%.2f', amount / (1 + rate / 100)) AS DOUBLE) AS net, CAST(printf('%.2f', amount * (1 + rate / 100)) AS DOUBLE) AS gross, CAST(printf('%.2f', amount * (1 - discount)) AS DOUBLE) AS lowered,
+  CAST(printf('%.2f', CAST(printf('%.2f', amount * (1 - discount)) AS DOUBLE) - CAST(printf('%.2f', amount * (1 - discount)) AS DOUBLE) / (1::DOUBLE + 9::DOUBLE / 100)) AS DOUBLE) AS lowered_vat, CAST(printf('%.2f', amount * fx) AS DOUBLE) AS converted
+FROM (SELECT amount::DOUBLE AS amount, rate::DOUBLE AS rate, discount::DOUBLE AS discount, fx::DOUBLE AS fx FROM {_literal(_RATES, _RATE_COLS)})
+""")
+def vat_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _values(spark, _RATES, _RATE_COLS)
+    amount, rate = F.col("amount"), F.col("rate")
+    lowered = money.discounted(amount, F.col("discount"))
+    return v.select("amount", money.net_of_gross(amount, rate).alias("net"), money.gross_of_net(amount, rate).alias("gross"), lowered["total"].alias("lowered"), lowered["vat"].alias("lowered_vat"), money.converted(amount, F.col("fx")).alias("converted"))
+
+
+_TABLES = [
+    ("t1", "<table><tr><td>Acme Ltd</td></tr><tr><td>Description</td><td>Qty</td><td>Value</td></tr><tr><td>Widget 3 pack</td><td></td><td>EUR 10.50</td></tr><tr><td>Blue <b>gadget</b></td><td>2</td><td>1,200.00</td></tr><tr><td>VAT 23%</td><td>5.00</td></tr><tr><td>Note only</td></tr></table>"),
+    ("t2", "<table><tr><td>Tea</td><td>2.40</td></tr><tr><td>Total: 9.99</td></tr></table>"),
+    ("t3", "<p>no table</p>"),
+]
+_TABLE_COLS = "doc_id string, html string"
+_AMOUNT = r"regexp_extract(x, '([\d,]+\.\d{2})', 1)"
+
+
+@query(f"""
+WITH r AS (SELECT doc_id, unnest(string_split(html, '</tr>')) AS r, generate_subscripts(string_split(html, '</tr>'), 1) - 1 AS row_idx FROM {_literal(_TABLES, _TABLE_COLS)}),
+c AS (SELECT doc_id, row_idx, list_transform(regexp_extract_all(r, '<td>(.*?)</td>', 1), lambda x: trim(regexp_replace(x, '\\s*<[^>]*>\\s*', ' ', 'g'))) AS cells FROM r WHERE contains(r, '<td>')),
+j AS (SELECT *, lower(array_to_string(cells, ' ')) AS joined FROM c),
+h AS (SELECT *, min(CASE WHEN {" + ".join(f"CAST(contains(joined, '{w}') AS INT)" for w in lineitems.HEADER_HINTS)} >= 2 THEN row_idx END) OVER (PARTITION BY doc_id) AS header FROM j),
+k AS (SELECT doc_id, row_idx, list_filter(cells, lambda x: x <> '' AND {_AMOUNT} = '') AS words, list_filter(list_transform(cells, lambda x: {_AMOUNT}), lambda y: y <> '') AS money
+  FROM h WHERE row_idx > coalesce(header, -1) AND NOT ({" OR ".join(f"contains(joined, '{w}')" for w in lineitems.SUMMARY_WORDS)}))
+SELECT doc_id, row_idx::BIGINT AS row_idx, list_filter(words, lambda x: length(x) = list_max(list_transform(words, lambda y: length(y))))[1] AS description,
+  TRY_CAST(nullif(regexp_extract(list_filter(words, lambda x: length(x) = list_max(list_transform(words, lambda y: length(y))))[1], '(\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE) AS quantity,
+  TRY_CAST(replace(money[-1], ',', '') AS DOUBLE) AS amount FROM k WHERE len(money) > 0
+""")
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitems.table_items(_values(spark, _TABLES, _TABLE_COLS))
+
+
+@query("""
+WITH p AS (SELECT page_id, regexp_replace(regexp_extract_all(html, '<title>(.*?)</title>', 1)[1], '<[^>]*>', '', 'g') AS title,
+  list_transform(regexp_extract_all(html, '<li>(.*?)</li>', 1), lambda x: regexp_replace(x, '<[^>]*>', '', 'g')) AS items FROM pages)
+SELECT page_id, title, unnest(items) AS item, (generate_subscripts(items, 1) - 1)::INT AS item_idx FROM p
+""")
+def list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitems.list_items(_t(spark, sf_dir, "pages"))
+
+
+# --- samples -------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5")
+def pilot_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.pilot(_t(spark, sf_dir, "documents").select("doc_id", "source"), 5, "source", "doc_id").select("doc_id", "source")
+
+
+@query("""
+SELECT CASE WHEN n_chars < 600 THEN 'small' WHEN n_chars < 2000 THEN 'medium' WHEN n_chars < 5000 THEN 'large' ELSE 'huge' END AS bucket, count(*)::BIGINT AS n
+FROM documents GROUP BY 1
+""")
+def size_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").groupBy(sampling.size_bucket(F.col("n_chars"), 0.01).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS idx, (43 * 1000000 + row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS seed FROM documents")
+def document_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.with_seed(_t(spark, sf_dir, "documents").select("doc_id"), 43, "doc_id").select("doc_id", "idx", "seed")
+
+
+@query()
+def seeded_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets by the Mersenne twister, which SQL does not have."""
+    return sampling.with_bucket(document_seeds(spark, sf_dir)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+WITH v AS (SELECT * FROM (VALUES ('a', 10, 4), ('b', 30, 7), ('c', 5, 0)) v(k, days, n))
+SELECT k, i::INT AS i, strftime(DATE '2026-01-05' + CAST(floor(days * (i::DOUBLE / n)) AS INT), '%Y-%m-%d') AS day FROM v, LATERAL (SELECT unnest(range(n)) AS i)
+""")
+def spaced_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _values(spark, [("a", 10, 4), ("b", 30, 7), ("c", 5, 0)], "k string, days int, n int")
+    dates = sampling.spaced_dates(F.to_date(F.lit("2026-01-05")), F.col("days"), F.col("n"))
+    return v.select("k", F.posexplode(dates).alias("i", "day")).select("k", "i", F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
+# --- fields of a text ----------------------------------------------------------------------------------------------
+
+_BILLS = [
+    ("b1", "ACME TOOLS LTD INVOICE\nInvoice No: 12\n12/03/2026\nWidget EUR 10.00\nSubtotal EUR 10.00\nVAT 23%: EUR 2.30\nTotal: EUR 12.30"),
+    ("b2", "Dr. Smith Clinic RECEIPT\nDate 1-2-26\nVAT No. IE1234567A\nTotal:\n€1,283.52"),
+    ("b3", "Page 1\nItems\nThe Corner Cafe\n5.20 EUR\n7.80 EUR"),
+    ("b4", "short\n\nAmount due: 99.10\nvat IE9 exempt"),
+    ("b5", "total 3\nnothing here"),
+    ("b6", ""),
+]
+_BILL_COLS = "doc_id string, text string"
+_AMT = r"coalesce(nullif(regexp_extract({0}, '(?i)(?:€|EUR)\s*([\d,]+\.\d{{2}})|([\d,]+\.\d{{2}})\s*(?:€|EUR)', 1), ''), nullif(regexp_extract({0}, '(?i)(?:€|EUR)\s*([\d,]+\.\d{{2}})|([\d,]+\.\d{{2}})\s*(?:€|EUR)', 2), ''))"
+_NUM = "TRY_CAST(replace({0}, ',', '') AS DOUBLE)"
+_KIND = fields.KIND.replace("'", "''")
+_HEADS = f"list_transform(string_split(text, chr(10))[1:8], lambda x: trim(regexp_replace(trim(x), '{_KIND}', '')))"
+_FITS = "length(x) BETWEEN 4 AND 80 AND NOT (" + " OR ".join(f"contains(lower(x), '{w}')" for w in fields.NEVER_VENDOR) + ")"
+
+
+def _shape(p: str) -> str:
+    return p.replace("'", "''")
+
+
+@query(f"""
+WITH v AS (SELECT doc_id, text, string_split(text, chr(10)) AS rows FROM {_literal(_BILLS, _BILL_COLS)}),
+l AS (SELECT doc_id, i, rows[i] AS x, coalesce({_AMT.format("rows[i]")}, {_AMT.format("rows[i + 1]")}) AS amount FROM v, LATERAL (SELECT unnest(range(1, len(rows) + 1)) AS i)),
+t AS (SELECT doc_id, arg_min(amount, i) AS amount FROM l WHERE regexp_matches(lower(x), '\\btotal\\b') AND NOT contains(lower(x), 'subtotal') AND amount IS NOT NULL GROUP BY 1),
+w AS (SELECT doc_id, arg_min({_AMT.format("x")}, i) AS amount FROM l WHERE regexp_matches(x, '(?i)\\bvat\\b') AND NOT regexp_matches(x, '(?i)\\bvat\\s+(no\\.?|IE\\d)') AND {_AMT.format("x")} IS NOT NULL GROUP BY 1),
+m AS (SELECT doc_id, max({_NUM.format(_AMT.format("x"))}) AS amount FROM l GROUP BY 1)
+SELECT doc_id, coalesce(list_filter({_HEADS}, lambda x: regexp_matches(x, '{_shape(fields.CAPITALS)}') AND {_FITS})[1], list_filter({_HEADS}, lambda x: regexp_matches(x, '{_shape(fields.MIXED)}') AND {_FITS})[1]) AS vendor,
+  coalesce({_NUM.format("t.amount")}, {_NUM.format("nullif(regexp_extract(text, '" + fields.DUE + "', 1), '')")}, m.amount) AS total,
+  {_NUM.format("w.amount")} AS vat, nullif(regexp_extract(text, '{fields.DATE}', 1), '') AS date
+FROM v LEFT JOIN t USING (doc_id) LEFT JOIN w USING (doc_id) LEFT JOIN m USING (doc_id)
+""")
+def bill_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("text")
+    return _values(spark, _BILLS, _BILL_COLS).select("doc_id", fields.vendor(t).alias("vendor"), fields.total(t).alias("total"), fields.vat(t).alias("vat"), fields.date(t).alias("date"))
+
+
+@query(f"""
+SELECT doc_id, coalesce(list_filter({_HEADS}, lambda x: regexp_matches(x, '{_shape(fields.CAPITALS)}') AND {_FITS})[1], list_filter({_HEADS}, lambda x: regexp_matches(x, '{_shape(fields.MIXED)}') AND {_FITS})[1]) AS vendor,
+  nullif(regexp_extract(text, '{fields.DATE}', 1), '') AS date FROM documents
+""")
+def header_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("text")
+    return _t(spark, sf_dir, "documents").select("doc_id", fields.vendor(t).alias("vendor"), fields.date(t).alias("date"))
+
+
+# --- votes, gate ---------------------------------------------------------------------------------------------------
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three engines read a document's first line: whole, lower-cased without its last letter, and its first word."""
+    first = F.substring(F.get(F.split("text", "\n"), F.lit(0)), 1, 60)
+    reads = F.array(
+        F.struct(F.lit("e1").alias("engine"), F.lit(1).alias("ordinal"), first.alias("raw_text")),
+        F.struct(F.lit("e2").alias("engine"), F.lit(2).alias("ordinal"), F.concat(F.lit(" "), F.lower(first)).alias("raw_text")),
+        F.struct(F.lit("e3").alias("engine"), F.lit(3).alias("ordinal"), F.get(F.split(first, " "), F.lit(0)).alias("raw_text")),
+    )
+    return _t(spark, sf_dir, "documents").select("doc_id", F.lit("vendor").alias("field_id"), F.explode(reads).alias("r")).select("doc_id", "field_id", "r.*", F.col("r.raw_text").alias("value"))
+
+
+_NORMAL = r"regexp_replace(regexp_replace(lower({0}), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')"
+
+
+@query(f"""
+WITH f AS (SELECT doc_id, substr(string_split(text, chr(10))[1], 1, 60) AS x FROM documents),
+c AS (SELECT doc_id, e.engine, e.ordinal, e.raw FROM f, LATERAL (VALUES ('e1', 1, x), ('e2', 2, ' ' || lower(x)), ('e3', 3, string_split(x, ' ')[1])) e(engine, ordinal, raw)),
+r AS (SELECT doc_id, engine, ordinal, raw FROM c WHERE raw <> ''),
+ref AS (SELECT doc_id, engine AS ref_engine, raw AS raw_text FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(raw) DESC, ordinal) = 1)
+SELECT doc_id, ref_engine, raw_text, count(*)::BIGINT AS candidates, count(*) FILTER (engine = ref_engine OR {_NORMAL.format("raw")} = {_NORMAL.format("raw_text")})::BIGINT AS agreed,
+  count(*) >= 2 AND count(*) = count(*) FILTER (engine = ref_engine OR {_NORMAL.format("raw")} = {_NORMAL.format("raw_text")}) AS agreement,
+  sum(CASE engine WHEN 'e1' THEN 0.75 WHEN 'e2' THEN 0.5 ELSE 0.25 END)::DOUBLE / count(*) AS ocr_confidence
+FROM r JOIN ref USING (doc_id) GROUP BY 1, 2, 3
+""")
+def voter_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    candidates = _candidates(spark, sf_dir)
+    sure = F.when(F.col("engine") == "e1", 0.75).when(F.col("engine") == "e2", 0.5).otherwise(0.25)
+    out = voting.vote(candidates, candidates.select("doc_id", "engine", sure.alias("confidence")))
+    return out.select("doc_id", "ref_engine", "raw_text", "candidates", "agreed", "agreement", "ocr_confidence")
+
+
+@query("""
+WITH w AS (SELECT vec_id, unnest(embedding) AS x FROM embeddings)
+SELECT vec_id AS doc_id, 'e' || CAST(label AS VARCHAR) AS engine, coalesce(sum(CASE WHEN x > 0 THEN CAST(floor(x * 4096) AS BIGINT) END)::DOUBLE / count(*) FILTER (x > 0) , 0.0) AS confidence
+FROM w JOIN embeddings USING (vec_id) GROUP BY 1, 2
+""")
+def word_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of a vector are words' confidences; whole numbers keep their mean exact."""
+    e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.concat(F.lit("e"), F.col("label")).alias("engine"), F.explode("embedding").alias("x"))
+    words = e.select("doc_id", "engine", F.lit("w").alias("text"), F.col("x").alias("conf"), F.floor(F.col("x") * 4096).alias("whole"))
+    good = words.filter((F.trim("text") != "") & (F.col("conf") > 0))
+    found = good.groupBy("doc_id", "engine").agg((F.sum("whole").cast("double") / F.count(F.lit(1))).alias("c"))
+    return words.select("doc_id", "engine").distinct().join(found, ["doc_id", "engine"], "left").select("doc_id", "engine", F.coalesce("c", F.lit(0.0)).alias("confidence"))
+
+
+def _gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id")
+    each = []
+    for i, f in enumerate(fields.FIELDS):
+        value = F.when((d + i) % 17 != 0, F.lit("x"))
+        verifier = F.when((d + i) % 4 != 0, ((d * 3 + i) % 101) / 100)
+        each.append(F.struct(F.lit(f).alias("field_id"), value.alias("value"), ((d + i) % 3 == 0).alias("agreed"), ((d + i) % 5 != 0).alias("valid"), (((d * 7 + i * 13) % 6 + 95) / 100).alias("ocr"), verifier.alias("verifier")))
+    bounces = F.when(d % 11 == 0, F.array(F.lit("vat exceeds total"))).otherwise(F.array().cast("array<string>"))
+    return _t(spark, sf_dir, "documents").select("doc_id", bounces.alias("bounces"), F.explode(F.array(*each)).alias("f")).select("doc_id", "bounces", "f.*")
+
+
+_GATE = """
+  SELECT doc_id, i, f, CASE WHEN (doc_id + i) % 17 = 0 THEN 0.0
+    WHEN (doc_id + i) % 3 = 0 AND (doc_id + i) % 5 <> 0 THEN least(1.0::DOUBLE, (((doc_id * 7 + i * 13) % 6 + 95)::DOUBLE / 100) * 1.05::DOUBLE)
+    WHEN (doc_id + i) % 4 <> 0 THEN least(1.0::DOUBLE, (((doc_id * 7 + i * 13) % 6 + 95)::DOUBLE / 100) * 0.30::DOUBLE + (((doc_id * 3 + i) % 101)::DOUBLE / 100) * 0.55::DOUBLE + CASE WHEN (doc_id + i) % 5 <> 0 THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END)
+    ELSE (((doc_id * 7 + i * 13) % 6 + 95)::DOUBLE / 100) * 0.5::DOUBLE END AS final
+  FROM documents, (VALUES (0, 'vendor'), (1, 'total'), (2, 'vat'), (3, 'date')) v(i, f)
+"""
+
+
+@query(f"""
+WITH g AS ({_GATE}), a AS (
+  SELECT doc_id, string_agg(f || '=' || printf('%.2f', final), ', ' ORDER BY i) FILTER (final < 0.98) AS low FROM g GROUP BY 1)
+SELECT doc_id, low IS NULL AND doc_id % 11 <> 0 AS gate_passed,
+  CASE WHEN low IS NOT NULL AND doc_id % 11 = 0 THEN 'below-threshold: ' || low || ' | cross-field: vat exceeds total' WHEN low IS NOT NULL THEN 'below-threshold: ' || low
+    WHEN doc_id % 11 = 0 THEN 'cross-field: vat exceeds total' END AS bounce_reason FROM a
+""")
+def gate_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gate.gate(_gate_rows(spark, sf_dir))
+
+
+@query(f"SELECT f AS field_id, count(*)::BIGINT AS n, count(*) FILTER (final >= 0.98)::BIGINT AS passed, count(*) FILTER ((doc_id + i) % 3 <> 0)::BIGINT AS verified FROM ({_GATE}) GROUP BY 1")
+def composite_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _gate_rows(spark, sf_dir)
+    final = gate.composite(*[F.col(c) for c in ("value", "agreed", "valid", "ocr", "verifier")])
+    return rows.groupBy("field_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(final >= gate.THRESHOLD).alias("passed"), F.count_if(gate.needs_verifier(F.col("agreed"), F.col("ocr"))).alias("verified"))
+
+
+_CHECKS = [
+    (1, "vendor", "Acme"), (2, "vendor", "A1"), (3, "vendor", "1234"), (4, "total", "12.30"), (5, "total", "-1"), (6, "total", "abc"), (7, "vat", "1000000.01"),
+    (8, "date", "31/12/2025"), (9, "date", "32/01/2025"), (10, "date", "1-2-26"), (11, "date", "soon"), (12, "date", None), (13, "other", "x"),
+]
+_CHECK_COLS = "id int, field_id string, value string"
+
+
+@query(f"""
+WITH v AS (SELECT *, TRY_CAST(value AS DOUBLE) AS num, string_split(replace(regexp_extract(value, '{fields.DATE}', 1), '-', '/'), '/') AS p FROM {_literal(_CHECKS, _CHECK_COLS)}),
+d AS (SELECT *, TRY_CAST(p[1] AS INT) AS dd, TRY_CAST(p[2] AS INT) AS mm, TRY_CAST(p[3] AS INT) AS yy FROM v)
+SELECT id, CASE WHEN value IS NULL THEN false WHEN field_id = 'vendor' THEN length(value) BETWEEN 3 AND 80 AND regexp_matches(value, '[A-Za-z]')
+  WHEN field_id IN ('total', 'vat') THEN coalesce(num BETWEEN 0 AND 1000000, false)
+  WHEN field_id = 'date' THEN coalesce(regexp_matches(value, '^{fields.DATE}') AND dd BETWEEN 1 AND 31 AND mm BETWEEN 1 AND 12 AND CASE WHEN yy < 100 THEN yy + 2000 ELSE yy END BETWEEN 1900 AND 2100, false)
+  ELSE true END AS ok FROM d
+""")
+def schema_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _CHECKS, _CHECK_COLS).select("id", gate.field_valid(F.col("field_id"), F.col("value"))["ok"].alias("ok"))
+
+
+_CROSS = [(1, 23.0, 123.0), (2, 9.0, 109.0), (3, 50.0, 150.0), (4, -5.0, -20.0), (5, 30.0, 20.0), (6, None, 10.0), (7, 0.0, 0.0)]
+
+
+@query(f"""
+WITH v AS (SELECT id, vat::DOUBLE AS vat, total::DOUBLE AS total FROM {_literal(_CROSS, "id int, vat double, total double")}),
+r AS (SELECT *, CASE WHEN total > 0 THEN vat / total ELSE 0.0 END AS ratio FROM v),
+n AS (SELECT *, {" OR ".join(f"abs(ratio - {money.net_ratio(r)!r}) < 0.005" for r in money.RATES)} AS near FROM r)
+SELECT id, CASE WHEN vat IS NOT NULL THEN CAST(printf('%.4f', ratio) AS DOUBLE) END AS ratio, CASE WHEN vat IS NOT NULL THEN near END AS plausible,
+  coalesce(vat IS NOT NULL AND NOT near AND total > 0, false) AS implausible_ratio, coalesce(vat > total, false) AS vat_exceeds_total FROM n
+""")
+def cross_field_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _CROSS, "id int, vat double, total double").select("id", gate.cross_field(F.col("vat"), F.col("total")).alias("c")).select("id", "c.*")
+
+
+_NUMBERS = [("IE1234567A",), ("IE0000000B",), ("IE12345",), ("GB123456789",), ("IE7654321AB",)]
+
+
+@query(f"""
+SELECT number, regexp_matches(number, '^IE\\d{{7}}[A-Z]{{1,2}}$') AND coalesce(({" + ".join(f"TRY_CAST(substr(number, {3 + i}, 1) AS INT) * {w}" for i, w in enumerate(money.VAT_WEIGHTS))}) % 23 <> 0, false) AS ok
+FROM {_literal(_NUMBERS, "number string")}
+""")
+def vat_number_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _NUMBERS, "number string").select("number", money.vat_number_plausible(F.col("number")).alias("ok"))
+
+
+# --- export --------------------------------------------------------------------------------------------------------
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, c, n = (_t(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    joined = o.join(c, o["o_custkey"] == c["c_custkey"], "left").join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+    state = F.get(F.array(*map(F.lit, ("IE", "DE", "US", "gb"))), F.pmod("n_nationkey", F.lit(4)))
+    rate = F.get(F.array(*map(F.lit, ("23.0", "13.5", "0", "20%", "4.8"))), F.pmod("o_orderkey", F.lit(5)).cast("int"))
+    return joined.select(
+        F.concat(F.lit("D"), F.col("o_orderkey")).alias("doc_id"), F.col("c_name").alias("vendor"), state.alias("vendor_country"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.col("o_totalprice").alias("total"), F.lit(10.0).alias("vat"), rate.alias("vat_rate"),
+    )
+
+
+_FIXED = {"POCountry": "coalesce(country, '')", "Quantity": "'1'", "AccountCode": "'404'", "Currency": "'EUR'"}
+_TYPES = "CASE {0} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in money.TAX_TYPES.items()) + " ELSE 'VAT on Expenses' END"
+
+
+@query(f"""
+WITH p AS (SELECT 'D' || o_orderkey AS doc_id, c_name, CASE n_nationkey % 4 WHEN 0 THEN 'IE' WHEN 1 THEN 'DE' WHEN 2 THEN 'US' WHEN 3 THEN 'gb' END AS country, o_orderdate,
+  CAST(round(o_totalprice * 100) AS BIGINT) AS cents, CASE o_orderkey % 5 WHEN 0 THEN '23.0' WHEN 1 THEN '13.5' WHEN 2 THEN '0' WHEN 3 THEN '20%' ELSE '4.8' END AS rate
+  FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey)
+SELECT coalesce(c_name, 'Unknown supplier') AS "ContactName", {", ".join(f"'' AS " + '"' + h + '"' for h in export.HEADER if h in ("EmailAddress", "POAddressLine1", "POAddressLine2", "POAddressLine3", "POAddressLine4", "POCity", "PORegion", "POPostalCode", "InventoryItemCode", "Discount", "TrackingName1", "TrackingOption1", "TrackingName2", "TrackingOption2", "BrandingTheme"))},
+  {", ".join(f'{v} AS "{k}"' for k, v in _FIXED.items())}, doc_id AS "InvoiceNumber", 'DocOps:' || doc_id AS "Reference", strftime(o_orderdate, '%d/%m/%Y') AS "InvoiceDate",
+  strftime(o_orderdate::DATE + 30, '%d/%m/%Y') AS "DueDate", (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS "Total", coalesce(c_name, 'Supplier invoice') AS "Description",
+  ((cents - 1000) // 100) || '.' || lpad(CAST((cents - 1000) % 100 AS VARCHAR), 2, '0') AS "UnitAmount", '10.00' AS "TaxAmount",
+  CASE WHEN country IN ('DE', 'gb') THEN 'EC Acquisitions (Zero Rated)' ELSE {_TYPES.format("rtrim(rtrim(rtrim(rate, '%'), '.0'), '.')")} END AS "TaxType" FROM p
+""")
+def accounting_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.bills(_payloads(spark, sf_dir))
+
+
+_DATES = [("1/2/2025",), ("2025-12-31",), ("05-06-2024",), ("7.8.2023",), ("2022/01/09",), ("3 Mar 2021",), ("4 April 2020",), ("31/02/2025",), ("soon",), ("",), (None,)]
+
+
+@query("""
+SELECT * FROM (VALUES ('1/2/2025', '01/02/2025', '03/03/2025'), ('2025-12-31', '31/12/2025', '30/01/2026'), ('05-06-2024', '05/06/2024', '05/07/2024'), ('7.8.2023', '07/08/2023', '06/09/2023'),
+  ('2022/01/09', '09/01/2022', '08/02/2022'), ('3 Mar 2021', '03/03/2021', '02/04/2021'), ('4 April 2020', '04/04/2020', '04/05/2020'), ('31/02/2025', '31/02/2025', ''), ('soon', 'soon', ''), ('', '', ''), (NULL, '', '')) v(raw, formatted, due)
+""")
+def due_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = money.format_date(F.col("raw"))
+    return _values(spark, _DATES, "raw string").select("raw", f.alias("formatted"), money.due_date(f, 30).alias("due"))
+
+
+_TAX = [("23.0", "IE"), ("0", "IE"), ("10", None), ("13.5%", ""), ("9", "FR"), (None, "FR"), ("23", "US"), ("4.8", "ireland"), ("20", "uk")]
+
+
+@query("""
+SELECT * FROM (VALUES ('23.0', 'IE', 'VAT on Expenses'), ('0', 'IE', 'Zero Rated Expenses'), ('10', NULL, 'VAT on Expenses'), ('13.5%', '', 'VAT 13.5% on Expenses'), ('9', 'FR', 'EC Acquisitions (Zero Rated)'),
+  (NULL, 'FR', 'Zero Rated Expenses'), ('23', 'US', 'VAT on Expenses'), ('4.8', 'ireland', 'VAT 4.8% on Expenses'), ('20', 'uk', 'EC Acquisitions (Zero Rated)')) v(rate, country, tax)
+""")
+def tax_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _TAX, "rate string, country string").select("rate", "country", money.tax_type(F.col("rate"), F.col("country")).alias("tax"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+@query("SELECT * FROM (VALUES ('23', 'mine'), ('9', 'VAT 9% on Expenses'), ('new', 'added')) v(key, value)")
+def config_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerloom.sources.io import merged_config
+
+    defaults, given = (F.create_map(*[F.lit(x) for kv in m.items() for x in kv]) for m in ({"23": "VAT on Expenses", "9": "VAT 9% on Expenses"}, {"23": "mine", "new": "added"}))
+    return spark.range(1).select(F.explode(merged_config(defaults, given)))
+
+
+@query("""
+SELECT page_id, CASE WHEN ext = 'pdf' THEN 'pdf' WHEN ext IN ('jpg', 'jpeg', 'png', 'tif', 'tiff', 'bmp', 'webp') THEN 'image' ELSE 'unsupported' END AS branch
+FROM (SELECT page_id, lower(regexp_extract(url || CASE page_id % 4 WHEN 0 THEN '.PDF' WHEN 1 THEN '.tiff' WHEN 2 THEN '.webp' ELSE '' END, '\\.([A-Za-z0-9]+)$', 1)) AS ext FROM pages)
+""")
+def suffix_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerloom.sources.io import ingest_branch
+
+    ending = F.get(F.array(*map(F.lit, (".PDF", ".tiff", ".webp", ""))), (F.col("page_id") % 4).cast("int"))
+    return _t(spark, sf_dir, "pages").select("page_id", ingest_branch(F.concat("url", ending)).alias("branch"))
+
+
+# --- leakage -------------------------------------------------------------------------------------------------------
+
+_IDENTITIES = [(-1, "VAT IE1234567AB due 12/03/2025 or 2025-03-12, pay INV-12345 to a.b@c.ie, D02 X285, €1,200.50, +353 81 6167 2140"), (-2, "INV-20260306-764 and IE29AIBK12345678901234"), (-3, "")]
+
+
+def _re2(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+_MASKED = "text"
+for _p in text.IDENTITY:
+    _MASKED = f"regexp_replace({_MASKED}, '{_re2(_p)}', '<ID>', 'g')"
+
+
+@query(f"SELECT doc_id, md5({_MASKED}) AS masked_md5, length({_MASKED})::BIGINT AS masked_chars FROM (SELECT doc_id, text FROM documents UNION ALL SELECT * FROM {_literal(_IDENTITIES, 'doc_id long, text string')})")
+def identity_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "documents").select("doc_id", "text").unionByName(_values(spark, _IDENTITIES, "doc_id long, text string"))
+    masked = text.mask_identity(F.col("text"))
+    return rows.select("doc_id", F.md5(masked.cast("binary")).alias("masked_md5"), F.length(masked).cast("bigint").alias("masked_chars"))
+
+
+_SPACED = r"regexp_replace(regexp_replace({0}, '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')"
+
+
+@query(f"SELECT doc_id, CASE WHEN length(t) < 5 THEN 0 ELSE len(list_distinct(list_transform(range(1, length(t) - 3), lambda i: substr(t, i, 5)))) END::BIGINT AS shingles FROM (SELECT doc_id, {_SPACED.format('text')} AS t FROM documents)")
+def shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", F.size(text.shingles(F.col("text"))).cast("bigint").alias("shingles"))
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    d = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.filter("doc_id % 2 = 0"), d.filter("doc_id % 2 = 1")
+
+
+@query(f"""
+WITH s AS (SELECT doc_id, {_SPACED.format(_MASKED)} AS t FROM documents),
+g AS (SELECT doc_id, list_distinct(list_transform(range(1, length(t) - 3), lambda i: hash(substr(t, i, 5)))) AS sh FROM s WHERE length(t) >= 5),
+p AS (SELECT e.doc_id AS eval_doc_id, t.doc_id AS train_doc_id, len(list_intersect(e.sh, t.sh)) AS common, len(e.sh) AS a, len(t.sh) AS b
+  FROM g e JOIN g t ON e.doc_id % 2 = 1 AND t.doc_id % 2 = 0 AND len(e.sh) >= 0.85 * len(t.sh) AND len(t.sh) >= 0.85 * len(e.sh))
+SELECT eval_doc_id, train_doc_id, common::DOUBLE / (a + b - common) AS jaccard, CASE WHEN common::DOUBLE / (a + b - common) >= 0.95 THEN 'hard' ELSE 'soft' END AS tier
+FROM p WHERE common::DOUBLE / (a + b - common) >= 0.85
+""")
+def exact_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.exact_pairs(*_split(spark, sf_dir))
+
+
+@query()
+def lsh_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The approximate form; its random family is not SQL's."""
+    return leakage.lsh_pairs(*_split(spark, sf_dir))
+
+
+@query("SELECT sha256(text) AS sha256, count(*)::BIGINT AS n, min(doc_id) AS first_doc_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _t(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc_id"))
+    return d.filter("n > 1")
+
+
+@query("SELECT doc_id, 'synth-' || substr(sha256(source || '|42|' || CAST(doc_id AS VARCHAR)), 1, 12) AS derived FROM documents")
+def doc_id_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", text.derived_id(F.col("source"), F.lit(42), F.col("doc_id")).alias("derived"))
+
+
+_FUZZY = [("Acme Ltd", "acme  ltd"), ("Acme", "Acne"), ("abc", "xyz"), ("", None), ("kitten", "sitting")]
+
+
+@query(f"SELECT a, b, levenshtein({_NORMAL.format('coalesce(a, {0})')}, {_NORMAL.format('coalesce(b, {0})')}) <= 2 AS close FROM {_literal(_FUZZY, 'a string, b string')}".replace("{0}", "''"))
+def fuzzy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _FUZZY, "a string, b string").select("a", "b", text.fuzzy_equal(F.col("a"), F.col("b")).alias("close"))
+
+
+@query()
+def generated_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of all template families; draws are hashes that SQL elsewhere does not have."""
+    from ledgerloom.plans.generator import line_items as generated
+
+    return generated(spark, 20)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
