@@ -64,10 +64,14 @@ def mask_identity(c: Column) -> Column:
 
 
 def shingles(c: Column, k: int = 5) -> Column:
-    """Distinct character k-grams of the text with single spaces; none if it is shorter than k."""
+    """Distinct character k-grams of the text with single spaces; none if it is shorter than k.
+
+    The characters are the variable of an outer transform: they are split once, and each gram is k look-ups.
+    """
     t = F.regexp_replace(strip(c), r"\s+", " ")
-    grams = F.transform(F.sequence(F.lit(1), F.length(t) - (k - 1)), lambda i: F.substring(t, i, F.lit(k)))
-    return F.when(F.length(t) >= k, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    grams = lambda x: F.transform(F.sequence(F.lit(0), F.size(x) - k), lambda i: F.concat(*[F.get(x, i + j) for j in range(k)]))
+    of = lambda x: F.when(F.size(x) >= k, F.array_distinct(grams(x))).otherwise(F.array().cast("array<string>"))
+    return F.get(F.transform(F.array(F.split(t, "")), of), F.lit(0))
 
 
 def derived_id(family: Column, seed: Column, place: Column) -> Column:

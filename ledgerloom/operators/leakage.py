@@ -13,7 +13,8 @@ SOFT, HARD = 0.85, 0.95
 def shingled(docs: DataFrame, k: int = 5) -> DataFrame:
     """(doc_id, sh): sorted 64-bit hashes of the distinct shingles of the masked text; documents without any leave."""
     hashed = F.array_sort(F.array_distinct(F.transform(shingles(mask_identity(F.col("text")), k), lambda s: F.xxhash64(s))))
-    return docs.select("doc_id", hashed.alias("sh")).filter(F.size("sh") > 0)
+    # an exploded one-element array keeps the filter from evaluating the shingles again
+    return docs.select("doc_id", F.explode(F.array(hashed)).alias("sh")).filter(F.size("sh") > 0)
 
 
 def exact_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard: float = HARD, k: int = 5) -> DataFrame:
@@ -24,7 +25,7 @@ def exact_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, har
     """
     if hard < soft:
         raise ValueError("the hard threshold is below the soft one")
-    sides = {"t": shingled(train, k), "e": shingled(evaluation, k)}
+    sides = {"t": shingled(train, k).persist(), "e": shingled(evaluation, k).persist()}  # each is read three times
     both = sides["t"].select("sh").unionByName(sides["e"].select("sh"))
     often = both.select(F.explode("sh").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     prefixes = {}
