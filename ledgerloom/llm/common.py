@@ -43,11 +43,13 @@ def release(spark: SparkSession) -> None:
 
 
 def arrow_rows(spark: SparkSession, rows: int) -> None:
-    """Bound the rows of an Arrow batch, so that a run of very long texts fits a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+    """Bound the rows of an Arrow batch, so that a run of very long texts fits a Python worker; never above the user's bound."""
+    key, own = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.ledgerloom.arrowRows"
+    users = spark.conf.get(own, None)
+    if users is None:
+        users = spark.conf.get(key)
+        spark.conf.set(own, users)
+    spark.conf.set(key, str(min(rows, int(users)) if int(users) > 0 else rows))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

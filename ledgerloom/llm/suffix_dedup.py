@@ -1,24 +1,25 @@
 """Remove byte strings of a fixed length that an earlier document has, by a logarithmic family of sparse suffix arrays.
 
-A window is `WINDOW` bytes of a text. Each window has an anchor, the place of its least hashed 12-byte string; equal
+A window is `WINDOW` bytes of a text. Each window has an anchor, the place of its least hashed 20-byte string; equal
 windows have equal anchors. Consecutive windows with one anchor form a segment, and the segment's suffix from the
 anchor on (at most WINDOW bytes, with what is before the anchor as the tie) is what suffix arrays order: one suffix for
-about twenty bytes of text instead of one a byte, and every window is in exactly one segment.
+about sixteen bytes of text instead of one a byte, and every window is in exactly one segment.
 
-A few MB of documents are a batch. It builds its suffix array, settles segments that are equal within it, and deals the
-array out by the anchor's hash. A bucket takes the arrays of its batches one by one into levels: a new array is a level
-of its own, and as long as the last level is at least as large as the one before, the two are merged in one scan. A
-scan settles whole segments (equal ones of later documents are removed and leave the index) and so keeps the first of
-any number of copies. After the last batch all levels merge, and the scan's common prefix lengths show where a shorter
-match of at least a window is possible; only those windows are compared, byte by byte. What is removed goes to the
-documents in packed runs.
+A few MB of documents are a batch, packed once. First the batches send four bytes of each anchor's hash to the anchor's
+bucket, which answers with a bit for each: whether another has it. Only segments whose anchor is shared go on. A batch
+builds its suffix array of them, settles segments that are equal within it, and deals the array out by anchor. A bucket
+takes the arrays of its batches one by one into levels: a new array is a level of its own, and as long as the last level
+is at least as large as the one before, the two are merged in one scan. A scan settles whole segments (equal ones of
+later documents are removed and leave the index) and so keeps the first of any number of copies. After the last batch
+all levels merge, and the scan's common prefix lengths show where a shorter match of at least a window is possible; only
+those windows are compared, byte by byte. What is removed goes to the batches in packed runs.
 
 No text is sent to the driver, no pairs are made, and a passage that very many documents hold arrives at its bucket
 once for each batch, not once for each document.
 
 Defined cases: a null text is empty; texts shorter than a window keep everything; a string repeated within one document
-stays; rows with one doc_id are no earlier than each other, and those with equal text too share their result; a null
-doc_id is before all others; an empty table gives no rows; other columns are ignored.
+stays; rows with one doc_id are no earlier than each other; a null doc_id is before all others; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,23 +30,24 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_rows, shuffle_partitions
+from ledgerloom.llm.common import arrow_rows, release, shuffle_partitions, stored
 
-WINDOW, ANCHOR = 50, 12
+WINDOW, ANCHOR = 50, 20
 #: Places of an anchor in a window, and the longest segment and what of it may stand before the anchor.
 PLACES = WINDOW - ANCHOR + 1
 LONGEST, BEFORE = WINDOW + PLACES - 1, PLACES - 1
-#: Bytes of text in a batch; buckets of a shuffle partition, and document groups of one.
-BATCH, BUCKETS, GROUPS = 8 << 20, 8, 8
+#: Bytes of text in a batch, bits of a row's place in it, and buckets of a shuffle partition.
+BATCH, PLACE_BITS, BUCKETS = 4 << 20, 20, 8
 FIRST_ID = -(1 << 63)
 
 #: One row for each segment: the order (suffix, then what is before the anchor, reversed), lengths, and where it is.
-ENTRY = np.dtype([("key", f"S{LONGEST}"), ("right", "u1"), ("left", "u1"), ("doc", "<i8"), ("text", "<i8"), ("start", "<i8")])
-#: One row for each removed run of windows.
-RUN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("n", "<i8")])
+ENTRY = np.dtype([("key", f"S{LONGEST}"), ("right", "u1"), ("left", "u1"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i8")])
+#: One row for each removed run of windows. A row number is the batch and the place in it.
+RUN = np.dtype([("row", "<i8"), ("start", "<i8"), ("n", "<i8")])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -56,7 +58,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def segments(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of documents (doc, text, bytes), unsorted, and a hash of each one's anchor."""
+    """Entries of documents (doc, row, bytes), unsorted, and a hash of each one's anchor."""
     docs = [d for d in docs if len(d[2]) >= WINDOW]
     if not docs:
         return np.zeros(0, ENTRY), np.zeros(0, np.uint64)
@@ -65,8 +67,9 @@ def segments(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray
     n = int(lengths.sum())
     raw = b"".join([d[2] for d in docs]) + bytes(2 * LONGEST)
     eight = np.ndarray((n,), "<u8", raw, 0, (1,))
-    four = np.ndarray((n,), "<u4", raw, 8, (1,))
-    hashed = _mixed(eight ^ _mixed(four.astype(np.uint64)))
+    more = np.ndarray((n,), "<u8", raw, 8, (1,))
+    four = np.ndarray((n,), "<u4", raw, 16, (1,))
+    hashed = _mixed(eight ^ _mixed(more ^ _mixed(four.astype(np.uint64))))
     least = (hashed & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     span = 1
     while 2 * span <= PLACES:
@@ -100,7 +103,7 @@ def segments(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray
     of = np.searchsorted(begins, first, side="right") - 1
     out["right"], out["left"], out["start"] = right, left, first - begins[of]
     out["doc"] = np.array([d[0] for d in docs])[of]
-    out["text"] = np.array([d[1] for d in docs])[of]
+    out["row"] = np.array([d[1] for d in docs])[of]
     return out, hashed[at]
 
 
@@ -118,7 +121,7 @@ def settle(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     late = entries["doc"] > least
     gone = entries[late]
     runs = np.zeros(len(gone), RUN)
-    runs["doc"], runs["text"], runs["start"] = gone["doc"], gone["text"], gone["start"]
+    runs["row"], runs["start"] = gone["row"], gone["start"]
     runs["n"] = gone["left"].astype(np.int64) + gone["right"] - WINDOW + 1
     return entries[~late], runs
 
@@ -191,7 +194,7 @@ class Levels:
         late = doc > np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.append(starts, len(doc))))
         out = np.zeros(int(late.sum()), RUN)
         who, a = who[late], a[late]
-        out["doc"], out["text"] = e["doc"][who], e["text"][who]
+        out["row"] = e["row"][who]
         out["start"], out["n"] = e["start"][who] + e["left"][who] - a, 1
         return joined(out)
 
@@ -200,27 +203,25 @@ def joined(runs: np.ndarray) -> np.ndarray:
     """Runs of windows in order, those that touch made one."""
     if len(runs) < 2:
         return runs
-    runs = runs[np.lexsort((runs["start"], runs["text"], runs["doc"]))]
-    touch = (runs["doc"][1:] == runs["doc"][:-1]) & (runs["text"][1:] == runs["text"][:-1]) & (runs["start"][1:] <= runs["start"][:-1] + runs["n"][:-1])
+    runs = runs[np.lexsort((runs["start"], runs["row"]))]
+    touch = (runs["row"][1:] == runs["row"][:-1]) & (runs["start"][1:] <= runs["start"][:-1] + runs["n"][:-1])
     starts = np.flatnonzero(np.concatenate(([True], ~touch)))
     out = runs[starts]
     out["n"] = np.maximum.reduceat(runs["start"] + runs["n"], starts) - out["start"]
     return out
 
 
-def _group(runs: np.ndarray, groups: int) -> np.ndarray:
-    return (_mixed(runs["doc"].astype(np.uint64) ^ _mixed(runs["text"].astype(np.uint64))) % np.uint64(groups)).astype(np.int64)
+def _columns(rows: np.ndarray) -> bytes:
+    return b"".join(np.ascontiguousarray(rows[c]).tobytes() for c in rows.dtype.names)
 
 
-def _packed(key: np.ndarray, rows: np.ndarray, level: int) -> Iterator[tuple[int, bytes]]:
-    """Rows by key, in their order, each key's column by column in one compressed value."""
-    order = np.argsort(key, kind="stable")
-    key, rows = key[order], rows[order]
-    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else []
-    z = zstandard.ZstdCompressor(level=level)
-    for a, b in zip(starts, np.append(starts[1:], len(key)) if len(key) else [], strict=True):
-        part = rows[a:b]
-        yield int(key[a]), z.compress(b"".join(np.ascontiguousarray(part[c]).tobytes() for c in rows.dtype.names))
+def _by_batch(runs: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(batch, packed runs) of joined runs."""
+    batch = runs["row"] >> PLACE_BITS
+    starts = np.flatnonzero(np.concatenate(([True], batch[1:] != batch[:-1]))) if len(runs) else np.zeros(0, int)
+    z = zstandard.ZstdCompressor(level=1)
+    for a, b in zip(starts, np.append(starts[1:], len(runs)), strict=True) if len(runs) else ():
+        yield int(batch[a]), z.compress(_columns(runs[a:b]))
 
 
 def _unpacked(value: bytes, kind: np.dtype) -> np.ndarray:
@@ -237,111 +238,176 @@ def _sent(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*zip(*rows, strict=True)] or [[]] * len(names), kinds, strict=True)], names=names)
 
 
-def _index(batches: Iterator[pa.RecordBatch], buckets: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """Documents -> (bucket, settled, value): sorted entries of a batch by bucket; runs settled within it by group."""
-
-    def send(docs: list) -> pa.RecordBatch:
-        entries, anchor = segments(docs)
-        bucket = (_mixed(anchor) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        bucket, entries = bucket[order], entries[order]
-        cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else []
-        z, rows, gone = zstandard.ZstdCompressor(level=3), [], []
-        for a, b in zip(cuts, np.append(cuts[1:], len(bucket)) if len(bucket) else [], strict=True):
-            kept, runs = settle(ordered(entries[a:b]))
-            gone.append(runs)
-            rows.append((int(bucket[a]), False, z.compress(b"".join(np.ascontiguousarray(kept[c]).tobytes() for c in ENTRY.names))))
-        if gone:
-            runs = joined(np.concatenate(gone))
-            rows += [(g, True, v) for g, v in _packed(_group(runs, groups), runs, 1)]
-        return _sent(rows, ["bucket", "settled", "value"], [pa.int64(), pa.bool_(), pa.binary()])
-
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (doc_id, raw) -> (batch, value): the documents of a batch in one compressed value."""
+    base, made = TaskContext.get().partitionId() << 20, 0
+    z = zstandard.ZstdCompressor(level=3)
     held, size = [], 0
+
+    def send() -> pa.RecordBatch:
+        nonlocal held, size, made
+        known = np.array([d is not None for d, _ in held], np.uint8)
+        ids = np.array([0 if d is None else d for d, _ in held], "<i8")
+        lengths = np.array([len(r) for _, r in held], "<i8")
+        value = z.compress(b"".join([np.int64(len(held)).tobytes(), known.tobytes(), ids.tobytes(), lengths.tobytes(), *(r for _, r in held)]))
+        batch = base + made
+        made, held, size = made + 1, [], 0
+        return _sent([(batch, value)], ["batch", "value"], [pa.int64(), pa.binary()])
+
     for b in batches:
-        for doc, text, raw in zip(*(b.column(c).to_pylist() for c in ("doc", "text_hash", "raw")), strict=True):
-            held.append((doc, text, raw))
+        for doc_id, raw in zip(b.column("doc_id").to_pylist(), b.column("raw").to_pylist(), strict=True):
+            held.append((doc_id, raw))
             size += len(raw)
-            if size >= BATCH:
-                yield send(held)
-                held, size = [], 0
+            if size >= BATCH or len(held) == (1 << PLACE_BITS) - 1:
+                yield send()
     if held:
-        yield send(held)
+        yield send()
 
 
-def _scan(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    """(bucket, settled, value) sorted by settled and bucket -> (group, value): packed runs."""
-    names, kinds = ["grp", "value"], [pa.int64(), pa.binary()]
-    levels, now = Levels(), None
+def _documents(batch: int, value: bytes) -> list[tuple[int | None, int, int, bytes]]:
+    """(doc_id, order, row number, bytes) of a batch."""
+    raw = zstandard.ZstdDecompressor().decompress(value)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    known = np.frombuffer(raw, np.uint8, n, 8).tolist()
+    ids, lengths = np.frombuffer(raw, "<i8", n, 8 + n).tolist(), np.frombuffer(raw, "<i8", n, 8 + 9 * n).tolist()
+    out, at = [], 8 + 17 * n
+    for i, (k, d, length) in enumerate(zip(known, ids, lengths, strict=True)):
+        out.append((d if k else None, d if k else FIRST_ID, (batch << PLACE_BITS) + i, raw[at : at + length]))
+        at += length
+    return out
+
+
+def _batch_segments(batch: int, value: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of a batch by bucket, each bucket's in the order of the text; their buckets, and their anchors' hashes."""
+    entries, anchor = segments([d[1:] for d in _documents(batch, value)])
+    bucket = (_mixed(anchor) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return entries[order], bucket[order], anchor[order]
+
+
+def _parts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(bucket, from, to) of a sorted array."""
+    if len(bucket):
+        starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        yield from zip(bucket[starts].tolist(), starts.tolist(), np.append(starts[1:], len(bucket)).tolist(), strict=True)
+
+
+def _hashes(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(batch, value) -> (bucket, batch, hashes): four bytes of each anchor's hash."""
+    for b in batches:
+        for batch, value in zip(b.column("batch").to_pylist(), b.column("value").to_pylist(), strict=True):
+            _, bucket, anchor = _batch_segments(batch, value, buckets)
+            short = (anchor >> np.uint64(20)).astype("<u4")  # the high bits are small in every least hash
+            yield _sent([(k, batch, short[a:z].tobytes()) for k, a, z in _parts(bucket)], ["bucket", "batch", "hashes"], [pa.int64(), pa.int64(), pa.binary()])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, batch, hashes) sorted by bucket -> (batch, bucket, flags): a bit for each hash that another equals."""
+    names, kinds = ["batch", "bucket", "flags"], [pa.int64(), pa.int64(), pa.binary()]
+    now, held = None, []
 
     def done() -> list[tuple]:
-        runs = joined(levels.finish())
-        return [*_packed(_group(runs, groups), runs, 1)]
+        if not held:
+            return []
+        all_ = np.sort(np.concatenate([h for _, h in held]))
+        twice = np.unique(all_[1:][all_[1:] == all_[:-1]])
+        return [(batch, now, np.packbits(np.isin(h, twice)).tobytes()) for batch, h in held]
 
     for b in batches:
         rows = []
-        for bucket, settled, value in zip(*(b.column(c).to_pylist() for c in ("bucket", "settled", "value")), strict=True):
-            if settled:
-                rows.append((bucket, value))
-                continue
+        for bucket, batch, hashes in zip(*(b.column(c).to_pylist() for c in ("bucket", "batch", "hashes")), strict=True):
             if bucket != now:
                 rows += done()
-                levels, now = Levels(), bucket
-            levels.add(_unpacked(value, ENTRY))
+                now, held = bucket, []
+            held.append((batch, np.frombuffer(hashes, "<u4")))
         yield _sent(rows, names, kinds)
     yield _sent(done(), names, kinds)
 
 
+def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """A batch's documents, then its flags by bucket -> (key, settled, value): sorted entries by bucket; settled runs by batch."""
+    z = zstandard.ZstdCompressor(level=3)
+    parts: dict[int, tuple[int, int]] = {}
+    entries = None
+    for b in batches:
+        rows = []
+        for batch, bucket, value in zip(*(b.column(c).to_pylist() for c in ("batch", "bucket", "value")), strict=True):
+            if bucket is None:
+                entries, places, _ = _batch_segments(batch, value, buckets)
+                parts = {k: (a, e) for k, a, e in _parts(places)}
+                continue
+            a, e = parts[bucket]
+            some = np.unpackbits(np.frombuffer(value, np.uint8), count=e - a).astype(bool)
+            if some.any():
+                kept, runs = settle(ordered(entries[a:e][some]))
+                rows.append((bucket, False, z.compress(_columns(kept))))
+                rows += [(k, True, v) for k, v in _by_batch(joined(runs))]
+        yield _sent(rows, ["key", "settled", "value"], [pa.int64(), pa.bool_(), pa.binary()])
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, settled, value) sorted by settled and key -> (batch, value): packed runs."""
+    names, kinds = ["batch", "value"], [pa.int64(), pa.binary()]
+    levels, now = Levels(), None
+    for b in batches:
+        rows = []
+        for key, settled, value in zip(*(b.column(c).to_pylist() for c in ("key", "settled", "value")), strict=True):
+            if settled:
+                rows.append((key, value))
+                continue
+            if key != now:
+                rows += _by_batch(joined(levels.finish()))
+                levels, now = Levels(), key
+            levels.add(_unpacked(value, ENTRY))
+        yield _sent(rows, names, kinds)
+    yield _sent([*_by_batch(joined(levels.finish()))], names, kinds)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows by group, its runs before its documents -> the documents with their removed spans."""
-    now, parts, found = None, [], None
+    """A batch's runs, then its documents -> the documents with their removed spans."""
+    now, parts = None, []
     spans_kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
     for b in batches:
-        rows = []
-        for grp, value, doc_id, doc, text, raw in zip(*(b.column(c).to_pylist() for c in ("grp", "value", "doc_id", "doc", "text_hash", "raw")), strict=True):
-            if grp != now:
-                now, parts, found = grp, [], None
-            if value is not None:
+        for batch, last, value in zip(*(b.column(c).to_pylist() for c in ("batch", "last", "value")), strict=True):
+            if batch != now:
+                now, parts = batch, []
+            if not last:
                 parts.append(_unpacked(value, RUN))
                 continue
-            if found is None:
-                runs = np.concatenate(parts) if parts else np.zeros(0, RUN)
-                runs["n"] += WINDOW - 1  # bytes now
-                runs = joined(runs)
-                pair = [*zip(runs["doc"].tolist(), runs["text"].tolist(), strict=True)]
-                found = {}
-                for k, (d, t) in enumerate(pair):
-                    found.setdefault((d, t), []).append((int(runs["start"][k]), int(runs["n"][k])))
-            spans = found.get((doc, text), [])
-            kept, at = [], 0
-            for s, n in spans:
-                kept.append(raw[at:s])
-                at = s + n
-            kept.append(raw[at:])
-            rows.append((doc_id, len(raw), [{"start": s, "length": n} for s, n in spans], b"".join(kept)))
-        yield _sent(rows, ["doc_id", "n_bytes", "spans", "kept"], [pa.int64(), pa.int64(), spans_kind, pa.binary()])
+            runs = np.concatenate(parts) if parts else np.zeros(0, RUN)
+            runs["n"] += WINDOW - 1  # bytes now
+            found: dict[int, list[tuple[int, int]]] = {}
+            for row, start, n in joined(runs).tolist():
+                found.setdefault(row, []).append((start, n))
+            rows = []
+            for doc_id, _, row, raw in _documents(batch, value):
+                spans = found.get(row, [])
+                kept, at = [], 0
+                for s, n in spans:
+                    kept.append(raw[at:s])
+                    at = s + n
+                kept.append(raw[at:])
+                rows.append((doc_id, len(raw), [{"start": s, "length": n} for s, n in spans], b"".join(kept)))
+            yield _sent(rows, ["doc_id", "n_bytes", "spans", "kept"], [pa.int64(), pa.int64(), spans_kind, pa.binary()])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (removed, as array of start and length in bytes), kept (the bytes that stay)."""
     spark = docs.sparkSession
-    arrow_rows(spark, 512)
     n = shuffle_partitions(spark)
+    buckets = n * BUCKETS
+    arrow_rows(spark, 512)
     raw = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc.alias("doc"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
-    sent = rows.select("doc", "text_hash", "raw").mapInArrow(partial(_index, buckets=n * BUCKETS, groups=n * GROUPS), "bucket long, settled boolean, value binary")
-    dealt = sent.repartition(n, "bucket").sortWithinPartitions(F.desc("settled"), "bucket")
-    runs = dealt.mapInArrow(partial(_scan, groups=n * GROUPS), "grp long, value binary")
-    mine = rows.mapInArrow(partial(_grouped, groups=n * GROUPS), "grp long, doc_id long, doc long, text_hash long, raw binary")
-    both = mine.select("grp", F.lit(None).cast("binary").alias("value"), "doc_id", "doc", "text_hash", "raw").unionByName(
-        runs.select("grp", "value", *[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("doc", "long"), ("text_hash", "long"), ("raw", "binary"))])
-    )
-    met = both.repartition(n, "grp").sortWithinPartitions("grp", F.col("value").isNull())
+    packed = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("raw")).mapInArrow(_pack, "batch long, value binary"))
+    arrow_rows(spark, 4)  # rows are MB now
+    sent = packed.mapInArrow(partial(_hashes, buckets=buckets), "bucket long, batch long, hashes binary")
+    flags = stored(sent.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "batch long, bucket long, flags binary"))
+    release(spark)
+    asked = packed.select("batch", F.lit(None).cast("long").alias("bucket"), "value").unionByName(flags.withColumnRenamed("flags", "value"))
+    asked = asked.repartition(n, "batch").sortWithinPartitions("batch", F.col("bucket").asc_nulls_first())
+    entries = asked.mapInArrow(partial(_index, buckets=buckets), "key long, settled boolean, value binary")
+    runs = stored(entries.repartition(n, "key").sortWithinPartitions(F.desc("settled"), "key").mapInArrow(_scan, "batch long, value binary"))
+    release(spark)
+    met = packed.select("batch", F.lit(True).alias("last"), "value").unionByName(runs.select("batch", F.lit(False).alias("last"), "value"))
+    met = met.repartition(n, "batch").sortWithinPartitions("batch", "last")
     return met.mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
-
-
-def _grouped(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        key = np.zeros(b.num_rows, RUN)
-        key["doc"], key["text"] = b.column("doc").to_numpy(), b.column("text_hash").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(_group(key, groups)), *(b.column(c) for c in ("doc_id", "doc", "text_hash", "raw"))], names=["grp", "doc_id", "doc", "text_hash", "raw"])
