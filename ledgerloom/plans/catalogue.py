@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fields, money, text
-from ledgerloom.operators import corrections, export, gate, governance, leakage, lineitems, rescue, sampling, scoring, voting
+from ledgerloom.operators import corrections, export, extraction, gate, governance, leakage, lineitems, rescue, sampling, scoring, voting
 
 PASS_CHARS = 500
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -610,6 +610,71 @@ def vat_number_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, _NUMBERS, "number string").select("number", money.vat_number_plausible(F.col("number")).alias("ok"))
 
 
+_ANSWERS = [
+    ("m1", '{"vendor": "Acme", "total": 12.5, "vat": 2.5, "date": "01/02/2026", "vendor_confidence": 0.9, "total_confidence": 1.0, "vat_confidence": 1.5, "date_confidence": 0.0}'),
+    ("m2", "not json"),
+    ("m3", '{"vendor": null, "total": 3.0, "total_confidence": 0.5}'),
+]
+
+
+@query("SELECT * FROM (VALUES ('m1', 'vendor', 'Acme', 0.9::DOUBLE), ('m1', 'total', '12.5', 1.0::DOUBLE), ('m1', 'date', '01/02/2026', 0.0::DOUBLE), ('m3', 'total', '3.0', 0.5::DOUBLE)) v(doc_id, field_id, value, confidence)")
+def model_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.model_candidates(_values(spark, _ANSWERS, "doc_id string, answer string")).drop("raw_text")
+
+
+@query("""
+SELECT * FROM (VALUES ('n1', 0, 'Widget 3 pack', 3.0::DOUBLE, 10.5::DOUBLE), ('n1', 2, 'aa', NULL, 2.0::DOUBLE), ('n2', 0, NULL, NULL, 7.25::DOUBLE)) v(doc_id, row_idx, description, quantity, amount)
+""")
+def native_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [("n1", [["Widget 3 pack", None, "EUR 10.50"], [None, " "], ["aa", "bb", "1.00", "2.00"], ["no amount"]]), ("n2", [["7.25"]])]
+    return extraction.native_items(_values(spark, rows, "doc_id string, rows array<array<string>>"))
+
+
+@query("""
+SELECT user_id AS doc_id, substr(string_agg(event_type, chr(10) ORDER BY event_id), 1, 4000) AS text FROM events GROUP BY 1
+""")
+def engine_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.col("event_id").alias("ordinal"), F.col("event_type").alias("raw_text"))
+    return extraction.engine_text(e)
+
+
+@query("""
+SELECT d.doc_id, f.field_id, l.quality AS verdict FROM documents d CROSS JOIN (VALUES ('vendor'), ('total')) f(field_id) LEFT JOIN labels l ON l.doc_id = d.doc_id AND f.field_id = 'vendor'
+""")
+def verdict_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = F.explode(F.array(F.lit("vendor"), F.lit("total"))).alias("field_id")
+    verdicts = _t(spark, sf_dir, "labels").select("doc_id", F.lit("vendor").alias("field_id"), F.col("quality").alias("verdict"))
+    return extraction.with_verdicts(_t(spark, sf_dir, "documents").select("doc_id", each), verdicts)
+
+
+@query("""
+SELECT user_id AS doc_id, event_id AS ordinal FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY length(event_type) DESC, event_id) = 1
+""")
+def longest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.col("event_id").alias("ordinal"), F.col("event_type").alias("raw_text"))
+    return extraction.first_engine_wins(e).select("doc_id", "ordinal")
+
+
+_NUMBERED = [("p1", "VAT No. IE1234567AB pay IE29AIBK93115212345678"), ("p2", "nothing"), ("p3", "ie7654321c")]
+
+
+@query(f"""
+SELECT doc_id, nullif(regexp_extract(text, '{extraction.VAT_NUMBER}', 1), '') AS vat_number, nullif(regexp_extract(text, '{extraction.IBAN}', 1), '') AS iban FROM {_literal(_NUMBERED, "doc_id string, text string")}
+""")
+def document_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, _NUMBERED, "doc_id string, text string").select("doc_id", extraction.numbers(F.col("text")).alias("n")).select("doc_id", "n.*")
+
+
+@query("""
+SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'clean' WHEN page_id % 3 = 1 THEN 'light' ELSE 'heavy' END AS corruption_bucket,
+  'corrupted/' || CASE WHEN page_id % 3 = 0 THEN 'clean' WHEN page_id % 3 = 1 THEN 'light' ELSE 'heavy' END || '/' || list_extract(string_split(url, '/'), -1) AS source_path FROM pages
+""")
+def corrupted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bucket = F.get(F.array(*map(F.lit, ("clean", "light", "heavy"))), (F.col("page_id") % 3).cast("int"))
+    pages = _t(spark, sf_dir, "pages").select("page_id", F.lit("clean").alias("corruption_bucket"), F.col("url").alias("source_path"))
+    return extraction.corrupted(pages, bucket)
+
+
 # --- export --------------------------------------------------------------------------------------------------------
 
 
