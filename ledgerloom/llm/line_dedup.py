@@ -85,7 +85,8 @@ def near_earlier(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     # the text of those lines, read again where they occur first
     at = close.groupBy(F.col("at.doc_id").alias(f"{P}d"), F.col("at.text_hash").alias(f"{P}t")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "h1", "h2", "n")).alias("want"))
     here = docs.select(F.col("doc_id").alias(f"{P}d"), F.xxhash64("text").alias(f"{P}t"), "text")
-    joined = here.join(at, here[f"{P}d"].eqNullSafe(at[f"{P}d"]) & (here[f"{P}t"] == at[f"{P}t"]))
+    # a merge join at every size: the wanted lines grow with the input, so broadcasting them would only suit small tables
+    joined = here.join(at.hint("merge"), here[f"{P}d"].eqNullSafe(at[f"{P}d"]) & (here[f"{P}t"] == at[f"{P}t"]))
     found = joined.select(here[f"{P}d"].alias("doc_id"), here[f"{P}t"].alias("text_hash"), F.split("text", "\n").alias("lines"), F.explode("want").alias("w"))
     texts = found.select("w.h1", "w.h2", "w.n", F.struct("doc_id", "text_hash", F.col("w.line_no").alias("line_no")).alias("at"), _norm(F.get("lines", F.col("w.line_no"))).alias("line"))
     texts = stored(texts.dropDuplicates(["h1", "h2"]))
