@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -65,6 +64,3 @@ def spaced_dates(start: Column, days: Column, n: Column) -> Column:
     """n dates, evenly spaced over some days."""
     one = lambda i: F.date_add(start, F.floor(days * (i / n)).cast("int"))
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), one)).otherwise(F.array().cast("array<date>"))
-
-
-Batches = Iterator[pd.DataFrame]
