@@ -154,13 +154,6 @@ def test_lattice_sums_all_segmentations():
     assert math.isclose(math.exp(lattice.log_probability("é")), p[mark] * 0.001**2 * 0.3)
 
 
-def test_model_is_a_distribution(docs):
-    """The mass of known words and of new words is one: what known words leave is the discount."""
-    n1, n2, n, v = 10, 4, 100, 30
-    d = n1 / (n1 + 2 * n2)
-    assert math.isclose((n - d * v) / n + d * v / n, 1)
-
-
 # exact top-k
 
 
