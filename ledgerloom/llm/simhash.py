@@ -42,18 +42,21 @@ _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """SimHash of the word shingles of a text, unsigned."""
+def hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of the word shingles of a text, in their order."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     k = min(shingle, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - k + 1].tolist()
     hashed = xxhash.xxh64_intdigest
-    found = [hashed(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist(), strict=True)]
-    h = np.array(found, dtype="<u8")
+    return np.array([hashed(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist(), strict=True)], dtype="<u8")
+
+
+def majority(h: np.ndarray) -> int:
+    """Fingerprint of shingle hashes, unsigned; zero for none."""
     ones = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(h), CHUNK):
         bits = np.unpackbits(h[i : i + CHUNK].view(np.uint8), bitorder="little").reshape(-1, BITS)
@@ -61,6 +64,11 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int) -> int:
+    """SimHash of the word shingles of a text, unsigned."""
+    return majority(hashes(text, shingle))
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], dtype=np.uint64)
