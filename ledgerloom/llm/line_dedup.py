@@ -2,7 +2,7 @@
 
 Lines are compared without leading and trailing spaces, tabs and carriage returns. A line of at least `min_chars`
 characters is dropped if an equal line, or one whose first occurrence is earlier and that is one character edit away
-(Levenshtein), came earlier by (doc_id, line number); the earliest stays. Decisions look at the input, not at what is
+(Levenshtein), came earlier by (doc_id, line number); the earliest stays. Equal lines may go from fewer characters on (`exact_chars`). Decisions look at the input, not at what is
 left, so they do not depend on an order of work.
 
 Steps. Equal lines collapse to their first occurrence, as numbers only (two 64-bit hashes, length). Two lines one edit
@@ -67,12 +67,12 @@ def _block_keys(line: Column, n: Column) -> Column:
     return F.array(*out)
 
 
-def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """One row for each line that is long enough, without its text: where it is, its hashes and its half keys."""
+def occurrences(docs: DataFrame, min_chars: int, exact_chars: int) -> DataFrame:
+    """One row for each line of at least exact_chars, without its text: where it is, its hashes and, from min_chars on, its half keys."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    lines = lines.withColumn("line", _norm(F.col("raw"))).withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
+    lines = lines.withColumn("line", _norm(F.col("raw"))).withColumn("n", F.length("line")).filter(F.col("n") >= exact_chars)
     h1, h2 = _hash2(F.col("line"))
-    return lines.select(F.struct("doc_id", "text_hash", "line_no").alias("at"), h1.alias("h1"), h2.alias("h2"), "n", _half_keys(F.col("line"), F.col("n")).alias("halves"))
+    return lines.select(F.struct("doc_id", "text_hash", "line_no").alias("at"), h1.alias("h1"), h2.alias("h2"), "n", F.when(F.col("n") >= min_chars, _half_keys(F.col("line"), F.col("n"))).alias("halves"))
 
 
 def near_earlier(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -117,19 +117,23 @@ def near_earlier(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return verified.filter(F.levenshtein("line", "p_line", EDITS).between(0, EDITS)).select("h1", "h2").distinct()
 
 
-def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with the lines that stay as text, and n_lines, n_dropped under the names __loom_n_lines, __loom_n_dropped."""
-    found = occurrences(docs.select("doc_id", "text"), min_chars)
+def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
+    """docs with the lines that stay as text, and n_lines, n_dropped under the names __loom_n_lines, __loom_n_dropped.
+
+    exact_chars: characters from which equal lines go, at most min_chars, which stands for None.
+    """
+    exact_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
+    found = occurrences(docs.select("doc_id", "text"), min_chars, exact_chars)
     firsts = stored(found.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves")))
     release(docs.sparkSession)
-    late = near_earlier(docs.select("doc_id", "text"), firsts)
+    late = near_earlier(docs.select("doc_id", "text"), firsts.filter(F.col("n") >= min_chars))
     kept = firsts.select("h1", "h2", "at").join(late, ["h1", "h2"], "left_anti")
     kept = stored(kept.groupBy(F.col("at.doc_id").alias(f"{P}d"), F.col("at.text_hash").alias(f"{P}t")).agg(F.collect_list("at.line_no").alias(f"{P}kept")))
     release(docs.sparkSession)
     mine = docs.withColumn(f"{P}text_hash", F.xxhash64(docs["text"]))
     out = mine.join(kept, mine["doc_id"].eqNullSafe(kept[f"{P}d"]) & (mine[f"{P}text_hash"] == kept[f"{P}t"]), "left")
     lines = F.split(mine["text"], "\n")
-    stays = lambda x, i: (F.length(_norm(x)) < min_chars) | F.array_contains(F.coalesce(F.col(f"{P}kept"), F.array().cast("array<int>")), i)
+    stays = lambda x, i: (F.length(_norm(x)) < exact_chars) | F.array_contains(F.coalesce(F.col(f"{P}kept"), F.array().cast("array<int>")), i)
     left = F.filter(lines, stays)
     out = out.withColumn(f"{P}lines", lines).withColumn(f"{P}left", left)
     size = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(c)).cast("long")
