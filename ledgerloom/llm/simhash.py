@@ -3,18 +3,18 @@
 A fingerprint bit is the majority of that bit among the hashes of a document's word shingles. Documents link at few
 differing bits; a group is everything that links reach.
 
-Linking works on distinct fingerprints, each with its smallest doc_id, so copies of any number are one row. The 64 bits
-are cut into one block more than the bits that may differ: two linked fingerprints agree in a block, and meet where
+Linking works on distinct fingerprints, so copies of any number are one row. The 64 bits are cut into one block more than the bits that may differ: two linked fingerprints agree in a block, and meet where
 rows are dealt by (block, its value). A block value that holds very many fingerprints is dealt again by the blocks of its
 other bits, which is exact for the same reason. Within a block value, fingerprints are sorted by Gray rank and become
 the leaves of a tree: a node keeps the bits that all below it share, and where they are shared first. A search goes
 down with all queries at once and adds the differences in the bits that are new at each node; a node that passes the
-limit drops with everything below it. Only the links that connect a bucket's groups leave it: one for each member, to
-the smallest member of its group, never all pairs.
+limit drops with everything below it, and queries that find very much go down in smaller parts, so memory is bounded.
+What is found is united at once. Only the links that connect a bucket's groups leave it: one for each member, to the
+smallest member of its group, never all pairs.
 
 Defined cases: a null or empty text has fingerprint zero, and links as any other; fewer words than a shingle make one
-shingle; rows with one doc_id are one node if their fingerprints are equal and otherwise share their group; a null
-doc_id has a null group unless it links to others; an empty table gives no rows; other columns are ignored.
+shingle; rows with one doc_id share their group; a fingerprint whose rows all have a null doc_id links as any other, and
+its group is null only where no member has a doc_id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_rows, shuffle_partitions, stored
+from ledgerloom.llm.common import shuffle_partitions, stored
 from ledgerloom.llm.components import components
 
 BITS, DIFFER, SEED = 64, 3, 42
 #: Fingerprints of a block value above which it is dealt again by its other bits.
 HOT = 2048
-#: Children of a node, and queries that go down together.
-FAN, TOGETHER = 8, 4096
+#: Children of a node, queries that go down together, and pairs of query and node that do.
+FAN, TOGETHER, MOST = 8, 4096, 1 << 21
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 #: Hashes whose bits are counted at a time.
@@ -77,7 +77,6 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """doc_id and the fingerprint's bits as a long."""
-    arrow_rows(docs.sparkSession, 512)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id long, fp long")
 
 
@@ -103,17 +102,20 @@ class GrayTree:
             bits = bits[at] & mask
             self.levels.append((bits, mask))
 
-    def near(self, queries: np.ndarray, differ: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, member) places of all pairs with at most `differ` differing bits."""
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for lo in range(0, len(queries), TOGETHER):
-            q = queries[lo : lo + TOGETHER]
+    def near(self, queries: np.ndarray, differ: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, member) places of all pairs with at most `differ` differing bits, some at a time."""
+        waiting = [(lo, queries[lo : lo + TOGETHER]) for lo in range(0, len(queries), TOGETHER)][::-1]
+        while waiting:
+            lo, q = waiting.pop()
             bits, mask = self.levels[-1]
             who, node = np.divmod(np.arange(len(q) * len(bits)), len(bits))
             gone = np.bitwise_count((q[who] ^ bits[node]) & mask[node]).astype(np.int64)
             for level in range(len(self.levels) - 2, -1, -1):
                 left = gone <= differ
                 who, node, gone = who[left], node[left], gone[left]
+                if len(who) * FAN > MOST and len(q) > 1:
+                    waiting += [(lo + len(q) // 2, q[len(q) // 2 :]), (lo, q[: len(q) // 2])]
+                    break
                 above = self.levels[level + 1][1][node]
                 bits, mask = self.levels[level]
                 child = node[:, None] * FAN + np.arange(FAN)
@@ -121,30 +123,36 @@ class GrayTree:
                 who, above, gone = (np.repeat(x, FAN)[there.ravel()] for x in (who, above, gone))
                 node = child[there]
                 gone = gone + np.bitwise_count((q[who] ^ bits[node]) & mask[node] & ~above)
-            left = gone <= differ
-            found.append((who[left] + lo, self.order[node[left]]))
-        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+            else:
+                left = gone <= differ
+                yield who[left] + lo, self.order[node[left]]
 
 
-def spanning(fps: np.ndarray, reps: np.ndarray, differ: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rep, smallest rep of its group) for the members of a bucket's groups, itself left out.
+def _roots(parent: np.ndarray, at: np.ndarray) -> np.ndarray:
+    while True:
+        above = parent[at]
+        if np.array_equal(above, at):
+            return at
+        at = above
+
 
-    Groups settle by smallest label while the tree is searched, block by block, so pairs are not kept.
-    """
+def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Make the groups of each pair one in a forest of parents; a root is its group's smallest place."""
+    while len(a):
+        a, b = _roots(parent, a), _roots(parent, b)
+        apart = a != b
+        a, b = a[apart], b[apart]
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+
+
+def spanning(fps: np.ndarray, reps: np.ndarray, differ: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rep, smallest rep of its group) for the members of a bucket's groups, itself left out."""
     order = np.argsort(reps, kind="stable")
     fps, reps = fps[order], reps[order]
-    label = np.arange(len(fps))
-    tree = GrayTree(fps)
-    pairs = [tree.near(fps[i : i + TOGETHER], differ) for i in range(0, len(fps), TOGETHER)] if len(fps) <= TOGETHER else None
-    while True:
-        before = label.copy()
-        for k, i in enumerate(range(0, len(fps), TOGETHER)):
-            a, b = pairs[k] if pairs else tree.near(fps[i : i + TOGETHER], differ)
-            np.minimum.at(label, a + i, label[b])
-            np.minimum.at(label, b, label[a + i])
-        label = np.minimum(label, label[label])
-        if np.array_equal(before, label):
-            break
+    parent = np.arange(len(fps))
+    for a, b in GrayTree(fps).near(fps, differ):
+        unite(parent, a, b)
+    label = _roots(parent, parent)
     member = np.flatnonzero(label != np.arange(len(fps)))
     return reps[member], reps[label[member]]
 
@@ -197,7 +205,6 @@ def _value(fp: F.Column, bits: list[int]) -> F.Column:
 
 def links(distinct: DataFrame, differ: int = DIFFER) -> DataFrame:
     """Edges (u, v) between representatives that connect all fingerprints (fp, rep) with at most `differ` differing bits."""
-    arrow_rows(distinct.sparkSession, 10_000)
     fp, parts = F.col("fp"), differ + 1
     blocks = _blocks([*range(BITS)], parts)
     dealt = distinct.select("fp", "rep", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _value(fp, b).alias("value")) for k, b in enumerate(blocks)])).alias("at")).select("fp", "rep", "at.k", "at.value")
@@ -215,12 +222,13 @@ def links(distinct: DataFrame, differ: int = DIFFER) -> DataFrame:
 
 def groups(prints: DataFrame, differ: int = DIFFER) -> DataFrame:
     """(fp, component_id) for every distinct fingerprint of prints (doc_id, fp)."""
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    edges = links(distinct.filter("rep is not null"), differ)
-    shared = prints.filter("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b")  # one doc_id, several texts
-    twice = prints.join(shared.select("doc_id"), "doc_id").join(distinct, "fp").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    label = components(edges.union(twice))
-    return distinct.join(label, distinct["rep"] == label["node"], "left").select("fp", F.coalesce("label", "rep").alias("component_id"))
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    edges = links(distinct.select("fp", F.col("fp").alias("rep")), differ)
+    several = prints.filter("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b")  # one doc_id, several texts
+    same = prints.join(several.select("doc_id", "a"), "doc_id").select(F.col("fp").alias("u"), F.col("a").alias("v"))
+    label = components(edges.union(same))
+    named = distinct.join(label, distinct["fp"] == label["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+    return named.join(named.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, differ: int = DIFFER) -> DataFrame:
