@@ -22,7 +22,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_rows
 
 MARK = "▁"
 #: Entries of a worker's memory of counted chunks, and the longest chunk it keeps; it starts anew when full.
@@ -133,7 +132,6 @@ def count_tokens(docs: DataFrame, model: str | None = None, limit: int = 4096) -
     """doc_id, n_bytes, n_tokens, over_limit of every document. model: a piece model file with byte fallback."""
     import public_tokenizers
 
-    arrow_rows(docs.sparkSession, 512)
     model = model or public_tokenizers.path("piece_bpe_32k.model")
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(partial(_counted, model=model), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

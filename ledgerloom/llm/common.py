@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a longest run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Temporary folders of local sessions, by application.
+_OWN: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,39 +21,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by spark.checkpoint.dir. Only where that is unset and all runs on this machine (tests) a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(spark.sparkContext.applicationId)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = _OWN[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
     return root.rstrip("/")
 
 
-def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def stored(df: DataFrame, partitions: int | None = None, by: str | None = None) -> DataFrame:
     """df written as Parquet in the shared folder and read back: lineage is cut, a lost executor costs nothing.
 
-    The files' size then also tells the planner whether a join may broadcast this side.
+    The files' size then also tells the planner whether a join may broadcast this side. by: a column whose values get folders
+    of their own, so that a filter on it reads one of them.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/ledgerloom/{uuid.uuid4().hex}"
     schema = df.schema
-    (df.coalesce(partitions) if partitions else df).write.option("compression", "zstd").parquet(path)
+    writer = (df.coalesce(partitions) if partitions else df).write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(df: DataFrame, part: str = "") -> None:
+    """Delete the files that a stored() table is read from, or only those in folders whose path ends with `part`."""
+    spark = df.sparkSession
+    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        if "/ledgerloom/" in f and f.endswith(part):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished stages; useful after stored()."""
     spark.sparkContext._jvm.System.gc()
 
 
-def arrow_rows(spark: SparkSession, rows: int) -> None:
-    """Bound the rows of an Arrow batch, so that a run of very long texts fits a Python worker; never above the user's bound."""
-    key, own = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.ledgerloom.arrowRows"
-    users = spark.conf.get(own, None)
-    if users is None:
-        users = spark.conf.get(key)
-        spark.conf.set(own, users)
-    spark.conf.set(key, str(min(rows, int(users)) if int(users) > 0 else rows))
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Bound the rows and bytes of an Arrow batch while eager work runs, never above the user's bounds, which are back afterwards.
+
+    Plans that run later have the user's bounds; Spark's own one on bytes is 64 MB.
+    """
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    users = {key: spark.conf.get(key) for key in bounds}
+    for key, most in bounds.items():
+        own = int(users[key].rstrip("b"))
+        spark.conf.set(key, str(min(most, own) if own > 0 else most))
+    try:
+        yield
+    finally:
+        for key, own in users.items():
+            spark.conf.set(key, own)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import arrow_rows, doc_crc
+from ledgerloom.llm.common import doc_crc
 
 PROFILE = 400
 UNKNOWN = "und"
@@ -116,7 +116,6 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(labelled: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
     """Profiles of all languages from all labelled rows (text, lang): n-grams in order of rank."""
-    arrow_rows(labelled.sparkSession, 512)
     rows = labelled.filter("text is not null and lang is not null").select("text", "lang")
     counts = rows.mapInArrow(_learn, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
@@ -165,7 +164,6 @@ def teaches(doc_id: Column, folds: int = 3, held: int = 1) -> Column:
 
 def identify(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document, learned from the documents that are not held out."""
-    arrow_rows(docs.sparkSession, 512)
     profiles = learn(docs.filter(teaches(F.col("doc_id"))), size)
     judged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(partial(_judged, profiles=profiles, size=size), "doc_id long, lang_pred string, score double")
     return judged.select("doc_id", (~teaches(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")
@@ -173,7 +171,6 @@ def identify(docs: DataFrame, size: int = PROFILE) -> DataFrame:
 
 def with_language(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     """docs (all columns, whatever their names) with __loom_lang and __loom_score, in one pass over the text."""
-    arrow_rows(docs.sparkSession, 512)
     profiles = learn(docs.filter(teaches(F.col("doc_id"))), size)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_rows, shuffle_partitions
+from ledgerloom.llm.common import shuffle_partitions
 
 LENGTH = 1024
 BUCKETS, DIMS, BITS = 256, 4, 15
@@ -195,7 +195,6 @@ def _packed(batches: Iterator[pa.RecordBatch], length: int, vocabulary: str, end
 
 def along_curve(docs: DataFrame) -> DataFrame:
     """doc_id, text and curve_key, range-partitioned and sorted along the curve."""
-    arrow_rows(docs.sparkSession, 512)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_keyed, "doc_id long, text string, curve_key long")
     return keyed.repartitionByRange(shuffle_partitions(docs.sparkSession), "curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id", F.xxhash64("text"))
 

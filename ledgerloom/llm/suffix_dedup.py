@@ -5,21 +5,26 @@ windows have equal anchors. Consecutive windows with one anchor form a segment,
 anchor on (at most WINDOW bytes, with what is before the anchor as the tie) is what suffix arrays order: one suffix for
 about sixteen bytes of text instead of one a byte, and every window is in exactly one segment.
 
-A few MB of documents are a batch, packed once. First the batches send four bytes of each anchor's hash to the anchor's
-bucket, which answers with a bit for each: whether another has it. Only segments whose anchor is shared go on. A batch
-builds its suffix array of them, settles segments that are equal within it, and deals the array out by anchor. A bucket
-takes the arrays of its batches one by one into levels: a new array is a level of its own, and as long as the last level
-is at least as large as the one before, the two are merged in one scan. A scan settles whole segments (equal ones of
-later documents are removed and leave the index) and so keeps the first of any number of copies. After the last batch
-all levels merge, and the scan's common prefix lengths show where a shorter match of at least a window is possible; only
-those windows are compared, byte by byte. What is removed goes to the batches in packed runs.
-
-No text is sent to the driver, no pairs are made, and a passage that very many documents hold arrives at its bucket
-once for each batch, not once for each document.
+`SuffixFamily` keeps an index in the shared folder. Its levels are suffix arrays dealt to buckets by anchor, a Parquet
+folder each. `add(docs)` takes a batch of documents:
+
+1. A few MB of documents are a pack, written once with its segments. A pack sends four bytes of each distinct anchor's
+   hash to the anchor's bucket, which answers which of them another segment of the new or the older packs has. Only
+   segments with a shared anchor go on; those of older packs when their anchor is shared for the first time.
+2. A bucket merges what the packs send into the new batch's suffix array and settles segments that are equal as a whole:
+   those of later documents are removed and leave the index, so any number of copies is one entry.
+3. The new array is merge-scanned against every level for matches of a window at least. Within a merged order, runs of
+   a common prefix after the anchor and runs of a common ending before it tell equal windows, so none is compared twice.
+4. The array becomes a level of rank 0; as long as two levels have one rank they are merged to one of the next rank. So
+   a family of n batches has at most log2(n) + 1 levels, and an entry is rewritten as often at most.
+
+`removed()` joins what all scans found and cuts the documents. No text is sent to the driver and no pairs are made. An
+anchor that more than `HOT` packs have is dealt by 35 bytes, the anchor with 15 bytes after it or with 15 before, as
+each of its windows has one of the two; so a frequent string in ever new surroundings is spread.
 
 Defined cases: a null text is empty; texts shorter than a window keep everything; a string repeated within one document
-stays; rows with one doc_id are no earlier than each other; a null doc_id is before all others; an empty table gives no
-rows; other columns are ignored.
+stays; rows with one doc_id are no earlier than each other; a null doc_id is before all others; very long texts are
+worked through `CHUNK` bytes at a time; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,197 +36,275 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_rows, release, shuffle_partitions, stored
+from ledgerloom.llm.common import arrow_batches, discard, release, shuffle_partitions, stored
 
 WINDOW, ANCHOR = 50, 20
 #: Places of an anchor in a window, and the longest segment and what of it may stand before the anchor.
 PLACES = WINDOW - ANCHOR + 1
 LONGEST, BEFORE = WINDOW + PLACES - 1, PLACES - 1
-#: Bytes of text in a batch, bits of a row's place in it, and buckets of a shuffle partition.
-BATCH, PLACE_BITS, BUCKETS = 4 << 20, 20, 8
+#: Bytes of text in a pack, bits of a row's place in it, and buckets of a shuffle partition.
+PACK, PLACE_BITS, BUCKETS = 4 << 20, 20, 8
+#: Packs that have an anchor above which it is dealt with its surroundings, and the bytes of these.
+HOT, AROUND = 4096, BEFORE // 2
+#: Places that are hashed at a time, and entries that are made at a time.
+CHUNK, TOGETHER = 1 << 17, 1 << 18
+#: Bytes of an Arrow batch; the compression of entries, which are most of what is shuffled.
+BATCH, SQUEEZE = 8 << 20, 6
+#: Batches that the query's whole table is added in.
+PARTS = 2
 FIRST_ID = -(1 << 63)
 
 #: One row for each segment: the order (suffix, then what is before the anchor, reversed), lengths, and where it is.
 ENTRY = np.dtype([("key", f"S{LONGEST}"), ("right", "u1"), ("left", "u1"), ("doc", "<i8"), ("row", "<i8"), ("start", "<i8")])
-#: One row for each removed run of windows. A row number is the batch and the place in it.
+#: One row for each removed run of windows. A row number is the pack and the place in it.
 RUN = np.dtype([("row", "<i8"), ("start", "<i8"), ("n", "<i8")])
+_MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(29)
+    x = x ^ (x >> np.uint64(29))
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-def segments(docs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of documents (doc, row, bytes), unsorted, and a hash of each one's anchor."""
-    docs = [d for d in docs if len(d[2]) >= WINDOW]
-    if not docs:
-        return np.zeros(0, ENTRY), np.zeros(0, np.uint64)
-    lengths = np.array([len(d[2]) for d in docs])
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def _hashed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Hash of 20-byte strings: their two first 8 bytes and the last 4 as numbers."""
+    x = a * _MULTIPLIERS[0]
+    x += b * _MULTIPLIERS[1]
+    x += c.astype(np.uint64) * _MULTIPLIERS[2]
+    return _mixed(x)
+
+
+def _words(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parts of the 20-byte strings at each place; raw is ANCHOR bytes longer than n."""
+    return np.ndarray((n,), "<u8", raw, 0, (1,)), np.ndarray((n,), "<u8", raw, 8, (1,)), np.ndarray((n,), "<u4", raw, 16, (1,))
+
+
+def segments(raw: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of joined documents, in order: their first window's place, windows, and bytes before the anchor."""
+    n, ends = len(raw), np.cumsum(lengths)
+    begins = ends - lengths
+    out = []
+    words = _words(raw + bytes(2 * LONGEST), n + LONGEST)
+    fits = np.ones(n, bool)  # windows that stay inside their document
+    for a, z in zip(np.maximum(begins, ends - WINDOW + 1).tolist(), ends.tolist(), strict=True):
+        fits[a:z] = False
+    for lo in range(0, n, CHUNK):
+        inside = fits[lo : lo + CHUNK]
+        m = len(inside)
+        h = _hashed(*(w[lo : lo + m + PLACES - 1] for w in words))
+        least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
+        span = 1
+        while 2 * span <= PLACES:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        if span < PLACES:
+            least = np.minimum(least[: len(least) - (PLACES - span)], least[PLACES - span :])
+        anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        apart = np.ones(m + 1, bool)  # a segment ends before such a place
+        apart[1:m] = (anchor[1:] != anchor[:-1]) | ~inside[:-1] | ~inside[1:]
+        first = np.flatnonzero(inside & apart[:-1])
+        last = np.flatnonzero(inside & apart[1:])
+        out.append((first + lo, (last - first + 1).astype(np.uint8), (anchor[first] - first).astype(np.uint8)))
+    kinds = (np.int64, np.uint8, np.uint8)
+    return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, kinds[k]) for k in range(3))
+
+
+def anchor_hashes(raw: bytes, at: np.ndarray) -> np.ndarray:
+    """Hashes of the 20-byte strings at some places."""
+    return _hashed(*(w[at] for w in _words(raw + bytes(2 * LONGEST), len(raw))))
+
+
+def entries(raw: bytes, lengths: np.ndarray, docs: np.ndarray, rows: np.ndarray, first: np.ndarray, count: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Entries of some segments of joined documents (their lengths, doc_ids and row numbers), unsorted."""
     begins = np.cumsum(lengths) - lengths
-    n = int(lengths.sum())
-    raw = b"".join([d[2] for d in docs]) + bytes(2 * LONGEST)
-    eight = np.ndarray((n,), "<u8", raw, 0, (1,))
-    more = np.ndarray((n,), "<u8", raw, 8, (1,))
-    four = np.ndarray((n,), "<u4", raw, 16, (1,))
-    hashed = _mixed(eight ^ _mixed(more ^ _mixed(four.astype(np.uint64))))
-    least = (hashed & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
-    span = 1
-    while 2 * span <= PLACES:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    least = np.minimum(least[: len(least) - (PLACES - span)], least[PLACES - span :]) if span < PLACES else least
-    anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    anchor = np.append(anchor, np.full(n - len(anchor), -1, np.int64))
-    fits = np.ones(n + 1, bool)  # windows that stay inside their document
-    for at, length in zip((begins + lengths - WINDOW + 1).tolist(), (begins + lengths).tolist(), strict=True):
-        fits[at:length] = False
-    fits[n] = False
-    new = fits[:-1].copy()
-    new[1:] &= ~(fits[:-2] & (anchor[1:] == anchor[:-1]))
-    first = np.flatnonzero(new)
-    last_of = fits[:-1].copy()
-    last_of[:-1] &= ~(fits[1:-1] & (anchor[1:] == anchor[:-1]))
-    last = np.flatnonzero(last_of)
-    at = anchor[first]
-    left, right = at - first, last + WINDOW - at
-    whole = np.frombuffer(raw, np.uint8)
+    some = np.flatnonzero(lengths)
+    of = some[np.searchsorted(begins[some], first, side="right") - 1] if len(some) else np.zeros(0, np.int64)
     out = np.zeros(len(first), ENTRY)
-    key = np.zeros((len(first), LONGEST), np.uint8)
-    views = np.lib.stride_tricks.sliding_window_view(whole, WINDOW)
-    key[:, :WINDOW] = views[at]
-    key[:, :WINDOW][np.arange(WINDOW) >= right[:, None]] = 0
-    back = np.lib.stride_tricks.sliding_window_view(np.concatenate((np.zeros(BEFORE, np.uint8), whole)), BEFORE)
-    key[:, WINDOW:] = back[at][:, ::-1]
-    key[:, WINDOW:][np.arange(BEFORE) >= left[:, None]] = 0
+    right = count.astype(np.int64) - 1 + WINDOW - left
+    around = np.lib.stride_tricks.sliding_window_view(np.frombuffer(bytes(BEFORE) + raw + bytes(LONGEST), np.uint8), LONGEST)[first + left]
+    key = np.empty((len(first), LONGEST), np.uint8)
+    key[:, :WINDOW] = np.where(np.arange(WINDOW) < right[:, None], around[:, BEFORE:], 0)
+    key[:, WINDOW:] = np.where(np.arange(BEFORE) < left[:, None], around[:, :BEFORE][:, ::-1], 0)
     out["key"] = key.view(f"S{LONGEST}").ravel()
-    of = np.searchsorted(begins, first, side="right") - 1
     out["right"], out["left"], out["start"] = right, left, first - begins[of]
-    out["doc"] = np.array([d[0] for d in docs])[of]
-    out["row"] = np.array([d[1] for d in docs])[of]
-    return out, hashed[at]
+    out["doc"], out["row"] = docs[of], rows[of]
+    return out
 
 
 def _bytes(key: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(key).view(np.uint8).reshape(len(key), width)
 
 
-def settle(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of sorted entries, those of each segment's smallest document, and the runs of the others."""
-    if len(entries) < 2:
-        return entries, np.zeros(0, RUN)
-    same = (entries["key"][1:] == entries["key"][:-1]) & (entries["right"][1:] == entries["right"][:-1]) & (entries["left"][1:] == entries["left"][:-1])
-    starts = np.flatnonzero(np.concatenate(([True], ~same)))
-    least = np.repeat(np.minimum.reduceat(entries["doc"], starts), np.diff(np.append(starts, len(entries))))
-    late = entries["doc"] > least
-    gone = entries[late]
+def settle(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted entries, which are equal as a whole to one of an earlier document, and the runs of these."""
+    late = np.zeros(len(e), bool)
+    if len(e) > 1:
+        same = (e["key"][1:] == e["key"][:-1]) & (e["right"][1:] == e["right"][:-1]) & (e["left"][1:] == e["left"][:-1])
+        starts = np.flatnonzero(np.concatenate(([True], ~same)))
+        late = e["doc"] > np.repeat(np.minimum.reduceat(e["doc"], starts), np.diff(np.append(starts, len(e))))
+    gone = e[late]
     runs = np.zeros(len(gone), RUN)
     runs["row"], runs["start"] = gone["row"], gone["start"]
     runs["n"] = gone["left"].astype(np.int64) + gone["right"] - WINDOW + 1
-    return entries[~late], runs
+    return late, runs
 
 
-def ordered(entries: np.ndarray) -> np.ndarray:
-    """Entries in suffix order; equal keys by their lengths. Sorted runs in the input are merged, not sorted anew."""
-    entries = entries[np.argsort(entries["key"], kind="stable")]
-    same = entries["key"][1:] == entries["key"][:-1]
+def order(e: np.ndarray) -> np.ndarray:
+    """The suffix order of entries; equal keys by their lengths. Sorted runs in the input are merged, not sorted anew."""
+    at = np.argsort(e["key"], kind="stable")
+    same = e["key"][at[1:]] == e["key"][at[:-1]]
     if same.any():  # within equal keys
         group = np.cumsum(np.concatenate(([0], ~same)))
-        twin = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        at = np.flatnonzero(twin)
-        entries[at] = entries[at[np.lexsort((entries["left"][at], entries["right"][at], group[at]))]]
-    return entries
+        twin = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))
+        some = at[twin]
+        at[twin] = some[np.lexsort((e["left"][some], e["right"][some], group[twin]))]
+    return at
+
+
+def merged(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One suffix array of several, without entries that are equal to an earlier document's, and these entries' runs."""
+    e = np.concatenate(arrays) if arrays else np.zeros(0, ENTRY)
+    e = e[order(e)]
+    late, runs = settle(e)
+    return e[~late], runs
+
+
+def _common(x: np.ndarray) -> np.ndarray:
+    """Length of the common beginning of each row of bytes and the one before; 0 at the first."""
+    out = np.zeros(len(x), np.int64)
+    for i in range(1, len(x), 1 << 16):
+        part = x[i - 1 : i + (1 << 16)]
+        apart = part[1:] != part[:-1]
+        out[i : i + len(apart)] = np.where(apart.any(axis=1), apart.argmax(axis=1), x.shape[1])
+    return out
+
+
+def scan(e: np.ndarray) -> np.ndarray:
+    """Runs of removed windows of sorted entries that share a window with an earlier document's entry.
+
+    A window with `a` bytes before the anchor equals another if both agree in 50 - a bytes from the anchor on, which in
+    suffix order are runs of such a common prefix, and in a bytes before it, which are runs in the order of the anchor
+    and what is before it. A window's class is its pair of runs.
+    """
+    if len(e) < 2:
+        return np.zeros(0, RUN)
+    key = _bytes(e["key"], LONGEST)
+    after = _common(key[:, :WINDOW])
+    back = np.ascontiguousarray(np.concatenate((key[:, :ANCHOR], key[:, WINDOW:]), axis=1))
+    by_back = np.argsort(back.view(f"S{ANCHOR + BEFORE}").ravel(), kind="stable")
+    before = _common(back[by_back]) - ANCHOR  # below 0: another anchor
+    best = lambda c: np.maximum(c, np.append(c[1:], -ANCHOR))
+    low = WINDOW - np.minimum(best(after), e["right"])
+    high = np.empty(len(e), np.int64)
+    high[by_back] = best(before)
+    high = np.minimum(high, e["left"])
+    out = []
+    back_run = np.empty(len(e), np.int64)
+    for a in range(PLACES):
+        some = np.flatnonzero((low <= a) & (a <= high))
+        if len(some) < 2:
+            continue
+        back_run[by_back] = np.cumsum(before < a)
+        group = np.cumsum(after < WINDOW - a)[some] * (len(e) + 1) + back_run[some]
+        at = np.argsort(group)
+        group, doc = group[at], e["doc"][some[at]]
+        starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        who = some[at[doc > np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.append(starts, len(doc))))]]
+        runs = np.zeros(len(who), RUN)
+        runs["row"], runs["start"], runs["n"] = e["row"][who], e["start"][who] + e["left"][who] - a, 1
+        out.append(runs)
+    return joined(np.concatenate(out)) if out else np.zeros(0, RUN)
+
+
+def scan_against(new: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a new suffix array and a level: which entries leave each, and the runs that both together remove."""
+    gone_new, gone_level = np.zeros(len(new), bool), np.zeros(len(level), bool)
+    start = lambda e: _bytes(e["key"], LONGEST)[:, :8].copy().view(">u8").ravel().astype(np.uint64)
+    a, b = start(new), start(level)
+    if not len(a) or not len(b):
+        return gone_new, gone_level, np.zeros(0, RUN)
+    meets = lambda x, y: y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+    mine, theirs = np.flatnonzero(meets(a, b)), np.flatnonzero(meets(b, a))
+    both = np.concatenate((new[mine], level[theirs]))
+    at = order(both)
+    late, runs = settle(both[at])
+    gone = at[late]
+    gone_new[mine[gone[gone < len(mine)]]] = True
+    gone_level[theirs[gone[gone >= len(mine)] - len(mine)]] = True
+    return gone_new, gone_level, np.concatenate((runs, scan(both[at][~late])))
+
+
+def joined(runs: np.ndarray) -> np.ndarray:
+    """Runs of windows in order, those that touch made one."""
+    if len(runs) < 2:
+        return runs
+    runs = runs[np.lexsort((runs["start"], runs["row"]))]
+    end = runs["start"] + runs["n"]
+    new_row = np.concatenate(([True], runs["row"][1:] != runs["row"][:-1]))
+    # the furthest end so far within a row: ends are lifted by a step for each row, so one running maximum does for all
+    lift = (np.cumsum(new_row) - 1) * (int(end.max()) + 1)
+    reach = np.maximum.accumulate(end + lift) - lift
+    starts = np.flatnonzero(new_row | np.concatenate(([True], runs["start"][1:] > reach[:-1])))
+    out = runs[starts]
+    out["n"] = reach[np.append(starts[1:], len(runs)) - 1] - out["start"]
+    return out
 
 
-class Levels:
-    """The index of one bucket: suffix arrays of geometrically growing size."""
+class NewArray:
+    """The new batch's suffix array in one bucket; what the packs send is merged in geometrically growing runs."""
 
     def __init__(self) -> None:
-        self.levels: list[np.ndarray] = []
+        self.arrays: list[np.ndarray] = []
         self.runs: list[np.ndarray] = []
 
     def _merge(self) -> None:
-        b, a = self.levels.pop(), self.levels.pop()
-        kept, runs = settle(ordered(np.concatenate((a, b))))
-        self.levels.append(kept)
+        b, a = self.arrays.pop(), self.arrays.pop()
+        e, runs = merged([a, b])
+        self.arrays.append(e)
         self.runs.append(runs)
 
-    def add(self, batch: np.ndarray) -> None:
-        self.levels.append(batch)
-        while len(self.levels) > 1 and len(self.levels[-1]) >= len(self.levels[-2]):
+    def add(self, array: np.ndarray) -> None:
+        self.arrays.append(array)
+        while len(self.arrays) > 1 and len(self.arrays[-1]) >= len(self.arrays[-2]):
             self._merge()
 
     def finish(self) -> np.ndarray:
-        """All removed runs."""
-        while len(self.levels) > 1:
+        while len(self.arrays) > 1:
             self._merge()
-        if self.levels and len(self.levels[0]) > 1:
-            self.runs.append(self._windows(self.levels[0]))
-        return np.concatenate(self.runs) if self.runs else np.zeros(0, RUN)
-
-    @staticmethod
-    def _windows(e: np.ndarray) -> np.ndarray:
-        """Removed windows of segments that are not equal as a whole but share one with another."""
-        suffix = _bytes(e["key"], LONGEST)[:, :WINDOW]
-        common = np.empty(len(e) - 1, np.int64)
-        for i in range(0, len(common), 1 << 16):
-            apart = suffix[i : min(i + (1 << 16), len(common)) + 1]
-            apart = apart[1:] != apart[:-1]
-            common[i : i + len(apart)] = np.where(apart.any(axis=1), apart.argmax(axis=1), WINDOW)
-        best = np.minimum(np.maximum(np.append(common, 0), np.insert(common, 0, 0)), e["right"])
-        # windows with `a` bytes before the anchor, WINDOW - best <= a <= left
-        low, high = WINDOW - best, e["left"].astype(np.int64)
-        some = np.flatnonzero(high >= low)
-        if not len(some):
-            return np.zeros(0, RUN)
-        count = (high - low + 1)[some]
-        who = np.repeat(some, count)
-        a = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[some], count)
-        key = _bytes(e["key"][some], LONGEST)
-        forward = np.concatenate((key[:, WINDOW:][:, ::-1], key[:, :WINDOW]), axis=1)  # before the anchor, then after
-        views = np.lib.stride_tricks.sliding_window_view(forward, WINDOW, axis=1)
-        place = np.repeat(np.arange(len(some)), count)
-        windows = np.ascontiguousarray(views[place, BEFORE - a]).view(f"S{WINDOW}").ravel()
-        order = np.argsort(windows, kind="stable")
-        windows, who, a = windows[order], who[order], a[order]
-        starts = np.flatnonzero(np.concatenate(([True], windows[1:] != windows[:-1])))
-        doc = e["doc"][who]
-        late = doc > np.repeat(np.minimum.reduceat(doc, starts), np.diff(np.append(starts, len(doc))))
-        out = np.zeros(int(late.sum()), RUN)
-        who, a = who[late], a[late]
-        out["row"] = e["row"][who]
-        out["start"], out["n"] = e["start"][who] + e["left"][who] - a, 1
-        return joined(out)
+        return self.arrays[0] if self.arrays else np.zeros(0, ENTRY)
 
 
-def joined(runs: np.ndarray) -> np.ndarray:
-    """Runs of windows in order, those that touch made one."""
-    if len(runs) < 2:
-        return runs
-    runs = runs[np.lexsort((runs["start"], runs["row"]))]
-    touch = (runs["row"][1:] == runs["row"][:-1]) & (runs["start"][1:] <= runs["start"][:-1] + runs["n"][:-1])
-    starts = np.flatnonzero(np.concatenate(([True], ~touch)))
-    out = runs[starts]
-    out["n"] = np.maximum.reduceat(runs["start"] + runs["n"], starts) - out["start"]
-    return out
+def extend(new: np.ndarray, levels: list[tuple[int, np.ndarray]], merge: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The new array scanned against levels (rank, array): what replaces it and the levels of rank below `merge`, and runs."""
+    runs = [scan(new)]
+    gone = np.zeros(len(new), bool)
+    left = []
+    for rank, level in levels:
+        late, gone_level, found = scan_against(new, level)
+        gone |= late
+        runs.append(found)
+        if rank < merge:
+            left.append(level[~gone_level])
+    e, more = merged([new[~gone], *left]) if left else (new[~gone], np.zeros(0, RUN))
+    return e, [*runs, more]
 
 
 def _columns(rows: np.ndarray) -> bytes:
-    return b"".join(np.ascontiguousarray(rows[c]).tobytes() for c in rows.dtype.names)
+    """Column by column; numbers by the place of their bytes, as the high ones hardly differ."""
+    return b"".join(np.ascontiguousarray(rows[c]).tobytes() if rows.dtype[c].kind == "S" else _bytes(rows[c], rows.dtype[c].itemsize).T.tobytes() for c in rows.dtype.names)
 
 
-def _by_batch(runs: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(batch, packed runs) of joined runs."""
-    batch = runs["row"] >> PLACE_BITS
-    starts = np.flatnonzero(np.concatenate(([True], batch[1:] != batch[:-1]))) if len(runs) else np.zeros(0, int)
+def _by_pack(runs: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(pack, packed runs) of joined runs."""
+    pack = runs["row"] >> PLACE_BITS
     z = zstandard.ZstdCompressor(level=1)
-    for a, b in zip(starts, np.append(starts[1:], len(runs)), strict=True) if len(runs) else ():
-        yield int(batch[a]), z.compress(_columns(runs[a:b]))
+    for k, a, b in _parts(pack):
+        yield k, z.compress(_columns(runs[a:b]))
 
 
 def _unpacked(value: bytes, kind: np.dtype) -> np.ndarray:
@@ -229,158 +312,232 @@ def _unpacked(value: bytes, kind: np.dtype) -> np.ndarray:
     n = len(raw) // kind.itemsize
     out, at = np.zeros(n, kind), 0
     for c in kind.names:
-        out[c] = np.frombuffer(raw, kind[c], n, at)
-        at += n * kind[c].itemsize
+        width = kind[c].itemsize
+        if kind[c].kind == "S":
+            out[c] = np.frombuffer(raw, kind[c], n, at)
+        else:
+            out[c] = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T).view(kind[c]).ravel()
+        at += n * width
     return out
 
 
-def _sent(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*zip(*rows, strict=True)] or [[]] * len(names), kinds, strict=True)], names=names)
+def _sent(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*zip(*rows, strict=True)] or [[]] * len(schema), schema.types, strict=True)], schema=schema)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents (doc_id, raw) -> (batch, value): the documents of a batch in one compressed value."""
-    base, made = TaskContext.get().partitionId() << 20, 0
-    z = zstandard.ZstdCompressor(level=3)
+def _parts(sorted_keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(key, from, to) of a sorted array."""
+    if len(sorted_keys):
+        starts = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
+        yield from zip(sorted_keys[starts].tolist(), starts.tolist(), np.append(starts[1:], len(sorted_keys)).tolist(), strict=True)
+
+
+class Pack:
+    """Some documents and their segments as one compressed value."""
+
+    def __init__(self, pack: int, value: bytes):
+        raw = memoryview(zstandard.ZstdDecompressor().decompress(value))
+        n, m, size = np.frombuffer(raw, "<i8", 3).tolist()
+        at = 24
+        self.known = np.frombuffer(raw, np.uint8, n, at).astype(bool)
+        self.ids = np.frombuffer(raw, "<i8", n, at + n)
+        self.lengths = np.frombuffer(raw, "<i8", n, at + 9 * n)
+        at += 17 * n
+        self.raw = bytes(raw[at : at + size])
+        self.count, self.left = np.frombuffer(raw, np.uint8, m, at + size), np.frombuffer(raw, np.uint8, m, at + size + m)
+        self.rows = (pack << PLACE_BITS) + np.arange(n)
+
+    @staticmethod
+    def value(held: list[tuple[int | None, bytes]], raw: bytes, lengths: np.ndarray, count: np.ndarray, left: np.ndarray) -> bytes:
+        known = np.array([d is not None for d, _ in held], np.uint8)
+        ids = np.array([FIRST_ID if d is None else d for d, _ in held], "<i8")
+        head = np.array([len(held), len(count), len(raw)], "<i8")
+        return zstandard.ZstdCompressor(level=3).compress(b"".join([head.tobytes(), known.tobytes(), ids.tobytes(), lengths.astype("<i8").tobytes(), raw, count.tobytes(), left.tobytes()]))
+
+    def firsts(self) -> np.ndarray:
+        """The places of the segments' first windows: a document's segments hold its windows without a gap."""
+        windows = np.maximum(self.lengths - WINDOW + 1, 0)
+        upto, begins = np.cumsum(windows), np.cumsum(self.lengths) - self.lengths
+        number = np.cumsum(self.count.astype(np.int64)) - self.count
+        of = np.searchsorted(upto, number, side="right")
+        return begins[of] + number - (upto[of] - windows[of])
+
+    def documents(self) -> Iterator[tuple[int | None, int, bytes]]:
+        at = 0
+        for known, d, row, n in zip(self.known.tolist(), self.ids.tolist(), self.rows.tolist(), self.lengths.tolist(), strict=True):
+            yield d if known else None, row, self.raw[at : at + n]
+            at += n
+
+
+def _codes(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of an anchor, and four bytes of its hash: the high bits are small in every least hash."""
+    return ((_mixed(anchor) % np.uint64(buckets)) << np.uint64(32)) | (anchor >> np.uint64(20) & np.uint64(0xFFFFFFFF))
+
+
+def _packs(batches: Iterator[pa.RecordBatch], add: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Documents (doc_id, raw) -> (pack, asks, value, hashes): a row with the pack's value, and one with what it asks.
+
+    That is, for each bucket, the hashes of its anchors, and a bit for those that come again.
+    """
+    schema = pa.schema([("pack", pa.int64()), ("asks", pa.bool_()), ("value", pa.binary()), ("hashes", pa.list_(pa.struct([("bucket", pa.int64()), ("hashes", pa.binary())])))])
+    base, made = (add << 34) | (TaskContext.get().partitionId() << 14), 0
     held, size = [], 0
 
     def send() -> pa.RecordBatch:
         nonlocal held, size, made
-        known = np.array([d is not None for d, _ in held], np.uint8)
-        ids = np.array([0 if d is None else d for d, _ in held], "<i8")
-        lengths = np.array([len(r) for _, r in held], "<i8")
-        value = z.compress(b"".join([np.int64(len(held)).tobytes(), known.tobytes(), ids.tobytes(), lengths.tobytes(), *(r for _, r in held)]))
-        batch = base + made
+        raw, lengths = b"".join([r for _, r in held]), np.array([len(r) for _, r in held], np.int64)
+        first, count, left = segments(raw, lengths)
+        code, n = np.unique(_codes(anchor_hashes(raw, first + left), buckets), return_counts=True)
+        hashes = [{"bucket": k, "hashes": code[a:z].astype("<u4").tobytes() + np.packbits(n[a:z] > 1).tobytes()} for k, a, z in _parts(code >> np.uint64(32))]
+        rows = [(base + made, False, Pack.value(held, raw, lengths, count, left), None), (base + made, True, None, hashes)]
         made, held, size = made + 1, [], 0
-        return _sent([(batch, value)], ["batch", "value"], [pa.int64(), pa.binary()])
+        return _sent(rows, schema)
 
     for b in batches:
         for doc_id, raw in zip(b.column("doc_id").to_pylist(), b.column("raw").to_pylist(), strict=True):
             held.append((doc_id, raw))
             size += len(raw)
-            if size >= BATCH or len(held) == (1 << PLACE_BITS) - 1:
+            if size >= PACK or len(held) == (1 << PLACE_BITS) - 1:
                 yield send()
     if held:
         yield send()
 
 
-def _documents(batch: int, value: bytes) -> list[tuple[int | None, int, int, bytes]]:
-    """(doc_id, order, row number, bytes) of a batch."""
-    raw = zstandard.ZstdDecompressor().decompress(value)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    known = np.frombuffer(raw, np.uint8, n, 8).tolist()
-    ids, lengths = np.frombuffer(raw, "<i8", n, 8 + n).tolist(), np.frombuffer(raw, "<i8", n, 8 + 9 * n).tolist()
-    out, at = [], 8 + 17 * n
-    for i, (k, d, length) in enumerate(zip(known, ids, lengths, strict=True)):
-        out.append((d if k else None, d if k else FIRST_ID, (batch << PLACE_BITS) + i, raw[at : at + length]))
-        at += length
-    return out
-
-
-def _batch_segments(batch: int, value: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries of a batch by bucket, each bucket's in the order of the text; their buckets, and their anchors' hashes."""
-    entries, anchor = segments([d[1:] for d in _documents(batch, value)])
-    bucket = (_mixed(anchor) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    return entries[order], bucket[order], anchor[order]
-
+def _answers(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, pack, old, hashes) sorted by bucket -> (pack, bucket, flags): for each hash whether to send it, and whether it is hot.
 
-def _parts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(bucket, from, to) of a sorted array."""
-    if len(bucket):
-        starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        yield from zip(bucket[starts].tolist(), starts.tolist(), np.append(starts[1:], len(bucket)).tolist(), strict=True)
-
-
-def _hashes(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """(batch, value) -> (bucket, batch, hashes): four bytes of each anchor's hash."""
-    for b in batches:
-        for batch, value in zip(b.column("batch").to_pylist(), b.column("value").to_pylist(), strict=True):
-            _, bucket, anchor = _batch_segments(batch, value, buckets)
-            short = (anchor >> np.uint64(20)).astype("<u4")  # the high bits are small in every least hash
-            yield _sent([(k, batch, short[a:z].tobytes()) for k, a, z in _parts(bucket)], ["bucket", "batch", "hashes"], [pa.int64(), pa.int64(), pa.binary()])
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, batch, hashes) sorted by bucket -> (batch, bucket, flags): a bit for each hash that another equals."""
-    names, kinds = ["batch", "bucket", "flags"], [pa.int64(), pa.int64(), pa.binary()]
+    A hash of a new pack is sent if any other segment has it, that of an older pack if none had it before, and again
+    when it becomes hot. Different anchors with equal hashes are sent needlessly, no more.
+    """
+    schema = pa.schema([("pack", pa.int64()), ("bucket", pa.int64()), ("flags", pa.binary())])
     now, held = None, []
 
     def done() -> list[tuple]:
-        if not held:
+        if not any(not old for _, old, _, _ in held):
             return []
-        all_ = np.sort(np.concatenate([h for _, h in held]))
-        twice = np.unique(all_[1:][all_[1:] == all_[:-1]])
-        return [(batch, now, np.packbits(np.isin(h, twice)).tobytes()) for batch, h in held]
+        h, sizes = np.concatenate([x for _, _, x, _ in held]), [len(x) for _, _, x, _ in held]
+        old, again = np.repeat([o for _, o, _, _ in held], sizes), np.concatenate([x for _, _, _, x in held])
+        at = np.argsort(h, kind="stable")
+        starts = np.flatnonzero(np.concatenate(([True], h[at[1:]] != h[at[:-1]])))
+        total = lambda x: np.add.reduceat(x[at].astype(np.int64), starts)
+        packs, packs_old = total(np.ones(len(h))), total(old)
+        shared, shared_old = packs + total(again) > 1, packs_old + total(again & old) > 1
+        is_hot, was_hot = packs > hot, packs_old > hot
+        every = lambda x: np.repeat(x, np.diff(np.append(starts, len(h))))
+        send, heat = np.empty(len(h), bool), np.empty(len(h), bool)
+        send[at] = every(shared) & ~(old[at] & every(shared_old & ~(is_hot & ~was_hot)))
+        heat[at] = every(is_hot)
+        rows, a = [], 0
+        for (pack, _, _, _), n in zip(held, sizes, strict=True):
+            if send[a : a + n].any():
+                rows.append((pack, now, np.packbits(send[a : a + n]).tobytes() + np.packbits(heat[a : a + n]).tobytes()))
+            a += n
+        return rows
 
     for b in batches:
         rows = []
-        for bucket, batch, hashes in zip(*(b.column(c).to_pylist() for c in ("bucket", "batch", "hashes")), strict=True):
+        for bucket, pack, old, hashes in zip(*(b.column(c).to_pylist() for c in ("bucket", "pack", "old", "hashes")), strict=True):
             if bucket != now:
                 rows += done()
                 now, held = bucket, []
-            held.append((batch, np.frombuffer(hashes, "<u4")))
-        yield _sent(rows, names, kinds)
-    yield _sent(done(), names, kinds)
+            n = 8 * len(hashes) // 33  # 4 bytes and a bit each
+            held.append((pack, old, np.frombuffer(hashes, "<u4", n), np.unpackbits(np.frombuffer(hashes, np.uint8, -1, 4 * n), count=n).astype(bool)))
+        yield _sent(rows, schema)
+    yield _sent(done(), schema)
+
+
+def _around(e: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places among hot entries and their buckets, by the anchor and what follows, and by the anchor and what precedes."""
+    key = _bytes(e["key"], LONGEST)
+    out = []
+    for tail, enough in ((key[:, ANCHOR : ANCHOR + AROUND], e["right"] >= ANCHOR + AROUND), (key[:, WINDOW : WINDOW + AROUND], e["left"] >= AROUND)):
+        words = np.concatenate((key[:, :ANCHOR], tail, np.zeros((len(e), 5), np.uint8)), axis=1).view("<u8")
+        h = np.full(len(e), len(out), np.uint64)
+        for k in range(words.shape[1]):
+            h = _mixed(h * _MULTIPLIERS[0] + words[:, k])
+        some = np.flatnonzero(enough)
+        out.append((some, (h[some] % np.uint64(buckets)).astype(np.int64)))
+    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
+
+def _entries(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(pack, value, answers) -> (key, kind, value): sorted entries by bucket; settled runs by pack."""
+    schema = pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("value", pa.binary())])
+    z = zstandard.ZstdCompressor(level=SQUEEZE)
+    for b in batches:
+        for pack, value, answers in zip(*(b.column(c).to_pylist() for c in ("pack", "value", "answers")), strict=True):
+            p = Pack(pack, value)
+            first, docs = p.firsts(), p.ids
+            anchor = anchor_hashes(p.raw, first + p.left)
+            code, which = np.unique(_codes(anchor, buckets), return_inverse=True)
+            flags = {a["bucket"]: a["flags"] for a in answers}
+            send, heat = np.zeros(len(code), bool), np.zeros(len(code), bool)
+            for k, a, e in _parts(code >> np.uint64(32)):
+                if k in flags:
+                    bits = np.frombuffer(flags[k], np.uint8)
+                    send[a:e], heat[a:e] = (np.unpackbits(x, count=e - a).astype(bool) for x in np.split(bits, 2))
+            bucket = (code >> np.uint64(32)).astype(np.int64)
+            some = np.flatnonzero(send[which])
+            for i in range(0, len(some), TOGETHER):
+                at = some[i : i + TOGETHER]
+                made = entries(p.raw, p.lengths, docs, p.rows, first[at], p.count[at], p.left[at])
+                to, hot = bucket[which[at]], heat[which[at]]
+                if hot.any():
+                    place, into = _around(made[hot], buckets)
+                    made, to = np.concatenate((made[~hot], made[hot][place])), np.concatenate((to[~hot], into))
+                by = np.argsort(to, kind="stable")
+                made, rows, gone = made[by], [], []
+                for k, a, e in _parts(to[by]):
+                    kept, runs = merged([made[a:e]])
+                    rows.append((k, 2, z.compress(_columns(kept))))
+                    gone.append(runs)
+                rows += [(k, 0, v) for k, v in _by_pack(joined(np.concatenate(gone)))]
+                yield _sent(rows, schema)
+
+
+def _extended(batches: Iterator[pa.RecordBatch], merge: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """(key, kind, value, rank) sorted by kind of content and key -> (level, key, value): the bucket's new level, and runs by pack.
+
+    Kinds: 0 settled runs, which pass, 1 a bucket's levels, 2 the arrays of the new packs.
+    """
+    schema = pa.schema([("level", pa.bool_()), ("key", pa.int64()), ("value", pa.binary())])
+    z = zstandard.ZstdCompressor(level=3)
+    now, levels, new = None, [], NewArray()
 
+    def done() -> list[tuple]:
+        e, runs = extend(new.finish(), levels, merge)
+        rows = [(False, k, v) for k, v in _by_pack(joined(np.concatenate([*new.runs, *runs])))]
+        return rows if last or now is None or not len(e) else [*rows, (True, now, z.compress(_columns(e)))]
 
-def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """A batch's documents, then its flags by bucket -> (key, settled, value): sorted entries by bucket; settled runs by batch."""
-    z = zstandard.ZstdCompressor(level=3)
-    parts: dict[int, tuple[int, int]] = {}
-    entries = None
     for b in batches:
         rows = []
-        for batch, bucket, value in zip(*(b.column(c).to_pylist() for c in ("batch", "bucket", "value")), strict=True):
-            if bucket is None:
-                entries, places, _ = _batch_segments(batch, value, buckets)
-                parts = {k: (a, e) for k, a, e in _parts(places)}
-                continue
-            a, e = parts[bucket]
-            some = np.unpackbits(np.frombuffer(value, np.uint8), count=e - a).astype(bool)
-            if some.any():
-                kept, runs = settle(ordered(entries[a:e][some]))
-                rows.append((bucket, False, z.compress(_columns(kept))))
-                rows += [(k, True, v) for k, v in _by_batch(joined(runs))]
-        yield _sent(rows, ["key", "settled", "value"], [pa.int64(), pa.bool_(), pa.binary()])
-
-
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, settled, value) sorted by settled and key -> (batch, value): packed runs."""
-    names, kinds = ["batch", "value"], [pa.int64(), pa.binary()]
-    levels, now = Levels(), None
-    for b in batches:
-        rows = []
-        for key, settled, value in zip(*(b.column(c).to_pylist() for c in ("key", "settled", "value")), strict=True):
-            if settled:
-                rows.append((key, value))
+        for key, kind, value, rank in zip(*(b.column(c).to_pylist() for c in ("key", "kind", "value", "rank")), strict=True):
+            if kind == 0:
+                rows.append((False, key, value))
                 continue
             if key != now:
-                rows += _by_batch(joined(levels.finish()))
-                levels, now = Levels(), key
-            levels.add(_unpacked(value, ENTRY))
-        yield _sent(rows, names, kinds)
-    yield _sent([*_by_batch(joined(levels.finish()))], names, kinds)
+                rows += done()
+                now, levels, new = key, [], NewArray()
+            if kind == 1:
+                levels.append((rank, _unpacked(value, ENTRY)))
+            else:
+                new.add(_unpacked(value, ENTRY))
+        yield _sent(rows, schema)
+    yield _sent(done(), schema)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A batch's runs, then its documents -> the documents with their removed spans."""
-    now, parts = None, []
-    spans_kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+    """(pack, value, runs) -> the pack's documents with their removed spans."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), ("kept", pa.binary())])
     for b in batches:
-        for batch, last, value in zip(*(b.column(c).to_pylist() for c in ("batch", "last", "value")), strict=True):
-            if batch != now:
-                now, parts = batch, []
-            if not last:
-                parts.append(_unpacked(value, RUN))
-                continue
-            runs = np.concatenate(parts) if parts else np.zeros(0, RUN)
+        for pack, value, parts in zip(*(b.column(c).to_pylist() for c in ("pack", "value", "runs")), strict=True):
+            runs = np.concatenate([_unpacked(x, RUN) for x in parts or []] or [np.zeros(0, RUN)])
             runs["n"] += WINDOW - 1  # bytes now
             found: dict[int, list[tuple[int, int]]] = {}
             for row, start, n in joined(runs).tolist():
                 found.setdefault(row, []).append((start, n))
             rows = []
-            for doc_id, _, row, raw in _documents(batch, value):
+            for doc_id, row, raw in Pack(pack, value).documents():
                 spans = found.get(row, [])
                 kept, at = [], 0
                 for s, n in spans:
@@ -388,26 +545,76 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = s + n
                 kept.append(raw[at:])
                 rows.append((doc_id, len(raw), [{"start": s, "length": n} for s, n in spans], b"".join(kept)))
-            yield _sent(rows, ["doc_id", "n_bytes", "spans", "kept"], [pa.int64(), pa.int64(), spans_kind, pa.binary()])
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, spans (removed, as array of start and length in bytes), kept (the bytes that stay)."""
-    spark = docs.sparkSession
-    n = shuffle_partitions(spark)
-    buckets = n * BUCKETS
-    arrow_rows(spark, 512)
-    raw = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
-    packed = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("raw")).mapInArrow(_pack, "batch long, value binary"))
-    arrow_rows(spark, 4)  # rows are MB now
-    sent = packed.mapInArrow(partial(_hashes, buckets=buckets), "bucket long, batch long, hashes binary")
-    flags = stored(sent.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "batch long, bucket long, flags binary"))
-    release(spark)
-    asked = packed.select("batch", F.lit(None).cast("long").alias("bucket"), "value").unionByName(flags.withColumnRenamed("flags", "value"))
-    asked = asked.repartition(n, "batch").sortWithinPartitions("batch", F.col("bucket").asc_nulls_first())
-    entries = asked.mapInArrow(partial(_index, buckets=buckets), "key long, settled boolean, value binary")
-    runs = stored(entries.repartition(n, "key").sortWithinPartitions(F.desc("settled"), "key").mapInArrow(_scan, "batch long, value binary"))
-    release(spark)
-    met = packed.select("batch", F.lit(True).alias("last"), "value").unionByName(runs.select("batch", F.lit(False).alias("last"), "value"))
-    met = met.repartition(n, "batch").sortWithinPartitions("batch", "last")
-    return met.mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
+            yield _sent(rows, schema)
+
+
+class SuffixFamily:
+    """An index of documents in the shared folder that grows by batches. Not for use by several writers at a time."""
+
+    def __init__(self, spark: SparkSession, buckets: int | None = None, hot: int = HOT):
+        """buckets: into which anchors are dealt, fixed for the family's life; a bucket is worked on in memory."""
+        self.spark, self.buckets, self.hot = spark, buckets or shuffle_partitions(spark) * BUCKETS, hot
+        self.packs: list[DataFrame] = []
+        self.runs: list[DataFrame] = []
+        #: (rank, level) by falling rank
+        self.levels: list[tuple[int, DataFrame]] = []
+
+    def _all(self, asks: bool) -> DataFrame:
+        """(pack, old, value or hashes) of all packs, the last batch's not old."""
+        out = None
+        for k, p in enumerate(self.packs):
+            rows = p.filter("asks" if asks else "not asks").select("pack", F.lit(k < len(self.packs) - 1).alias("old"), "hashes" if asks else "value")
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+    def add(self, docs: DataFrame, last: bool = False) -> SuffixFamily:
+        """Take a batch of documents (doc_id, text). last: no batch follows, so what only a later one needs is not kept."""
+        spark, n = self.spark, shuffle_partitions(self.spark)
+        raw = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("raw"))
+        packs = partial(_packs, add=len(self.packs), buckets=self.buckets)
+        with arrow_batches(spark, 512, BATCH):
+            self.packs.append(stored(rows.mapInArrow(packs, "pack long, asks boolean, value binary, hashes array<struct<bucket: long, hashes: binary>>"), by="asks"))
+        asks = self._all(True).select("pack", "old", F.explode("hashes").alias("a")).select("a.bucket", "pack", "old", "a.hashes")
+        with arrow_batches(spark, 2048, BATCH):
+            asked = asks.repartition(n, "bucket").sortWithinPartitions("bucket")
+            answers = stored(asked.mapInArrow(partial(_answers, hot=self.hot), "pack long, bucket long, flags binary"))
+        if last:
+            for p in self.packs:
+                discard(p, "asks=true")
+        release(spark)
+        by_pack = answers.groupBy("pack").agg(F.collect_list(F.struct("bucket", "flags")).alias("answers"))
+        merge = next(r for r in range(len(self.levels) + 1) if r not in [rank for rank, _ in self.levels])
+        with arrow_batches(spark, 2048, BATCH):  # rows are up to MB
+            told = self._all(False).join(by_pack, "pack").select("pack", "value", "answers")
+            sent = told.mapInArrow(partial(_entries, buckets=self.buckets), "key long, kind int, value binary").withColumn("rank", F.lit(None).cast("int"))
+            for rank, level in self.levels:
+                sent = sent.unionByName(level.select("key", F.lit(1).alias("kind"), "value", F.lit(rank).alias("rank")))
+            sent = sent.repartition(n, "key").sortWithinPartitions(F.col("kind") > 0, "key", "kind")
+            out = stored(sent.select("key", "kind", "value", "rank").mapInArrow(partial(_extended, merge=merge, last=last), "level boolean, key long, value binary"), by="level")
+        discard(answers)
+        for rank, level in self.levels:
+            if last or rank < merge:
+                discard(level, "level=true")
+        self.runs.append(out.filter("not level").select(F.col("key").alias("pack"), "value"))
+        self.levels = [] if last else [*[x for x in self.levels if x[0] > merge], (merge, out.filter("level").select("key", "value"))]
+        release(spark)
+        return self
+
+    def removed(self) -> DataFrame:
+        """doc_id, n_bytes, spans (removed, as array of start and length in bytes), kept (the bytes that stay) of all documents."""
+        runs = self.runs[0]
+        for r in self.runs[1:]:
+            runs = runs.unionByName(r)
+        runs = runs.groupBy("pack").agg(F.collect_list("value").alias("runs"))
+        met = self._all(False).join(runs, "pack", "left").select("pack", "value", "runs")
+        return met.mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
+
+
+def remove_repeats(docs: DataFrame, parts: int = PARTS) -> DataFrame:
+    """What SuffixFamily.removed() gives of docs, added in `parts` batches dealt by a hash of the text, so that copies meet early."""
+    family = SuffixFamily(docs.sparkSession)
+    rows = docs.select("doc_id", "text")
+    for k in range(parts):
+        family.add(rows.filter(F.pmod(F.xxhash64("text", F.lit("part")), F.lit(parts)) == k) if parts > 1 else rows, last=k == parts - 1)
+    return family.removed()

@@ -96,22 +96,35 @@ def found_repeats(df):
 
 def test_suffix_arrays(spark, docs, odd, none):
     assert found_repeats(suffix_dedup.remove_repeats(docs)) == brute_repeats(texts(docs))
-    short = odd.withColumn("text", F.substring("text", 1, 2000))
-    assert found_repeats(suffix_dedup.remove_repeats(short)) == brute_repeats(texts(short))
+    assert found_repeats(suffix_dedup.remove_repeats(odd)) == brute_repeats(texts(odd))
     assert rows(suffix_dedup.remove_repeats(none)) == []
 
 
-@pytest.mark.parametrize("seed", range(12))
-def test_levels(seed):
-    rng = np.random.RandomState(seed)
+def odd_texts(rng):
     base = [bytes(rng.randint(97, 97 + rng.choice([2, 3, 26]), rng.randint(0, 400)).astype(np.uint8)) for _ in range(6)] + [b"a" * 300, b"\0" * 120 + b"x\0" * 60]
-    docs = [(int(rng.randint(12)), b"".join(base[rng.randint(len(base))][rng.randint(0, 50) : rng.randint(50, 400)] for _ in range(rng.randint(0, 5)))) for _ in range(20)]
-    levels, runs = suffix_dedup.Levels(), []
+    return [(int(rng.randint(12)), b"".join(base[rng.randint(len(base))][rng.randint(0, 50) : rng.randint(50, 400)] for _ in range(rng.randint(0, 5)))) for _ in range(20)]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_arrays_and_levels(seed, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 97)
+    docs = odd_texts(np.random.RandomState(seed))
+    levels, runs = [], []
     for i in range(0, len(docs), 3):
-        kept, gone = suffix_dedup.settle(suffix_dedup.ordered(suffix_dedup.segments([(d, i + j, t) for j, (d, t) in enumerate(docs[i : i + 3])])[0]))
-        runs.append(gone)
-        levels.add(kept)
-    found = suffix_dedup.joined(np.concatenate([*runs, levels.finish()]))
+        some = docs[i : i + 3]
+        raw, lengths = b"".join(t for _, t in some), np.array([len(t) for _, t in some])
+        first, count, left = suffix_dedup.segments(raw, lengths)
+        e = suffix_dedup.entries(raw, lengths, np.array([d for d, _ in some]), np.arange(i, i + len(some)), first, count, left)
+        new = suffix_dedup.NewArray()
+        for half in (e[::2], e[1::2]):
+            kept, gone = suffix_dedup.merged([half])
+            runs.append(gone)
+            new.add(kept)
+        merge = next(r for r in range(9) if r not in [k for k, _ in levels])
+        level, found = suffix_dedup.extend(new.finish(), levels, merge)
+        levels = [x for x in levels if x[0] > merge] + [(merge, level)]
+        runs += [*new.runs, *found]
+    found = suffix_dedup.joined(np.concatenate(runs))
     got = Counter()
     for k, (d, t) in enumerate(docs):
         gone = np.zeros(len(t), bool)
@@ -122,6 +135,28 @@ def test_levels(seed):
     assert got == brute_repeats([(d, t.decode("latin-1")) for d, t in docs])
 
 
+def test_batches_one_by_one_equal_one_run(spark, docs):
+    rows_ = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 5000).withColumn("text", F.concat(F.lit("Once more: "), "text")).limit(40))
+    want = brute_repeats(texts(rows_))
+    for hot in (suffix_dedup.HOT, 1):
+        family = suffix_dedup.SuffixFamily(spark, buckets=5, hot=hot)
+        for k in (3, 0, 4, 1, 2):  # not in the order of doc_id
+            family.add(rows_.filter(F.pmod("doc_id", F.lit(5)) == k).repartition(2))
+            if k == 0:
+                assert [r for r, _ in family.levels] == [1]
+        assert [r for r, _ in family.levels] == [2, 0] and all(level.count() for _, level in family.levels)
+        assert found_repeats(family.removed()) == want
+    assert found_repeats(suffix_dedup.remove_repeats(rows_, parts=1)) == want
+
+
+def test_a_long_text_and_one_anchor(spark):
+    long = "".join(f"{i * 7919 % 100003} " for i in range(400_000))
+    same = "the very same phrase that stands in all of these texts"
+    data = [(0, long), (1, "x" + long[1_000_000:2_000_000] + "y"), *[(i, f"{i * 31} {i} {same} {i * 17} {i}") for i in range(2, 400)]]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert found_repeats(suffix_dedup.remove_repeats(df)) == brute_repeats(data)
+
+
 # language model
 
 
@@ -159,7 +194,7 @@ def test_lattice_sums_all_segmentations():
 
 def brute_top(vectors, k=20):
     good = [(i, v, r) for r, (i, v) in enumerate(vectors) if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
-    ints = [(i, [math.floor(64 * x) for x in v], r) for i, v, r in good]
+    ints = [(i, [math.floor(64 * x) if abs(x) < 2.0**53 else 64 * int(x) for x in v], r) for i, v, r in good]
     out = []
     for i, q, r in ints:
         if i % 20 == 0:
@@ -180,6 +215,26 @@ def test_top_k_odd(spark):
     assert rows(topk.top_k(df.limit(0))) == []
 
 
+def test_top_k_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 3)
+    rng = np.random.RandomState(4)
+    data = [(i, [float(x) for x in rng.standard_normal(3) * 10.0 ** rng.randint(-3, 308 if i % 3 else 9, 3)]) for i in range(60)]
+    data += [(100, [1.7e308, -1.7e308]), (120, [-1.7e308, 1e300]), (140, [1e6, 1e9]), (160, [1e6, 1e9])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(2)
+    clamp = lambda s: max(topk.LONG[0], min(topk.LONG[1], s))
+    assert sorted(rows(topk.top_k(df, k=7))) == [(q, n, j, clamp(s)) for q, n, j, s in brute_top(data, 7)]
+
+
+def test_waves_and_trims_change_nothing(spark, monkeypatch):
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    want = brute_top([(r.vec_id, list(r.embedding)) for r in vectors.collect()])
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    for wave, held in ((1, 1_000_000), (64 << 20, 100)):
+        monkeypatch.setattr(topk, "WAVE", wave)
+        monkeypatch.setattr(topk, "HELD", held)
+        assert sorted(rows(topk.top_k(vectors))) == want
+
+
 def test_cutoff_loses_nothing_with_ties(spark):
     data = [(i, [float(i % 3), 1.0, 0.0, float(i % 2)]) for i in range(200)]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(5)
@@ -263,7 +318,7 @@ def brute_groups(docs, shingle=3, differ=3):
 
     for i in range(len(docs)):
         for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= differ or docs[i][0] == docs[j][0] is not None:
+            if (fps[i] ^ fps[j]).bit_count() <= differ or (docs[i][0] == docs[j][0] and docs[i][0] is not None):
                 parent[root(i)] = root(j)
     least = defaultdict(list)
     for i in range(len(docs)):
@@ -277,6 +332,17 @@ def test_simhash(docs, odd, none):
     assert rows(simhash.near_duplicates(none)) == []
 
 
+def test_fingerprints_without_ids_link(spark, monkeypatch):
+    for hot in (simhash.HOT, 1):
+        monkeypatch.setattr(simhash, "HOT", hot)
+        data = [(None, 0b100), (None, 0b100), (1, 0b101), (2, 0b1111110), (None, 1 << 40), (7, -1), (None, -2), (7, 0b11 << 50)]
+        got = simhash.groups(spark.createDataFrame(data, "doc_id long, fp long"))
+        assert {r.fp: r.component_id for r in got.collect()} == {0b100: 1, 0b101: 1, 0b1111110: 2, 1 << 40: 1, -1: 1, -2: 1, 0b11 << 50: 1}
+        bridge = [(4, 0), (None, 0b111 << 10), (3, 0b111111 << 10)]
+        assert {r.component_id for r in simhash.groups(spark.createDataFrame(bridge, "doc_id long, fp long")).collect()} == {3}
+    assert {r.component_id for r in simhash.groups(spark.createDataFrame([(None, 5), (None, 4)], "doc_id long, fp long")).collect()} == {None}
+
+
 def test_fingerprint_is_the_majority():
     import xxhash
 
@@ -286,13 +352,15 @@ def test_fingerprint_is_the_majority():
     assert simhash.fingerprint("A b", 3) == xxhash.xxh64_intdigest(b"a b", 42) and simhash.fingerprint(None, 3) == 0
 
 
-def test_gray_tree():
+def test_gray_tree(monkeypatch):
     rng = np.random.RandomState(3)
     base = rng.randint(0, 1 << 62, 40).astype(np.uint64)
     fps = np.unique(np.concatenate([base ^ np.uint64((1 << int(rng.randint(62))) | (1 << int(rng.randint(62)))) for _ in range(20)]))
-    a, b = simhash.GrayTree(fps).near(fps, 3)
     want = np.argwhere(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3)
-    assert {*zip(a.tolist(), b.tolist(), strict=True)} == {*map(tuple, want.tolist())}
+    for most in (simhash.MOST, 50):
+        monkeypatch.setattr(simhash, "MOST", most)
+        found = [(i, j) for a, b in simhash.GrayTree(fps).near(fps, 3) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+        assert len(found) == len(want) and {*found} == {*map(tuple, want.tolist())}
 
 
 def test_hot_buckets_are_dealt_again(spark, monkeypatch):
