@@ -12,7 +12,7 @@ what reaches the driver is one profile for each language, whose length is a para
 
 Defined cases: a text that is null or has no letter is `und` with score 0; equal counts rank by n-gram; rows are
 independent, so repeated rows and extra columns change nothing; documents without a language teach nothing; with
-nothing learned every text is `und`; an empty table gives no rows.
+nothing learned every text is `und`; long texts are counted `PART_CHARS` characters at a time; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from ledgerloom.llm.common import doc_crc
 
 PROFILE = 400
 UNKNOWN = "und"
-#: Characters of text that are counted at a time while learning.
-LEARN_CHARS = 2_000_000
+#: Characters of text that are counted at a time while learning, and of one text.
+LEARN_CHARS, PART_CHARS = 2_000_000, 1 << 20
 #: Between documents that are counted together; no letter. And the bits of one character of an n-gram.
 BETWEEN, PART = 1, (1 << 21) - 1
 
@@ -41,13 +41,21 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def _points(text: str) -> np.ndarray:
-    """Code points of the normalised text with a space at both ends; empty if it has no letter."""
-    cps = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    cps = np.where(_letters()[cps], cps, np.uint32(32))
-    cps = np.concatenate(([np.uint32(32)], cps, [np.uint32(32)]))
-    cps = cps[np.concatenate(([True], (cps[1:] != 32) | (cps[:-1] != 32)))]
-    return cps.astype(np.int64) if len(cps) > 1 else cps[:0].astype(np.int64)
+def _points(text: str) -> Iterator[np.ndarray]:
+    """Code points of the normalised text with a space at both ends, some at a time; none if it has no letter."""
+    text, lead, letter = text.lower(), np.array([32], np.uint32), False
+    for at in range(0, len(text), PART_CHARS):
+        cps = np.frombuffer(text[at : at + PART_CHARS].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        cps = np.where(_letters()[cps], cps, np.uint32(32))
+        end = [32] if at + PART_CHARS >= len(text) else []
+        cps = np.concatenate((lead, cps, np.array(end, np.uint32)))
+        cps = cps[np.concatenate(([True], (cps[1:] != 32) | (cps[:-1] != 32)))]
+        if not letter and len(cps) < 2:
+            continue  # spaces so far
+        if letter:
+            cps = cps[1:]  # the last one of the part before
+        letter, lead = True, cps[-1:] if len(cps) else lead
+        yield cps.astype(np.int64)
 
 
 def grams(cps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +68,7 @@ def grams(cps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = at.astype(np.int32)
     two = at[:-1] * k + at[1:]
     out, counts = [], []
-    for codes, n in ((at[at != np.searchsorted(points, 32)], 1), (two, 2), (two[:-1] * k + at[2:], 3)):
+    for codes, n in ((at[cps != 32], 1), (two, 2), (two[:-1] * k + at[2:], 3)):
         u, c = np.unique(codes, return_counts=True)
         u = u.astype(np.int64)
         wide = points[u % k]
@@ -72,6 +80,19 @@ def grams(cps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(counts).astype(np.int64)
 
 
+def text_grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a text and their counts."""
+    codes, counts, tail = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for part in _points(text):
+        whole = np.concatenate((tail, part))
+        more, n = grams(whole)
+        if len(tail):  # those that end in the part before are counted there
+            again, m = grams(tail)
+            more, n = _summed(np.concatenate((codes, more, again)), np.concatenate((counts, n, -m)))
+        codes, counts, tail = more, n, whole[-2:]
+    return codes, counts
+
+
 def top(codes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     """The most frequent n-grams, in order of rank."""
     if len(codes) > 4 * size:
@@ -94,16 +115,20 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle(lang: str) -> None:
         codes, counts = grams(np.concatenate(parts.pop(lang)))
         inside = (codes & PART != BETWEEN) & (codes >> 21 & PART != BETWEEN) & (codes >> 42 != BETWEEN)
-        codes, counts = codes[inside], counts[inside]
         held.pop(lang)
+        add(lang, codes[inside], counts[inside])
+
+    def add(lang: str, codes: np.ndarray, counts: np.ndarray) -> None:
         if lang in total:
             codes, counts = _summed(np.concatenate((total[lang][0], codes)), np.concatenate((total[lang][1], counts)))
         total[lang] = codes, counts
 
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-            cps = _points(text or "")
-            if len(cps):
+            if len(text or "") > PART_CHARS:
+                add(lang, *text_grams(text))
+                continue
+            for cps in _points(text or ""):
                 parts.setdefault(lang, []).append(np.append(cps, BETWEEN))
                 held[lang] = held.get(lang, 0) + len(cps)
                 if held[lang] > LEARN_CHARS:
@@ -137,10 +162,10 @@ class Judge:
             self.ranks[np.searchsorted(self.grams, profiles[name]), j] = np.arange(len(profiles[name]))
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        cps = _points(text or "")
-        if not len(cps) or not self.names:
+        codes, counts = text_grams(text or "")
+        if not len(codes) or not self.names:
             return UNKNOWN, 0.0
-        mine = top(*grams(cps), self.size)
+        mine = top(codes, counts, self.size)
         at = np.searchsorted(self.grams, mine)
         at = np.where((at < len(self.grams)) & (self.grams[np.minimum(at, len(self.grams) - 1)] == mine), at, len(self.grams))
         theirs = self.ranks[at]

@@ -132,11 +132,18 @@ def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int |
     release(docs.sparkSession)
     mine = docs.withColumn(f"{P}text_hash", F.xxhash64(docs["text"]))
     out = mine.join(kept, mine["doc_id"].eqNullSafe(kept[f"{P}d"]) & (mine[f"{P}text_hash"] == kept[f"{P}t"]), "left")
-    lines = F.split(mine["text"], "\n")
-    stays = lambda x, i: (F.length(_norm(x)) < exact_chars) | F.array_contains(F.coalesce(F.col(f"{P}kept"), F.array().cast("array<int>")), i)
-    left = F.filter(lines, stays)
-    out = out.withColumn(f"{P}lines", lines).withColumn(f"{P}left", left)
-    size = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(c)).cast("long")
-    n_lines, n_left = size(f"{P}lines"), size(f"{P}left")
-    names = [F.array_join(F.col(f"{P}left"), "\n").alias("text") if c == "text" else mine[c] for c in docs.columns]
+    # as variables of lambdas the lines and the kept places are evaluated once; the work is linear in the lines but for a sort
+    named = lambda c, f: F.get(F.transform(F.array(c), f), F.lit(0))
+    kept_here = F.coalesce(F.col(f"{P}kept"), F.array().cast("array<int>"))
+
+    def those(lines: Column) -> Column:
+        short = F.filter(F.transform(lines, lambda x, i: F.when(F.length(_norm(x)) < exact_chars, i)), lambda i: i.isNotNull())
+        return F.transform(F.array_sort(F.concat(short, kept_here)), lambda i: F.get(lines, i))
+
+    text = mine["text"]
+    both = named(F.split(text, "\n"), lambda lines: F.struct(F.size(lines).alias("all"), those(lines).alias("left")))
+    out = out.withColumn(f"{P}both", F.when(text.isNotNull(), both))
+    n_lines, n_left = (F.coalesce(c, F.lit(0)).cast("long") for c in (F.col(f"{P}both.all"), F.size(f"{P}both.left")))
+    n_left = F.when(F.col(f"{P}both").isNull(), F.lit(0).cast("long")).otherwise(n_left)
+    names = [F.array_join(F.col(f"{P}both.left"), "\n").alias("text") if c == "text" else mine[c] for c in docs.columns]
     return out.select(*names, n_lines.alias(f"{P}n_lines"), (n_lines - n_left).alias(f"{P}n_dropped"))

@@ -85,17 +85,17 @@ def _boundary(hist: DataFrame, bucket: str, last: bool) -> DataFrame:
 
 def plan(base: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """For each source of sized() rows: its size, target, whole copies, and the hash below which one more is taken."""
-    hist = stored(base.groupBy(*KEY, "b0").agg(F.sum("size").alias("words")), 1)
-    goals = stored(targets(hist.groupBy(*KEY).agg(F.sum("words").alias("source_size")), weights, share, most), 1)
+    hist = stored(base.groupBy(*KEY, "b0").agg(F.sum("size").alias("words")))
+    goals = stored(targets(hist.groupBy(*KEY).agg(F.sum("words").alias("source_size")), weights, share, most))
     goals = goals.withColumn("copies", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     goals = goals.withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size"))
-    cut0 = stored(_boundary(hist.join(goals.select(*KEY, "rest"), KEY), "b0", False), 1)
+    cut0 = stored(_boundary(hist.join(goals.select(*KEY, "rest"), KEY), "b0", False))
     level1 = base.join(cut0.withColumnRenamed("cut_b0", "b0"), [*KEY, "b0"]).groupBy(*KEY, "rest", "b1").agg(F.sum("size").alias("words"))
-    cut1 = stored(cut0.select(*KEY, "cut_b0").join(_boundary(level1, "b1", False), KEY), 1)
+    cut1 = stored(cut0.select(*KEY, "cut_b0").join(_boundary(level1, "b1", False), KEY))
     level2 = base.join(cut1.select(*KEY, F.col("cut_b0").alias("b0"), F.col("cut_b1").alias("b1"), "rest"), [*KEY, "b0", "b1"])
     level2 = level2.groupBy(*KEY, "rest", "b2").agg(F.sum("size").alias("words"))
     cuts = cut1.drop("rest").join(_boundary(level2, "b2", True).drop("rest"), KEY)
-    return stored(goals.join(cuts, KEY, "left"), 1)
+    return stored(goals.join(cuts, KEY, "left"))
 
 
 def _copies() -> Column:

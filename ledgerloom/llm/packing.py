@@ -15,7 +15,6 @@ null doc_id is carried as null; an empty table gives no rows; other columns are
 from __future__ import annotations
 
 import base64
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -25,14 +24,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import shuffle_partitions
+from ledgerloom.llm.common import shuffle_partitions, stored
 
 LENGTH = 1024
 BUCKETS, DIMS, BITS = 256, 4, 15
+#: Bytes of ids that are sent together.
+SENT = 8 << 20
 #: Entries of a worker's memory of encoded chunks; it starts anew when full.
 REMEMBERED = 500_000
 SPECIAL = "<|endoftext|>"
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
 def hilbert(coords: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -143,7 +144,7 @@ class Packer:
     """Cuts a stream of documents into sequences; rows of finished sequences gather in `rows`."""
 
     def __init__(self, length: int, first_sequence: int):
-        self.length, self.sequence, self.room, self.open, self.rows = length, first_sequence, length, [], []
+        self.length, self.sequence, self.room, self.open, self.rows, self.size = length, first_sequence, length, [], [], 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         total, at = len(ids) // 4, 0
@@ -160,9 +161,10 @@ class Packer:
         offset = 0
         for doc_id, start, ids, total in pieces:
             n = len(ids) // 4
-            self.rows.append((doc_id, start, n, zlib.crc32(ids), total, self.sequence, offset))
+            self.rows.append((doc_id, start, n, total, self.sequence, offset, ids))
             offset += n
         self.sequence += 1
+        self.size += 4 * offset
 
     def finish(self) -> None:
         left, rest = self.length - self.room, self.open
@@ -179,8 +181,8 @@ class Packer:
 
     def flush(self) -> pa.RecordBatch:
         columns = [*zip(*self.rows, strict=True)] or [[]] * 7
-        self.rows = []
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[x.split()[0] for x in PIECES.split(", ")])
+        self.rows, self.size = [], 0
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.binary())], names=[x.split()[0] for x in PIECES.split(", ")])
 
 
 def _packed(batches: Iterator[pa.RecordBatch], length: int, vocabulary: str, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -188,6 +190,8 @@ def _packed(batches: Iterator[pa.RecordBatch], length: int, vocabulary: str, end
     for b in batches:
         for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
             packer.add(doc_id, encode(text or "") + end)
+            if packer.rows and packer.size >= SENT:
+                yield packer.flush()
         yield packer.flush()
     packer.finish()
     yield packer.flush()
@@ -196,11 +200,12 @@ def _packed(batches: Iterator[pa.RecordBatch], length: int, vocabulary: str, end
 def along_curve(docs: DataFrame) -> DataFrame:
     """doc_id, text and curve_key, range-partitioned and sorted along the curve."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_keyed, "doc_id long, text string, curve_key long")
+    keyed = stored(keyed)  # finding the ranges reads the keys before the rows are dealt
     return keyed.repartitionByRange(shuffle_partitions(docs.sparkSession), "curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id", F.xxhash64("text"))
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, end_id: int = 0) -> DataFrame:
-    """The pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """The pieces of all documents: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
 
     vocabulary: a byte-level BPE rank file; length: tokens of a sequence, a power of two.
     """
@@ -208,3 +213,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, e
 
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     return along_curve(docs).select("doc_id", "text").mapInArrow(partial(_packed, length=length, vocabulary=vocabulary, end_id=end_id), PIECES)
+
+
+def with_crc(pieces: DataFrame) -> DataFrame:
+    """pack()'s rows with ids_crc32, the check sum of the ids' bytes."""
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))

@@ -12,7 +12,7 @@ from ledgerloom.llm.common import table
 
 
 def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.with_crc(packing.pack(table(spark, sf_dir, "documents"))).drop("ids")
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op9_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_telephony_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.store_texts(table(spark, sf_dir, "documents"))
+    return media.digests(media.with_pcm(media.store_texts(table(spark, sf_dir, "documents"))))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

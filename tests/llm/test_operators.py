@@ -52,12 +52,18 @@ def check_pieces(pieces, docs):
                 at += n
 
 
+def pieces(docs):
+    found = packing.with_crc(packing.pack(docs)).collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in found)
+    return [(r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens, r.sequence_id, r.offset) for r in found]
+
+
 def test_packing(docs):
-    check_pieces(rows(packing.pack(docs)), texts(docs))
+    check_pieces(pieces(docs), texts(docs))
 
 
 def test_packing_odd(odd, none):
-    check_pieces(rows(packing.pack(odd)), texts(odd))
+    check_pieces(pieces(odd), texts(odd))
     assert rows(packing.pack(none)) == []
 
 
@@ -176,17 +182,70 @@ def test_language_model(docs, odd, none):
     assert rows(lattice_lm.score(none)) == []
 
 
-def test_lattice_sums_all_segmentations():
-    mark = lattice_lm.MARK
-    p = {mark: 0.1, mark + "a": 0.2, "a": 0.15, "b": 0.1, "ab": 0.05, mark + "ab": 0.1}
-    lattice = lattice_lm.Lattice({k: math.log(x) for k, x in p.items()}, {b: math.log(0.001) for b in range(256)}, math.log(0.3))
+def ways(lattice, s):
+    """All segmentations of s into pieces, or bytes of a character without a piece: (probability, uses)."""
+    if not s:
+        return [(1.0, Counter())]
+    p = np.exp(lattice.logs)
+    first = [([k], len(x)) for x, k in lattice.places.items() if s.startswith(x)]
+    if s[0] not in lattice.places:
+        first.append((lattice._bytes_of(s[0]), 1))
+    return [(math.prod(p[at]) * q, Counter(at) + uses) for at, n in first for q, uses in ways(lattice, s[n:])]
 
-    def ways(s):
-        return 1.0 if not s else sum(x * ways(s[len(k) :]) for k, x in p.items() if s.startswith(k))
 
-    for word in ("a", "ab", "abab", "aabb"):
-        assert math.isclose(math.exp(lattice.log_probability(word)), ways(mark + word) * 0.3)
-    assert math.isclose(math.exp(lattice.log_probability("é")), p[mark] * 0.001**2 * 0.3)
+@pytest.mark.parametrize("long", [0, 64])
+def test_lattice_sums_all_segmentations(long, monkeypatch):
+    monkeypatch.setattr(lattice_lm, "LONG", long)  # word by word, and together
+    mark = lattice_lm.MARK
+    p = {mark: 0.1, mark + "a": 0.2, "a": 0.15, "b": 0.1, "ab": 0.05, mark + "ab": 0.1, "é": 0.02}
+    lattice = lattice_lm.Lattice({k: math.log(x) for k, x in p.items()}, {b: math.log(0.001) for b in range(256)}, math.log(0.3))
+    some = ["a", "ab", "abab", "aabb", "ü", "aüb", "éa", "\0a", "日本", "ba", "ab"]
+    n = np.zeros(len(lattice.logs))
+    got = lattice.log_probabilities(some, n)
+    want = np.zeros(len(n))
+    for w, g in zip(some, got, strict=True):
+        paths = ways(lattice, mark + w)
+        z = sum(q for q, _ in paths)
+        assert math.isclose(math.exp(g), z * 0.3)
+        for q, uses in paths:
+            for k, m in uses.items():
+                want[k] += m * q / z
+        want[-1] += 1
+    assert np.allclose(n, want)
+    again = lattice.fitted(n)
+    assert math.isclose(np.exp(again.logs).sum(), 1) and again.log_probabilities(some).sum() > got.sum()
+
+
+def test_scores_are_the_marginals_of_the_texts(spark):
+    """The whole model once more, by listing segmentations."""
+    data = [(i, t) for i, t in enumerate(["abba ab b", "ab ab é", "b a", None, "a b ab ba abx", "A\tB"] * 3)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    c, every = Counter(), Counter()
+    for d, t in data:
+        if not lattice_lm.is_held_out(d, 7, 2):
+            c.update([*lattice_lm.words(t), b""])
+    n, v = sum(c.values()), len(c)
+    n1, n2 = sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values())
+    discount = n1 / (n1 + 2 * n2) if n1 else 0.5
+    lattice = lattice_lm.Lattice(*lattice_lm.vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
+    for _ in range(lattice_lm.ROUNDS):
+        uses = np.zeros(len(lattice.logs))
+        for w in c:
+            if w:
+                paths = ways(lattice, lattice_lm.MARK + w.decode())
+                for q, u in paths:
+                    for k, m in u.items():
+                        uses[k] += m * q / sum(x for x, _ in paths)
+                uses[-1] += 1
+        lattice = lattice.fitted(uses)
+
+    def marginal(w):
+        spelled = sum(q for q, _ in ways(lattice, lattice_lm.MARK + w.decode())) if w else 1.0
+        return max(c[w] - discount, 0) / n + discount * v / n * spelled * math.exp(lattice.logs[-1])
+
+    for head_size in (0, 2, 1000):
+        for r in lattice_lm.score(df, head_size=head_size).collect():
+            assert math.isclose(r.score, sum(math.log10(marginal(w)) for w in [*lattice_lm.words(data[r.doc_id][1]), b""]), rel_tol=1e-4), r
 
 
 # exact top-k
@@ -399,18 +458,50 @@ def test_language(docs, odd, none):
     assert langid.with_language(odd).columns[: len(odd.columns)] == odd.columns
 
 
+def brute_grams(t):
+    n = " " + " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) + " "
+    return Counter(n[i : i + k] for k in (1, 2, 3) for i in range(len(n) - k + 1) if n[i : i + k] != " ") if n.strip() else Counter()
+
+
+def plain(code):
+    return "".join(chr(x) for x in (code >> 42, code >> 21 & langid.PART, code & langid.PART) if x)
+
+
+def test_parts_of_a_text_count_as_the_whole(monkeypatch):
+    rng = np.random.RandomState(2)
+    for size in (1, 2, 3, 7, 1 << 20):
+        monkeypatch.setattr(langid, "PART_CHARS", size)
+        for t in ["", "  ", "12", "a", " a", "ab  cd", "a1b2c3", "  1 ßX 日本  "] + ["".join(rng.choice([*"aab é1 "], 30)) for _ in range(20)]:
+            codes, counts = langid.text_grams(t)
+            assert {plain(c): n for c, n in zip(codes.tolist(), counts.tolist(), strict=True) if n} == brute_grams(t), (size, t)
+
+
+def test_prediction_is_the_nearest_profile(docs):
+    """Profiles, distances and predictions once more, with dictionaries; an n-gram's order is by length, then code points."""
+    ranked = lambda c: sorted(c, key=lambda g: (-c[g], len(g), g))[:400]
+    learned = defaultdict(Counter)
+    for r in docs.collect():
+        if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            learned[r.lang] += brute_grams(r.text)
+    profiles = {lang: {g: k for k, g in enumerate(ranked(c))} for lang, c in learned.items()}
+    want = {}
+    for r in docs.collect():
+        mine = ranked(brute_grams(r.text or ""))
+        far = {lang: sum(abs(k - p[g]) if g in p else 400 for k, g in enumerate(mine)) for lang, p in profiles.items()}
+        best = min(sorted(far), key=far.get)
+        want[r.doc_id] = (best, 1 - far[best] / (400 * len(mine))) if mine else ("und", 0.0)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs).collect()}
+    assert {d: x[0] for d, x in got.items()} == {d: x[0] for d, x in want.items()}
+    assert all(math.isclose(got[d][1], want[d][1], abs_tol=1e-12) for d in want)
+
+
 def test_ngrams():
     import pyarrow as pa
 
     some = ["Abc, déf abc!", "x", "a b", "Über 1234 ab", "日本 語abc"]
 
-    def brute(t):
-        n = " " + " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) + " "
-        return Counter(n[i : i + k] for k in (1, 2, 3) for i in range(len(n) - k + 1) if n[i : i + k] != " ")
-
     b = next(langid._learn(iter([pa.RecordBatch.from_arrays([pa.array(["e"] * 5), pa.array(some)], names=["lang", "text"])])))
-    plain = lambda c: "".join(chr(x) for x in (c >> 42, c >> 21 & langid.PART, c & langid.PART) if x)
-    assert {plain(c): n for c, n in zip(b.column("gram").to_pylist(), b.column("n").to_pylist(), strict=True)} == dict(sum(map(brute, some), Counter()))
+    assert {plain(c): n for c, n in zip(b.column("gram").to_pylist(), b.column("n").to_pylist(), strict=True)} == dict(sum(map(brute_grams, some), Counter()))
 
 
 # mixing
@@ -469,18 +560,32 @@ def test_mixed_rows_follow_the_mix(docs):
 # audio
 
 
-def test_audio(docs, odd, none):
-    for df in (docs, odd):
-        got = media.store_texts(df).collect()
-        assert len(got) == df.count()
+def brute_feature(p):
+    """The feature of a payload, sample by sample."""
+    mu, a = media.mulaw_table().tolist(), media.alaw_table().tolist()
+    ima = [x for i in range(0, len(p), 576) for x in sequential_adpcm(p[i : i + 576])]
+    level = lambda x: f"{max(map(abs, x))}/{sum(v * v for v in x) // len(x)}"
+    x = [mu[b] for b in p]
+    pcm = [v for k, s in enumerate(x) for v in (s, (s + x[min(k + 1, len(x) - 1)]) // 2)]
+    return f"mulaw={level(x)} alaw={level([a[b] for b in p])} adpcm={level(ima)} pcm16000={zlib.crc32(np.array(pcm, '<i2').tobytes()):08x}"
+
+
+def test_audio(docs, odd, none, monkeypatch):
+    monkeypatch.setattr(media, "TOGETHER", 576 * 5)  # in the driver; the workers keep theirs
+    for df in (docs.limit(60), odd):
+        stored_media = media.store_texts(df)
+        audio = media.with_pcm(stored_media)
+        got = media.digests(audio).collect()
+        assert len(got) == df.count() and stored_media.schema["media"].dataType.simpleString() == audio.schema["pcm"].dataType.simpleString() == "binary"
         want = Counter()
         for d, t in texts(df):
             b = (t or "").encode()
             p = b + b"\xff" * (-len(b) % 576 or (0 if b else 576))
-            want[(d, len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))] += 1
-        assert Counter(tuple(r)[:5] for r in got) == want
-        assert len({(r.payload_sha256, r.media_sha256, r.feature) for r in got}) == len({r.payload_sha256 for r in got})
-    assert rows(media.store_texts(none)) == []
+            m = media.wav(p, media.MULAW, 8000)
+            assert media.features([p], [media.read_wav(media.to_pcm(m))[2]]) == [brute_feature(p)]
+            want[(d, len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(m), hashlib.sha256(m).hexdigest(), brute_feature(p))] += 1
+        assert Counter(map(tuple, got)) == want
+    assert rows(media.digests(media.with_pcm(media.store_texts(none)))) == []
 
 
 def test_wav_round_trip():
@@ -497,17 +602,20 @@ def test_g711_tables():
     assert (mu[128:] == -mu[:128]).all() and (a[128:] == -a[:128]).all()
 
 
-def test_adpcm_follows_the_sequential_decoder():
-    rng = np.random.RandomState(1)
-    blocks = rng.randint(0, 256, (7, 64)).astype(np.uint8)
+def sequential_adpcm(block):
     steps = media._steps().tolist()
+    value, index = int.from_bytes(block[:2], "little", signed=True), min(block[2], 88)
+    out = [value]
+    for byte in block[4:]:
+        for code in (byte & 15, byte >> 4):
+            change = ((2 * (code & 7) + 1) * steps[index]) >> 3
+            value = max(-32768, min(32767, value - change if code & 8 else value + change))
+            index = max(0, min(88, index + media.INDEX_STEPS[code & 7]))
+            out.append(value)
+    return out
+
+
+def test_adpcm_follows_the_sequential_decoder():
+    blocks = np.random.RandomState(1).randint(0, 256, (7, 64)).astype(np.uint8)
     for block, got in zip(blocks, media.adpcm_blocks(blocks), strict=True):
-        value, index = int.from_bytes(bytes(block[:2]), "little", signed=True), min(int(block[2]), 88)
-        want = [value]
-        for byte in block[4:].tolist():
-            for code in (byte & 15, byte >> 4):
-                change = ((2 * (code & 7) + 1) * steps[index]) >> 3
-                value = max(-32768, min(32767, value - change if code & 8 else value + change))
-                index = max(0, min(88, index + media.INDEX_STEPS[code & 7]))
-                want.append(value)
-        assert got.tolist() == want
+        assert got.tolist() == sequential_adpcm(bytes(block))
