@@ -24,6 +24,7 @@ NEVER_VENDOR = (
 )
 CAPITALS = r"^[A-Z][A-Z0-9 &.,'-]{3,60}$"
 MIXED = r"^[A-Z][A-Za-z0-9 &.,'-]{3,80}$"
+# Shapes of dates, of amounts that are due, and of lines about VAT and about VAT numbers.
 DATE = r"\b(\d{1,2}[/-]\d{1,2}[/-]\d{2,4})\b"
 DUE = r"(?i)(?:amount\s+due|grand\s+total)[:\s]*\n?\s*(?:€|EUR)?\s*([\d,]+\.\d{2})"
 VAT_LINE, VAT_NUMBER_LINE = r"(?i)\bvat\b", r"(?i)\bvat\s+(no\.?|IE\d)"

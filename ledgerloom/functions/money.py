@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,10 +18,11 @@ RATES = (0.0, 4.8, 9.0, 13.5, 23.0)
 RATIO_TOLERANCE = 0.005
 
 # Weights of the digits of a VAT number.
-VAT_WEIGHTS = (8, 7, 6, 5, 4, 3)
+VAT_WEIGHTS = (8, 7, 6, 5, 4, 3, 2)
 
-# Date formats in the order they are tried.
+# Date formats in the order they are tried. Days and months have one digit or two, years four.
 DATE_FORMATS = ("d/M/y", "y-M-d", "d-M-y", "d.M.y", "y/M/d", "d MMM y", "d MMMM y")
+DATE_SHAPES = {"d": r"\d{1,2}", "M": r"\d{1,2}", "y": r"\d{4}", "MMM": "[A-Za-z]{3}", "MMMM": "[A-Za-z]{3,}"}
 
 # Tax types by rate, and the countries that count as home or as other member states.
 TAX_TYPES = {
@@ -94,16 +97,21 @@ def vat_number_plausible(c: Column) -> Column:
     return F.when(F.regexp_like(c, F.lit(r"^IE\d{7}[A-Z]{1,2}$")), total % 23 != 0).otherwise(False)
 
 
+def _date_shape(form: str) -> str:
+    """The pattern of texts that a format may be tried on: a format alone takes years of any width."""
+    return "^" + re.sub(r"M+|[dy]", lambda m: DATE_SHAPES[m[0]], form.replace(".", r"\.")) + "$"
+
+
 def format_date(c: Column) -> Column:
     """dd/MM/yyyy of the first format that fits; other text stays, null and empty give the empty text."""
     t = strip(c)
-    tried = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in DATE_FORMATS])
+    tried = F.coalesce(*[F.when(F.regexp_like(t, F.lit(_date_shape(f))), F.try_to_timestamp(t, F.lit(f))) for f in DATE_FORMATS])
     return F.when(F.coalesce(c, F.lit("")) == "", F.lit("")).otherwise(F.coalesce(F.date_format(tried, "dd/MM/yyyy"), t))
 
 
 def due_date(formatted: Column, days: int) -> Column:
     """Some days after a date as format_date() writes it; the empty text if it is none."""
-    day = F.to_date(F.try_to_timestamp(formatted, F.lit("d/M/y")))
+    day = F.to_date(F.when(F.regexp_like(formatted, F.lit(_date_shape("d/M/y"))), F.try_to_timestamp(formatted, F.lit("d/M/y"))))
     return F.coalesce(F.date_format(F.date_add(day, days), "dd/MM/yyyy"), F.lit(""))
 
 

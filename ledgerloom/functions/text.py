@@ -24,8 +24,8 @@ MASK = "<ID>"
 
 
 def strip(c: Column) -> Column:
-    """Without white space at the ends (trim() takes spaces only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Without white space at the ends (trim() takes spaces only; $ would also match before a last line end of any kind)."""
+    return F.regexp_replace(c, r"^\s+|\s+\z", "")
 
 
 def normal(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.fields import FIELDS
+from ledgerloom.functions.fields import FIELDS, date, total, vat, vendor
 from ledgerloom.functions.money import TABLE_MONEY, first_amount, first_quantity
 from ledgerloom.functions.text import strip
 
@@ -17,6 +17,11 @@ IBAN = r"\b([A-Z]{2}\d{2}[A-Z0-9]{4}\d{7}[A-Z0-9]{0,16})\b"
 ANSWER = "vendor string, total double, vat double, date string, vendor_confidence double, total_confidence double, vat_confidence double, date_confidence double"
 
 
+def model_text(rows: DataFrame) -> DataFrame:
+    """engine_text() cut to what a model extractor takes, of the documents that need one."""
+    return engine_text(by_origin(rows)[1], MODEL_CHARS)
+
+
 def engine_text(rows: DataFrame, limit: int = VERIFIER_CHARS) -> DataFrame:
     """(doc_id, text): the engines' texts in their order, a line feed between them, cut to what a verifier takes."""
     some = rows.filter(F.coalesce(F.col("raw_text"), F.lit("")) != "")
@@ -62,9 +67,26 @@ def by_origin(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return docs.filter(native), docs.filter(~F.coalesce(native, F.lit(False)))
 
 
+#: Text fields of a label's header; what a document lacks is empty there.
+HEADER_TEXT = ("vendor_vat_number", "vendor_iban", "vendor_bic", "invoice_number", "due_date", "po_reference", "references_invoice", "delivery_note_ref", "billing_period")
+
+
 def label_documents(truth: DataFrame) -> DataFrame:
-    """Scoring labels from native ones: two fields renamed, missing header text empty."""
-    return truth.select("doc_id", F.coalesce("vendor_name", F.lit("")).alias("vendor"), F.coalesce("invoice_date", F.lit("")).alias("date"), "total", "vat")
+    """Scoring labels from native ones: two fields renamed, and a header in which missing text is empty."""
+    have = set(truth.columns)
+    text = lambda c: (F.coalesce(F.col(c), F.lit("")) if c in have else F.lit("")).alias(c)
+    header = F.struct(*[text(c) for c in HEADER_TEXT]).alias("header")
+    return truth.select("doc_id", F.col("vendor_name").alias("vendor"), F.col("invoice_date").alias("date"), "total", "vat", "subtotal", "vendor_country", header)
+
+
+def extracted(texts: DataFrame) -> DataFrame:
+    """Candidates (doc_id, field_id, engine, ordinal, raw_text, value) of the engines' texts (doc_id, engine, ordinal, text)."""
+    t = F.col("text")
+    amount = lambda c: c.cast("decimal(18,2)").cast("string")
+    found = {"vendor": vendor(t), "total": amount(total(t)), "vat": amount(vat(t)), "date": date(t)}
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_id"), found[f].alias("value")) for f in FIELDS])).alias("x")
+    rows = texts.select("doc_id", "engine", "ordinal", each).select("doc_id", "engine", "ordinal", "x.*")
+    return rows.select("doc_id", "field_id", "engine", "ordinal", F.coalesce("value", F.lit("")).alias("raw_text"), "value")
 
 
 def corrupted(labels: DataFrame, bucket: Column) -> DataFrame:

@@ -9,6 +9,8 @@ from ledgerloom.functions.fields import DATE, FIELDS
 from ledgerloom.functions.money import near_statutory, rounded, two_decimals
 
 THRESHOLD, FLOOR, VERIFY_BELOW = 0.98, 0.80, 0.85
+# What bounces a document across its fields.
+ODD_RATIO, TOO_MUCH_VAT, BAD_DATE = "vat/total ratio %s not within ±0.005 of IE rates (0%%, 4.8%%, 9%%, 13.5%%, 23%%)", "vat (%s) exceeds total (%s)", "date schema invalid: %s"
 
 
 def field_valid(field_id: Column, value: Column) -> Column:
@@ -31,6 +33,7 @@ def needs_verifier(agreed: Column, confidence: Column) -> Column:
 
 def composite(value: Column, agreed: Column, valid: Column, ocr: Column, verifier: Column) -> Column:
     """Final confidence of a field."""
+    agreed, valid, ocr = F.coalesce(agreed, F.lit(False)), F.coalesce(valid, F.lit(False)), F.coalesce(ocr, F.lit(0.0))
     weighed = F.least(F.lit(1.0), ocr * 0.30 + verifier * 0.55 + F.when(valid, 0.15).otherwise(0.0))
     return F.when(value.isNull(), 0.0).when(agreed & valid, F.least(F.lit(1.0), ocr * 1.05)).when(verifier.isNotNull(), weighed).otherwise(ocr * 0.5)
 
@@ -48,14 +51,28 @@ def cross_field(vat: Column, total: Column) -> Column:
     )
 
 
+def bounces(vat: Column, total: Column, date: Column) -> Column:
+    """The reasons across fields that bounce a document; amounts as doubles, the date as text. Null values give none."""
+    found, day = cross_field(vat, total), field_valid(F.lit("date"), date)
+    said = [
+        F.when(found["implausible_ratio"], F.format_string(ODD_RATIO, F.format_string("%.4f", rounded(F.try_divide(vat, total), 4)))),
+        F.when(found["vat_exceeds_total"], F.format_string(TOO_MUCH_VAT, vat.cast("string"), total.cast("string"))),
+        F.when(date.isNotNull() & ~day["ok"], F.format_string(BAD_DATE, day["reason"])),
+    ]
+    return F.array_compact(F.array(*said))
+
+
 def gate(fields: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, gate_passed, bounce_reason from (doc_id, field_id, value, agreed, valid, ocr, verifier, bounces).
 
-    bounces: array of cross-field reasons, the same on all rows of a document. Parts come in the order of FIELDS.
+    bounces: array of cross-field reasons, the same on all rows of a document. Parts come in the order of FIELDS. A critical
+    field without a row counts as one without a value: it fails at 0.00.
     """
+    asked = fields.groupBy("doc_id").agg(F.first("bounces").alias("bounces")).withColumn("field_id", F.explode(F.array(*map(F.lit, FIELDS))))
+    fields = asked.join(fields.drop("bounces"), ["doc_id", "field_id"], "left")
     final = composite(*[F.col(c) for c in ("value", "agreed", "valid", "ocr", "verifier")])
     place = F.array_position(F.array(*map(F.lit, FIELDS)), F.col("field_id"))
-    rows = fields.filter(F.col("field_id").isin(*FIELDS)).withColumn("final", final).withColumn("place", place)
+    rows = fields.withColumn("final", final).withColumn("place", place)
     part = F.struct("place", F.concat("field_id", F.lit("="), two_decimals(F.col("final"))).alias("said"))
     said = lambda c: F.concat_ws(", ", F.transform(F.sort_array(c), lambda x: x["said"]))
     docs = rows.groupBy("doc_id").agg(F.collect_list(F.when(F.col("final") < threshold, part)).alias("failing"), F.first("bounces").alias("bounces"))

@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.governance import BUCKETS
+from ledgerloom.sources.shared import stored
 
-# Upper bounds of the size buckets in bytes.
-SIZES = (("small", 60_000), ("medium", 200_000), ("large", 500_000), ("huge", 1_000_000_000))
+# Upper bounds of the size buckets in bytes, named by the corruption that makes files so large.
+SIZES = (("clean", 60 * 1024), ("light", 200 * 1024), ("heavy", 500 * 1024), ("very-heavy", 1_000_000_000))
 
 
 def size_bucket(size: Column, unit: float = 1.0) -> Column:
-    """Half-open size buckets; unit scales the bounds."""
+    """Half-open size buckets, null from the last bound on; unit scales the bounds."""
     out = F.lit(None).cast("string")
     for name, bound in reversed(SIZES):
         out = F.when(size < bound * unit, name).otherwise(out)
@@ -30,9 +31,10 @@ def pilot(docs: DataFrame, n: int, group: str, order: str) -> DataFrame:
 def with_seed(docs: DataFrame, master: int, order: str) -> DataFrame:
     """A seed for each document from its place in a total order.
 
-    Range-sorted partitions number their rows, then add the rows of those before: no partition holds all rows.
+    Range-sorted partitions number their rows, then add the rows of those before: no partition holds all rows. The numbered rows
+    are stored, so what counts them and what reads them sees the same numbers.
     """
-    placed = docs.orderBy(order).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+    placed = stored(docs.orderBy(order).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))

@@ -6,6 +6,7 @@ only the rows that pass a filter reach Python. The stubs are deterministic and r
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -39,3 +40,127 @@ def first_available(verifiers: list[tuple[str, Callable[[], bool]]]) -> str | No
 def text_engine(content: pd.Series) -> pd.Series:
     """Stub engine: bytes as UTF-8 text."""
     return content.map(lambda x: x.decode("utf-8", "replace") if isinstance(x, (bytes, bytearray)) else x)
+
+
+class Unavailable(RuntimeError):
+    """A slot's library or model is not here."""
+
+
+CONTENT_ROWS = "doc_id string, content binary, note string, error string"
+#: A step on one document: bytes and a parameter in, bytes and a note out.
+Step = Callable[[bytes, str], tuple[bytes, str]]
+
+
+def run_step(docs: DataFrame, step: Step) -> DataFrame:
+    """(doc_id, content, note, error) of a step over docs (doc_id, content, parameter). A failure is a row with an error and no content."""
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc_id, content, parameter in zip(b["doc_id"], b["content"], b["parameter"], strict=True):
+                try:
+                    rows.append((str(doc_id), *step(content, parameter), None))
+                except Exception as e:  # as above
+                    rows.append((str(doc_id), None, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["doc_id", "content", "note", "error"])
+
+    return docs.select("doc_id", "content", "parameter").mapInPandas(each, CONTENT_ROWS)
+
+
+def _imaging():
+    try:
+        import cv2
+    except ImportError as e:
+        raise Unavailable("no image library is installed") from e
+    return cv2
+
+
+# A page is enlarged below this side, by this factor; skew that is undone, in degrees; block and offset of the
+# adaptive threshold.
+SMALL_SIDE, ENLARGE, SKEW, THRESHOLD = 2000, 3.5, (0.5, 15.0), (31, 10)
+
+
+def preprocess(content: bytes, parameter: str) -> tuple[bytes, str]:
+    """A page image for an OCR engine: grey, enlarged if small, straightened, black and white. Needs OpenCV."""
+    cv2 = _imaging()
+    import numpy as np
+
+    page = cv2.imdecode(np.frombuffer(content, np.uint8), cv2.IMREAD_GRAYSCALE)
+    if page is None:
+        raise ValueError("no image")
+    if max(page.shape) < SMALL_SIDE:
+        page = cv2.resize(page, None, fx=ENLARGE, fy=ENLARGE, interpolation=cv2.INTER_LANCZOS4)
+    ink = cv2.findNonZero(255 - page)
+    angle = 0.0 if ink is None else cv2.minAreaRect(ink)[-1]
+    angle = angle - 90 if angle > 45 else angle
+    if SKEW[0] <= abs(angle) <= SKEW[1]:
+        high, wide = page.shape
+        page = cv2.warpAffine(page, cv2.getRotationMatrix2D((wide / 2, high / 2), angle, 1.0), (wide, high), borderValue=255)
+    page = cv2.adaptiveThreshold(page, 255, cv2.ADAPTIVE_THRESH_GAUSSIAN_C, cv2.THRESH_BINARY, *THRESHOLD)
+    return cv2.imencode(".png", page)[1].tobytes(), f"{angle:.1f}"
+
+
+def corrupt(content: bytes, bucket: str) -> tuple[bytes, str]:
+    """A page image as a bucket's scan would have it; clean pages pass as they are. Others need OpenCV, and come rotated and compressed only."""
+    # By bucket, degrees of rotation at most and JPEG quality from and to.
+    turns = {"light": (2, 80, 92), "heavy": (8, 35, 60), "very-heavy": (90, 30, 50)}
+    if bucket == "clean":
+        return content, "unchanged"
+    if bucket not in turns:
+        raise ValueError(f"no such bucket: {bucket}")
+    cv2 = _imaging()
+    import random
+    import zlib
+
+    import numpy as np
+
+    most, low, high = turns[bucket]
+    draw = random.Random(zlib.crc32(content))
+    page = cv2.imdecode(np.frombuffer(content, np.uint8), cv2.IMREAD_COLOR)
+    if page is None:
+        raise ValueError("no image")
+    tall, wide = page.shape[:2]
+    angle, quality = draw.uniform(-most, most), draw.randint(low, high)
+    page = cv2.warpAffine(page, cv2.getRotationMatrix2D((wide / 2, tall / 2), angle, 1.0), (wide, tall), borderValue=(255, 255, 255))
+    return cv2.imencode(".jpg", page, [cv2.IMWRITE_JPEG_QUALITY, quality])[1].tobytes(), f"rotated {angle:.1f}, quality {quality}"
+
+
+def render(content: bytes, style: str) -> tuple[bytes, str]:
+    """HTML as PDF. Needs WeasyPrint."""
+    try:
+        import weasyprint
+    except ImportError as e:
+        raise Unavailable("no PDF renderer is installed") from e
+    return weasyprint.HTML(string=content.decode()).write_pdf(stylesheets=[weasyprint.CSS(string=style)] if style else None), f"weasyprint {weasyprint.__version__}"
+
+
+def page_to_pdf(content: bytes, parameter: str) -> tuple[bytes, str]:
+    """A JPEG page as a PDF of one page, which shows it as it is; parameter: dots an inch."""
+    at, size = 2, None
+    while size is None:
+        if content[at : at + 1] != b"\xff" or at + 9 > len(content):
+            raise ValueError("no JPEG")
+        kind, length = content[at + 1], int.from_bytes(content[at + 2 : at + 4], "big")
+        if 0xC0 <= kind <= 0xC3:
+            size = int.from_bytes(content[at + 7 : at + 9], "big"), int.from_bytes(content[at + 5 : at + 7], "big")
+            grey = content[at + 9] == 1
+        at += 2 + length
+    wide, tall = (72 * x / float(parameter or 300) for x in size)
+    draws = f"q {wide:.2f} 0 0 {tall:.2f} 0 0 cm /I Do Q".encode()
+    parts = [
+        b"<</Type/Catalog/Pages 2 0 R>>", b"<</Type/Pages/Kids[3 0 R]/Count 1>>",
+        f"<</Type/Page/Parent 2 0 R/MediaBox[0 0 {wide:.2f} {tall:.2f}]/Resources<</XObject<</I 4 0 R>>>>/Contents 5 0 R>>".encode(),
+        f"<</Type/XObject/Subtype/Image/Width {size[0]}/Height {size[1]}/ColorSpace/Device{'Gray' if grey else 'RGB'}/BitsPerComponent 8/Filter/DCTDecode/Length {len(content)}>>stream\n".encode() + content + b"\nendstream",
+        f"<</Length {len(draws)}>>stream\n".encode() + draws + b"\nendstream",
+    ]
+    out, places = b"%PDF-1.4\n", []
+    for i, part in enumerate(parts, 1):
+        places.append(len(out))
+        out += f"{i} 0 obj".encode() + part + b"endobj\n"
+    table = "".join(f"{x:010d} 00000 n \n" for x in places)
+    return out + f"xref\n0 {len(parts) + 1}\n0000000000 65535 f \n{table}trailer<</Size {len(parts) + 1}/Root 1 0 R>>startxref\n{len(out)}\n%%EOF\n".encode(), f"{size[0]}x{size[1]}"
+
+
+def page_count(content: bytes) -> int:
+    """Pages of a PDF whose page objects are not compressed; at least 1."""
+    return max(1, len(re.findall(rb"/Type\s*/Page(?![a-zA-Z])", content)))

@@ -14,28 +14,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import fields, money, text
 from ledgerloom.operators import corrections, export, extraction, gate, governance, leakage, lineitems, rescue, sampling, scoring, voting
+from ledgerloom.plans import generated  # noqa: F401 (registers its queries)
+from ledgerloom.plans.registry import QUERIES, SQL, query
+from ledgerloom.plans.registry import table as _t
+from ledgerloom.sources.shared import shared_root
 
 PASS_CHARS = 500
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name, with its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _values(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
     return spark.createDataFrame(rows, names)
 
@@ -67,7 +51,8 @@ def _compared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     labels = _t(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"), F.col("toxic").cast("string").alias("toxic"))
     truth = labels.unpivot(["doc_id"], ["quality", "toxic"], "field_id", "expected")
     sets = docs.select(F.col("source").alias("set_slug"), "doc_id", (F.col("n_chars") >= PASS_CHARS).alias("gate_passed"), (F.col("n_chars") / 1024).alias("elapsed_s"))
-    return sets, scoring.compare_fields(results, truth)
+    wrong_first = truth.withColumn("expected", F.lit("none")).withColumn("ordinal", F.lit(0))
+    return sets, scoring.compare_fields(results, wrong_first.unionByName(truth.withColumn("ordinal", F.lit(1))))
 
 
 _WRONG = """
@@ -178,19 +163,13 @@ def corrections_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from ledgerloom.streaming import corrections as stream
 
-    root = _scratch(spark) + f"/corrections-{uuid.uuid4().hex}"
+    root = shared_root(spark) + f"/corrections-{uuid.uuid4().hex}"
     schema = _t(spark, sf_dir, "events").schema
     events = stream.read_stream(spark, f"{sf_dir}/events.parque[t]", schema).select(F.col("event_id").alias("id"), F.col("user_id").alias("extraction_id"), F.col("event_type").alias("field_id"), F.col("value").alias("corrected_value"), _stamp("ts").alias("submitted_at"))
     stream.append_stream(events, _extractions(spark, sf_dir), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return corrections.latest(spark.read.parquet(f"{root}/out").withColumn("ordinal", F.col("id"))).drop("ordinal")
 
 
-def _scratch(spark: SparkSession) -> str:
-    import tempfile
-
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="ledgerloom-")).rstrip("/")
-
-
 # --- review queue --------------------------------------------------------------------------------------------------
 
 
@@ -239,9 +218,46 @@ def oldest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.orderBy("o_orderdate", "o_orderkey").limit(30).select(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("created"))
 
 
+_LATE = "len(list_filter(generate_series(o_orderdate::DATE + 1, DATE '2001-08-10', INTERVAL 1 DAY), lambda x: isodow(x) < 6))"
+
+
+@query(f"""
+WITH a AS (SELECT o_orderkey AS id, o_orderdate, {_LATE}::BIGINT AS business_days FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'P' AND c_mktsegment = 'MACHINERY' AND c_nationkey <> 3),
+b AS (SELECT *, count(*) OVER () AS n_overdue, row_number() OVER (ORDER BY o_orderdate, id) AS place FROM a WHERE business_days > 3)
+SELECT id, business_days, place::INT AS place, place <= 10 AS carried, n_overdue::BIGINT AS n_overdue FROM b WHERE place <= 30
+""")
+def overdue_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the alert lists of one plan's overdue failures, and how many there are."""
+    o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("tenant_id"), (F.col("o_orderstatus") != "P").alias("gate_passed"), F.col("o_orderdate").alias("created_at"))
+    tenants = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tenant_id"), F.col("c_mktsegment").alias("plan"), (F.col("c_nationkey") == 3).alias("suppressed"))
+    return rescue.overdue_alert(o, tenants, F.to_date(F.lit("2001-08-10")), plan="MACHINERY").select("id", "business_days", "place", "carried", "n_overdue")
+
+
+@query(f"""
+WITH p AS (SELECT 'review-' || lower(n_name) AS name, min(n_nationkey) AS project_id FROM nation WHERE n_nationkey % 4 <> 1 GROUP BY 1)
+SELECT q.id, project_id::BIGINT AS project_id FROM ({_PENDING}) q JOIN customer ON c_custkey = q.tenant_id JOIN nation n ON n.n_nationkey = c_nationkey JOIN p ON p.name = 'review-' || lower(n.n_name)
+""")
+def queue_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue with each tenant's review project; nations stand for projects, and a quarter of them is missing."""
+    nation = _t(spark, sf_dir, "nation")
+    projects = nation.filter("n_nationkey % 4 <> 1").select(F.col("n_nationkey").cast("long").alias("project_id"), F.concat(F.lit("review-"), F.lower("n_name")).alias("name"))
+    tenants = _t(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("tenant_id"), F.lower("n_name").alias("slug"))
+    return rescue.with_project(_queue(spark, sf_dir), tenants, projects, "review-").select("id", "project_id")
+
+
 # --- governance ----------------------------------------------------------------------------------------------------
 
 
+@query("""
+SELECT l_suppkey AS tenant_id, sha256(CAST(l_partkey AS VARCHAR)) AS file_sha256, min(row(l_shipdate, l_orderkey)).l_orderkey AS id FROM (SELECT l_suppkey, l_partkey, l_shipdate, l_orderkey FROM lineitem) GROUP BY l_suppkey, l_partkey
+""".replace("min(row(l_shipdate, l_orderkey)).l_orderkey", "arg_min(l_orderkey, row(l_shipdate, l_orderkey))"))
+def first_ingests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ingest of each tenant's file; suppliers stand for tenants, parts for files."""
+    li = _t(spark, sf_dir, "lineitem")
+    entries = li.select(F.col("l_suppkey").alias("tenant_id"), F.sha2(F.col("l_partkey").cast("string"), 256).alias("file_sha256"), F.col("l_shipdate").alias("created_at"), F.col("l_orderkey").alias("id"))
+    return governance.first_ingests(entries).select("tenant_id", "file_sha256", "id")
+
+
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _t(spark, sf_dir, "documents")
     role = F.get(F.array(*map(F.lit, ("TRAIN", "BACKFILL", "EVAL-ONLY-PRIVATE"))), (F.col("doc_id") % 3).cast("int"))
@@ -405,7 +421,7 @@ def pilot_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT CASE WHEN n_chars < 600 THEN 'small' WHEN n_chars < 2000 THEN 'medium' WHEN n_chars < 5000 THEN 'large' ELSE 'huge' END AS bucket, count(*)::BIGINT AS n
+SELECT CASE WHEN n_chars < 614.4 THEN 'clean' WHEN n_chars < 2048 THEN 'light' WHEN n_chars < 5120 THEN 'heavy' ELSE 'very-heavy' END AS bucket, count(*)::BIGINT AS n
 FROM documents GROUP BY 1
 """)
 def size_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -485,7 +501,7 @@ def header_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three engines read a document's first line: whole, lower-cased without its last letter, and its first word."""
-    first = F.substring(F.get(F.split("text", "\n"), F.lit(0)), 1, 60)
+    first = F.get(F.split("text", "\n"), F.lit(0))
     reads = F.array(
         F.struct(F.lit("e1").alias("engine"), F.lit(1).alias("ordinal"), first.alias("raw_text")),
         F.struct(F.lit("e2").alias("engine"), F.lit(2).alias("ordinal"), F.concat(F.lit(" "), F.lower(first)).alias("raw_text")),
@@ -498,34 +514,33 @@ _NORMAL = r"regexp_replace(regexp_replace(lower({0}), '^\s+|\s+$', '', 'g'), '\s
 
 
 @query(f"""
-WITH f AS (SELECT doc_id, substr(string_split(text, chr(10))[1], 1, 60) AS x FROM documents),
+WITH f AS (SELECT doc_id, string_split(text, chr(10))[1] AS x FROM documents),
 c AS (SELECT doc_id, e.engine, e.ordinal, e.raw FROM f, LATERAL (VALUES ('e1', 1, x), ('e2', 2, ' ' || lower(x)), ('e3', 3, string_split(x, ' ')[1])) e(engine, ordinal, raw)),
 r AS (SELECT doc_id, engine, ordinal, raw FROM c WHERE raw <> ''),
-ref AS (SELECT doc_id, engine AS ref_engine, raw AS raw_text FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(raw) DESC, ordinal) = 1)
-SELECT doc_id, ref_engine, raw_text, count(*)::BIGINT AS candidates, count(*) FILTER (engine = ref_engine OR {_NORMAL.format("raw")} = {_NORMAL.format("raw_text")})::BIGINT AS agreed,
+ref AS (SELECT doc_id, engine AS ref_engine, raw AS raw_text FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(raw) DESC, ordinal) = 1),
+v AS (SELECT doc_id, ref_engine, raw_text, count(*)::BIGINT AS candidates, count(*) FILTER (engine = ref_engine OR {_NORMAL.format("raw")} = {_NORMAL.format("raw_text")})::BIGINT AS agreed,
   count(*) >= 2 AND count(*) = count(*) FILTER (engine = ref_engine OR {_NORMAL.format("raw")} = {_NORMAL.format("raw_text")}) AS agreement,
   sum(CASE engine WHEN 'e1' THEN 0.75 WHEN 'e2' THEN 0.5 ELSE 0.25 END)::DOUBLE / count(*) AS ocr_confidence
-FROM r JOIN ref USING (doc_id) GROUP BY 1, 2, 3
+FROM r JOIN ref USING (doc_id) GROUP BY 1, 2, 3)
+SELECT d.doc_id, a.field_id, ref_engine, raw_text, coalesce(candidates, 0) AS candidates, coalesce(agreed, 0) AS agreed, coalesce(agreement, false) AS agreement, coalesce(ocr_confidence, 0.0) AS ocr_confidence
+FROM documents d CROSS JOIN (VALUES ('vendor'), ('total'), ('vat'), ('date')) a(field_id) LEFT JOIN v ON v.doc_id = d.doc_id AND a.field_id = 'vendor'
 """)
 def voter_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = _candidates(spark, sf_dir)
     sure = F.when(F.col("engine") == "e1", 0.75).when(F.col("engine") == "e2", 0.5).otherwise(0.25)
     out = voting.vote(candidates, candidates.select("doc_id", "engine", sure.alias("confidence")))
-    return out.select("doc_id", "ref_engine", "raw_text", "candidates", "agreed", "agreement", "ocr_confidence")
+    return out.select("doc_id", "field_id", "ref_engine", "raw_text", "candidates", "agreed", "agreement", "ocr_confidence")
 
 
 @query("""
-WITH w AS (SELECT vec_id, unnest(embedding) AS x FROM embeddings)
-SELECT vec_id AS doc_id, 'e' || CAST(label AS VARCHAR) AS engine, coalesce(sum(CASE WHEN x > 0 THEN CAST(floor(x * 4096) AS BIGINT) END)::DOUBLE / count(*) FILTER (x > 0) , 0.0) AS confidence
-FROM w JOIN embeddings USING (vec_id) GROUP BY 1, 2
+WITH w AS (SELECT vec_id, label, unnest(embedding) AS x FROM embeddings), q AS (SELECT vec_id, label, CAST(floor(x * 4096) AS BIGINT) AS c FROM w)
+SELECT vec_id AS doc_id, 'e' || CAST(label AS VARCHAR) AS engine, round(coalesce(sum(c) FILTER (c > 0 AND c % 7 <> 0)::DOUBLE / count(*) FILTER (c > 0 AND c % 7 <> 0), 0.0) / 100, 9) AS confidence FROM q GROUP BY 1, 2
 """)
 def word_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of a vector are words' confidences; whole numbers keep their mean exact."""
+    """Components of a vector are words' confidences in per cent; every seventh whole number stands on a blank word."""
     e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.concat(F.lit("e"), F.col("label")).alias("engine"), F.explode("embedding").alias("x"))
-    words = e.select("doc_id", "engine", F.lit("w").alias("text"), F.col("x").alias("conf"), F.floor(F.col("x") * 4096).alias("whole"))
-    good = words.filter((F.trim("text") != "") & (F.col("conf") > 0))
-    found = good.groupBy("doc_id", "engine").agg((F.sum("whole").cast("double") / F.count(F.lit(1))).alias("c"))
-    return words.select("doc_id", "engine").distinct().join(found, ["doc_id", "engine"], "left").select("doc_id", "engine", F.coalesce("c", F.lit(0.0)).alias("confidence"))
+    words = e.withColumn("conf", F.floor(F.col("x") * 4096)).select("doc_id", "engine", F.when(F.col("conf") % 7 == 0, " ").otherwise("w").alias("text"), "conf")
+    return voting.word_confidence(words).withColumn("confidence", F.round("confidence", 9))
 
 
 def _gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,11 +551,12 @@ def _gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         verifier = F.when((d + i) % 4 != 0, ((d * 3 + i) % 101) / 100)
         each.append(F.struct(F.lit(f).alias("field_id"), value.alias("value"), ((d + i) % 3 == 0).alias("agreed"), ((d + i) % 5 != 0).alias("valid"), (((d * 7 + i * 13) % 6 + 95) / 100).alias("ocr"), verifier.alias("verifier")))
     bounces = F.when(d % 11 == 0, F.array(F.lit("vat exceeds total"))).otherwise(F.array().cast("array<string>"))
-    return _t(spark, sf_dir, "documents").select("doc_id", bounces.alias("bounces"), F.explode(F.array(*each)).alias("f")).select("doc_id", "bounces", "f.*")
+    rows = _t(spark, sf_dir, "documents").select("doc_id", bounces.alias("bounces"), F.explode(F.array(*each)).alias("f")).select("doc_id", "bounces", "f.*")
+    return rows.filter(~((F.col("field_id") == "vat") & (F.col("doc_id") % 7 == 0)))  # nobody read it
 
 
 _GATE = """
-  SELECT doc_id, i, f, CASE WHEN (doc_id + i) % 17 = 0 THEN 0.0
+  SELECT doc_id, i, f, CASE WHEN (doc_id + i) % 17 = 0 OR (f = 'vat' AND doc_id % 7 = 0) THEN 0.0
     WHEN (doc_id + i) % 3 = 0 AND (doc_id + i) % 5 <> 0 THEN least(1.0::DOUBLE, (((doc_id * 7 + i * 13) % 6 + 95)::DOUBLE / 100) * 1.05::DOUBLE)
     WHEN (doc_id + i) % 4 <> 0 THEN least(1.0::DOUBLE, (((doc_id * 7 + i * 13) % 6 + 95)::DOUBLE / 100) * 0.30::DOUBLE + (((doc_id * 3 + i) % 101)::DOUBLE / 100) * 0.55::DOUBLE + CASE WHEN (doc_id + i) % 5 <> 0 THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END)
     ELSE (((doc_id * 7 + i * 13) % 6 + 95)::DOUBLE / 100) * 0.5::DOUBLE END AS final
@@ -559,7 +575,7 @@ def gate_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.gate(_gate_rows(spark, sf_dir))
 
 
-@query(f"SELECT f AS field_id, count(*)::BIGINT AS n, count(*) FILTER (final >= 0.98)::BIGINT AS passed, count(*) FILTER ((doc_id + i) % 3 <> 0)::BIGINT AS verified FROM ({_GATE}) GROUP BY 1")
+@query(f"SELECT f AS field_id, count(*)::BIGINT AS n, count(*) FILTER (final >= 0.98)::BIGINT AS passed, count(*) FILTER ((doc_id + i) % 3 <> 0)::BIGINT AS verified FROM ({_GATE}) WHERE f <> 'vat' OR doc_id % 7 <> 0 GROUP BY 1")
 def composite_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _gate_rows(spark, sf_dir)
     final = gate.composite(*[F.col(c) for c in ("value", "agreed", "valid", "ocr", "verifier")])
@@ -599,11 +615,12 @@ def cross_field_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, _CROSS, "id int, vat double, total double").select("id", gate.cross_field(F.col("vat"), F.col("total")).alias("c")).select("id", "c.*")
 
 
-_NUMBERS = [("IE1234567A",), ("IE0000000B",), ("IE12345",), ("GB123456789",), ("IE7654321AB",)]
+_NUMBERS = [("IE1234567A",), ("IE0000000B",), ("IE0000001B",), ("IE0000092C",), ("IE12345",), ("GB123456789",), ("IE7654321AB",)]
 
 
 @query(f"""
-SELECT number, regexp_matches(number, '^IE\\d{{7}}[A-Z]{{1,2}}$') AND coalesce(({" + ".join(f"TRY_CAST(substr(number, {3 + i}, 1) AS INT) * {w}" for i, w in enumerate(money.VAT_WEIGHTS))}) % 23 <> 0, false) AS ok
+SELECT number, regexp_matches(number, '^IE\\d{{7}}[A-Z]{{1,2}}$') AND coalesce((8 * TRY_CAST(substr(number, 3, 1) AS INT) + 7 * TRY_CAST(substr(number, 4, 1) AS INT) + 6 * TRY_CAST(substr(number, 5, 1) AS INT)
+  + 5 * TRY_CAST(substr(number, 6, 1) AS INT) + 4 * TRY_CAST(substr(number, 7, 1) AS INT) + 3 * TRY_CAST(substr(number, 8, 1) AS INT) + 2 * TRY_CAST(substr(number, 9, 1) AS INT)) % 23 <> 0, false) AS ok
 FROM {_literal(_NUMBERS, "number string")}
 """)
 def vat_number_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -638,6 +655,16 @@ def engine_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.engine_text(e)
 
 
+@query("""
+SELECT user_id AS doc_id, substr(string_agg(event_type, chr(10) ORDER BY event_id), 1, 6000) AS text FROM events WHERE user_id % 3 <> 0 GROUP BY 1
+""")
+def model_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a model gets of the documents that are not native."""
+    form = F.when(F.col("user_id") % 3 == 0, "digital_native").when(F.col("user_id") % 3 == 1, "paper_scan")
+    e = _t(spark, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.col("event_id").alias("ordinal"), F.col("event_type").alias("raw_text"), form.alias("original_form"))
+    return extraction.model_text(e)
+
+
 @query("""
 SELECT d.doc_id, f.field_id, l.quality AS verdict FROM documents d CROSS JOIN (VALUES ('vendor'), ('total')) f(field_id) LEFT JOIN labels l ON l.doc_id = d.doc_id AND f.field_id = 'vendor'
 """)
@@ -707,12 +734,20 @@ def accounting_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.bills(_payloads(spark, sf_dir))
 
 
-_DATES = [("1/2/2025",), ("2025-12-31",), ("05-06-2024",), ("7.8.2023",), ("2022/01/09",), ("3 Mar 2021",), ("4 April 2020",), ("31/02/2025",), ("soon",), ("",), (None,)]
+@query("SELECT o_orderkey AS id FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7) AND o_orderstatus <> 'P' AND o_orderkey % 3 = 0 AND o_orderkey < 6000")
+def clean_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of one tenant's extractions may be exported, of a list of ids; a nation is the tenant."""
+    o, c = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer")
+    rows = o.join(c, o["o_custkey"] == c["c_custkey"]).select(F.col("o_orderkey").alias("id"), F.col("c_nationkey").cast("string").alias("tenant_id"), (F.col("o_orderstatus") != "P").alias("gate_passed"), F.col("o_orderdate").alias("created_at"))
+    return export.clean(rows, "7", [str(k) for k in range(0, 6000, 3)]).select("id")
+
+
+_DATES = [("1/2/2025",), ("2025-12-31",), ("05-06-2024",), ("7.8.2023",), ("2022/01/09",), ("3 Mar 2021",), ("4 April 2020",), ("31/02/2025",), ("1/2/25",), ("1-2-26",), ("12025-1-2",), ("soon",), ("",), (None,)]
 
 
 @query("""
 SELECT * FROM (VALUES ('1/2/2025', '01/02/2025', '03/03/2025'), ('2025-12-31', '31/12/2025', '30/01/2026'), ('05-06-2024', '05/06/2024', '05/07/2024'), ('7.8.2023', '07/08/2023', '06/09/2023'),
-  ('2022/01/09', '09/01/2022', '08/02/2022'), ('3 Mar 2021', '03/03/2021', '02/04/2021'), ('4 April 2020', '04/04/2020', '04/05/2020'), ('31/02/2025', '31/02/2025', ''), ('soon', 'soon', ''), ('', '', ''), (NULL, '', '')) v(raw, formatted, due)
+  ('2022/01/09', '09/01/2022', '08/02/2022'), ('3 Mar 2021', '03/03/2021', '02/04/2021'), ('4 April 2020', '04/04/2020', '04/05/2020'), ('31/02/2025', '31/02/2025', ''), ('1/2/25', '1/2/25', ''), ('1-2-26', '1-2-26', ''), ('12025-1-2', '12025-1-2', ''), ('soon', 'soon', ''), ('', '', ''), (NULL, '', '')) v(raw, formatted, due)
 """)
 def due_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = money.format_date(F.col("raw"))
@@ -825,14 +860,6 @@ def fuzzy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, _FUZZY, "a string, b string").select("a", "b", text.fuzzy_equal(F.col("a"), F.col("b")).alias("close"))
 
 
-@query()
-def generated_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items of all template families; draws are hashes that SQL elsewhere does not have."""
-    from ledgerloom.plans.generator import line_items as generated
-
-    return generated(spark, 20)
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

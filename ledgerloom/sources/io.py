@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.functions.text import strip
+
+log = logging.getLogger(__name__)
+
 # File kinds that discovery lists, and those that ingestion takes besides.
 LISTED = ("pdf", "jpg", "jpeg", "png", "tif", "tiff")
 IMAGES = ("jpg", "jpeg", "png", "tif", "tiff", "bmp", "webp")
@@ -36,7 +43,7 @@ def discover(spark: SparkSession, folder: str, doc: str | None = None) -> DataFr
 
 def is_native_text(page_text: Column, least: int = 50) -> Column:
     """A PDF page is taken as text, not as an image, from so many characters on."""
-    return F.length(F.regexp_replace(page_text, r"^\s+|\s+$", "")) >= least
+    return F.length(strip(page_text)) >= least
 
 
 def read_documents(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:
@@ -54,19 +61,87 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | str) ->
         return spark.createDataFrame([], schema)
 
 
+def malformed_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The lines that read_json_lines() skips, but for blank ones, to be counted or reported."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    bad = F.from_json("value", f"{schema}, _bad string" if isinstance(schema, str) else schema.add("_bad", "string"), {"columnNameOfCorruptRecord": "_bad"})["_bad"]
+    return lines.select(bad.alias("line")).filter("line is not null")
+
+
 def append_json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+    """Appends rows as JSON lines; what JSON has no type for (dates, times, decimals, bytes) is written as text."""
+    plain = [F.col(c).cast("string").alias(c) if kind in ("date", "binary") or kind.startswith(("timestamp", "decimal", "interval")) else F.col(c) for c, kind in df.dtypes]
+    df.select(*plain).write.mode("append").json(path)
 
 
 def overwrite_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_documents(df: DataFrame, folder: str, by: tuple[str, ...] = ("set_slug", "doc_id")) -> None:
+    """One JSON document for each row, in a folder of its own below folder/set_slug=.../doc_id=.../; read_documents() reads them."""
+    df.write.mode("overwrite").partitionBy(*by).json(folder)
+
+
+def ingested(files: DataFrame, page_text: Column) -> DataFrame:
+    """Files (path, content) with how they were made, read by their suffix and a page's text, their hash and size.
+
+    A PDF with enough text on its first page is native and its text is kept; other PDFs and images need a model. Files of
+    other kinds are an error.
+    """
+    branch, native = ingest_branch(F.col("path")), is_native_text(F.coalesce(page_text, F.lit("")))
+    form = F.when(branch == "image", "paper_scan").when(branch == "pdf", F.when(native, "digital_native").otherwise("image_only_pdf"))
+    unknown = F.raise_error(F.concat(F.lit("unsupported file: "), F.col("path"))).cast("string")
+    return files.select(
+        "*", F.coalesce(form, unknown).alias("original_form"), F.when(form == "digital_native", page_text).alias("native_text"),
+        F.sha2("content", 256).alias("file_sha256"), F.length("content").cast("long").alias("file_size_bytes"),
+    )
+
+
+def discover_sets(files: DataFrame, prefix: str) -> DataFrame:
+    """The sets (set_slug, n) of discover()'s files that begin with a prefix; sets without samples have no files."""
+    return files.filter(F.startswith("set_slug", F.lit(prefix)) & (F.col("set_slug") != "")).groupBy("set_slug").agg(F.count(F.lit(1)).alias("n")).orderBy("set_slug")
+
+
+def fetch(url: str, path: Path, get: Callable[[str], Iterator[bytes]], pause: float = 0.5) -> bool:
+    """Downloads to a file unless it is there and not empty; a failed download leaves nothing. On the driver, one at a time.
+
+    get: gives the parts of what a URL holds, such as an HTTP client's chunks.
+    """
+    if path.exists() and path.stat().st_size:
+        return True
+    path.parent.mkdir(parents=True, exist_ok=True)
+    try:
+        with path.open("wb") as f:
+            for part in get(url):
+                f.write(part)
+    except Exception as e:
+        log.warning("%s: %s", url, e)
+        path.unlink(missing_ok=True)
+        return False
+    time.sleep(pause)
+    return True
+
+
+#: Sets that are built from public sources: those whose source is wired give URLs, the others nothing.
+SetBuilder = Callable[[int], list[str]]
+
+
+def build_sets(builders: dict[str, SetBuilder], folder: Path, get: Callable[[str], Iterator[bytes]], limit: int, pause: float = 0.5) -> dict[str, int]:
+    """Files there are of each set after fetching the first `limit` of what its builder names."""
+    out = {}
+    for name, urls in builders.items():
+        samples = folder / name / "samples"
+        out[name] = sum(fetch(url, samples / url.rstrip("/").rsplit("/", 1)[-1], get, pause) for url in urls(limit)[:limit])
+    return out
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header, also for no rows. For exports of a size that one file is wanted for."""
+    spark = df.sparkSession
     df.coalesce(1).write.mode("overwrite").option("header", "true").option("quoteAll", "false").option("emptyValue", "").csv(path)
-    if df.isEmpty():
-        df.sparkSession.createDataFrame([(",".join(df.columns),)], "line string").coalesce(1).write.mode("overwrite").text(path)
+    if not spark.read.text(path).head(1):  # looks at the file, not at the plan again
+        spark.createDataFrame([(",".join(df.columns),)], "line string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:
@@ -80,6 +155,19 @@ def rebuild(df: DataFrame, folder: str, now: float | None = None) -> str:
     return path
 
 
+def push_version(df: DataFrame, folder: str) -> tuple[str, bool]:
+    """Writes df as a version named by its content; gives its path, and whether it is new. Content that is there is not written again."""
+    spark = df.sparkSession
+    row = F.struct(*[F.col(c) for c in sorted(df.columns)])
+    facts = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(F.to_json(row)).cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), F.to_json(row))).alias("x")).first()
+    path = f"{folder.rstrip('/')}/" + hashlib.sha256(f"{sorted(df.columns)} {facts['n']} {facts['s']} {facts['x']}".encode()).hexdigest()[:16]
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return path, False
+    df.write.mode("overwrite").parquet(path)
+    return path, True
+
+
 def read_sql(spark: SparkSession, tables: dict[str, DataFrame], query: str) -> DataFrame:
     """A query over named tables; in production they are JDBC tables, and filters reach the database."""
     for name, df in tables.items():
@@ -97,6 +185,25 @@ def merged_config(defaults: Column, given: Column) -> Column:
     return F.map_concat(kept, given)
 
 
+def auth_header(token: str, scheme: str | None = None) -> str:
+    """The authorisation header of an HTTP sink: long tokens with dots are bearer tokens, others plain ones."""
+    return f"{scheme or ('Bearer' if len(token) >= 80 and '.' in token else 'Token')} {token}"
+
+
+class TokenCache:
+    """Access tokens by address, renewed when they are older than `seconds`."""
+
+    def __init__(self, renew: Callable[[str], str], seconds: float = 3000, now: Callable[[], float] = time.time):
+        self.renew, self.seconds, self.now, self.held = renew, seconds, now, {}
+
+    def __call__(self, address: str) -> str:
+        token, since = self.held.get(address, (None, 0.0))
+        if token is None or self.now() - since >= self.seconds:
+            token = self.renew(address)
+            self.held[address] = token, self.now()
+        return token
+
+
 def push(df: DataFrame, send: Callable[[list[dict]], None], size: int = 200) -> None:
     """Rows in small groups to a sender on the executors, such as an HTTP client."""
 

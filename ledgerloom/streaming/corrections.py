@@ -23,7 +23,11 @@ def append_stream(stream: DataFrame, extractions: DataFrame, out: str, checkpoin
 
 
 def push_stream(stream: DataFrame, markers: str, checkpoint: str, send=None) -> StreamingQuery:
-    """Pushes each id once: a marker row is written after success, ids with a marker are skipped."""
+    """Pushes ids without a marker and marks them after success, so a batch that failed is sent again: at least once each.
+
+    send takes the batch's new ids (a DataFrame) and should be idempotent by id, or itself check the receiver: between its success and
+    the marker's write a failure repeats it.
+    """
 
     def batch(df: DataFrame, _: int) -> None:
         spark = df.sparkSession

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import fields, money, text
 from ledgerloom.operators import corrections, gate, lineitems, sampling
-from ledgerloom.plans import generator
 from ledgerloom.sources import io
 
 
@@ -92,15 +91,6 @@ def test_buckets_and_seeds(spark):
     assert one(spark, text.derived_id(F.lit("vet"), F.lit(42), F.lit(2)))[0] == "synth-78d54e7d2bd6"
 
 
-def test_generated_families(spark):
-    items = generator.line_items(spark, 5)
-    rules = {r[0]: r for r in generator.RULES}
-    for r in items.groupBy("template_family", "doc_id").agg(F.count("*").alias("n"), F.bool_and(F.expr("net + vat = gross")).alias("ok"), F.max("gross").alias("most")).collect():
-        _, low, high, _, sign, _ = rules[r.template_family]
-        assert low <= r.n <= high and r.ok and (r.most < 0) == (sign < 0)
-    assert items.select("template_family").distinct().count() == 16
-
-
 @pytest.mark.parametrize("html,n", [("", 0), ("<table></table>", 0), ("<tr><td>a</td><td>1.00</td></tr>", 1), ("<tr><td>qty</td><td>item 1.00</td></tr><tr><td>a</td><td>1.00</td></tr>", 1)])
 def test_tables(spark, html, n):
     assert lineitems.table_items(spark.createDataFrame([("d", html)], "doc_id string, html string")).count() == n
