@@ -1,18 +1,23 @@
 """Drop lines that repeat an earlier line up to one edit, by a deletion-neighbourhood join (DataFrame functions only).
 
 Lines are compared without leading and trailing spaces, tabs and carriage returns. A line of at least `min_chars`
-characters is dropped if an equal line, or one whose first occurrence is earlier and that is one character edit away
-(Levenshtein), came earlier by (doc_id, line number); the earliest stays. Equal lines may go from fewer characters on (`exact_chars`). Decisions look at the input, not at what is
-left, so they do not depend on an order of work.
+characters is dropped if an equal line, or one whose first occurrence is earlier and that is one edit away, came earlier
+by (doc_id, line number); the earliest stays. An edit inserts, deletes or replaces one word (what stands between single
+spaces) in lines of at least `min_words` words, and one character in shorter ones; lines of the one kind are not compared
+with lines of the other. Equal lines may go from fewer characters on (`exact_chars`). Decisions look at the input, not at
+what is left, so they do not depend on an order of work.
 
 Steps. Equal lines collapse to their first occurrence, as numbers only (two 64-bit hashes, length). Two lines one edit
 apart agree in their first or in their last half, cut by the shorter one's length; lines that share no half with
 another line leave here, by an aggregate that is summed before its shuffle. The rest read their text again and are cut
 into 16 blocks; one edit lies in one block, so lines go on only where all but one block agrees. They emit the deletion
-variants of that block as hashed keys: the block without its i-th character, keyed with i, meets its substitutions; the
-block itself meets those that have one character more. Within a variant all members are compared with the earliest
-only, so no pairs are made within a group; every such pair's edit distance is verified on the texts. Distinct lines of
-one variant differ in one character, so a variant's group is bounded by the alphabet, however often lines repeat.
+variants of that block as hashed keys: the block without its i-th unit, keyed with i, meets its substitutions; the
+block itself meets those that have one unit more. Within a variant all members are compared with the earliest only, so
+no pairs are made within a group: all members of a substitution's variant are one edit apart, and of a line and its
+extensions only a line and an extension are. Every such pair's edit distance is verified on the texts.
+
+The bound is one edit, and no parameter: lines that share a variant of two deletions may be four edits apart, so the
+earliest would not do for a group's members, and groups (numbered lines) have no bound on their pairs.
 
 Defined cases: a null text stays null with 0 lines; an empty text has one line, which is kept; short lines are always
 kept; rows with equal doc_id and equal text share their decisions, rows with equal doc_id and other texts are ordered
@@ -26,10 +31,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import release, stored
 
-EDITS = 1
 #: Parts of a line; deletion variants are made of the part that may differ.
 BLOCKS = 16
-MIN_CHARS = 20
+#: Characters from which lines are compared for an edit, and words from which the edit is one of a word.
+MIN_CHARS, MIN_WORDS = 20, 8
 #: Kept apart from any column of the input.
 P = "__loom_"
 
@@ -43,39 +48,60 @@ def _hash2(x: Column) -> list[Column]:
     return [F.xxhash64(x), F.xxhash64(F.lit("second"), x)]
 
 
-def _half_keys(line: Column, n: Column) -> Column:
-    """Keys of the halves, for partners of at least this length (base n) and for shorter ones (base n - 1)."""
+def _words(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+
+
+def _half_keys(line: Column, n: Column, by_word: bool) -> Column:
+    """Keys of the halves, for partners of at least this length (base n) and for shorter ones (base n - 1); n: words or characters."""
+    if by_word:
+        head, tail = (lambda k: F.call_function("substring_index", line, F.lit(" "), k)), (lambda k: F.call_function("substring_index", line, F.lit(" "), -k))
+    else:
+        head, tail = (lambda k: F.substring(line, F.lit(1), k)), (lambda k: F.substring(line, n - k + 1, k))
     keys = []
     for base in (n, n - 1):
         h = F.floor(base / 2).cast("int")
-        keys.append(F.xxhash64(F.lit("head"), base, F.substring(line, F.lit(1), h)))
-        keys.append(F.xxhash64(F.lit("tail"), base, F.substring(line, n - (base - h) + 1, base - h)))
+        keys.append(F.xxhash64(F.lit("head"), F.lit(by_word), base, head(h)))
+        keys.append(F.xxhash64(F.lit("tail"), F.lit(by_word), base, tail((base - h).cast("int"))))
     return F.array(*keys)
 
 
-def _block_keys(line: Column, n: Column) -> Column:
-    """(k, same, block) of each block of the line: all but the block agrees where k does.
+def _block_keys(units: Column, n: Column, by_word: Column) -> Column:
+    """(k, same, block) of each block of the units: all but the block agrees where k does.
 
-    A line takes part at its own length (same), and as the longer partner of lines with one character less.
+    A line takes part at its own length (same), and as the longer partner of lines with one unit less.
     """
     out = []
     for same, base in ((True, n), (False, n - 1)):
         for j in range(BLOCKS):
             start, end = F.floor(base * j / BLOCKS).cast("int"), F.floor(base * (j + 1) / BLOCKS).cast("int")
-            k = F.xxhash64(base, F.lit(j), F.substring(line, F.lit(1), start), F.substring(line, n - (base - end) + 1, base - end))
-            out.append(F.struct(k.alias("k"), F.lit(same).alias("same"), F.substring(line, start + 1, end - start + (n - base)).alias("block")))
+            k = F.xxhash64(by_word, base, F.lit(j), F.slice(units, F.lit(1), start), F.slice(units, n - (base - end) + 1, base - end))
+            out.append(F.struct(k.alias("k"), F.lit(same).alias("same"), F.slice(units, start + 1, end - start + (n - base)).alias("block")))
     return F.array(*out)
 
 
-def occurrences(docs: DataFrame, min_chars: int, exact_chars: int) -> DataFrame:
+def _one_edit(a: Column, b: Column) -> Column:
+    """Whether two arrays of units are one insertion, deletion or replacement apart, or equal."""
+    apart = F.abs(F.size(a) - F.size(b))
+    short, long = F.when(F.size(a) <= F.size(b), a).otherwise(b), F.when(F.size(a) <= F.size(b), b).otherwise(a)
+    differ = F.zip_with(short, F.slice(long, F.lit(1), F.size(short)), lambda x, y: x != y)
+    first = F.array_position(differ, F.lit(True))  # from 1; 0 if none differs
+    at = F.when(first == 0, F.size(short) + 1).otherwise(first).cast("int")
+    rest = lambda x, k: F.slice(x, k, F.greatest(F.size(x) - k + 1, F.lit(0)))
+    return F.when(apart == 0, rest(short, at + 1) == rest(long, at + 1)).when(apart == 1, rest(short, at) == rest(long, at + 1)).otherwise(False)
+
+
+def occurrences(docs: DataFrame, min_chars: int, exact_chars: int, min_words: int) -> DataFrame:
     """One row for each line of at least exact_chars, without its text: where it is, its hashes and, from min_chars on, its half keys."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     lines = lines.withColumn("line", _norm(F.col("raw"))).withColumn("n", F.length("line")).filter(F.col("n") >= exact_chars)
-    h1, h2 = _hash2(F.col("line"))
-    return lines.select(F.struct("doc_id", "text_hash", "line_no").alias("at"), h1.alias("h1"), h2.alias("h2"), "n", F.when(F.col("n") >= min_chars, _half_keys(F.col("line"), F.col("n"))).alias("halves"))
+    line, words = F.col("line"), _words(F.col("line"))
+    h1, h2 = _hash2(line)
+    halves = F.when(F.col("n") >= min_chars, F.when(words >= min_words, _half_keys(line, words, True)).otherwise(_half_keys(line, F.col("n"), False)))
+    return lines.select(F.struct("doc_id", "text_hash", "line_no").alias("at"), h1.alias("h1"), h2.alias("h2"), "n", halves.alias("halves"))
 
 
-def near_earlier(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int) -> DataFrame:
     """h1, h2 of the distinct lines (firsts) of which a line one edit away occurs earlier."""
     keys = firsts.select(F.explode("halves").alias("k"), "h1")
     shared = keys.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
@@ -92,11 +118,13 @@ def near_earlier(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     texts = stored(texts.dropDuplicates(["h1", "h2"]))
     release(docs.sparkSession)
 
-    near = texts.select("h1", "at", "n", "line", F.explode(_block_keys(F.col("line"), F.col("n"))).alias("key")).select("h1", "at", "key.k", "key.same", "key.block")
+    units = F.when(F.col("by_word"), F.split("line", " ")).otherwise(F.split("line", ""))
+    spelled = texts.withColumn("by_word", _words(F.col("line")) >= min_words).select("h1", "at", "by_word", F.explode(F.array(units)).alias("units"))
+    near = spelled.select("h1", "at", F.explode(_block_keys(F.col("units"), F.size("units"), F.col("by_word"))).alias("key")).select("h1", "at", "key.k", "key.same", "key.block")
     shared_k = near.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
     meets = near.join(shared_k, "k", "left_semi")
-    block, spots = F.col("block"), F.when(F.length("block") > 0, F.sequence(F.lit(1), F.length("block"))).otherwise(F.array().cast("array<int>"))
-    deleted = lambda i: F.concat(F.substring(block, F.lit(1), i - 1), F.substring(block, i + 1, F.length(block)))
+    block, spots = F.col("block"), F.when(F.size("block") > 0, F.sequence(F.lit(1), F.size("block"))).otherwise(F.array().cast("array<int>"))
+    deleted = lambda i: F.concat(F.slice(block, F.lit(1), i - 1), F.slice(block, i + 1, F.size(block)))
     itself = F.array(F.struct(F.xxhash64("k", F.lit("line"), block).alias("v"), F.lit(True).alias("whole")))
     swaps = F.transform(spots, lambda i: F.struct(F.xxhash64("k", F.lit("swap"), i, deleted(i)).alias("v"), F.lit(False).alias("whole")))
     drops = F.array_distinct(F.transform(spots, lambda i: F.struct(F.xxhash64("k", F.lit("line"), deleted(i)).alias("v"), F.lit(False).alias("whole"))))
@@ -112,21 +140,22 @@ def near_earlier(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     member = emitted.join(shared_v, "v")
     pick = F.when(F.col("line").isNull(), F.col("swap")).when(F.col("whole"), F.col("longer")).otherwise(F.col("line"))
     pairs = member.withColumn("p", pick).filter(F.col("p.at") < F.col("at")).select("h1", F.col("p.h1").alias("p1")).distinct()
-    one = texts.select("h1", "h2", "line")
-    verified = pairs.join(one, "h1").join(one.select(F.col("h1").alias("p1"), F.col("line").alias("p_line")), "p1")
-    return verified.filter(F.levenshtein("line", "p_line", EDITS).between(0, EDITS)).select("h1", "h2").distinct()
+    one = texts.withColumn("by_word", _words(F.col("line")) >= min_words).select("h1", "h2", "by_word", units.alias("units"))
+    other = one.select(F.col("h1").alias("p1"), F.col("by_word").alias("p_by_word"), F.col("units").alias("p_units"))
+    verified = pairs.join(one, "h1").join(other, "p1")
+    return verified.filter((F.col("by_word") == F.col("p_by_word")) & _one_edit(F.col("units"), F.col("p_units"))).select("h1", "h2").distinct()
 
 
-def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
+def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with the lines that stay as text, and n_lines, n_dropped under the names __loom_n_lines, __loom_n_dropped.
 
     exact_chars: characters from which equal lines go, at most min_chars, which stands for None.
     """
     exact_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
-    found = occurrences(docs.select("doc_id", "text"), min_chars, exact_chars)
+    found = occurrences(docs.select("doc_id", "text"), min_chars, exact_chars, min_words)
     firsts = stored(found.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves")))
     release(docs.sparkSession)
-    late = near_earlier(docs.select("doc_id", "text"), firsts.filter(F.col("n") >= min_chars))
+    late = near_earlier(docs.select("doc_id", "text"), firsts.filter(F.col("n") >= min_chars), min_words)
     kept = firsts.select("h1", "h2", "at").join(late, ["h1", "h2"], "left_anti")
     kept = stored(kept.groupBy(F.col("at.doc_id").alias(f"{P}d"), F.col("at.text_hash").alias(f"{P}t")).agg(F.collect_list("at.line_no").alias(f"{P}kept")))
     release(docs.sparkSession)

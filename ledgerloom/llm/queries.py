@@ -34,7 +34,7 @@ def op5_bpe_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), exact_chars=1)
     return kept.select("doc_id", "text", F.col(f"{line_dedup.P}n_lines").alias("n_lines"), F.col(f"{line_dedup.P}n_dropped").alias("n_dropped"))
 
 
@@ -83,17 +83,18 @@ SELECT doc_id, size, source_size, target, (size * (copies + CASE WHEN d.h < k.h
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source
 """
 
-#: Lines by their halves and a direct test for one edit, where the operator joins deletion variants.
+#: Lines as lists of words or characters, by their halves and a direct test for one edit, where the operator joins deletion variants.
 OP6_SQL = """
 WITH occ AS (SELECT doc_id, i - 1 AS line_no, x, trim(x, chr(32) || chr(9) || chr(13)) AS line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
-f AS (SELECT line, length(line) AS n, min(row(doc_id, line_no)) AS place FROM occ WHERE length(line) >= 20 GROUP BY 1),
-k AS (SELECT line, n, place, base, unnest([('h', left(line, base // 2)), ('t', right(line, base - base // 2))]) AS half FROM f, LATERAL (SELECT unnest([n, n - 1]) AS base)),
-c AS (SELECT DISTINCT x.line AS later, y.line AS earlier FROM k x JOIN k y ON x.base = y.base AND x.half = y.half AND y.place < x.place),
-late AS (SELECT DISTINCT later AS line FROM c WHERE CASE length(later) - length(earlier)
-  WHEN 0 THEN len(list_filter(range(1, length(later) + 1), lambda i: substr(later, i, 1) <> substr(earlier, i, 1))) = 1
-  WHEN 1 THEN list_contains(list_transform(range(1, length(later) + 1), lambda i: left(later, i - 1) || substr(later, i + 1)), earlier)
-  WHEN -1 THEN list_contains(list_transform(range(1, length(earlier) + 1), lambda i: left(earlier, i - 1) || substr(earlier, i + 1)), later) ELSE false END),
-m AS (SELECT occ.*, length(occ.line) < 20 OR (f.place = row(occ.doc_id, occ.line_no) AND late.line IS NULL) AS stays FROM occ LEFT JOIN f USING (line) LEFT JOIN late USING (line))
+e AS (SELECT line, min(row(doc_id, line_no)) AS place FROM occ WHERE length(line) > 0 GROUP BY 1),
+f AS (SELECT *, CASE WHEN len(string_split(line, ' ')) >= 8 THEN string_split(line, ' ') ELSE string_split(line, '') END AS u, len(string_split(line, ' ')) >= 8 AS w FROM e WHERE length(line) >= 20),
+k AS (SELECT line, u, w, place, base, unnest([('h', md5(array_to_string(u[1:base // 2], chr(0)))), ('t', md5(array_to_string(u[len(u) - (base - base // 2) + 1:], chr(0))))]) AS half FROM f, LATERAL (SELECT unnest([len(u), len(u) - 1]) AS base)),
+c AS (SELECT DISTINCT x.line AS line, x.u AS a, y.u AS b FROM k x JOIN k y ON x.w = y.w AND x.base = y.base AND x.half = y.half AND y.place < x.place),
+late AS (SELECT DISTINCT line FROM c WHERE CASE len(a) - len(b)
+  WHEN 0 THEN len(list_filter(range(1, len(a) + 1), lambda i: a[i] <> b[i])) = 1
+  WHEN 1 THEN len(list_filter(range(1, len(a) + 1), lambda i: list_concat(a[1:i - 1], a[i + 1:]) = b)) > 0
+  WHEN -1 THEN len(list_filter(range(1, len(b) + 1), lambda i: list_concat(b[1:i - 1], b[i + 1:]) = a)) > 0 ELSE false END),
+m AS (SELECT occ.*, length(occ.line) = 0 OR (e.place = row(occ.doc_id, occ.line_no) AND late.line IS NULL) AS stays FROM occ LEFT JOIN e USING (line) LEFT JOIN late USING (line))
 SELECT doc_id, coalesce(string_agg(x, chr(10) ORDER BY line_no) FILTER (stays), '') AS text, count(*)::BIGINT AS n_lines, count(*) FILTER (NOT stays)::BIGINT AS n_dropped FROM m GROUP BY 1
 UNION ALL SELECT doc_id, NULL, 0, 0 FROM documents WHERE text IS NULL
 """

@@ -331,28 +331,62 @@ def one_edit(a, b):
     return len(b) - len(a) <= 1 and (a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :])
 
 
-def brute_lines(docs):
+def brute_lines(docs, exact=20):
     norm = lambda x: x.strip(" \t\r")
+    order = lambda d, k: (d is not None, d or 0, k)
     first = {}
     for d, t in docs:
-        for k, x in enumerate(t.split("\n")):
-            if len(norm(x)) >= 20:
-                first[norm(x)] = min(first.get(norm(x), (d, k)), (d, k))
-    late = {a for a in first for b in first if first[b] < first[a] and abs(len(a) - len(b)) < 2 and (a[: len(a) // 3] == b[: len(a) // 3] or a[-(len(a) // 3) :] == b[-(len(a) // 3) :]) and one_edit(a, b)}
-    return {d: "\n".join(x for k, x in enumerate(t.split("\n")) if len(norm(x)) < 20 or (first[norm(x)] == (d, k) and norm(x) not in late)) for d, t in docs}
+        for k, x in enumerate((t or "").split("\n")):
+            if len(norm(x)) >= exact:
+                first[norm(x)] = min(first.get(norm(x), order(d, k)), order(d, k))
+    units = {x: tuple(x.split(" ")) if len(x.split(" ")) >= 8 else x for x in first if len(x) >= 20}
+    late = {a for a in units for b in units if type(units[a]) is type(units[b]) and first[b] < first[a] and one_edit(units[a], units[b])}
+    stays = lambda d, k, x: len(norm(x)) < exact or (first[norm(x)] == order(d, k) and norm(x) not in late)
+    return [(d, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if stays(d, k, x))) for d, t in docs]
 
 
 def test_lines(docs):
-    got = line_dedup.dedupe_lines(docs)
-    assert {r.doc_id: r.text for r in got.collect()} == brute_lines(texts(docs))
-    assert got.columns[: len(docs.columns)] == docs.columns
+    for exact in (20, 1):
+        got = line_dedup.dedupe_lines(docs, exact_chars=exact)
+        assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(brute_lines(texts(docs), exact))
+        assert got.columns[: len(docs.columns)] == docs.columns
 
 
 def test_lines_near(spark):
     base = "abcdefghij klmnopqrst uvwxyz"
     near = [base, base[1:], base[:-1], base[:9] + "X" + base[10:], base[:14] + "Y" + base[14:], base[::-1], base[:5] + base[6] + base[5] + base[7:], base + "Z", "Z" + base]
-    df = spark.createDataFrame([(i, x) for i, x in enumerate(near)], "doc_id long, text string")
-    assert {r.doc_id: r.text for r in line_dedup.dedupe_lines(df).collect()} == brute_lines(list(enumerate(near)))
+    words = "one two three four five six seven eight nine".split(" ")
+    near += [" ".join(w) for w in (words, words[1:], words[:-1], words[:4] + ["other"] + words[5:], words[:4] + ["more"] + words[4:], ["x", *words], [*words, "x"], words[:2] + ["a", "b"] + words[4:], words[:7], words[:7] + ["sevenths"], words[::-1], [*words[:4], "", *words[4:]])]
+    for order in (near, near[::-1]):
+        df = spark.createDataFrame([(i, x) for i, x in enumerate(order)], "doc_id long, text string").repartition(2)
+        assert sorted((r.doc_id, r.text) for r in line_dedup.dedupe_lines(df).collect()) == brute_lines(list(enumerate(order)))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_lines_of_few_words(spark, seed):
+    rng = np.random.RandomState(seed)
+    line = lambda: " ".join(rng.choice(["aa", "b", "ccc", "d", ""], rng.randint(6, 14)))
+    data = [(i if i % 7 else None, "\n".join(line() for _ in range(rng.randint(0, 12)))) for i in range(30)]
+    data = [*dict(data).items()]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = line_dedup.dedupe_lines(df, min_chars=6, exact_chars=1, min_words=8).collect()
+    norm = lambda x: x.strip(" \t\r")
+    order = lambda d, k: (d is not None, d or 0, k)
+    first = {}
+    for d, t in data:
+        for k, x in enumerate(t.split("\n")):
+            if norm(x):
+                first[norm(x)] = min(first.get(norm(x), order(d, k)), order(d, k))
+    units = {x: tuple(x.split(" ")) if len(x.split(" ")) >= 8 else x for x in first if len(x) >= 6}
+    late = {a for a in units for b in units if type(units[a]) is type(units[b]) and first[b] < first[a] and one_edit(units[a], units[b])}
+    want = [(d, "\n".join(x for k, x in enumerate(t.split("\n")) if not norm(x) or (first[norm(x)] == order(d, k) and norm(x) not in late))) for d, t in data]
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(want)
+
+
+def test_a_document_of_many_lines(spark):
+    text = "\n".join(f"line {i % 15000} with a number of its own" for i in range(30000))
+    r = line_dedup.dedupe_lines(spark.createDataFrame([(1, text)], "doc_id long, text string"), min_chars=10**6, exact_chars=1).first()
+    assert r.text == "\n".join(text.split("\n")[:15000]) and r["__loom_n_dropped"] == 15000
 
 
 def test_lines_odd(odd, none):
@@ -360,6 +394,8 @@ def test_lines_odd(odd, none):
     found = {(r.doc_id, r.text) for r in got.collect()}
     assert got.count() == odd.count() and (1, None) in found and (2, "") in found and (4, "one") in found
     assert (6, "") in found  # both lines are copies: one exact, one an edit away
+    once = odd.filter("doc_id not in (6, 9)")
+    assert Counter((r.doc_id, r.text) for r in line_dedup.dedupe_lines(once, exact_chars=1).collect()) == Counter(brute_lines(texts(once), 1))
     assert rows(line_dedup.dedupe_lines(none)) == []
 
 
@@ -476,23 +512,28 @@ def test_parts_of_a_text_count_as_the_whole(monkeypatch):
             assert {plain(c): n for c, n in zip(codes.tolist(), counts.tolist(), strict=True) if n} == brute_grams(t), (size, t)
 
 
-def test_prediction_is_the_nearest_profile(docs):
-    """Profiles, distances and predictions once more, with dictionaries; an n-gram's order is by length, then code points."""
+def brute_languages(rows):
+    """(language, score) of rows (doc_id, text, lang) by dictionaries; an n-gram's order is by length, then code points."""
     ranked = lambda c: sorted(c, key=lambda g: (-c[g], len(g), g))[:400]
     learned = defaultdict(Counter)
-    for r in docs.collect():
-        if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
-            learned[r.lang] += brute_grams(r.text)
-    profiles = {lang: {g: k for k, g in enumerate(ranked(c))} for lang, c in learned.items()}
-    want = {}
-    for r in docs.collect():
-        mine = ranked(brute_grams(r.text or ""))
-        far = {lang: sum(abs(k - p[g]) if g in p else 400 for k, g in enumerate(mine)) for lang, p in profiles.items()}
-        best = min(sorted(far), key=far.get)
-        want[r.doc_id] = (best, 1 - far[best] / (400 * len(mine))) if mine else ("und", 0.0)
-    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs).collect()}
-    assert {d: x[0] for d, x in got.items()} == {d: x[0] for d, x in want.items()}
-    assert all(math.isclose(got[d][1], want[d][1], abs_tol=1e-12) for d in want)
+    for d, t, lang in rows:
+        if lang is not None and t is not None and zlib.crc32(("" if d is None else str(d)).encode()) % 3 != 1:
+            learned[lang] += brute_grams(t)
+    profiles = {lang: {g: k for k, g in enumerate(ranked(c))} for lang, c in learned.items() if c}
+    out = []
+    for _, t, _ in rows:
+        mine = ranked(brute_grams(t or ""))
+        far = {lang: sum(abs(k - p[g]) if g in p else 400 for k, g in enumerate(mine)) for lang, p in sorted(profiles.items())}
+        best = min(far, key=far.get, default=None)
+        out.append((best, max(0.0, 1 - far[best] / (400 * len(mine)))) if mine and far else ("und", 0.0))
+    return out
+
+
+def test_prediction_is_the_nearest_profile(docs, odd):
+    for df in (docs, odd):
+        some = [(r.doc_id, r.text, r.lang) for r in df.collect()]
+        want = Counter((d, lang, round(score, 9)) for (d, _, _), (lang, score) in zip(some, brute_languages(some), strict=True))
+        assert Counter((r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.identify(df).collect()) == want
 
 
 def test_ngrams():

@@ -12,6 +12,6 @@ def test_equal_short_lines_go_from_the_pipeline(spark):
     assert got == {1: DATA[0][1], 2: "\nShort twa.", 3: "\n  "}
 
 
-def test_the_query_keeps_its_least_length(spark):
+def test_a_least_length_for_equal_lines(spark):
     df = spark.createDataFrame(DATA, "doc_id long, text string")
     assert {r.doc_id: r.text for r in line_dedup.dedupe_lines(df).collect()} == {1: DATA[0][1], 2: " Short one.\r\n\nShort twa.", 3: DATA[2][1]}
