@@ -52,34 +52,45 @@ def _words(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
+def _first(line: Column, k: Column, by_word: bool) -> Column:
+    return F.call_function("substring_index", line, F.lit(" "), k) if by_word else F.substring(line, F.lit(1), k)
+
+
+def _last(line: Column, n: Column, k: Column, by_word: bool) -> Column:
+    return F.call_function("substring_index", line, F.lit(" "), -k) if by_word else F.substring(line, n - k + 1, k)
+
+
 def _half_keys(line: Column, n: Column, by_word: bool) -> Column:
     """Keys of the halves, for partners of at least this length (base n) and for shorter ones (base n - 1); n: words or characters."""
-    if by_word:
-        head, tail = (lambda k: F.call_function("substring_index", line, F.lit(" "), k)), (lambda k: F.call_function("substring_index", line, F.lit(" "), -k))
-    else:
-        head, tail = (lambda k: F.substring(line, F.lit(1), k)), (lambda k: F.substring(line, n - k + 1, k))
     keys = []
     for base in (n, n - 1):
-        h = F.floor(base / 2).cast("int")
-        keys.append(F.xxhash64(F.lit("head"), F.lit(by_word), base, head(h)))
-        keys.append(F.xxhash64(F.lit("tail"), F.lit(by_word), base, tail((base - h).cast("int"))))
+        h = F.shiftright(base, 1)
+        keys.append(F.xxhash64(F.lit("head"), F.lit(by_word), base, _first(line, h, by_word)))
+        keys.append(F.xxhash64(F.lit("tail"), F.lit(by_word), base, _last(line, n, base - h, by_word)))
     return F.array(*keys)
 
 
-def _block_keys(units: Column, n: Column, by_word: Column) -> Column:
-    """(k, same, block) of each block of the units: all but the block agrees where k does.
+def _block_keys(line: Column, n: Column, by_word: bool) -> Column:
+    """(k, same, size, block) of each block of the line: all but the block agrees where k does; size: its words or characters.
 
     A line takes part at its own length (same), and as the longer partner of lines with one unit less.
     """
     out = []
     for same, base in ((True, n), (False, n - 1)):
         for j in range(BLOCKS):
-            start, end = F.floor(base * j / BLOCKS).cast("int"), F.floor(base * (j + 1) / BLOCKS).cast("int")
-            k = F.xxhash64(by_word, base, F.lit(j), F.slice(units, F.lit(1), start), F.slice(units, n - (base - end) + 1, base - end))
-            out.append(F.struct(k.alias("k"), F.lit(same).alias("same"), F.slice(units, start + 1, end - start + (n - base)).alias("block")))
+            start, end = (F.shiftright(base * x, 4) for x in (j, j + 1))  # BLOCKS is 2**4
+            k = F.xxhash64(F.lit(by_word), base, F.lit(j), _first(line, start, by_word), _last(line, n, base - end, by_word))
+            size = end - start + (n - base)
+            block = _last(_first(line, start + size, by_word), start + size, size, by_word)
+            out.append(F.struct(k.alias("k"), F.lit(same).alias("same"), size.alias("size"), block.alias("block")))
     return F.array(*out)
 
 
+def _units(text: Column, size: Column, by_word: Column) -> Column:
+    """Words or characters as an array. The text of no word is that of one empty word, so their number is needed."""
+    return F.when(size == 0, F.array().cast("array<string>")).when(by_word, F.split(text, " ")).otherwise(F.split(text, ""))
+
+
 def _one_edit(a: Column, b: Column) -> Column:
     """Whether two arrays of units are one insertion, deletion or replacement apart, or equal."""
     apart = F.abs(F.size(a) - F.size(b))
@@ -95,7 +106,8 @@ def occurrences(docs: DataFrame, min_chars: int, exact_chars: int, min_words: in
     """One row for each line of at least exact_chars, without its text: where it is, its hashes and, from min_chars on, its half keys."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     lines = lines.withColumn("line", _norm(F.col("raw"))).withColumn("n", F.length("line")).filter(F.col("n") >= exact_chars)
-    line, words = F.col("line"), _words(F.col("line"))
+    lines = lines.withColumn("words", _words(F.col("line")))  # used many times below, so it stays a column
+    line, words = F.col("line"), F.col("words")
     h1, h2 = _hash2(line)
     halves = F.when(F.col("n") >= min_chars, F.when(words >= min_words, _half_keys(line, words, True)).otherwise(_half_keys(line, F.col("n"), False)))
     return lines.select(F.struct("doc_id", "text_hash", "line_no").alias("at"), h1.alias("h1"), h2.alias("h2"), "n", halves.alias("halves"))
@@ -118,11 +130,12 @@ def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int) -> DataFram
     texts = stored(texts.dropDuplicates(["h1", "h2"]))
     release(docs.sparkSession)
 
-    units = F.when(F.col("by_word"), F.split("line", " ")).otherwise(F.split("line", ""))
-    spelled = texts.withColumn("by_word", _words(F.col("line")) >= min_words).select("h1", "at", "by_word", F.explode(F.array(units)).alias("units"))
-    near = spelled.select("h1", "at", F.explode(_block_keys(F.col("units"), F.size("units"), F.col("by_word"))).alias("key")).select("h1", "at", "key.k", "key.same", "key.block")
+    texts = texts.withColumn("words", _words(F.col("line"))).withColumn("by_word", F.col("words") >= min_words)
+    keys = F.when(F.col("by_word"), _block_keys(F.col("line"), F.col("words"), True)).otherwise(_block_keys(F.col("line"), F.col("n"), False))
+    near = texts.select("h1", "by_word", F.explode(keys).alias("key")).select("h1", "by_word", "key.*")
     shared_k = near.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
-    meets = near.join(shared_k, "k", "left_semi")
+    meets = near.join(shared_k, "k", "left_semi").join(texts.select("h1", "at"), "h1")
+    meets = stored(meets.withColumn("block", F.explode(F.array(_units(F.col("block"), F.col("size"), F.col("by_word"))))))
     block, spots = F.col("block"), F.when(F.size("block") > 0, F.sequence(F.lit(1), F.size("block"))).otherwise(F.array().cast("array<int>"))
     deleted = lambda i: F.concat(F.slice(block, F.lit(1), i - 1), F.slice(block, i + 1, F.size(block)))
     itself = F.array(F.struct(F.xxhash64("k", F.lit("line"), block).alias("v"), F.lit(True).alias("whole")))
@@ -140,7 +153,7 @@ def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int) -> DataFram
     member = emitted.join(shared_v, "v")
     pick = F.when(F.col("line").isNull(), F.col("swap")).when(F.col("whole"), F.col("longer")).otherwise(F.col("line"))
     pairs = member.withColumn("p", pick).filter(F.col("p.at") < F.col("at")).select("h1", F.col("p.h1").alias("p1")).distinct()
-    one = texts.withColumn("by_word", _words(F.col("line")) >= min_words).select("h1", "h2", "by_word", units.alias("units"))
+    one = texts.select("h1", "h2", "by_word", _units(F.col("line"), F.col("n"), F.col("by_word")).alias("units"))
     other = one.select(F.col("h1").alias("p1"), F.col("by_word").alias("p_by_word"), F.col("units").alias("p_units"))
     verified = pairs.join(one, "h1").join(other, "p1")
     return verified.filter((F.col("by_word") == F.col("p_by_word")) & _one_edit(F.col("units"), F.col("p_units"))).select("h1", "h2").distinct()
