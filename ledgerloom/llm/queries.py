@@ -51,7 +51,7 @@ def op9_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_telephony_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.digests(media.with_pcm(media.store_texts(table(spark, sf_dir, "documents"))))
+    return media.digests(media.store_texts(table(spark, sf_dir, "documents")))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

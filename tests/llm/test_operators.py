@@ -617,6 +617,7 @@ def test_audio(docs, odd, none, monkeypatch):
         stored_media = media.store_texts(df)
         audio = media.with_pcm(stored_media)
         got = media.digests(audio).collect()
+        assert Counter(map(tuple, media.digests(stored_media).collect())) == Counter(map(tuple, got))
         assert len(got) == df.count() and stored_media.schema["media"].dataType.simpleString() == audio.schema["pcm"].dataType.simpleString() == "binary"
         want = Counter()
         for d, t in texts(df):
