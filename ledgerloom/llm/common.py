@@ -1,10 +1,14 @@
-"""Helpers that the corpus operators share: words, shared storage, Arrow batches."""
+"""Helpers that the corpus operators share: words, shared storage, Arrow batches, columns whose names clash.
+
+Defined cases: a null text has no words; a null doc_id counts as the empty text where ids are hashed.
+"""
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,3 +92,19 @@ def word_count(text: Column) -> Column:
 def doc_crc(doc_id: Column) -> Column:
     """crc32 of doc_id as decimal text; null counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+#: Names that the operators give to columns of their own begin so.
+OWN = "__loom_"
+
+
+def shielded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that works also where columns of its input are named like the operators' own: they have other names inside."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inside = {c: f"__shield_{i}_{c}" for i, c in enumerate(docs.columns) if c.lower().startswith(OWN)}
+        out = stage(spark, docs.withColumnsRenamed(inside), sf_dir) if inside else stage(spark, docs, sf_dir)
+        return out.withColumnsRenamed({v: k for k, v in inside.items()}) if inside else out
+
+    return run

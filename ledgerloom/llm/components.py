@@ -17,6 +17,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest label among a node and its neighbours, then the label of that label. Rows are summed
     before every shuffle and joins may be split by Spark where a node has very many edges. Each round is written to the
     shared folder, so a lost executor repeats one round at most.
+
+    Defined cases: edges with a null end, and from a node to itself, link nothing; repeated edges count once; no edges give no rows.
     """
     both = stored(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct())
     labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("label")))
