@@ -41,6 +41,11 @@ def model_candidates(answers: DataFrame) -> DataFrame:
     return good.select("doc_id", "field_id", F.col("value").alias("raw_text"), "value", "confidence")
 
 
+def flat_rows(tables: DataFrame) -> DataFrame:
+    """The rows of all tables of a document (doc_id, tables: arrays of tables of rows of cells) as one array; missing cells are empty."""
+    return tables.select("doc_id", F.transform(F.flatten("tables"), lambda row: F.transform(row, lambda c: F.coalesce(c, F.lit("")))).alias("rows"))
+
+
 def native_items(tables: DataFrame) -> DataFrame:
     """Line items of tables that came as cells (doc_id, rows: arrays of arrays): missing cells are empty, empty rows leave.
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import mask_identity, shingles
+from ledgerloom.sources.shared import stored
 
 SOFT, HARD = 0.85, 0.95
 
@@ -17,30 +23,77 @@ def shingled(docs: DataFrame, k: int = 5) -> DataFrame:
     return docs.select("doc_id", F.explode(F.array(hashed)).alias("sh")).filter(F.size("sh") > 0)
 
 
-def exact_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard: float = HARD, k: int = 5) -> DataFrame:
+#: Shingles that are known as frequent to every task, at most.
+FREQUENT = 1 << 17
+
+
+def frequent(shingles_: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of (sh), by hash, and how many documents have them; whole classes of like frequency, `most` in all."""
+    often = stored(shingles_.select(F.explode("sh").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").withColumn("size", F.floor(F.log2("df") * 4)))
+    least, n = None, 0
+    for r in often.groupBy("size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect():
+        n += r["n"]
+        if n > most:
+            break
+        least = r["size"]
+    rows = [] if least is None else often.filter(F.col("size") >= least).select("s", "df").orderBy("s").collect()
+    return np.array([r["s"] for r in rows], np.int64), np.array([r["df"] for r in rows], np.int64)
+
+
+def _prefix(soft: float, known) -> Callable[[Column], Column]:
+    """The shingles of a set of which one is shared by any set that is similar enough: the first ones in an order of all shingles, frequent ones last."""
+
+    @F.pandas_udf("array<long>")
+    def of(sets: pd.Series) -> pd.Series:
+        hashes, df = known.value
+
+        def one(sh) -> np.ndarray:
+            sh = np.asarray(sh, np.int64)
+            often = np.zeros(len(sh), np.int64)
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, sh), len(hashes) - 1)
+                often = np.where(hashes[at] == sh, df[at], 0)
+            need = len(sh) - math.ceil(len(sh) * soft - 1e-9) + 1
+            return sh[np.lexsort((sh, often))[:need]]
+
+        return sets.map(one)
+
+    return of
+
+
+def exact_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard: float = HARD, k: int = 5, most: int = FREQUENT) -> DataFrame:
     """(eval_doc_id, train_doc_id, jaccard, tier) of all pairs at or above soft.
 
-    Two sets with that similarity share an element among the rarest (1 - soft) of each, rarest first. Only those
-    prefixes are joined, with the bound on the sizes' ratio, and the pairs that meet are compared in full.
+    Two sets with that similarity share an element among the first (1 - soft) of each, in any one order of the elements; here the
+    frequent ones come last. Only those prefixes are joined, with the bound on the sizes' ratio, and the pairs that meet are
+    compared in full. Equal sets are one row until then.
     """
     if hard < soft:
         raise ValueError("the hard threshold is below the soft one")
-    sides = {"t": shingled(train, k), "e": shingled(evaluation, k)}
-    both = sides["t"].select("sh").unionByName(sides["e"].select("sh"))
-    often = both.select(F.explode("sh").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df"))
-    prefixes = {}
-    for side, docs in sides.items():
-        rows = docs.select("doc_id", F.size("sh").alias("n"), F.explode("sh").alias("s")).join(often, "s")
-        ranked = rows.groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("by_rarity"))
-        need = F.col("n") - F.ceil(F.col("n") * soft - 1e-9).cast("int") + 1
-        prefixes[side] = ranked.select(F.col("doc_id").alias(f"{side}_id"), F.col("n").alias(f"{side}_n"), F.explode(F.slice("by_rarity", F.lit(1), need)).alias("x")).select(f"{side}_id", f"{side}_n", "x.s")
+    sides = {"t": _sets(train, k), "e": _sets(evaluation, k)}
+    known = train.sparkSession.sparkContext.broadcast(frequent(sides["t"][1].select("sh").unionByName(sides["e"][1].select("sh")), most))
+    prefix = _prefix(soft, known)
+    first = {x: sets.select(F.col("set_id").alias(x), F.size("sh").alias(f"{x}_n"), F.explode(prefix("sh")).alias("s")) for x, (_, sets) in sides.items()}
     fits = (F.col("t_n") >= F.col("e_n") * soft - 1e-9) & (F.col("e_n") >= F.col("t_n") * soft - 1e-9)
-    met = prefixes["t"].join(prefixes["e"], "s").filter(fits).select("t_id", "e_id").distinct()
-    full = met.join(sides["t"].select(F.col("doc_id").alias("t_id"), F.col("sh").alias("a")), "t_id").join(sides["e"].select(F.col("doc_id").alias("e_id"), F.col("sh").alias("b")), "e_id")
-    common = F.size(F.array_intersect("a", "b"))
-    jaccard = common / (F.size("a") + F.size("b") - common)
-    scored = full.select(F.col("e_id").alias("eval_doc_id"), F.col("t_id").alias("train_doc_id"), jaccard.alias("jaccard")).filter(F.col("jaccard") >= soft)
-    return scored.withColumn("tier", F.when(F.col("jaccard") >= hard, "hard").otherwise("soft"))
+    return _compared(first["t"].join(first["e"], "s").filter(fits).select("t", "e").distinct(), sides, soft, hard)
+
+
+def _sets(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, set_id) of documents, and (set_id, sh) of their distinct sets of shingles, both stored."""
+    sets = stored(shingled(docs, k).withColumn("set_id", F.xxhash64("sh")))
+    return sets.select("doc_id", "set_id"), stored(sets.groupBy("set_id").agg(F.first("sh").alias("sh")))
+
+
+def _compared(met: DataFrame, sides: dict[str, tuple[DataFrame, DataFrame]], soft: float, hard: float) -> DataFrame:
+    """The pairs of documents whose sets (t, e) met and are similar enough, compared in full."""
+    full = met
+    for x, (_, sets) in sides.items():
+        full = full.join(sets.select(F.col("set_id").alias(x), F.col("sh").alias(f"{x}_sh")), x)
+    common = F.size(F.array_intersect("t_sh", "e_sh"))
+    near = full.select("t", "e", (common / (F.size("t_sh") + F.size("e_sh") - common)).alias("jaccard")).filter(F.col("jaccard") >= soft)
+    for x, name in (("t", "train_doc_id"), ("e", "eval_doc_id")):
+        near = near.join(sides[x][0].select(F.col("doc_id").alias(name), F.col("set_id").alias(x)), x)
+    return near.select("eval_doc_id", "train_doc_id", "jaccard", F.when(F.col("jaccard") >= hard, "hard").otherwise("soft").alias("tier"))
 
 
 #: Of the MinHash signature: bands, and rows of each. A pair at SOFT misses all bands once in 290 times; of those at 0.3 one in 115 meets.
@@ -62,15 +115,6 @@ def lsh_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard:
     """
     if hard < soft:
         raise ValueError("the hard threshold is below the soft one")
-    sides = []
-    for docs in (train, evaluation):
-        sets = shingled(docs, k).withColumn("set_id", F.xxhash64("sh"))
-        one = sets.groupBy("set_id").agg(F.first("sh").alias("sh"))
-        sides.append((sets.select("doc_id", "set_id"), one, banded_sets(one, bands, rows)))
-    (t_docs, t_sets, t_bands), (e_docs, e_sets, e_bands) = sides
-    met = t_bands.withColumnRenamed("set_id", "t").join(e_bands.withColumnRenamed("set_id", "e"), ["band", "key"]).select("t", "e").distinct()
-    full = met.join(t_sets.select(F.col("set_id").alias("t"), F.col("sh").alias("a")), "t").join(e_sets.select(F.col("set_id").alias("e"), F.col("sh").alias("b")), "e")
-    common = F.size(F.array_intersect("a", "b"))
-    near = full.select("t", "e", (common / (F.size("a") + F.size("b") - common)).alias("jaccard")).filter(F.col("jaccard") >= soft)
-    pairs = near.join(t_docs.select(F.col("doc_id").alias("train_doc_id"), F.col("set_id").alias("t")), "t").join(e_docs.select(F.col("doc_id").alias("eval_doc_id"), F.col("set_id").alias("e")), "e")
-    return pairs.select("eval_doc_id", "train_doc_id", "jaccard", F.when(F.col("jaccard") >= hard, "hard").otherwise("soft").alias("tier"))
+    sides = {"t": _sets(train, k), "e": _sets(evaluation, k)}
+    dealt = {x: banded_sets(sets, bands, rows).withColumnRenamed("set_id", x) for x, (_, sets) in sides.items()}
+    return _compared(dealt["t"].join(dealt["e"], ["band", "key"]).select("t", "e").distinct(), sides, soft, hard)

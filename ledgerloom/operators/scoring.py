@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.fields import FIELDS
 from ledgerloom.functions.text import scored_text
 
 
@@ -13,6 +14,11 @@ def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
+def truth_rows(labels: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """Truth (doc_id, field_id, expected) of label documents, one row a field, values as text."""
+    return labels.select("doc_id", *[F.col(f).cast("string").alias(f) for f in fields]).unpivot(["doc_id"], list(fields), "field_id", "expected")
+
+
 def compare_fields(results: DataFrame, truth: DataFrame) -> DataFrame:
     """Joins (doc_id, field_id, value) with (doc_id, field_id, expected); fields without truth are not scored.
 

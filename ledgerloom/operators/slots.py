@@ -6,6 +6,7 @@ only the rows that pass a filter reach Python. The stubs are deterministic and r
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 
@@ -37,6 +38,57 @@ def first_available(verifiers: list[tuple[str, Callable[[], bool]]]) -> str | No
     return next((name for name, ready in verifiers if ready()), None)
 
 
+ANSWER_ROWS = "doc_id string, answer string, tries int, error string"
+VERDICT_ROWS = "doc_id string, field_id string, verdict string, verifier double, reason string"
+
+
+def ask(docs: DataFrame, model: Callable[[str], str], retries: int = 2) -> DataFrame:
+    """(doc_id, answer, tries, error) of a model extractor over docs (doc_id, text): asked again while its answer is no JSON object."""
+
+    def one(text: str) -> tuple[str | None, int, str | None]:
+        error = None
+        for k in range(retries + 1):
+            try:
+                answer = model(text)
+                if isinstance(json.loads(answer), dict):
+                    return answer, k + 1, None
+                error = "no object"
+            except Exception as e:  # as above
+                error = f"{type(e).__name__}: {e}"
+        return None, retries + 1, error
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([(str(d), *one(t)) for d, t in zip(b["doc_id"], b["text"], strict=True)], columns=["doc_id", "answer", "tries", "error"])
+
+    return docs.select("doc_id", "text").mapInPandas(each, ANSWER_ROWS)
+
+
+def verify(fields: DataFrame, verifiers: list[tuple[str, Callable[[], bool], Callable[[str, str, str], tuple[str, float, str]]]]) -> DataFrame:
+    """(doc_id, field_id, verdict, verifier, reason) of the first available verifier over fields (doc_id, field_id, value, text).
+
+    A verifier (name, whether it can work, function of field, value and text) that fails flags the field with confidence 0, as all are
+    if none is available.
+    """
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name = first_available([v[:2] for v in verifiers])
+        check = next((f for n, _, f in verifiers if n == name), None)
+        for b in batches:
+            rows = []
+            for d, field, value, text in zip(b["doc_id"], b["field_id"], b["value"], b["text"], strict=True):
+                try:
+                    if check is None:
+                        raise Unavailable("no verifier is available")
+                    verdict, confidence, reason = check(field, value, text)
+                except Exception as e:  # as above
+                    verdict, confidence, reason = "flag", 0.0, f"{type(e).__name__}: {e}"
+                rows.append((str(d), field, verdict, float(confidence), reason))
+            yield pd.DataFrame(rows, columns=["doc_id", "field_id", "verdict", "verifier", "reason"])
+
+    return fields.select("doc_id", "field_id", "value", "text").mapInPandas(each, VERDICT_ROWS)
+
+
 def text_engine(content: pd.Series) -> pd.Series:
     """Stub engine: bytes as UTF-8 text."""
     return content.map(lambda x: x.decode("utf-8", "replace") if isinstance(x, (bytes, bytearray)) else x)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fields, money
-from ledgerloom.operators import extraction, gate, governance, lineitems
+from ledgerloom.operators import extraction, gate, governance, lineitems, scoring
 from ledgerloom.plans import generator, job
 from ledgerloom.plans.registry import query, table
 
@@ -246,7 +246,7 @@ def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
     texts = text.select("doc_id", F.explode(engines).alias("x")).select("doc_id", "x.*")
     sure = texts.select("doc_id", "engine", F.lit(1.0).alias("confidence"))
     labels = extraction.label_documents(whole.withColumnRenamed("vendor", "vendor_name"))
-    truth = labels.select("doc_id", "vendor", F.col("total").cast("string").alias("total"), F.col("vat").cast("string").alias("vat"), "date").unpivot(["doc_id"], list(fields.FIELDS), "field_id", "expected")
+    truth = scoring.truth_rows(labels)
     sets = whole.select("doc_id", F.col("template_family").alias("set_slug"), F.lit(0.5).alias("elapsed_s"))
     return job.baseline(texts, sure, truth, sets)
 
