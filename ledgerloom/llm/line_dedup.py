@@ -70,20 +70,24 @@ def _half_keys(line: Column, n: Column, by_word: bool) -> Column:
     return F.array(*keys)
 
 
-def _block_keys(line: Column, n: Column, by_word: bool) -> Column:
+def _block_keys(line: Column, n: Column, by_word: Column) -> Column:
     """(k, same, size, block) of each block of the line: all but the block agrees where k does; size: its words or characters.
 
-    A line takes part at its own length (same), and as the longer partner of lines with one unit less.
+    A line takes part at its own length (same), and as the longer partner of lines with one unit less. A lambda, as 64 written-out
+    expressions would be a plan of their own size.
     """
-    out = []
-    for same, base in ((True, n), (False, n - 1)):
-        for j in range(BLOCKS):
-            start, end = (F.shiftright(base * x, 4) for x in (j, j + 1))  # BLOCKS is 2**4
-            k = F.xxhash64(F.lit(by_word), base, F.lit(j), _first(line, start, by_word), _last(line, n, base - end, by_word))
-            size = end - start + (n - base)
-            block = _last(_first(line, start + size, by_word), start + size, size, by_word)
-            out.append(F.struct(k.alias("k"), F.lit(same).alias("same"), size.alias("size"), block.alias("block")))
-    return F.array(*out)
+    first = lambda text, k: F.when(by_word, _first(text, k, True)).otherwise(_first(text, k, False))
+    last = lambda text, total, k: F.when(by_word, _last(text, total, k, True)).otherwise(_last(text, total, k, False))
+
+    def one(i: Column) -> Column:
+        same, j = i < BLOCKS, i % BLOCKS
+        base = F.when(same, n).otherwise(n - 1)
+        start, end = (F.floor(base * x / BLOCKS).cast("int") for x in (j, j + 1))
+        size = end - start + (n - base)
+        k = F.xxhash64(by_word, base, j, first(line, start), last(line, n, base - end))
+        return F.struct(k.alias("k"), same.alias("same"), size.alias("size"), last(first(line, start + size), start + size, size).alias("block"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(2 * BLOCKS - 1)), one)
 
 
 def _units(text: Column, size: Column, by_word: Column) -> Column:
@@ -131,8 +135,8 @@ def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int) -> DataFram
     release(docs.sparkSession)
 
     texts = texts.withColumn("words", _words(F.col("line"))).withColumn("by_word", F.col("words") >= min_words)
-    keys = F.when(F.col("by_word"), _block_keys(F.col("line"), F.col("words"), True)).otherwise(_block_keys(F.col("line"), F.col("n"), False))
-    near = texts.select("h1", "by_word", F.explode(keys).alias("key")).select("h1", "by_word", "key.*")
+    texts = texts.withColumn("units", F.when(F.col("by_word"), F.col("words")).otherwise(F.col("n")))
+    near = stored(texts.select("h1", "by_word", F.explode(_block_keys(F.col("line"), F.col("units"), F.col("by_word"))).alias("key")).select("h1", "by_word", "key.*"))
     shared_k = near.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
     meets = near.join(shared_k, "k", "left_semi").join(texts.select("h1", "at"), "h1")
     meets = stored(meets.withColumn("block", F.explode(F.array(_units(F.col("block"), F.col("size"), F.col("by_word"))))))
