@@ -6,7 +6,6 @@ Defined cases: a null text has no words; a null doc_id counts as the empty text
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -14,27 +13,17 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.shared import shared_root
+
 #: A word is a longest run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Temporary folders of local sessions, by application.
-_OWN: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where that is unset and all runs on this machine (tests) a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(spark.sparkContext.applicationId)
-    if not root:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = _OWN[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-    return root.rstrip("/")
-
-
-def stored(df: DataFrame, partitions: int | None = None, by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, by: str | None = None) -> DataFrame:
     """df written as Parquet in the shared folder and read back: lineage is cut, a lost executor costs nothing.
 
     The files' size then also tells the planner whether a join may broadcast this side. by: a column whose values get folders
@@ -43,7 +32,7 @@ def stored(df: DataFrame, partitions: int | None = None, by: str | None = None)
     spark = df.sparkSession
     path = f"{shared_root(spark)}/ledgerloom/{uuid.uuid4().hex}"
     schema = df.schema
-    writer = (df.coalesce(partitions) if partitions else df).write.option("compression", "zstd")
+    writer = df.write.option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(schema).parquet(path)
 

@@ -208,7 +208,7 @@ def links(distinct: DataFrame, differ: int = DIFFER) -> DataFrame:
     fp, parts = F.col("fp"), differ + 1
     blocks = _blocks([*range(BITS)], parts)
     dealt = distinct.select("fp", "rep", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _value(fp, b).alias("value")) for k, b in enumerate(blocks)])).alias("at")).select("fp", "rep", "at.k", "at.value")
-    hot = stored(dealt.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("k", "value", F.lit(True).alias("hot")), 1)
+    hot = stored(dealt.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("k", "value", F.lit(True).alias("hot")))
     marked = dealt.join(hot, ["k", "value"], "left")
     again = F.lit(None)
     for k, b in enumerate(blocks):
