@@ -20,6 +20,8 @@ from ledgerloom.plans.registry import table as _t
 from ledgerloom.sources.shared import shared_root
 
 PASS_CHARS = 500
+
+
 def _values(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
     return spark.createDataFrame(rows, names)
 
@@ -296,11 +298,6 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return governance.contract_violations(_values(spark, _LABELS, _LABEL_COLS))
 
 
-@query("SELECT 'zoo' AS family")
-def unknown_families(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return governance.unknown_families(_values(spark, [("vet",), ("zoo",), ("credit_note",)], "family string"))
-
-
 # --- line items ----------------------------------------------------------------------------------------------------
 
 
@@ -363,22 +360,6 @@ def ratio_plausibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _items(spark, sf_dir).groupBy("rate").agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("plausible"))
 
 
-_RATES = [(2.675, 0.0, 0.0, 1.0), (0.125, 0.0, 0.0, 1.0), (1.005, 0.0, 0.0, 1.0), (121.0, 23.0, 0.25, 1.17), (100.0, 9.0, 0.05, 0.85), (59.9, 13.5, 0.1, 1.0), (0.0, 0.0, 0.2, 0.5), (-40.5, 4.8, 0.15, 1.3)]
-_RATE_COLS = "amount double, rate double, discount double, fx double"
-
-
-@query(f"""
-SELECT amount, CAST(printf('%.2f', amount / (1 + rate / 100)) AS DOUBLE) AS net, CAST(printf('%.2f', amount * (1 + rate / 100)) AS DOUBLE) AS gross, CAST(printf('%.2f', amount * (1 - discount)) AS DOUBLE) AS lowered,
-  CAST(printf('%.2f', CAST(printf('%.2f', amount * (1 - discount)) AS DOUBLE) - CAST(printf('%.2f', amount * (1 - discount)) AS DOUBLE) / (1::DOUBLE + 9::DOUBLE / 100)) AS DOUBLE) AS lowered_vat, CAST(printf('%.2f', amount * fx) AS DOUBLE) AS converted
-FROM (SELECT amount::DOUBLE AS amount, rate::DOUBLE AS rate, discount::DOUBLE AS discount, fx::DOUBLE AS fx FROM {_literal(_RATES, _RATE_COLS)})
-""")
-def vat_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _values(spark, _RATES, _RATE_COLS)
-    amount, rate = F.col("amount"), F.col("rate")
-    lowered = money.discounted(amount, F.col("discount"))
-    return v.select("amount", money.net_of_gross(amount, rate).alias("net"), money.gross_of_net(amount, rate).alias("gross"), lowered["total"].alias("lowered"), lowered["vat"].alias("lowered_vat"), money.converted(amount, F.col("fx")).alias("converted"))
-
-
 _TABLES = [
     ("t1", "<table><tr><td>Acme Ltd</td></tr><tr><td>Description</td><td>Qty</td><td>Value</td></tr><tr><td>Widget 3 pack</td><td></td><td>EUR 10.50</td></tr><tr><td>Blue <b>gadget</b></td><td>2</td><td>1,200.00</td></tr><tr><td>VAT 23%</td><td>5.00</td></tr><tr><td>Note only</td></tr></table>"),
     ("t2", "<table><tr><td>Tea</td><td>2.40</td></tr><tr><td>Total: 9.99</td></tr></table>"),
@@ -439,16 +420,6 @@ def seeded_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.with_bucket(document_seeds(spark, sf_dir)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""
-WITH v AS (SELECT * FROM (VALUES ('a', 10, 4), ('b', 30, 7), ('c', 5, 0)) v(k, days, n))
-SELECT k, i::INT AS i, strftime(DATE '2026-01-05' + CAST(floor(days * (i::DOUBLE / n)) AS INT), '%Y-%m-%d') AS day FROM v, LATERAL (SELECT unnest(range(n)) AS i)
-""")
-def spaced_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _values(spark, [("a", 10, 4), ("b", 30, 7), ("c", 5, 0)], "k string, days int, n int")
-    dates = sampling.spaced_dates(F.to_date(F.lit("2026-01-05")), F.col("days"), F.col("n"))
-    return v.select("k", F.posexplode(dates).alias("i", "day")).select("k", "i", F.date_format("day", "yyyy-MM-dd").alias("day"))
-
-
 # --- fields of a text ----------------------------------------------------------------------------------------------
 
 _BILLS = [
@@ -615,38 +586,6 @@ def cross_field_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, _CROSS, "id int, vat double, total double").select("id", gate.cross_field(F.col("vat"), F.col("total")).alias("c")).select("id", "c.*")
 
 
-_NUMBERS = [("IE1234567A",), ("IE0000000B",), ("IE0000001B",), ("IE0000092C",), ("IE12345",), ("GB123456789",), ("IE7654321AB",)]
-
-
-@query(f"""
-SELECT number, regexp_matches(number, '^IE\\d{{7}}[A-Z]{{1,2}}$') AND coalesce((8 * TRY_CAST(substr(number, 3, 1) AS INT) + 7 * TRY_CAST(substr(number, 4, 1) AS INT) + 6 * TRY_CAST(substr(number, 5, 1) AS INT)
-  + 5 * TRY_CAST(substr(number, 6, 1) AS INT) + 4 * TRY_CAST(substr(number, 7, 1) AS INT) + 3 * TRY_CAST(substr(number, 8, 1) AS INT) + 2 * TRY_CAST(substr(number, 9, 1) AS INT)) % 23 <> 0, false) AS ok
-FROM {_literal(_NUMBERS, "number string")}
-""")
-def vat_number_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _values(spark, _NUMBERS, "number string").select("number", money.vat_number_plausible(F.col("number")).alias("ok"))
-
-
-_ANSWERS = [
-    ("m1", '{"vendor": "Acme", "total": 12.5, "vat": 2.5, "date": "01/02/2026", "vendor_confidence": 0.9, "total_confidence": 1.0, "vat_confidence": 1.5, "date_confidence": 0.0}'),
-    ("m2", "not json"),
-    ("m3", '{"vendor": null, "total": 3.0, "total_confidence": 0.5}'),
-]
-
-
-@query("SELECT * FROM (VALUES ('m1', 'vendor', 'Acme', 0.9::DOUBLE), ('m1', 'total', '12.5', 1.0::DOUBLE), ('m1', 'date', '01/02/2026', 0.0::DOUBLE), ('m3', 'total', '3.0', 0.5::DOUBLE)) v(doc_id, field_id, value, confidence)")
-def model_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extraction.model_candidates(_values(spark, _ANSWERS, "doc_id string, answer string")).drop("raw_text")
-
-
-@query("""
-SELECT * FROM (VALUES ('n1', 0, 'Widget 3 pack', 3.0::DOUBLE, 10.5::DOUBLE), ('n1', 2, 'aa', NULL, 2.0::DOUBLE), ('n2', 0, NULL, NULL, 7.25::DOUBLE)) v(doc_id, row_idx, description, quantity, amount)
-""")
-def native_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("n1", [["Widget 3 pack", None, "EUR 10.50"], [None, " "], ["aa", "bb", "1.00", "2.00"], ["no amount"]]), ("n2", [["7.25"]])]
-    return extraction.native_items(_values(spark, rows, "doc_id string, rows array<array<string>>"))
-
-
 @query("""
 SELECT user_id AS doc_id, substr(string_agg(event_type, chr(10) ORDER BY event_id), 1, 4000) AS text FROM events GROUP BY 1
 """)
@@ -754,30 +693,11 @@ def due_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, _DATES, "raw string").select("raw", f.alias("formatted"), money.due_date(f, 30).alias("due"))
 
 
-_TAX = [("23.0", "IE"), ("0", "IE"), ("10", None), ("13.5%", ""), ("9", "FR"), (None, "FR"), ("23", "US"), ("4.8", "ireland"), ("20", "uk")]
-
-
-@query("""
-SELECT * FROM (VALUES ('23.0', 'IE', 'VAT on Expenses'), ('0', 'IE', 'Zero Rated Expenses'), ('10', NULL, 'VAT on Expenses'), ('13.5%', '', 'VAT 13.5% on Expenses'), ('9', 'FR', 'EC Acquisitions (Zero Rated)'),
-  (NULL, 'FR', 'Zero Rated Expenses'), ('23', 'US', 'VAT on Expenses'), ('4.8', 'ireland', 'VAT 4.8% on Expenses'), ('20', 'uk', 'EC Acquisitions (Zero Rated)')) v(rate, country, tax)
-""")
-def tax_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _values(spark, _TAX, "rate string, country string").select("rate", "country", money.tax_type(F.col("rate"), F.col("country")).alias("tax"))
-
-
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
-@query("SELECT * FROM (VALUES ('23', 'mine'), ('9', 'VAT 9% on Expenses'), ('new', 'added')) v(key, value)")
-def config_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerloom.sources.io import merged_config
-
-    defaults, given = (F.create_map(*[F.lit(x) for kv in m.items() for x in kv]) for m in ({"23": "VAT on Expenses", "9": "VAT 9% on Expenses"}, {"23": "mine", "new": "added"}))
-    return spark.range(1).select(F.explode(merged_config(defaults, given)))
-
-
 @query("""
 SELECT page_id, CASE WHEN ext = 'pdf' THEN 'pdf' WHEN ext IN ('jpg', 'jpeg', 'png', 'tif', 'tiff', 'bmp', 'webp') THEN 'image' ELSE 'unsupported' END AS branch
 FROM (SELECT page_id, lower(regexp_extract(url || CASE page_id % 4 WHEN 0 THEN '.PDF' WHEN 1 THEN '.tiff' WHEN 2 THEN '.webp' ELSE '' END, '\\.([A-Za-z0-9]+)$', 1)) AS ext FROM pages)
@@ -852,14 +772,6 @@ def doc_id_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", text.derived_id(F.col("source"), F.lit(42), F.col("doc_id")).alias("derived"))
 
 
-_FUZZY = [("Acme Ltd", "acme  ltd"), ("Acme", "Acne"), ("abc", "xyz"), ("", None), ("kitten", "sitting")]
-
-
-@query(f"SELECT a, b, levenshtein({_NORMAL.format('coalesce(a, {0})')}, {_NORMAL.format('coalesce(b, {0})')}) <= 2 AS close FROM {_literal(_FUZZY, 'a string, b string')}".replace("{0}", "''"))
-def fuzzy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _values(spark, _FUZZY, "a string, b string").select("a", "b", text.fuzzy_equal(F.col("a"), F.col("b")).alias("close"))
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import fields, money
-from ledgerloom.operators import extraction, gate, governance, lineitems, scoring
+from ledgerloom.functions import fields, money, text
+from ledgerloom.operators import extraction, gate, governance, lineitems, sampling, scoring
 from ledgerloom.plans import generator, job
 from ledgerloom.plans.registry import query, table
+from ledgerloom.sources.io import merged_config
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,10 +241,10 @@ def label_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Two engines read the generated bills; every ninth time the second one takes the first digit of the total for a 9."""
     whole = _whole(spark, sf_dir)[0]
-    text = generator.bill_text(whole).join(whole.select("doc_id", "place"), "doc_id")
+    bills = generator.bill_text(whole).join(whole.select("doc_id", "place"), "doc_id")
     misread = F.when(F.col("place") % 9 == 0, F.regexp_replace("text", r"Total:(\s+)EUR \d", "Total:$1EUR 9")).otherwise(F.col("text"))
     engines = F.array(F.struct(F.lit("e1").alias("engine"), F.lit(1).alias("ordinal"), F.col("text").alias("text")), F.struct(F.lit("e2").alias("engine"), F.lit(2).alias("ordinal"), misread.alias("text")))
-    texts = text.select("doc_id", F.explode(engines).alias("x")).select("doc_id", "x.*")
+    texts = bills.select("doc_id", F.explode(engines).alias("x")).select("doc_id", "x.*")
     sure = texts.select("doc_id", "engine", F.lit(1.0).alias("confidence"))
     labels = extraction.label_documents(whole.withColumnRenamed("vendor", "vendor_name"))
     truth = scoring.truth_rows(labels)
@@ -301,3 +302,118 @@ def files_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ending = F.when(F.col("place") % 3 == 0, ".pdf").when(F.col("place") % 3 == 1, ".PNG").otherwise(".gt.json")
     files = docs.select(F.concat(F.lit("corpus/"), "doc_id", ending).alias("path"))
     return extraction.with_labels(files, docs.filter("place % 5 <> 0").select("doc_id", "vendor")).select("path", "vendor")
+
+
+# --- rules that the tables have no columns for, over generated documents and the tables' own numbers ---------------------------------
+
+
+@query(_sql("SELECT DISTINCT family || CASE WHEN place % 50 = 0 THEN '_old' ELSE '' END AS family FROM g WHERE place % 50 = 0"))
+def unknown_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the families that are asked for, those that do not exist."""
+    asked = _docs(spark, sf_dir).select(F.concat("template_family", F.when(F.col("place") % 50 == 0, "_old").otherwise("")).alias("family")).distinct()
+    return governance.unknown_families(asked)
+
+
+@query(_sql("""
+SELECT vat_number AS number, (8 * CAST(vat_number[3] AS INT) + 7 * CAST(vat_number[4] AS INT) + 6 * CAST(vat_number[5] AS INT) + 5 * CAST(vat_number[6] AS INT) + 4 * CAST(vat_number[7] AS INT)
+  + 3 * CAST(vat_number[8] AS INT) + 2 * CAST(vat_number[9] AS INT)) % 23 <> 0 AS ok FROM g
+UNION ALL SELECT 'GB' || substr(vat_number, 3), false FROM g UNION ALL SELECT vat_number || 'ABC', false FROM g
+"""))
+def vat_number_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of generated documents, and the same with another country or too many letters."""
+    number = F.col("vendor_vat_number")
+    each = F.explode(F.array(number, F.concat(F.lit("GB"), F.substring(number, 3, 20)), F.concat(number, F.lit("ABC")))).alias("number")
+    return _docs(spark, sf_dir).select(each).select("number", money.vat_number_plausible(F.col("number")).alias("ok"))
+
+
+@query(_sql("""
+SELECT id AS doc_id, f AS field_id, v AS value, c AS confidence FROM (
+  SELECT id, unnest([{'f': 'vendor', 'v': CASE WHEN place % 4 <> 1 THEN vendor END, 'c': 0.5::DOUBLE}, {'f': 'total', 'v': CAST(total::DOUBLE / 100 AS VARCHAR), 'c': CASE WHEN place % 3 = 0 THEN 1.5 ELSE 1.0 END::DOUBLE},
+    {'f': 'vat', 'v': CAST(vat::DOUBLE / 100 AS VARCHAR), 'c': 0.0::DOUBLE}, {'f': 'date', 'v': strftime(issued, '%d/%m/%Y'), 'c': 0.25::DOUBLE}], recursive := true) FROM t WHERE place % 10 <> 0)
+WHERE v IS NOT NULL AND c BETWEEN 0 AND 1
+"""))
+def model_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of a model's answers: some are no JSON, some lack a field, some have impossible confidences."""
+    rows = _doubles(_whole(spark, sf_dir)[0])
+    sure = {"vendor": F.lit(0.5), "total": F.when(F.col("place") % 3 == 0, 1.5).otherwise(1.0), "vat": F.lit(0.0), "date": F.lit(0.25)}
+    said = F.struct(F.when(F.col("place") % 4 != 1, F.col("vendor")).alias("vendor"), "total", "vat", F.col("invoice_date").alias("date"), *[c.alias(f"{f}_confidence") for f, c in sure.items()])
+    answers = rows.select("doc_id", F.when(F.col("place") % 10 == 0, "I cannot read this").otherwise(F.to_json(said)).alias("answer"))
+    return extraction.model_candidates(answers).drop("raw_text")
+
+
+@query(_sql(f"""
+SELECT id AS doc_id, (2 * (row_number() OVER (PARTITION BY id ORDER BY i) - 1))::INT AS row_idx, CAST(quantity AS VARCHAR) || ' x ' || ['Alpha', 'Beta', 'Gamma', 'Delta', 'Sigma'][1 + {_draw(5, "id", "i", "'word'")}] || ' service' AS description,
+  quantity::DOUBLE AS quantity, abs(net + vat)::DOUBLE / 100 AS amount FROM l
+"""))
+def native_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of tables that came as cells, with empty rows between and the price before the amount."""
+    lines = generator.line_items(_docs(spark, sf_dir))
+    euro = lambda c: F.concat(F.lit("EUR "), F.format_number(c, 2))
+    cells = F.array(F.concat(F.col("quantity").cast("string"), F.lit(" x "), F.col("description")), F.lit(None).cast("string"), euro(F.col("unit_price")), euro(F.abs("gross")), F.lit(" "))
+    rows = F.array(F.struct("ordinal", F.lit(0).alias("k"), cells.alias("cells")), F.struct("ordinal", F.lit(1).alias("k"), F.array(F.lit(None).cast("string"), F.lit("  ")).alias("cells")))
+    made = lines.select("doc_id", F.explode(rows).alias("x")).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["cells"]).alias("rows"))
+    return extraction.native_items(made)
+
+
+@query(_sql("""
+SELECT id AS doc_id, k::INT AS i, strftime(issued - CAST(31 + d AS INT) + CAST(floor(30 * (k::DOUBLE / n)) AS INT), '%d/%m/%Y') AS day
+FROM (SELECT id, issued, {0} AS d, n_lines AS n, unnest(range(n_lines)) AS k FROM t WHERE no = 12)
+""".replace("{0}", _draw(3, "id", "'period'"))))
+def spaced_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of a bank statement's movements, evenly spaced over its period."""
+    rows = _whole(spark, sf_dir)[0].filter("rule = 'account'")
+    start = F.to_date(F.substring("billing_period", 1, 10), "dd/MM/yyyy")
+    dates = sampling.spaced_dates(start, F.lit(30), F.col("n_lines"))
+    return rows.select("doc_id", F.posexplode(dates).alias("i", "day")).select("doc_id", "i", F.date_format("day", "dd/MM/yyyy").alias("day"))
+
+
+@query("""
+WITH v AS (SELECT *, l_tax * 100 AS rate, CAST(printf('%.2f', l_extendedprice * (1 - l_discount)) AS DOUBLE) AS low FROM lineitem)
+SELECT l_orderkey AS doc_id, l_linenumber AS line, CAST(printf('%.2f', l_extendedprice / (1 + rate / 100)) AS DOUBLE) AS net, CAST(printf('%.2f', l_extendedprice * (1 + rate / 100)) AS DOUBLE) AS gross, low AS lowered,
+  CAST(printf('%.2f', low - low / (1::DOUBLE + 9::DOUBLE / 100)) AS DOUBLE) AS lowered_vat, CAST(printf('%.2f', l_extendedprice * 0.8571::DOUBLE) AS DOUBLE) AS converted FROM v
+""")
+def vat_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts without and with VAT, lowered by hand, and in another currency, for every line item."""
+    v = table(spark, sf_dir, "lineitem").withColumn("rate", F.col("l_tax") * 100)
+    amount, rate = F.col("l_extendedprice"), F.col("rate")
+    lowered = money.discounted(amount, F.col("l_discount"))
+    return v.select(
+        F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("line"), money.net_of_gross(amount, rate).alias("net"), money.gross_of_net(amount, rate).alias("gross"),
+        lowered["total"].alias("lowered"), lowered["vat"].alias("lowered_vat"), money.converted(amount, F.lit(0.8571)).alias("converted"),
+    )
+
+
+@query("""
+WITH v AS (SELECT p_partkey, lower(p_name) AS a, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN substr(p_name, 2) WHEN 2 THEN substr(p_name, 4) ELSE 'x' || substr(p_name, 2) || 'y' END AS b FROM part)
+SELECT p_partkey AS id, levenshtein(a, lower(b)) <= 2 AS close FROM v
+""")
+def fuzzy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of parts against the same with wide spaces, and with up to three characters changed."""
+    name, k = F.col("p_name"), F.col("p_partkey") % 4
+    rest = F.substring(name, 2, 1000)
+    other = F.when(k == 0, F.concat(F.lit("  "), F.upper(name), F.lit("\t"))).when(k == 1, rest).when(k == 2, F.substring(name, 4, 1000)).otherwise(F.concat(F.lit("x"), rest, F.lit("y")))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), text.fuzzy_equal(name, other).alias("close"))
+
+
+@query("""
+WITH v AS (SELECT o_orderkey, ['23.0', '0', '10', '13.5%', '9', NULL, '23', '4.8', '20', '13.50', 'mixed'][1 + o_orderkey % 11] AS rate, ['IE', NULL, 'fr', 'US', 'ireland', 'uk', ''][1 + o_custkey % 7] AS country FROM orders)
+SELECT o_orderkey AS id, CASE WHEN rate IS NULL THEN 'Zero Rated Expenses' WHEN country IN ('fr', 'uk') THEN 'EC Acquisitions (Zero Rated)'
+  ELSE CASE rate WHEN '0' THEN 'Zero Rated Expenses' WHEN '13.5%' THEN 'VAT 13.5% on Expenses' WHEN '13.50' THEN 'VAT 13.5% on Expenses' WHEN '9' THEN 'VAT 9% on Expenses' WHEN '4.8' THEN 'VAT 4.8% on Expenses' ELSE 'VAT on Expenses' END END AS tax FROM v
+""")
+def tax_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tax type of every order, with rates as people write them."""
+    one = lambda options, c: F.get(F.array(*[F.lit(x) for x in options]), (F.col(c) % len(options)).cast("int"))
+    rate = one(("23.0", "0", "10", "13.5%", "9", None, "23", "4.8", "20", "13.50", "mixed"), "o_orderkey")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), money.tax_type(rate, one(("IE", None, "fr", "US", "ireland", "uk", ""), "o_custkey")).alias("tax"))
+
+
+@query("SELECT n_regionkey AS region, n_name AS key, CASE WHEN n_nationkey % 3 = 0 THEN 'given' ELSE 'default' END AS value FROM nation UNION ALL SELECT r_regionkey, 'new', 'given' FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM nation)")
+def config_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map of defaults under what is given, key by key, for each region."""
+    n = table(spark, sf_dir, "nation")
+    entry = lambda v: F.struct(F.col("n_name").alias("key"), F.lit(v).alias("value"))
+    maps = n.groupBy("n_regionkey").agg(
+        F.map_from_entries(F.collect_list(entry("default"))).alias("defaults"),
+        F.map_from_entries(F.concat(F.collect_list(F.when(F.col("n_nationkey") % 3 == 0, entry("given"))), F.array(F.struct(F.lit("new").alias("key"), F.lit("given").alias("value"))))).alias("given"),
+    )
+    return maps.select(F.col("n_regionkey").alias("region"), F.explode(merged_config(F.col("defaults"), F.col("given"))))
