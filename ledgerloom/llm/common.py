@@ -17,6 +17,8 @@ from ledgerloom.sources.shared import shared_root
 
 #: A word is a longest run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Names that the operators give to columns of their own begin so.
+OWN = "__loom_"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +53,15 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def size_setting(spark: SparkSession, key: str) -> int:
+    """A setting in bytes, or a plain number, in any of the spellings that Spark takes: 64m, 64mb, 67108864b, -1."""
+    text = spark.conf.get(key).strip()
+    try:
+        return int(text)
+    except ValueError:
+        return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
     """Bound the rows and bytes of an Arrow batch while eager work runs, never above the user's bounds, which are back afterwards.
@@ -60,7 +71,7 @@ def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
     bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
     users = {key: spark.conf.get(key) for key in bounds}
     for key, most in bounds.items():
-        own = int(users[key].rstrip("b"))
+        own = size_setting(spark, key)
         spark.conf.set(key, str(min(most, own) if own > 0 else most))
     try:
         yield
@@ -69,6 +80,25 @@ def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
             spark.conf.set(key, own)
 
 
+#: Rows of a table of sums or choices, one a key, up to which it is broadcast, and tasks that a key is dealt to beyond that.
+BROADCAST_ROWS, SALT = 100_000, 32
+
+
+def met(rows: DataFrame, groups: DataFrame, key: str, spread: Column, how: str = "inner") -> DataFrame:
+    """rows with the other columns of a stored table that has one short row for each key; null is a key.
+
+    Up to BROADCAST_ROWS rows of that table are counted and then broadcast. A longer one takes part SALT times in a merge join, to
+    which the rows of a key are dealt by `spread`, so a key that holds many rows is no hot task.
+    """
+    g = groups.withColumnRenamed(key, OWN + "key")
+    same = rows[key].eqNullSafe(g[OWN + "key"])
+    if groups.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(g), same, how).drop(OWN + "key")
+    dealt = rows.withColumn(OWN + "salt", F.pmod(spread, F.lit(SALT)).cast("int"))
+    g = g.withColumn(OWN + "of", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))).hint("merge")
+    return dealt.join(g, same & (dealt[OWN + "salt"] == g[OWN + "of"]), how).drop(OWN + "key", OWN + "salt", OWN + "of")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -83,10 +113,6 @@ def doc_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-#: Names that the operators give to columns of their own begin so.
-OWN = "__loom_"
-
-
 def shielded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
     """A stage that works also where columns of its input are named like the operators' own: they have other names inside."""
 
