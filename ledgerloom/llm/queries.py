@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe_count, langid, lattice_lm, line_dedup, media, mixing, packing, simhash, suffix_dedup, topk
+from ledgerloom.llm import bpe_count, fill_in_middle, langid, lattice_lm, line_dedup, media, mixing, packing, simhash, suffix_dedup, topk, vector_codes, warc
 from ledgerloom.llm.common import table
 
 
@@ -54,6 +54,19 @@ def op10_telephony_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.store_texts(table(spark, sf_dir, "documents")))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.index(warc.read_chunks(archives, data=False))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -61,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_hilbert_packing, op2_suffix_array_dedup, op3_lattice_likelihood, op4_uniform_threshold_topk, op5_bpe_token_counts, op6_line_dedup, op7_gray_simhash, op8_rank_order_language, op9_hash_threshold_mix, op10_telephony_audio, pipeline)
+    ops = (op1_hilbert_packing, op2_suffix_array_dedup, op3_lattice_likelihood, op4_uniform_threshold_topk, op5_bpe_token_counts, op6_line_dedup, op7_gray_simhash, op8_rank_order_language, op9_hash_threshold_mix, op10_telephony_audio, op11_fill_in_middle, op12_vector_codes, op13_warc_chunks, pipeline)
     return {f.__name__: f for f in ops}
 
 
@@ -100,9 +113,51 @@ UNION ALL SELECT doc_id, NULL, 0, 0 FROM documents WHERE text IS NULL
 """
 
 
+#: Units by one pattern, the parts by slices of their list; what is rebuilt must be the text.
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, x, regexp_extract_all(x, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t, list_transform(range(4), lambda i: CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT)) AS g FROM d),
+c AS (SELECT *, len(t)::BIGINT AS n, least(g[1] % (len(t) + 1), g[2] % (len(t) + 1)) AS low, greatest(g[1] % (len(t) + 1), g[2] % (len(t) + 1)) AS high,
+  CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR g[3] % 100 >= 50 THEN 'plain' WHEN g[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(t[1:low], '') AS pre, array_to_string(t[low + 1:high], '') AS mid, array_to_string(t[high + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(x) AS restored_sha256
+FROM p
+"""
+
+
+def _op12_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """The rounds as one common table each: all distances of all parts, the nearest entry, and the floor of its parts' mean."""
+    steps = [
+        f"e AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})::BIGINT) AS v FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"x AS MATERIALIZED (SELECT r, vec_id, label, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS v FROM e, range({parts}) t(p))",
+        f"c0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY x.vec_id NULLS LAST, e.v) - 1 AS k, x.v AS c FROM x JOIN e USING (r) QUALIFY k < {entries})",
+    ]
+    for i in range(rounds + 1):
+        near = f"SELECT r, x.vec_id, x.label, p, x.v, min(row(list_sum(list_transform(list_zip(x.v, c), lambda y: (y[1] - y[2]) * (y[1] - y[2])))::BIGINT, k)) AS best FROM x JOIN c{i} USING (p) GROUP BY 1, 2, 3, 4, 5"
+        steps.append(f"n{i} AS MATERIALIZED (SELECT r, vec_id, label, p, v, best[1] AS d, best[2] AS k FROM ({near}))")
+        if i < rounds:
+            down = "((s - ((s % n) + n) % n) // n)::BIGINT"  # floor, where // cuts towards zero
+            mean = f"SELECT p, k, j, {down} AS m FROM (SELECT p, k, j, sum(y) AS s, count(*) AS n FROM (SELECT p, k, unnest(v) AS y, generate_subscripts(v, 1) AS j FROM n{i}) GROUP BY 1, 2, 3)"
+            steps.append(f"m{i} AS (SELECT p, k, list(m ORDER BY j) AS m FROM ({mean}) GROUP BY 1, 2)")
+            steps.append(f"c{i + 1} AS MATERIALIZED (SELECT p, k, coalesce(m, c) AS c FROM c{i} LEFT JOIN m{i} USING (p, k))")
+    steps.append(f"s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) AS sha FROM c{rounds})")
+    steps.append(f"o AS (SELECT r, vec_id, label, string_agg(printf('%02x', k), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM n{rounds} GROUP BY 1, 2, 3)")
+    return "WITH " + ",\n".join(steps) + "\nSELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256 FROM o, s"
+
+
+OP13_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS x FROM pages),
+d AS (SELECT page_id, octet_length(encode(x))::BIGINT AS n, sha1(x) AS digest, max(page_id) OVER (PARTITION BY x) AS largest FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM largest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The rest is not for SQL: tokens, suffix arrays, the lattice, profiles, audio and components have brute-force tests.
 
     op4's and op7's results could be stated by joining all pairs, which is too slow on whole tables.
     """
-    return {"op6_line_dedup": OP6_SQL, "op9_hash_threshold_mix": OP9_SQL}
+    return {"op6_line_dedup": OP6_SQL, "op9_hash_threshold_mix": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op12_vector_codes": _op12_sql(), "op13_warc_chunks": OP13_SQL}
