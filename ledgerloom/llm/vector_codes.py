@@ -97,7 +97,7 @@ def nearest(x: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _arrays(books: Books) -> list[np.ndarray]:
-    big = max((abs(c) for b in books for e in b for c in e), default=0) > _limit(len(books[0][0]))
+    big = any(abs(c) > _limit(len(e)) for b in books for e in b for c in e)
     return [np.array(b, dtype=object if big else np.int64) for b in books]
 
 
