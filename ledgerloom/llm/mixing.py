@@ -1,14 +1,17 @@
 """Mix sources to target weights by hash-threshold histograms (DataFrame functions only).
 
-A source's target buys whole copies of the source first; what remains is bought with a hash threshold: every document
-has a fixed 36-bit hash, and the documents below the source's threshold are taken once more. The threshold comes from
+A source's target buys whole copies of the source first; what remains is bought with a hash threshold: every row
+has a fixed 36-bit hash, and the rows below the source's threshold are taken once more. The hash is of doc_id, source and
+text; rows equal in these are numbered, and the number is hashed too. They are numbered by the input's partitions, whose
+counts of a repeated row are summed up, so a row that a third of the table repeats is not numbered by one task. Which of them has
+which number depends on the partitions, but they are the same to the mix, and the numbers as a set do not. The threshold comes from
 histograms of words by (source, hash bucket): 4096 buckets first, then 4096 inside the bucket in which the budget ends,
 then 4096 inside that one. No level sorts documents, every level is summed before it is shuffled, and a hot source is
 therefore no hot task. The thresholds of two budgets are nested: the smaller budget's documents are among the larger's.
 
 Defined cases: a null text has size 0; null is a source of its own, ordered last; a source without words has target 0
-and takes nothing; rows that repeat a doc_id share its hash, and so are taken together; an empty table gives no rows;
-other columns are ignored.
+and takes nothing; rows without a doc_id, or of one doc_id, are taken each by itself; an empty table gives no rows;
+other columns are ignored by mix() and kept by mixed() whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored, word_count
+from ledgerloom.llm.common import met, stored, word_count
 
 #: Bits of each of the three histogram levels.
 LEVEL_BITS = 12
@@ -28,17 +31,46 @@ KEY = ["no_source", "source"]
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 
 
-def _parts() -> list[Column]:
-    """The source as a key without nulls, and the three 12-bit parts of the document's hash."""
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 9), 16, 10)
-    h = h.cast("long")
-    part = lambda k: F.shiftright(h, LEVEL_BITS * (2 - k)).bitwiseAND((1 << LEVEL_BITS) - 1).cast("int")
-    return [F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source"), F.lit("")).alias("source"), *[part(k).alias(f"b{k}") for k in range(3)]]
+def _keyed(docs: DataFrame, p: str = "") -> DataFrame:
+    """docs with the source as a key without nulls, a name that equal rows share (u), and the input partition (pid); p: what their names begin with."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    source = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
+    u = F.md5(F.concat(told("doc_id"), F.lit(":"), F.md5(told("text").cast("binary")), F.lit(":"), source).cast("binary"))
+    return docs.withColumns({p + "no_source": F.col("source").isNull(), p + "source": F.coalesce(F.col("source"), F.lit("")), p + "u": u, p + "pid": F.spark_partition_id()})
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source key, hash parts and words."""
-    return docs.select("doc_id", *_parts(), word_count(F.col("text")).alias("size"))
+def _numbered(rows: DataFrame, counted: DataFrame, p: str = "") -> DataFrame:
+    """_keyed() rows with their number (nth, from 1) among those of their name. counted: the names that repeat, a stored table."""
+    if counted.isEmpty():
+        return rows.withColumn(p + "nth", F.lit(1).cast("long"))
+    u, pid, again = p + "u", p + "pid", p + "again"
+    full = met(rows, counted.select(F.col("u").alias(u), F.lit(True).alias(again)), u, F.xxhash64(pid), "left")
+    alone = full.filter(F.col(again).isNull()).drop(again).withColumn(p + "nth", F.lit(1).cast("long"))
+    repeated = stored(full.filter(F.col(again)).drop(again))  # the partitions' numbers are fixed from here on
+    upto = Window.partitionBy(u).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)  # a row for each name and partition
+    before = repeated.groupBy(u, pid).agg(F.count(F.lit(1)).alias("n")).select(u, pid, F.coalesce(F.sum("n").over(upto), F.lit(0)).alias(p + "before"))
+    mine = F.row_number().over(Window.partitionBy(u, pid).orderBy(F.lit(1)))
+    rest = repeated.withColumn(p + "mine", mine).join(before, [u, pid]).withColumn(p + "nth", (F.col(p + "before") + F.col(p + "mine")).cast("long"))
+    return alone.unionByName(rest.select(*alone.columns))
+
+
+def _repeated(keyed: DataFrame) -> DataFrame:
+    """The names (u) that several rows have."""
+    return stored(keyed.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("u"))
+
+
+def _bits(p: str = "") -> dict[str, Column]:
+    """The three 12-bit parts of the row's hash."""
+    h = F.conv(F.substring(F.md5(F.concat(F.col(p + "u"), F.lit(":"), F.col(p + "nth").cast("string")).cast("binary")), 1, 9), 16, 10).cast("long")
+    return {f"{p}b{k}": F.shiftright(h, LEVEL_BITS * (2 - k)).bitwiseAND((1 << LEVEL_BITS) - 1).cast("int") for k in range(3)}
+
+
+def sized(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, source key, hash parts and words of every row, and the names that repeat; both stored."""
+    keyed = _keyed(docs.select("doc_id", "text", "source"))
+    base = stored(keyed.select("doc_id", *KEY, "u", "pid", word_count(F.col("text")).alias("size")))
+    counted = _repeated(base)
+    return stored(_numbered(base, counted).withColumns(_bits()).select("doc_id", *KEY, "b0", "b1", "b2", "size")), counted
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
@@ -105,17 +137,17 @@ def _copies() -> Column:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """doc_id, size, source_size, target, taken: copies are whole documents, at most ceil(most) of each."""
-    base = stored(sized(docs))
+    base, _ = sized(docs)
     out = base.join(plan(base, weights, share, most), KEY)
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """The mix itself: the rows of docs with all their columns, each as often as it is taken."""
-    full = plan(stored(sized(docs)), weights, share, most)
+    base, counted = sized(docs)
+    full = plan(base, weights, share, most)
     full = full.select(*[F.col(c).alias(P + c) for c in full.columns])
-    names = ["no_source", "source", "b0", "b1", "b2"]
-    keyed = docs.withColumns({P + n: c for n, c in zip(names, _parts(), strict=True)})
+    keyed = _numbered(_keyed(docs, P), counted, P).withColumns(_bits(P))
     times = F.expr(f"{P}copies + if({P}cut_b0 is not null and struct({P}b0, {P}b1, {P}b2) < struct({P}cut_b0, {P}cut_b1, {P}cut_b2), 1, 0)")
     joined = keyed.join(full, [P + k for k in KEY]).withColumn(P + "times", times).filter(F.col(P + "times") > 0)
     return joined.withColumn(P + "one", F.explode(F.array_repeat(F.lit(0), F.col(P + "times").cast("int")))).select(*docs.columns)

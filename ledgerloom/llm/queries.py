@@ -82,7 +82,8 @@ _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIG
 
 #: The mix, with windows over all documents where the operator has histograms.
 OP9_SQL = f"""
-WITH d AS (SELECT doc_id, source, {_WORDS} AS size, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 9) AS BIGINT) AS h FROM documents),
+WITH u AS (SELECT doc_id, source, {_WORDS} AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) || ':' || CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END) AS u FROM documents),
+d AS (SELECT doc_id, source, size, CAST('0x' || substr(md5(u || ':' || CAST(row_number() OVER (PARTITION BY u) AS VARCHAR)), 1, 9) AS BIGINT) AS h FROM u),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
 w AS (SELECT *, 2.0::DOUBLE * source_size AS cap, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END::DOUBLE AS weight FROM s),
 l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))

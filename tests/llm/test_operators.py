@@ -567,16 +567,16 @@ def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
 def check_mix(df):
     size = lambda t: len((t or "").encode().split())
     sizes, taken, biggest = Counter(), Counter(), Counter()
-    source = {}
     for r in df.collect():
         sizes[r.source] += size(r.text)
         biggest[r.source] = max(biggest[r.source], size(r.text))
-        source[r.doc_id] = r.source
     want = brute_targets(dict(sizes))
     got = mixing.mix(df).collect()
     assert len(got) == df.count()
+    by_size = {n: s for s, n in sizes.items()}
+    assert len(by_size) == len(sizes)  # the sources are told by their sizes, as ids may be null or repeat
     for r in got:
-        s = source[r.doc_id]
+        s = by_size[r.source_size]
         taken[s] += r.taken
         assert r.source_size == sizes[s] and math.isclose(r.target, want[s], abs_tol=1e-6) and r.taken in (0, r["size"], 2 * r["size"])
     for s in sizes:
@@ -586,12 +586,29 @@ def check_mix(df):
 
 def test_mix(docs, odd, none):
     check_mix(docs)
-    check_mix(odd.dropDuplicates(["doc_id"]))
+    check_mix(odd.filter("coalesce(text, '') <> '' or source = 'a'"))
     assert mixing.mix(odd).count() == odd.count()
     assert rows(mixing.mix(none)) == []
     assert mixing.mixed(odd).columns == odd.columns
 
 
+def test_mix_of_rows_without_ids_of_their_own(spark):
+    """Null ids, one id for most of a source, and rows that repeat as a whole: each source still comes within a document of its target."""
+    data = [(None if k % 3 == 0 else k, f"word {k} " * (1 + k % 5), "a") for k in range(600)]
+    data += [(7 if k % 10 else 10_000 + k, f"text {k} here is one", "b") for k in range(500)]
+    data += [(None, f"lone {k}", "c") for k in range(400)] + [(5, "the same row again", "d")] * 700 + [(None, "and this one too", None)] * 450
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(5)
+    check_mix(df)
+    other = mixing.mix(df.repartition(3, "text"))
+    assert sorted(map(str, mixing.mix(df).collect())) == sorted(map(str, other.collect()))
+    whole = df.withColumns({"extra": F.lit("x"), "u": F.lit(1), "pid": F.lit(2), "nth": F.lit(3)})
+    words = lambda rs: Counter((r.doc_id, len(r.text.split())) for r in rs)
+    got, want = words(mixing.mixed(whole).collect()), Counter()
+    for r in other.collect():
+        want[(r.doc_id, r["size"])] += r.taken // r["size"]
+    assert got == +want
+
+
 def test_mixed_rows_follow_the_mix(docs):
     copies = {r.doc_id: r.taken // r["size"] for r in mixing.mix(docs).collect() if r["size"]}
     got = Counter(r.doc_id for r in mixing.mixed(docs).collect())
