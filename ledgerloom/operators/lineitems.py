@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import TABLE_MONEY, first_amount, first_quantity
-from ledgerloom.functions.text import strip
+from ledgerloom.operators.pages import table_rows
 
 # Words of a header row (two at least), and of summary rows.
 HEADER_HINTS = ("description", "item", "qty", "quantity", "rate", "unit", "value")
@@ -47,26 +47,19 @@ def running_balance(moves: DataFrame, opening: float = 0.0) -> DataFrame:
     return moves.withColumn("balance", (F.sum(cents(F.col("amount"))).over(order) + cents(F.lit(opening))).cast("double"))
 
 
-def html_rows(html: Column) -> Column:
-    """Cells of each table row, in order: array of arrays of text without tags. For plain, closed markup."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    text = lambda x: strip(F.regexp_replace(x, r"\s*<[^>]*>\s*", " "))
-    return F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)), text))
-
-
 def table_items(pages: DataFrame) -> DataFrame:
-    """(doc_id, row_idx, description, quantity, amount) from pages (doc_id, html).
+    """(doc_id, row_idx, description, quantity, amount) from pages (doc_id, html), whose markup may be as it is found.
 
     The header is the first row with two hint words; it and what is above leave, as do summary rows and rows without an
     amount. The amount is the row's last; the description its longest cell without one, the first of equals.
     """
-    rows = pages.select("doc_id", html_rows(F.col("html")).alias("rows"))
-    joined = lambda r: F.lower(F.array_join(r, " "))
-    hints = lambda r: F.size(F.filter(F.array(*map(F.lit, HEADER_HINTS)), lambda h: F.contains(joined(r), h))) >= 2
+    rows = table_rows(pages, "doc_id")
+    hints = lambda r: F.size(F.filter(F.array(*map(F.lit, HEADER_HINTS)), lambda h: F.contains(r["head"], h))) >= 2
     # array_position counts from 1, and 0 is none: so it is also how many rows leave
     rows = rows.withColumn("skip", F.array_position(F.transform("rows", hints), F.lit(True)))
-    cells = rows.select("doc_id", "skip", F.posexplode("rows").alias("row_idx", "cells")).withColumn("cells", F.filter("cells", lambda c: c != ""))
-    summary = F.exists(F.array(*map(F.lit, SUMMARY_WORDS)), lambda w: F.contains(joined(F.col("cells")), w))
+    cells = rows.select("doc_id", "skip", F.posexplode("rows").alias("row_idx", "r")).withColumn("cells", F.filter("r.cells", lambda c: c != ""))
+    joined = F.lower(F.array_join("cells", " "))
+    summary = F.exists(F.array(*map(F.lit, SUMMARY_WORDS)), lambda w: F.contains(joined, w))
     kept = cells.filter((F.col("row_idx") >= F.col("skip")) & ~summary & (F.size("cells") > 0))
     money = F.filter(F.transform("cells", lambda c: first_amount(c, TABLE_MONEY)), lambda v: v.isNotNull())
     words = F.filter("cells", lambda c: F.coalesce(first_amount(c, TABLE_MONEY), F.lit(0.0)) == 0)

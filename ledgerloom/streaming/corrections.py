@@ -1,9 +1,8 @@
-"""Corrections as a stream: joined with extractions, appended, and made harmless when delivered twice."""
+"""Corrections as a stream of files: joined with extractions and appended; and backfills."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -28,26 +27,3 @@ def append_stream(stream: DataFrame, extractions: DataFrame, out: str, checkpoin
     joined = stream.join(extractions, "extraction_id")
     writer = joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append")
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="60 seconds")).start()
-
-
-def push_stream(stream: DataFrame, markers: str, checkpoint: str, send=None) -> StreamingQuery:
-    """Pushes ids without a marker and marks them after success, so a batch that failed is sent again: at least once each.
-
-    send takes the batch's new ids (a DataFrame) and should be idempotent by id, or itself check the receiver: between its success and
-    the marker's write a failure repeats it.
-    """
-
-    def batch(df: DataFrame, _: int) -> None:
-        spark = df.sparkSession
-        done = spark.read.schema("id string").parquet(markers) if _exists(spark, markers) else spark.createDataFrame([], "id string")
-        new = df.select(F.col("id").cast("string").alias("id")).distinct().join(done, "id", "left_anti")
-        if send:
-            send(new)
-        new.write.mode("append").parquet(markers)
-
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

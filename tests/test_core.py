@@ -183,17 +183,6 @@ def test_jdbc_options_reach_the_reader(spark):
         io.read_jdbc(spark, "jdbc:none:x", "t", driver="no.such.Driver")
 
 
-def test_stream_pushes_once(spark, tmp_path):
-    src, sent = str(tmp_path / "in"), []
-    spark.range(3).withColumn("id", F.col("id").cast("string")).write.parquet(src)
-    args = (str(tmp_path / "marks"), str(tmp_path / "check"))
-    send = lambda df: sent.extend(r.id for r in df.collect())
-    stream.push_stream(stream.read_stream(spark, src, spark.read.parquet(src).schema), *args, send).awaitTermination()
-    spark.range(5).withColumn("id", F.col("id").cast("string")).write.mode("append").parquet(src)
-    stream.push_stream(stream.read_stream(spark, src, spark.read.parquet(src).schema), *args, send).awaitTermination()
-    assert sorted(sent) == ["0", "1", "2", "3", "4"]
-
-
 def test_a_poll_takes_what_comes(spark, tmp_path):
     src = str(tmp_path / "in")
     rows = spark.createDataFrame([(1, 7)], "id long, extraction_id long")
