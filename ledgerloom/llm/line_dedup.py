@@ -2,19 +2,20 @@
 
 Lines are compared without leading and trailing spaces, tabs and carriage returns. A line of at least `min_chars`
 characters is dropped if an equal line, or one whose first occurrence is earlier and that is one edit away, came earlier
-by (doc_id, line number); the earliest stays. An edit inserts, deletes or replaces one word (what stands between single
-spaces) in lines of at least `min_words` words, and one character in shorter ones; lines of the one kind are not compared
-with lines of the other. Equal lines may go from fewer characters on (`exact_chars`). Decisions look at the input, not at
-what is left, so they do not depend on an order of work.
+by (doc_id, line number); the earliest stays. An edit inserts, deletes or replaces one character, in lines of any length
+and any number of words. With `min_words` lines of so many words or more are also linked by the insertion, deletion or
+replacement of one word (what stands between single spaces), however long. Equal lines may go from fewer characters on
+(`exact_chars`). Decisions look at the input, not at what is left, so they do not depend on an order of work.
 
 Steps. Equal lines collapse to their first occurrence, as numbers only (two 64-bit hashes, length). Two lines one edit
 apart agree in their first or in their last half, cut by the shorter one's length; lines that share no half with
 another line leave here, by an aggregate that is summed before its shuffle. The rest read their text again and are cut
-into 16 blocks; one edit lies in one block, so lines go on only where all but one block agrees. They emit the deletion
-variants of that block as hashed keys: the block without its i-th unit, keyed with i, meets its substitutions; the
-block itself meets those that have one unit more. Within a variant all members are compared with the earliest only, so
-no pairs are made within a group: all members of a substitution's variant are one edit apart, and of a line and its
-extensions only a line and an extension are. Every such pair's edit distance is verified on the texts.
+into 16 blocks; one edit lies in one block, so lines go on only where all but one block agrees. A block of more than `FINE`
+units is cut into 16 again in the same way, and so on, so very long lines cost little more than their hashes. Lines emit
+the deletion variants of the last block as hashed keys: the block without its i-th unit, keyed with i, meets its
+substitutions; the block itself meets those that have one unit more. Within a variant all members are compared with the
+earliest only, so no pairs are made within a group: all members of a substitution's variant are one edit apart, and of a
+line and its extensions only a line and an extension are. Every such pair's edit distance is verified on the texts.
 
 The bound is one edit, and no parameter: lines that share a variant of two deletions may be four edits apart, so the
 earliest would not do for a group's members, and groups (numbered lines) have no bound on their pairs.
@@ -31,10 +32,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import release, stored
 
-#: Parts of a line; deletion variants are made of the part that may differ.
-BLOCKS = 16
-#: Characters from which lines are compared for an edit, and words from which the edit is one of a word.
-MIN_CHARS, MIN_WORDS = 20, 8
+#: Parts of a line, and units of a part up to which its deletion variants are made.
+BLOCKS, FINE = 16, 64
+#: Characters from which lines are compared for an edit.
+MIN_CHARS = 20
 #: Kept apart from any column of the input.
 P = "__loom_"
 
@@ -70,24 +71,34 @@ def _half_keys(line: Column, n: Column, by_word: bool) -> Column:
     return F.array(*keys)
 
 
-def _block_keys(line: Column, n: Column, by_word: Column) -> Column:
-    """(k, same, size, block) of each block of the line: all but the block agrees where k does; size: its words or characters.
+def _block_keys(text: Column, base: Column, more: Column, by_word: Column, seed: Column) -> Column:
+    """(k, size, block) of each block of a text of base + more units: all but the block agrees where k does; size: its words or characters.
 
-    A line takes part at its own length (same), and as the longer partner of lines with one unit less. A lambda, as 64 written-out
-    expressions would be a plan of their own size.
+    more: 0 for a text at its own length, 1 for one as the longer partner of texts with one unit less. A lambda, as so many
+    written-out expressions would be a plan of their own size.
     """
-    first = lambda text, k: F.when(by_word, _first(text, k, True)).otherwise(_first(text, k, False))
-    last = lambda text, total, k: F.when(by_word, _last(text, total, k, True)).otherwise(_last(text, total, k, False))
+    first = lambda x, k: F.when(by_word, _first(x, k, True)).otherwise(_first(x, k, False))
+    last = lambda x, total, k: F.when(by_word, _last(x, total, k, True)).otherwise(_last(x, total, k, False))
 
-    def one(i: Column) -> Column:
-        same, j = i < BLOCKS, i % BLOCKS
-        base = F.when(same, n).otherwise(n - 1)
+    def one(j: Column) -> Column:
         start, end = (F.floor(base * x / BLOCKS).cast("int") for x in (j, j + 1))
-        size = end - start + (n - base)
-        k = F.xxhash64(by_word, base, j, first(line, start), last(line, n, base - end))
-        return F.struct(k.alias("k"), same.alias("same"), size.alias("size"), last(first(line, start + size), start + size, size).alias("block"))
+        size = end - start + more
+        k = F.xxhash64(seed, by_word, base, j, first(text, start), last(text, base + more, base - end))
+        return F.struct(k.alias("k"), size.alias("size"), last(first(text, start + size), start + size, size).alias("block"))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(2 * BLOCKS - 1)), one)
+    return F.transform(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), one)
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows (k, h1) whose k another line has, too; stored."""
+    keys = rows.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
+    return stored(rows.join(keys, "k", "left_semi"))
+
+
+def _kinds(words: Column, min_words: int | None) -> Column:
+    """Whether by words, of each way in which a line takes part."""
+    chars = F.array(F.lit(False))
+    return chars if min_words is None else F.when(words >= min_words, F.array(F.lit(False), F.lit(True))).otherwise(chars)
 
 
 def _units(text: Column, size: Column, by_word: Column) -> Column:
@@ -106,18 +117,21 @@ def _one_edit(a: Column, b: Column) -> Column:
     return F.when(apart == 0, rest(short, at + 1) == rest(long, at + 1)).when(apart == 1, rest(short, at) == rest(long, at + 1)).otherwise(False)
 
 
-def occurrences(docs: DataFrame, min_chars: int, exact_chars: int, min_words: int) -> DataFrame:
+def occurrences(docs: DataFrame, min_chars: int, exact_chars: int, min_words: int | None) -> DataFrame:
     """One row for each line of at least exact_chars, without its text: where it is, its hashes and, from min_chars on, its half keys."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     lines = lines.withColumn("line", _norm(F.col("raw"))).withColumn("n", F.length("line")).filter(F.col("n") >= exact_chars)
     lines = lines.withColumn("words", _words(F.col("line")))  # used many times below, so it stays a column
     line, words = F.col("line"), F.col("words")
     h1, h2 = _hash2(line)
-    halves = F.when(F.col("n") >= min_chars, F.when(words >= min_words, _half_keys(line, words, True)).otherwise(_half_keys(line, F.col("n"), False)))
+    halves = _half_keys(line, F.col("n"), False)
+    if min_words is not None:
+        halves = F.when(words >= min_words, F.concat(halves, _half_keys(line, words, True))).otherwise(halves)
+    halves = F.when(F.col("n") >= min_chars, halves)
     return lines.select(F.struct("doc_id", "text_hash", "line_no").alias("at"), h1.alias("h1"), h2.alias("h2"), "n", halves.alias("halves"))
 
 
-def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int) -> DataFrame:
+def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int | None) -> DataFrame:
     """h1, h2 of the distinct lines (firsts) of which a line one edit away occurs earlier."""
     keys = firsts.select(F.explode("halves").alias("k"), "h1")
     shared = keys.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
@@ -134,18 +148,26 @@ def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int) -> DataFram
     texts = stored(texts.dropDuplicates(["h1", "h2"]))
     release(docs.sparkSession)
 
-    texts = texts.withColumn("words", _words(F.col("line"))).withColumn("by_word", F.col("words") >= min_words)
-    texts = texts.withColumn("units", F.when(F.col("by_word"), F.col("words")).otherwise(F.col("n")))
-    near = stored(texts.select("h1", "by_word", F.explode(_block_keys(F.col("line"), F.col("units"), F.col("by_word"))).alias("key")).select("h1", "by_word", "key.*"))
-    shared_k = near.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
-    meets = near.join(shared_k, "k", "left_semi").join(texts.select("h1", "at"), "h1")
+    words = _words(F.col("line"))
+    kinds = texts.withColumn("by_word", F.explode(_kinds(words, min_words))).withColumn("units", F.when(F.col("by_word"), words).otherwise(F.col("n")))
+    roles = kinds.withColumn("more", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("base", F.col("units") - F.col("more"))
+    cut = lambda rows, text, seed: rows.withColumn("key", F.explode(_block_keys(F.col(text), F.col("base"), F.col("more"), F.col("by_word"), seed))).select("h1", "by_word", "more", "key.*")
+    coarse = _shared(cut(roles, "line", F.lit(0).cast("long")))
+    fine = [coarse.filter(F.col("size") <= FINE)]
+    while not (coarse := coarse.filter(F.col("size") > FINE)).isEmpty():
+        coarse = _shared(cut(coarse.withColumn("base", F.col("size") - F.col("more")), "block", F.col("k")))
+        fine.append(coarse.filter(F.col("size") <= FINE))
+    meets = fine[0]
+    for rows in fine[1:]:
+        meets = meets.unionByName(rows)
+    meets = meets.join(texts.select("h1", "at"), "h1")
     meets = stored(meets.withColumn("block", F.explode(F.array(_units(F.col("block"), F.col("size"), F.col("by_word"))))))
     block, spots = F.col("block"), F.when(F.size("block") > 0, F.sequence(F.lit(1), F.size("block"))).otherwise(F.array().cast("array<int>"))
     deleted = lambda i: F.concat(F.slice(block, F.lit(1), i - 1), F.slice(block, i + 1, F.size(block)))
     itself = F.array(F.struct(F.xxhash64("k", F.lit("line"), block).alias("v"), F.lit(True).alias("whole")))
     swaps = F.transform(spots, lambda i: F.struct(F.xxhash64("k", F.lit("swap"), i, deleted(i)).alias("v"), F.lit(False).alias("whole")))
     drops = F.array_distinct(F.transform(spots, lambda i: F.struct(F.xxhash64("k", F.lit("line"), deleted(i)).alias("v"), F.lit(False).alias("whole"))))
-    emitted = meets.select("h1", "at", F.explode(F.when(F.col("same"), F.concat(itself, swaps)).otherwise(drops)).alias("e")).select("h1", "at", "e.v", "e.whole")
+    emitted = meets.select("h1", "at", F.explode(F.when(F.col("more") == 0, F.concat(itself, swaps)).otherwise(drops)).alias("e"), "by_word").select("h1", "at", "by_word", "e.v", "e.whole")
     # (member, earliest) of each variant; of a whole line and its extensions only pairs of one of each kind are an edit apart
     shared_v = emitted.groupBy("v").agg(
         F.min(F.struct("at", "h1")).alias("first"),
@@ -156,17 +178,18 @@ def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int) -> DataFram
     shared_v = stored(shared_v.select("v", F.when(F.col("line").isNull(), F.col("first")).otherwise(F.struct(F.lit(None).cast(shared_v.schema["first"].dataType["at"].dataType).alias("at"), F.lit(None).cast("long").alias("h1"))).alias("swap"), "line", "longer"))
     member = emitted.join(shared_v, "v")
     pick = F.when(F.col("line").isNull(), F.col("swap")).when(F.col("whole"), F.col("longer")).otherwise(F.col("line"))
-    pairs = member.withColumn("p", pick).filter(F.col("p.at") < F.col("at")).select("h1", F.col("p.h1").alias("p1")).distinct()
-    one = texts.select("h1", "h2", "by_word", _units(F.col("line"), F.col("n"), F.col("by_word")).alias("units"))
-    other = one.select(F.col("h1").alias("p1"), F.col("by_word").alias("p_by_word"), F.col("units").alias("p_units"))
-    verified = pairs.join(one, "h1").join(other, "p1")
-    return verified.filter((F.col("by_word") == F.col("p_by_word")) & _one_edit(F.col("units"), F.col("p_units"))).select("h1", "h2").distinct()
+    pairs = member.withColumn("p", pick).filter(F.col("p.at") < F.col("at")).select("h1", F.col("p.h1").alias("p1"), "by_word").distinct()
+    one = kinds.select("h1", "h2", "by_word", _units(F.col("line"), F.col("units"), F.col("by_word")).alias("units"))
+    other = one.select(F.col("h1").alias("p1"), "by_word", F.col("units").alias("p_units"))
+    verified = pairs.join(one, ["h1", "by_word"]).join(other, ["p1", "by_word"])
+    return verified.filter(_one_edit(F.col("units"), F.col("p_units"))).select("h1", "h2").distinct()
 
 
-def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None, min_words: int = MIN_WORDS) -> DataFrame:
+def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None, min_words: int | None = None) -> DataFrame:
     """docs with the lines that stay as text, and n_lines, n_dropped under the names __loom_n_lines, __loom_n_dropped.
 
-    exact_chars: characters from which equal lines go, at most min_chars, which stands for None.
+    exact_chars: characters from which equal lines go, at most min_chars, which stands for None. min_words: words from which
+    lines are also linked by an edit of a word; None: by edits of a character only.
     """
     exact_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
     found = occurrences(docs.select("doc_id", "text"), min_chars, exact_chars, min_words)

@@ -331,7 +331,7 @@ def one_edit(a, b):
     return len(b) - len(a) <= 1 and (a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :])
 
 
-def brute_lines(docs, exact=20):
+def brute_lines(docs, exact=20, least=20, min_words=None):
     norm = lambda x: x.strip(" \t\r")
     order = lambda d, k: (d is not None, d or 0, k)
     first = {}
@@ -339,8 +339,10 @@ def brute_lines(docs, exact=20):
         for k, x in enumerate((t or "").split("\n")):
             if len(norm(x)) >= exact:
                 first[norm(x)] = min(first.get(norm(x), order(d, k)), order(d, k))
-    units = {x: tuple(x.split(" ")) if len(x.split(" ")) >= 8 else x for x in first if len(x) >= 20}
-    late = {a for a in units for b in units if type(units[a]) is type(units[b]) and first[b] < first[a] and one_edit(units[a], units[b])}
+    compared = [x for x in first if len(x) >= least]
+    words = {x: tuple(x.split(" ")) for x in compared}
+    by_word = lambda a, b: min_words is not None and min(len(words[a]), len(words[b])) >= min_words and one_edit(words[a], words[b])
+    late = {a for a in compared for b in compared if first[b] < first[a] and (one_edit(a, b) or by_word(a, b))}
     stays = lambda d, k, x: len(norm(x)) < exact or (first[norm(x)] == order(d, k) and norm(x) not in late)
     return [(d, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if stays(d, k, x))) for d, t in docs]
 
@@ -359,7 +361,34 @@ def test_lines_near(spark):
     near += [" ".join(w) for w in (words, words[1:], words[:-1], words[:4] + ["other"] + words[5:], words[:4] + ["more"] + words[4:], ["x", *words], [*words, "x"], words[:2] + ["a", "b"] + words[4:], words[:7], words[:7] + ["sevenths"], words[::-1], [*words[:4], "", *words[4:]])]
     for order in (near, near[::-1]):
         df = spark.createDataFrame([(i, x) for i, x in enumerate(order)], "doc_id long, text string").repartition(2)
-        assert sorted((r.doc_id, r.text) for r in line_dedup.dedupe_lines(df).collect()) == brute_lines(list(enumerate(order)))
+        for words_from in (None, 8, 1):
+            assert sorted((r.doc_id, r.text) for r in line_dedup.dedupe_lines(df, min_words=words_from).collect()) == brute_lines(list(enumerate(order)), min_words=words_from)
+
+
+def test_one_character_at_every_length(spark, monkeypatch):
+    """Lines of 20 to 3000 characters, beside each an edited one; spaces, too, so the number of words changes across any bound."""
+    monkeypatch.setattr(line_dedup, "FINE", 8)
+    rng = np.random.RandomState(5)
+    data = []
+    for i, n in enumerate([*range(20, 60), 100, 257, 1000, 3000]):
+        line = "".join(rng.choice(list("abcdefghijklmnop     "), n - 1)).replace("  ", "xy").strip() + "." * 3
+        line = f"{i:04d}" + line
+        at = rng.randint(0, len(line))
+        edited = [line[:at] + line[at + 1 :], line[:at] + "#" + line[at + 1 :], line[:at] + " " + line[at:], line.replace(" ", "", 1), line.replace("x", " ", 1)][i % 5]
+        data += [line, edited]
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string").repartition(3)
+    want = brute_lines(list(enumerate(data)))
+    assert sorted((r.doc_id, r.text) for r in line_dedup.dedupe_lines(df).collect()) == want
+    assert [t for _, t in want][1::2].count("") >= 42
+
+
+def test_very_long_lines(spark):
+    """Lines of a million characters: a copy, one with another character in the middle, one with one more at the end."""
+    line = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(1_000_000))
+    data = [line, line, line[:500_000] + "#" + line[500_001:], line + "!", line[:-5], line[::-1]]
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: len(r.text) for r in line_dedup.dedupe_lines(df).collect()}
+    assert got == {0: 1_000_000, 1: 0, 2: 0, 3: 0, 4: 999_995, 5: 1_000_000}
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -369,18 +398,9 @@ def test_lines_of_few_words(spark, seed):
     data = [(i if i % 7 else None, "\n".join(line() for _ in range(rng.randint(0, 12)))) for i in range(30)]
     data = [*dict(data).items()]
     df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
-    got = line_dedup.dedupe_lines(df, min_chars=6, exact_chars=1, min_words=8).collect()
-    norm = lambda x: x.strip(" \t\r")
-    order = lambda d, k: (d is not None, d or 0, k)
-    first = {}
-    for d, t in data:
-        for k, x in enumerate(t.split("\n")):
-            if norm(x):
-                first[norm(x)] = min(first.get(norm(x), order(d, k)), order(d, k))
-    units = {x: tuple(x.split(" ")) if len(x.split(" ")) >= 8 else x for x in first if len(x) >= 6}
-    late = {a for a in units for b in units if type(units[a]) is type(units[b]) and first[b] < first[a] and one_edit(units[a], units[b])}
-    want = [(d, "\n".join(x for k, x in enumerate(t.split("\n")) if not norm(x) or (first[norm(x)] == order(d, k) and norm(x) not in late))) for d, t in data]
-    assert Counter((r.doc_id, r.text) for r in got) == Counter(want)
+    for words_from in (None, 8):
+        got = line_dedup.dedupe_lines(df, min_chars=6, exact_chars=1, min_words=words_from).collect()
+        assert Counter((r.doc_id, r.text) for r in got) == Counter(brute_lines(data, 1, 6, words_from))
 
 
 def test_a_document_of_many_lines(spark):
