@@ -1,120 +1,190 @@
-"""Near-duplicates between training and evaluation text by Jaccard similarity of character shingles."""
+"""Near-duplicates between training and evaluation text by Jaccard similarity of character shingles.
+
+Texts with one set of shingles are one row until the end. Sets are compared in two ways, an exact and an approximate one, and
+in both what may be similar is compared in full: only then are whole sets made again, from the texts of those that may be.
+
+exact_pairs() is a positional similarity join. In any one order of all shingles two sets of similarity s share one of the
+first (1 - s) of each; here the frequent ones come last, so these prefixes hold rare ones. Prefixes are an inverted index
+that is partitioned by the sets' lengths: one side is in the class of its size and the other in the classes of all sizes
+that may fit, so a frequent shingle's list is cut by class. Where a shingle meets, its places in both sets bound what the sets can
+share; pairs whose bound is too low leave at once. The rest meet as bitmaps of parity, whose differing bits bound the
+sets' difference from below. Neither bound loses a pair.
+
+lsh_pairs() deals sets by bands of their MinHash signatures.
+
+Defined cases: documents without shingles (null, or shorter than one) never pair; null and repeated ids are rows of their
+own; an empty side gives no rows; other columns are ignored.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import mask_identity, shingles
+from ledgerloom.functions.grams import minima, parity, shingle_set
+from ledgerloom.functions.text import mask_identity, strip
 from ledgerloom.sources.shared import stored
 
 SOFT, HARD = 0.85, 0.95
+#: Shingles that are known as frequent to every task, at most; documents that they are learned from, about.
+FREQUENT, LEARNED = 1 << 17, 1 << 15
+#: Bits of a set's parity.
+BITS = 2048
 
 
-def shingled(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(doc_id, sh): sorted 64-bit hashes of the distinct shingles of the masked text; documents without any leave."""
-    hashed = F.array_sort(F.array_distinct(F.transform(shingles(mask_identity(F.col("text")), k), lambda s: F.xxhash64(s))))
-    # an exploded one-element array keeps the filter from evaluating the shingles again
-    return docs.select("doc_id", F.explode(F.array(hashed)).alias("sh")).filter(F.size("sh") > 0)
+def _text(docs: DataFrame) -> Column:
+    """The text that shingles are of: identities masked, spaces single."""
+    return F.regexp_replace(strip(mask_identity(F.col("text"))), r"\s+", " ")
 
 
-#: Shingles that are known as frequent to every task, at most.
-FREQUENT = 1 << 17
+def _each(docs: DataFrame, ddl: str, of: Callable[[list[str | None]], list[pa.Array]], *keep: str) -> DataFrame:
+    """The columns to keep, and those that `of` gives of the texts of an Arrow batch."""
+    names = [*keep, *[x.split()[0] for x in ddl.split(", ")]]
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *of(b.column("text").to_pylist())], names=names)
 
-def frequent(shingles_: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of (sh), by hash, and how many documents have them; whole classes of like frequency, `most` in all."""
-    often = stored(shingles_.select(F.explode("sh").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").withColumn("size", F.floor(F.log2("df") * 4)))
-    least, n = None, 0
-    for r in often.groupBy("size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect():
-        n += r["n"]
-        if n > most:
-            break
-        least = r["size"]
-    rows = [] if least is None else often.filter(F.col("size") >= least).select("s", "df").orderBy("s").collect()
-    return np.array([r["s"] for r in rows], np.int64), np.array([r["df"] for r in rows], np.int64)
+    kept = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(*keep, _text(docs).alias("text")).mapInArrow(work, ", ".join(filter(None, (kept, ddl))))
 
 
-def _prefix(soft: float, known) -> Callable[[Column], Column]:
-    """The shingles of a set of which one is shared by any set that is similar enough: the first ones in an order of all shingles, frequent ones last."""
+def set_id(s: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
-    @F.pandas_udf("array<long>")
-    def of(sets: pd.Series) -> pd.Series:
-        hashes, df = known.value
 
-        def one(sh) -> np.ndarray:
-            sh = np.asarray(sh, np.int64)
-            often = np.zeros(len(sh), np.int64)
-            if len(hashes):
-                at = np.minimum(np.searchsorted(hashes, sh), len(hashes) - 1)
-                often = np.where(hashes[at] == sh, df[at], 0)
-            need = len(sh) - math.ceil(len(sh) * soft - 1e-9) + 1
-            return sh[np.lexsort((sh, often))[:need]]
+def frequent(docs: list[DataFrame], k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, of the shingles that most documents have, and how many; from about LEARNED documents of all.
 
-        return sets.map(one)
+    They only decide the order in which sets are looked at, not what is found.
+    """
+    if not most:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    return of
+    def counts(texts: list[str | None]) -> list[pa.Array]:
+        s, n = np.unique(np.concatenate([shingle_set(t, k) for t in texts] or [np.zeros(0, np.int64)]), return_counts=True)
+        return [pa.array(s), pa.array(n.astype(np.int64))]
 
+    found = None
+    for d in docs:
+        some = d.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(max(1, d.count() // LEARNED))) == 0)
+        part = _each(some, "s long, df long", counts)
+        found = part if found is None else found.unionByName(part)
+    top = found.groupBy("s").agg(F.sum("df").alias("df")).filter("df > 1").orderBy(F.desc("df"), "s").limit(most).collect()
+    at = np.array(sorted((r["s"], r["df"]) for r in top), np.int64).reshape(-1, 2)
+    return np.ascontiguousarray(at[:, 0]), np.ascontiguousarray(at[:, 1])
 
-def exact_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard: float = HARD, k: int = 5, most: int = FREQUENT) -> DataFrame:
-    """(eval_doc_id, train_doc_id, jaccard, tier) of all pairs at or above soft.
 
-    Two sets with that similarity share an element among the first (1 - soft) of each, in any one order of the elements; here the
-    frequent ones come last. Only those prefixes are joined, with the bound on the sizes' ratio, and the pairs that meet are
-    compared in full. Equal sets are one row until then.
-    """
-    if hard < soft:
-        raise ValueError("the hard threshold is below the soft one")
-    sides = {"t": _sets(train, k), "e": _sets(evaluation, k)}
-    known = train.sparkSession.sparkContext.broadcast(frequent(sides["t"][1].select("sh").unionByName(sides["e"][1].select("sh")), most))
-    prefix = _prefix(soft, known)
-    first = {x: sets.select(F.col("set_id").alias(x), F.size("sh").alias(f"{x}_n"), F.explode(prefix("sh")).alias("s")) for x, (_, sets) in sides.items()}
-    fits = (F.col("t_n") >= F.col("e_n") * soft - 1e-9) & (F.col("e_n") >= F.col("t_n") * soft - 1e-9)
-    return _compared(first["t"].join(first["e"], "s").filter(fits).select("t", "e").distinct(), sides, soft, hard)
+def _ordered(s: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The set in the order of the index: unknown shingles by their hash, then known ones by how many documents have them."""
+    hashes, df = known
+    often = np.zeros(len(s), np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
+        often = np.where(hashes[at] == s, df[at], 0)
+    return s[np.lexsort((s, often))]
 
 
-def _sets(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, set_id) of documents, and (set_id, sh) of their distinct sets of shingles, both stored."""
-    sets = stored(shingled(docs, k).withColumn("set_id", F.xxhash64("sh")))
-    return sets.select("doc_id", "set_id"), stored(sets.groupBy("set_id").agg(F.first("sh").alias("sh")))
+def _least(n: int, soft: float) -> int:
+    """Elements that a set of n shares at least with one that is similar enough."""
+    return math.ceil(n * soft - 1e-9)
 
 
-def _compared(met: DataFrame, sides: dict[str, tuple[DataFrame, DataFrame]], soft: float, hard: float) -> DataFrame:
-    """The pairs of documents whose sets (t, e) met and are similar enough, compared in full."""
-    full = met
+def _sketch(docs: DataFrame, k: int, ddl: str, more: Callable[[np.ndarray], list]) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, set_id) of documents with shingles, and of one document for each set: set_id, n, text_hash, parity and the columns of `more`."""
+    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64())}
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[kinds[x.split()[1]] for x in ddl.split(", ")]]
+
+    def of(texts: list[str | None]) -> list[pa.Array]:
+        rows = [(set_id(s), len(s), parity(s, BITS) if len(s) else [], *more(s)) for s in (shingle_set(t, k) for t in texts)]
+        return [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+
+    made = _each(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), f"set_id long, n long, parity array<long>, {ddl}", of, "doc_id", "text_hash")
+    rows = stored(made.filter("n > 0"))
+    return rows.select("doc_id", "set_id"), stored(rows.drop("doc_id").dropDuplicates(["set_id"]))
+
+
+def length_class(n: Column, soft: float) -> Column:
+    """Sizes that may fit lie in one class or in neighbouring ones; the class does not fall where the size grows."""
+    return F.floor(F.log(F.greatest(n.cast("double"), F.lit(1.0))) / F.lit(max(-math.log(soft), 1e-6))).cast("int")
+
+
+def exact_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard: float = HARD, k: int = 5, most: int = FREQUENT) -> DataFrame:
+    """(eval_doc_id, train_doc_id, jaccard, tier) of all pairs at or above soft; most: FREQUENT."""
+    _checked(soft, hard)
+    known = train.sparkSession.sparkContext.broadcast(frequent([train, evaluation], k, most))
+    prefix = lambda s: [_ordered(s, known.value)[: len(s) - _least(len(s), soft) + 1]]
+    sides = {"t": _sketch(train, k, "prefix array<long>", prefix), "e": _sketch(evaluation, k, "prefix array<long>", prefix)}
+    index = {}
     for x, (_, sets) in sides.items():
-        full = full.join(sets.select(F.col("set_id").alias(x), F.col("sh").alias(f"{x}_sh")), x)
-    common = F.size(F.array_intersect("t_sh", "e_sh"))
-    near = full.select("t", "e", (common / (F.size("t_sh") + F.size("e_sh") - common)).alias("jaccard")).filter(F.col("jaccard") >= soft)
-    for x, name in (("t", "train_doc_id"), ("e", "eval_doc_id")):
-        near = near.join(sides[x][0].select(F.col("doc_id").alias(name), F.col("set_id").alias(x)), x)
-    return near.select("eval_doc_id", "train_doc_id", "jaccard", F.when(F.col("jaccard") >= hard, "hard").otherwise("soft").alias("tier"))
+        here = F.array(length_class(F.col("n"), soft))
+        classes = here if x == "t" else F.sequence(length_class(F.col("n") * soft - 1e-9, soft), length_class(F.col("n") / soft + 1e-9, soft))
+        one = sets.select(F.col("set_id").alias(x), F.col("n").alias(f"{x}_n"), F.explode(classes).alias("class"), "prefix")
+        index[x] = one.select(x, f"{x}_n", "class", F.posexplode("prefix").alias(f"{x}_at", "s"))
+    both = F.col("t_n") + F.col("e_n")
+    need = F.ceil(both * (soft / (1 + soft)) - 1e-6)
+    fits = (F.col("t_n") >= F.col("e_n") * soft - 1e-9) & (F.col("e_n") >= F.col("t_n") * soft - 1e-9)
+    # a shingle at these places is followed by so many in both at most, and what is before it may be shared
+    bound = F.least("t_at", "e_at") + F.least(F.col("t_n") - F.col("t_at"), F.col("e_n") - F.col("e_at"))
+    met = index["t"].join(index["e"], ["class", "s"]).filter(fits & (bound >= need)).select("t", "e").distinct()
+    return _compared(met, sides, {"t": train, "e": evaluation}, soft, hard, k)
 
 
 #: Of the MinHash signature: bands, and rows of each. A pair at SOFT misses all bands once in 290 times; of those at 0.3 one in 115 meets.
 BANDS, ROWS = 12, 6
 
 
-def banded_sets(sets: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(set_id, band, key) of sets (set_id, sh): the key is a hash of the band's minima under as many seeded hashes."""
-    minimum = lambda i: F.array_min(F.transform("sh", lambda x: F.xxhash64(x, F.lit(i))))
-    keys = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(*[minimum(b * rows + r) for r in range(rows)]).alias("key")) for b in range(bands)])
-    return sets.select("set_id", F.explode(keys).alias("at")).select("set_id", "at.band", "at.key")
-
-
 def lsh_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard: float = HARD, bands: int = BANDS, rows: int = ROWS, k: int = 5) -> DataFrame:
     """(eval_doc_id, train_doc_id, jaccard, tier) of pairs that meet in a band of their MinHash signatures.
 
-    Documents without shingles have no signature and never pair. Texts with equal shingle sets are one row on each side until
-    the pairs are found; the similarity of what meets is exact, so only recall depends on the bands.
+    The similarity of what meets is exact, so only recall depends on the bands.
     """
+    _checked(soft, hard)
+    seeds = np.random.RandomState(7).randint(1, 1 << 62, bands * rows, dtype=np.int64)
+
+    def keys(s: np.ndarray) -> list:
+        if not len(s):
+            return [[]]
+        least = minima(s, seeds).reshape(bands, rows)
+        return [[int.from_bytes(hashlib.blake2b(bytes([b]) + least[b].tobytes(), digest_size=8).digest(), "little", signed=True) for b in range(bands)]]
+
+    sides = {"t": _sketch(train, k, "keys array<long>", keys), "e": _sketch(evaluation, k, "keys array<long>", keys)}
+    dealt = {x: sets.select(F.col("set_id").alias(x), F.explode("keys").alias("key")) for x, (_, sets) in sides.items()}
+    met = dealt["t"].join(dealt["e"], "key").select("t", "e").distinct()
+    return _compared(met, sides, {"t": train, "e": evaluation}, soft, hard, k)
+
+
+def _checked(soft: float, hard: float) -> None:
     if hard < soft:
         raise ValueError("the hard threshold is below the soft one")
-    sides = {"t": _sets(train, k), "e": _sets(evaluation, k)}
-    dealt = {x: banded_sets(sets, bands, rows).withColumnRenamed("set_id", x) for x, (_, sets) in sides.items()}
-    return _compared(dealt["t"].join(dealt["e"], ["band", "key"]).select("t", "e").distinct(), sides, soft, hard)
+    if not 0 < soft <= 1:
+        raise ValueError("a similarity is above 0 and at most 1")
+
+
+def _compared(met: DataFrame, sides: dict[str, tuple[DataFrame, DataFrame]], docs: dict[str, DataFrame], soft: float, hard: float, k: int) -> DataFrame:
+    """The pairs of documents whose sets (t, e) met and are similar enough: by their parities first, then in full."""
+    full = met
+    for x, (_, sets) in sides.items():
+        full = full.join(sets.select(F.col("set_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("parity").alias(f"{x}_p")), x)
+    apart = F.aggregate(F.zip_with("t_p", "e_p", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
+    may = apart <= (F.col("t_n") + F.col("e_n")) * ((1 - soft) / (1 + soft)) + 1e-6
+    pairs = stored(full.filter(may).select("t", "e"))
+    arrays = lambda texts: [pa.array([shingle_set(t, k) for t in texts], pa.list_(pa.int64()))]
+    near = pairs
+    for x, (_, sets) in sides.items():
+        # the texts of the sets that are still wanted are read again, one document for each
+        wanted = sets.join(pairs.select(F.col(x).alias("set_id")).distinct(), "set_id").select("set_id", "text_hash")
+        texts = docs[x].select(F.xxhash64("text").alias("text_hash"), "text").join(wanted, "text_hash").dropDuplicates(["set_id"])
+        made = stored(_each(texts, "sh array<long>", arrays, "set_id"))
+        near = near.join(made.select(F.col("set_id").alias(x), F.col("sh").alias(f"{x}_sh")), x)
+    common = F.size(F.array_intersect("t_sh", "e_sh"))
+    near = near.select("t", "e", (common / (F.size("t_sh") + F.size("e_sh") - common)).alias("jaccard")).filter(F.col("jaccard") >= soft)
+    for x, name in (("t", "train_doc_id"), ("e", "eval_doc_id")):
+        near = near.join(sides[x][0].select(F.col("doc_id").alias(name), F.col("set_id").alias(x)), x)
+    return near.select("eval_doc_id", "train_doc_id", "jaccard", F.when(F.col("jaccard") >= hard, "hard").otherwise("soft").alias("tier"))

@@ -8,7 +8,11 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+import threading
+import time
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import FIRST_COMPLETED, Future, wait
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,50 +44,124 @@ def first_available(verifiers: list[tuple[str, Callable[[], bool]]]) -> str | No
 
 ANSWER_ROWS = "doc_id string, answer string, tries int, error string"
 VERDICT_ROWS = "doc_id string, field_id string, verdict string, verifier double, reason string"
+#: Calls of a task that run at a time, and seconds after which a call is given up.
+FLIGHT, SECONDS = 8, 180.0
+#: Calls that may wait for an earlier one, as results are given in order, for each that runs.
+AHEAD = 4
 
 
-def ask(docs: DataFrame, model: Callable[[str], str], retries: int = 2) -> DataFrame:
-    """(doc_id, answer, tries, error) of a model extractor over docs (doc_id, text): asked again while its answer is no JSON object."""
+def in_flight(items: Iterable, call: Callable, flight: int = FLIGHT, seconds: float = SECONDS) -> Iterator:
+    """What the call gives for each item, or the error it ends in, in the items' order; `flight` calls run at a time.
 
-    def one(text: str) -> tuple[str | None, int, str | None]:
-        error = None
-        for k in range(retries + 1):
+    A call that takes longer than `seconds` is a TimeoutError. Its thread cannot be stopped: it is left behind, and its place is free.
+    """
+    todo, window, running, late = iter(items), deque(), {}, set()
+    more = True
+    while window or more:
+        while more and len(running) < flight and len(window) < AHEAD * flight:
             try:
-                answer = model(text)
-                if isinstance(json.loads(answer), dict):
-                    return answer, k + 1, None
-                error = "no object"
-            except Exception as e:  # as above
-                error = f"{type(e).__name__}: {e}"
-        return None, retries + 1, error
+                item = next(todo)
+            except StopIteration:
+                more = False
+                break
+            f: Future = Future()
+            window.append(f)
+            running[f] = time.monotonic()
+            threading.Thread(target=_fill, args=(f, call, item), daemon=True).start()
+        while window and window[0] not in running:
+            f = window.popleft()
+            yield TimeoutError(f"no answer in {seconds:g} s") if f in late else f.exception() or f.result()
+        if running:
+            done, _ = wait(running, max(0.0, min(running.values()) + seconds - time.monotonic()), FIRST_COMPLETED)
+            over = [f for f, began in running.items() if f not in done and time.monotonic() - began >= seconds]
+            late.update(over)
+            for f in (*done, *over):
+                del running[f]
+
+
+def _fill(f: Future, call: Callable, item: object) -> None:
+    try:
+        f.set_result(call(item))
+    except Exception as e:  # noqa: BLE001  a call's failure is its result
+        f.set_exception(e)
+
+
+def _said(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"
+
+
+def json_object(answer: str) -> str | None:
+    """What is wrong with an answer that should be a JSON object, or None."""
+    try:
+        return None if isinstance(json.loads(answer), dict) else "no object"
+    except (TypeError, ValueError) as e:
+        return _said(e)
+
+
+# The fields of a typed answer, those that are text and those that are amounts, each with a confidence.
+TEXTS, AMOUNTS = ("vendor", "date"), ("total", "vat")
+
+
+def typed_fields(answer: str) -> str | None:
+    """What is wrong with an answer that should hold the typed fields: texts, amounts from 0, confidences from 0 to 1; each may be missing or null."""
+    if wrong := json_object(answer):
+        return wrong
+    given, wrong = json.loads(answer), []
+    number = lambda v: isinstance(v, int | float) and not isinstance(v, bool)
+    for f in (*TEXTS, *AMOUNTS):
+        v, sure = given.get(f), given.get(f"{f}_confidence")
+        if v is not None and not (isinstance(v, str) if f in TEXTS else number(v) and v >= 0):
+            wrong.append(f"{f} is no {'text' if f in TEXTS else 'amount'}")
+        if sure is not None and not (number(sure) and 0 <= sure <= 1):
+            wrong.append(f"{f}_confidence is not from 0 to 1")
+    return "; ".join(wrong) or None
+
+
+def ask(docs: DataFrame, model: Callable[[str, str | None], str], retries: int = 2, check: Callable[[str], str | None] = json_object, flight: int = FLIGHT, seconds: float = SECONDS) -> DataFrame:
+    """(doc_id, answer, tries, error) of a model extractor over docs (doc_id, text).
+
+    model is called with the text and what was wrong with its last answer, None at first; check tells what is wrong. A call that fails
+    or takes too long counts as a try. `flight` calls of a task run at a time; rows stay in order.
+    """
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([(str(d), *one(t)) for d, t in zip(b["doc_id"], b["text"], strict=True)], columns=["doc_id", "answer", "tries", "error"])
+            rows: list[tuple] = [(str(d), None, 0, None) for d in b["doc_id"]]
+            texts, open_ = list(b["text"]), list(range(len(rows)))
+            for k in range(1, retries + 2):
+                left = []
+                for i, answer in zip(open_, in_flight(((texts[i], rows[i][3]) for i in open_), lambda x: model(*x), flight, seconds), strict=True):
+                    wrong = _said(answer) if isinstance(answer, Exception) else check(answer)
+                    rows[i] = (rows[i][0], None if wrong else answer, k, wrong)
+                    if wrong:
+                        left.append(i)
+                open_ = left
+            yield pd.DataFrame(rows, columns=["doc_id", "answer", "tries", "error"])
 
     return docs.select("doc_id", "text").mapInPandas(each, ANSWER_ROWS)
 
 
-def verify(fields: DataFrame, verifiers: list[tuple[str, Callable[[], bool], Callable[[str, str, str], tuple[str, float, str]]]]) -> DataFrame:
+def verify(fields: DataFrame, verifiers: list[tuple[str, Callable[[], bool], Callable[[str, str, str], tuple[str, float, str]]]], flight: int = FLIGHT, seconds: float = SECONDS) -> DataFrame:
     """(doc_id, field_id, verdict, verifier, reason) of the first available verifier over fields (doc_id, field_id, value, text).
 
-    A verifier (name, whether it can work, function of field, value and text) that fails flags the field with confidence 0, as all are
-    if none is available.
+    A verifier (name, whether it can work, function of field, value and text) that fails or takes too long flags the field with
+    confidence 0, as all are if none is available. `flight` calls of a task run at a time; rows stay in order.
     """
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name = first_available([v[:2] for v in verifiers])
         check = next((f for n, _, f in verifiers if n == name), None)
+
+        def call(x: tuple) -> tuple[str, float, str]:
+            if check is None:
+                raise Unavailable("no verifier is available")
+            verdict, confidence, reason = check(*x)
+            return verdict, float(confidence), reason
+
         for b in batches:
-            rows = []
-            for d, field, value, text in zip(b["doc_id"], b["field_id"], b["value"], b["text"], strict=True):
-                try:
-                    if check is None:
-                        raise Unavailable("no verifier is available")
-                    verdict, confidence, reason = check(field, value, text)
-                except Exception as e:  # as above
-                    verdict, confidence, reason = "flag", 0.0, f"{type(e).__name__}: {e}"
-                rows.append((str(d), field, verdict, float(confidence), reason))
+            asked = zip(b["field_id"], b["value"], b["text"], strict=True)
+            said = [("flag", 0.0, _said(x)) if isinstance(x, Exception) else x for x in in_flight(asked, call, flight, seconds)]
+            rows = [(str(d), f, *x) for d, f, x in zip(b["doc_id"], b["field_id"], said, strict=True)]
             yield pd.DataFrame(rows, columns=["doc_id", "field_id", "verdict", "verifier", "reason"])
 
     return fields.select("doc_id", "field_id", "value", "text").mapInPandas(each, VERDICT_ROWS)

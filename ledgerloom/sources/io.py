@@ -9,9 +9,9 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.functions.text import strip
 
@@ -61,6 +61,19 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | str) ->
         return spark.createDataFrame([], schema)
 
 
+def counted_json_lines(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, Observation]:
+    """read_json_lines(), and what is counted while the rows are read: kept and malformed lines, once an action has run over them.
+
+    One pass: lines are parsed permissively, and those that do not fit leave behind the count.
+    """
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = spark.read.schema(StructType([*fields, StructField("_bad", StringType())])).option("columnNameOfCorruptRecord", "_bad").json(path)
+    seen, bad = Observation(), F.col("_bad").isNotNull()
+    # every column is looked at, or lines that only fail in unread columns would count as kept
+    whole = F.max(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields.names])))).alias("longest")
+    return rows.observe(seen, F.count_if(~bad).alias("kept"), F.count_if(bad).alias("malformed"), whole).filter(~bad).drop("_bad"), seen
+
+
 def malformed_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The lines that read_json_lines() skips, but for blank ones, to be counted or reported."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
@@ -169,14 +182,61 @@ def push_version(df: DataFrame, folder: str) -> tuple[str, bool]:
 
 
 def read_sql(spark: SparkSession, tables: dict[str, DataFrame], query: str) -> DataFrame:
-    """A query over named tables; in production they are JDBC tables, and filters reach the database."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    """A query over tables that it names in braces, as {orders}; in production they are JDBC tables, and filters reach the database.
+
+    The names are the query's own: views of the session stay as they are.
+    """
+    return spark.sql(query, **tables)
+
 
+#: Ranges of the key that are counted before a table is read, and rows that a task reads.
+COUNTED, ROWS_A_TASK = 1000, 1_000_000
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+
+def key_ranges(counts: list[tuple[int, int]], most: int) -> list[tuple[int | None, int | None]]:
+    """Ends (from, below) of ranges of a key with about `most` rows each, of rows counted in ranges (where it begins, rows).
+
+    The first range has no lower end and the last no upper one, so rows that come meanwhile are read.
+    """
+    cuts, held = [], 0
+    for begin, n in sorted(counts):
+        if held and held + n > most:
+            cuts.append(begin)
+            held = 0
+        held += n
+    return list(zip([None, *cuts], [*cuts, None], strict=True))
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, key: str | None = None, rows_a_task: int = ROWS_A_TASK, **options: str) -> DataFrame:
+    """A table of a database. With a whole-number key many tasks read it, each a range of the key.
+
+    The ranges come from small queries: the key's ends, the rows in COUNTED ranges of one width, and again inside of those that hold
+    more than a task should read, so they hold about as many rows each though keys have gaps or outliers. Null keys are in the first range. Filters and columns reach the database in every task, and a
+    task that is lost reads its range again. The tasks' queries are not one snapshot: a row that is updated meanwhile is read as it is then.
+    """
+    asked = lambda query: spark.read.format("jdbc").options(url=url, query=query, **options).load().collect()
+    if key is None:
+        return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+    low, high = asked(f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}")[0]
+    ranges: list[tuple[int | None, int | None]] = [(None, None)]
+
+    def counted(low: int, high: int) -> list[tuple[int, int]]:
+        width = -(-(high - low + 1) // COUNTED)
+        where = f"{key} BETWEEN {low} AND {high}"
+        rows = asked(f"SELECT k, COUNT(*) AS n FROM (SELECT FLOOR(({key} - {low}) / {width}) AS k FROM {table} WHERE {where}) r GROUP BY k")
+        out = []
+        for k, n in ((int(r[0]), int(r[1])) for r in rows):
+            begin = low + k * width
+            out += counted(begin, min(begin + width - 1, high)) if n > rows_a_task and width > 1 else [(begin, n)]
+        return out
+
+    if low is not None:
+        ranges = key_ranges(counted(int(low), int(high)), rows_a_task)
+    conditions = []
+    for a, b in ranges:
+        ends = " AND ".join([*([f"{key} >= {a}"] if a is not None else []), *([f"{key} < {b}"] if b is not None else [])])
+        conditions.append((f"({ends}) OR {key} IS NULL" if ends and a is None else ends) or "1 = 1")
+    return spark.read.jdbc(url, table, predicates=conditions, properties=options)
 
 
 def merged_config(defaults: Column, given: Column) -> Column:

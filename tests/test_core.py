@@ -156,7 +156,7 @@ def test_versions_are_named_by_content(spark, tmp_path):
 
 def test_sql_and_http(spark):
     tables = {"corrections": spark.createDataFrame([(1, 7)], "id int, extraction_id int"), "extractions": spark.createDataFrame([(7, "d")], "id int, doc_id string")}
-    assert [tuple(r) for r in io.read_sql(spark, tables, "SELECT c.id, e.doc_id FROM corrections c JOIN extractions e ON e.id = c.extraction_id").collect()] == [(1, "d")]
+    assert [tuple(r) for r in io.read_sql(spark, tables, "SELECT c.id, e.doc_id FROM {corrections} c JOIN {extractions} e ON e.id = c.extraction_id").collect()] == [(1, "d")]
     assert io.auth_header("a.b" * 30) == "Bearer " + "a.b" * 30 and io.auth_header("f" * 40) == "Token " + "f" * 40 and io.auth_header("x", "Basic") == "Basic x"
     clock, asked = [0.0], []
     cache = io.TokenCache(lambda a: asked.append(a) or f"t{len(asked)}", now=lambda: clock[0])
@@ -320,7 +320,7 @@ def test_bills(spark, bill, want):
 def test_models_are_asked_again_and_verifiers_may_fail(spark):
     docs = spark.createDataFrame([("a", "good"), ("b", "never"), ("c", "fails")], "doc_id string, text string")
 
-    def model(text):
+    def model(text, wrong):
         if text == "fails":
             raise TimeoutError("180 s")
         return '{"total": 1.5, "total_confidence": 1.0}' if text == "good" else "[]"
