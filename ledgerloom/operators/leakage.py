@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.grams import minima, parity, shingle_set
 from ledgerloom.functions.text import mask_identity, strip
-from ledgerloom.sources.shared import stored
+from ledgerloom.sources.shared import spread, stored
 
 SOFT, HARD = 0.85, 0.95
 #: Shingles that are known as frequent to every task, at most; documents that they are learned from, about.
@@ -38,13 +38,12 @@ FREQUENT, LEARNED = 1 << 17, 1 << 15
 BITS = 2048
 
 
-def _text(docs: DataFrame) -> Column:
-    """The text that shingles are of: identities masked, spaces single."""
-    return F.regexp_replace(strip(mask_identity(F.col("text"))), r"\s+", " ")
+def _spaced(text: Column) -> Column:
+    return F.regexp_replace(strip(text), r"\s+", " ")
 
 
-def _each(docs: DataFrame, ddl: str, of: Callable[[list[str | None]], list[pa.Array]], *keep: str) -> DataFrame:
-    """The columns to keep, and those that `of` gives of the texts of an Arrow batch."""
+def _each(docs: DataFrame, ddl: str, of: Callable[[list[str | None]], list[pa.Array]], *keep: str, masked: bool = True) -> DataFrame:
+    """The columns to keep, and those that `of` gives of the texts of an Arrow batch: spaces single, identities masked."""
     names = [*keep, *[x.split()[0] for x in ddl.split(", ")]]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,7 +51,14 @@ def _each(docs: DataFrame, ddl: str, of: Callable[[list[str | None]], list[pa.Ar
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *of(b.column("text").to_pylist())], names=names)
 
     kept = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, _text(docs).alias("text")).mapInArrow(work, ", ".join(filter(None, (kept, ddl))))
+    text = _spaced(mask_identity(F.col("text")) if masked else F.col("text"))
+    return spread(docs.select(*keep, "text")).select(*keep, text.alias("text")).mapInArrow(work, ", ".join(filter(None, (kept, ddl))))
+
+
+def shingle_counts(docs: DataFrame, k: int = 5) -> DataFrame:
+    """(doc_id, shingles): how many different k-grams each text has, as it is but for spaces."""
+    count = lambda texts: [pa.array([len(shingle_set(t, k)) for t in texts], pa.int64())]
+    return _each(docs, "shingles long", count, "doc_id", masked=False)
 
 
 def set_id(s: np.ndarray) -> int:

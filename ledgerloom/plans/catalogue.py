@@ -18,7 +18,7 @@ from ledgerloom.operators import corrections, export, extraction, gate, governan
 from ledgerloom.plans import generated  # noqa: F401 (registers its queries)
 from ledgerloom.plans.registry import QUERIES, SQL, query
 from ledgerloom.plans.registry import table as _t
-from ledgerloom.sources.shared import shared_root
+from ledgerloom.sources.shared import shared_root, spread
 
 PASS_CHARS = 500
 
@@ -590,7 +590,9 @@ SELECT doc_id, coalesce(list_filter({_HEADS}, lambda x: regexp_matches(x, '{_sha
 """)
 def header_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    return _t(spark, sf_dir, "documents").select("doc_id", fields.vendor(t).alias("vendor"), fields.date(t).alias("date"))
+    heads = F.array_join(F.slice(text.lines(t), 1, fields.HEAD_LINES), "\n")
+    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", heads.alias("heads"), fields.date(t).alias("date")))
+    return docs.select("doc_id", fields.vendor(F.col("heads")).alias("vendor"), "date")
 
 
 # --- votes, gate ---------------------------------------------------------------------------------------------------
@@ -879,7 +881,7 @@ def identity_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(", €1,200.50, IE"), n, F.lit("abc, X"), n,
     )
     masked = text.mask_identity(F.concat("text", tail))
-    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(masked.cast("binary")).alias("masked_md5"), F.length(masked).cast("bigint").alias("masked_chars"))
+    return spread(_t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.md5(masked.cast("binary")).alias("masked_md5"), F.length(masked).cast("bigint").alias("masked_chars"))
 
 
 _SPACED = r"regexp_replace(regexp_replace({0}, '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')"
@@ -887,7 +889,7 @@ _SPACED = r"regexp_replace(regexp_replace({0}, '^\s+|\s+$', '', 'g'), '\s+', ' '
 
 @query(f"SELECT doc_id, CASE WHEN length(t) < 5 THEN 0 ELSE len(list_distinct(list_transform(range(1, length(t) - 3), lambda i: substr(t, i, 5)))) END::BIGINT AS shingles FROM (SELECT doc_id, {_SPACED.format('text')} AS t FROM documents)")
 def shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "documents").select("doc_id", F.size(text.shingles(F.col("text"))).cast("bigint").alias("shingles"))
+    return leakage.shingle_counts(_t(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -26,3 +26,12 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_root(df.sparkSession)}/ledgerloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores, for work on each row that costs more than moving it.
+
+    A table of a few large row groups is read by as many tasks, whatever the cluster; one with more is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
