@@ -25,14 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, by: str | None = None, path: str | None = None) -> DataFrame:
     """df written as Parquet in the shared folder and read back: lineage is cut, a lost executor costs nothing.
 
     The files' size then also tells the planner whether a join may broadcast this side. by: a column whose values get folders
-    of their own, so that a filter on it reads one of them.
+    of their own, so that a filter on it reads one of them. path: where to, a new folder below `ledgerloom` if not said.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/ledgerloom/{uuid.uuid4().hex}"
+    path = path or f"{shared_root(spark)}/ledgerloom/{uuid.uuid4().hex}"
     schema = df.schema
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
@@ -117,9 +117,9 @@ def shielded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Call
     """A stage that works also where columns of its input are named like the operators' own: they have other names inside."""
 
     @functools.wraps(stage)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str, **parameters: object) -> DataFrame:
         inside = {c: f"__shield_{i}_{c}" for i, c in enumerate(docs.columns) if c.lower().startswith(OWN)}
-        out = stage(spark, docs.withColumnsRenamed(inside), sf_dir) if inside else stage(spark, docs, sf_dir)
+        out = stage(spark, docs.withColumnsRenamed(inside) if inside else docs, sf_dir, **parameters)
         return out.withColumnsRenamed({v: k for k, v in inside.items()}) if inside else out
 
     return run

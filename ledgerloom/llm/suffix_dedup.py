@@ -24,11 +24,15 @@ each of its windows has one of the two; so a frequent string in ever new surroun
 
 Defined cases: a null text is empty; texts shorter than a window keep everything; a string repeated within one document
 stays; rows with one doc_id are no earlier than each other; a null doc_id is before all others; very long texts are
-worked through `CHUNK` bytes at a time; an empty table gives no rows; other columns are ignored.
+worked through `CHUNK` bytes at a time; an empty table or batch gives no rows; other columns are ignored. A family has
+any number of batches; a task with more than 2^14 packs (64 GB of text), or 2^43 packs in all, are an OverflowError, and
+a single document of 2 GB or more is beyond what a binary value of Spark holds.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -40,6 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import arrow_batches, discard, release, shuffle_partitions, stored
+from ledgerloom.sources.shared import shared_root
 
 WINDOW, ANCHOR = 50, 20
 #: Places of an anchor in a window, and the longest segment and what of it may stand before the anchor.
@@ -47,6 +52,8 @@ PLACES = WINDOW - ANCHOR + 1
 LONGEST, BEFORE = WINDOW + PLACES - 1, PLACES - 1
 #: Bytes of text in a pack, bits of a row's place in it, and buckets of a shuffle partition.
 PACK, PLACE_BITS, BUCKETS = 4 << 20, 20, 8
+#: Bits of a pack's place among those of its task.
+TASK_BITS = 14
 #: Packs that have an anchor above which it is dealt with its surroundings, and the bytes of these.
 HOT, AROUND = 4096, BEFORE // 2
 #: Places that are hashed at a time, and entries that are made at a time.
@@ -374,17 +381,19 @@ def _codes(anchor: np.ndarray, buckets: int) -> np.ndarray:
     return ((_mixed(anchor) % np.uint64(buckets)) << np.uint64(32)) | (anchor >> np.uint64(20) & np.uint64(0xFFFFFFFF))
 
 
-def _packs(batches: Iterator[pa.RecordBatch], add: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _packs(batches: Iterator[pa.RecordBatch], first_pack: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Documents (doc_id, raw) -> (pack, asks, value, hashes): a row with the pack's value, and one with what it asks.
 
     That is, for each bucket, the hashes of its anchors, and a bit for those that come again.
     """
     schema = pa.schema([("pack", pa.int64()), ("asks", pa.bool_()), ("value", pa.binary()), ("hashes", pa.list_(pa.struct([("bucket", pa.int64()), ("hashes", pa.binary())])))])
-    base, made = (add << 34) | (TaskContext.get().partitionId() << 14), 0
+    base, made = first_pack + (TaskContext.get().partitionId() << TASK_BITS), 0
     held, size = [], 0
 
     def send() -> pa.RecordBatch:
         nonlocal held, size, made
+        if made >> TASK_BITS or (base + made) >> (63 - PLACE_BITS):
+            raise OverflowError(f"a task has more than {1 << TASK_BITS} packs of {PACK} bytes, or the family more than {1 << (63 - PLACE_BITS)}: add smaller batches")
         raw, lengths = b"".join([r for _, r in held]), np.array([len(r) for _, r in held], np.int64)
         first, count, left = segments(raw, lengths)
         code, n = np.unique(_codes(anchor_hashes(raw, first + left), buckets), return_counts=True)
@@ -548,56 +557,103 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _sent(rows, schema)
 
 
+ASKS, RUNS = "pack long, asks boolean, value binary, hashes array<struct<bucket: long, hashes: binary>>", "level boolean, key long, value binary"
+
+
 class SuffixFamily:
-    """An index of documents in the shared folder that grows by batches. Not for use by several writers at a time."""
+    """An index of documents in the shared folder that grows by batches. Not for use by several writers at a time.
 
-    def __init__(self, spark: SparkSession, buckets: int | None = None, hot: int = HOT):
-        """buckets: into which anchors are dealt, fixed for the family's life; a bucket is worked on in memory."""
+    Its manifest, a small file in its folder, names the tables that belong to it and is replaced as a whole after each batch, so a
+    family can be opened again in another session, and a batch that failed leaves the family as it was.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int | None = None, hot: int = HOT, folder: str | None = None):
+        """buckets: into which anchors are dealt, fixed for the family's life; a bucket is worked on in memory. folder: of a new family."""
         self.spark, self.buckets, self.hot = spark, buckets or shuffle_partitions(spark) * BUCKETS, hot
+        self.folder = folder or f"{shared_root(spark)}/ledgerloom/{uuid.uuid4().hex}"
+        self.next_pack, self.closed = 0, False
         self.packs: list[DataFrame] = []
         self.runs: list[DataFrame] = []
         #: (rank, level) by falling rank
         self.levels: list[tuple[int, DataFrame]] = []
+        #: What the manifest says of these: tables of packs and of runs, and rank and table of levels.
+        self.tables: dict[str, list] = {"packs": [], "runs": [], "levels": []}
 
-    def _all(self, asks: bool) -> DataFrame:
-        """(pack, old, value or hashes) of all packs, the last batch's not old."""
+    @staticmethod
+    def open(spark: SparkSession, folder: str) -> SuffixFamily:
+        """A family that was made before."""
+        said = json.loads(spark.read.text(f"{folder}/family.json", wholetext=True).first()[0])
+        family = SuffixFamily(spark, said["buckets"], said["hot"], folder)
+        family.next_pack, family.closed, family.tables = said["next_pack"], said["closed"], said["tables"]
+        family._read()
+        return family
+
+    def _read(self) -> None:
+        """The tables that the manifest names."""
+        read = lambda name, schema: self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+        self.packs = [read(t, ASKS) for t in self.tables["packs"]]
+        self.runs = [read(t, RUNS).filter("not level").select(F.col("key").alias("pack"), "value") for t in self.tables["runs"]]
+        self.levels = [(rank, read(t, RUNS).filter("level").select("key", "value")) for rank, t in self.tables["levels"]]
+
+    def _write_manifest(self) -> None:
+        told = {"buckets": self.buckets, "hot": self.hot, "next_pack": self.next_pack, "closed": self.closed, "tables": self.tables}
+        path = lambda name: self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        new, at = path(f".family-{uuid.uuid4().hex}"), path("family.json")
+        fs = at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        out = fs.create(new)
+        out.write(bytearray(json.dumps(told).encode()))
+        out.close()
+        fs.delete(at, False)
+        fs.rename(new, at)
+
+    def _all(self, asks: bool, packs: list[DataFrame]) -> DataFrame:
+        """(pack, old, value or hashes) of some batches' packs, the last batch's not old."""
         out = None
-        for k, p in enumerate(self.packs):
-            rows = p.filter("asks" if asks else "not asks").select("pack", F.lit(k < len(self.packs) - 1).alias("old"), "hashes" if asks else "value")
+        for k, p in enumerate(packs):
+            rows = p.filter("asks" if asks else "not asks").select("pack", F.lit(k < len(packs) - 1).alias("old"), "hashes" if asks else "value")
             out = rows if out is None else out.unionByName(rows)
         return out
 
     def add(self, docs: DataFrame, last: bool = False) -> SuffixFamily:
-        """Take a batch of documents (doc_id, text). last: no batch follows, so what only a later one needs is not kept."""
-        spark, n = self.spark, shuffle_partitions(self.spark)
+        """Take a batch of documents (doc_id, text). last: no batch follows, so what only a later one needs is neither made nor kept."""
+        if self.closed:
+            raise ValueError("the family's last batch was added")
+        spark, n, name = self.spark, shuffle_partitions(self.spark), uuid.uuid4().hex
         raw = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("raw"))
-        packs = partial(_packs, add=len(self.packs), buckets=self.buckets)
         with arrow_batches(spark, 512, BATCH):
-            self.packs.append(stored(rows.mapInArrow(packs, "pack long, asks boolean, value binary, hashes array<struct<bucket: long, hashes: binary>>"), by="asks"))
-        asks = self._all(True).select("pack", "old", F.explode("hashes").alias("a")).select("a.bucket", "pack", "old", "a.hashes")
+            new = stored(rows.mapInArrow(partial(_packs, first_pack=self.next_pack, buckets=self.buckets), ASKS), by="asks", path=f"{self.folder}/packs-{name}")
+        packs = [*self.packs, new]
+        asks = self._all(True, packs).select("pack", "old", F.explode("hashes").alias("a")).select("a.bucket", "pack", "old", "a.hashes")
         with arrow_batches(spark, 2048, BATCH):
             asked = asks.repartition(n, "bucket").sortWithinPartitions("bucket")
             answers = stored(asked.mapInArrow(partial(_answers, hot=self.hot), "pack long, bucket long, flags binary"))
-        if last:
-            for p in self.packs:
+        if last:  # from here on the family takes no batch, should this one fail too
+            self.closed = True
+            self._write_manifest()
+            for p in packs:
                 discard(p, "asks=true")
         release(spark)
         by_pack = answers.groupBy("pack").agg(F.collect_list(F.struct("bucket", "flags")).alias("answers"))
-        merge = next(r for r in range(len(self.levels) + 1) if r not in [rank for rank, _ in self.levels])
+        ranks = [rank for rank, _ in self.levels]
+        merge = 0 if last else next(r for r in range(len(ranks) + 1) if r not in ranks)
         with arrow_batches(spark, 2048, BATCH):  # rows are up to MB
-            told = self._all(False).join(by_pack, "pack").select("pack", "value", "answers")
+            told = self._all(False, packs).join(by_pack, "pack").select("pack", "value", "answers")
             sent = told.mapInArrow(partial(_entries, buckets=self.buckets), "key long, kind int, value binary").withColumn("rank", F.lit(None).cast("int"))
             for rank, level in self.levels:
                 sent = sent.unionByName(level.select("key", F.lit(1).alias("kind"), "value", F.lit(rank).alias("rank")))
             sent = sent.repartition(n, "key").sortWithinPartitions(F.col("kind") > 0, "key", "kind")
-            out = stored(sent.select("key", "kind", "value", "rank").mapInArrow(partial(_extended, merge=merge, last=last), "level boolean, key long, value binary"), by="level")
+            stored(sent.select("key", "kind", "value", "rank").mapInArrow(partial(_extended, merge=merge, last=last), RUNS), by="level", path=f"{self.folder}/runs-{name}")
         discard(answers)
-        for rank, level in self.levels:
-            if last or rank < merge:
-                discard(level, "level=true")
-        self.runs.append(out.filter("not level").select(F.col("key").alias("pack"), "value"))
-        self.levels = [] if last else [*[x for x in self.levels if x[0] > merge], (merge, out.filter("level").select("key", "value"))]
+        newest = new.filter("not asks").agg(F.max("pack")).first()[0]
+        self.next_pack = self.next_pack if newest is None else newest + 1
+        left = [level for rank, level in self.levels if last or rank < merge]
+        kept = [] if last else [*[x for x in self.tables["levels"] if x[0] > merge], [merge, f"runs-{name}"]]
+        self.tables = {"packs": [*self.tables["packs"], f"packs-{name}"], "runs": [*self.tables["runs"], f"runs-{name}"], "levels": kept}
+        self._write_manifest()
+        for level in left:  # merged into the new one, or of no use any more
+            discard(level, "level=true")
+        self._read()
         release(spark)
         return self
 
@@ -607,7 +663,7 @@ class SuffixFamily:
         for r in self.runs[1:]:
             runs = runs.unionByName(r)
         runs = runs.groupBy("pack").agg(F.collect_list("value").alias("runs"))
-        met = self._all(False).join(runs, "pack", "left").select("pack", "value", "runs")
+        met = self._all(False, self.packs).join(runs, "pack", "left").select("pack", "value", "runs")
         return met.mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
 
 

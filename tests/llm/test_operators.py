@@ -155,6 +155,32 @@ def test_batches_one_by_one_equal_one_run(spark, docs):
     assert found_repeats(suffix_dedup.remove_repeats(rows_, parts=1)) == want
 
 
+def test_a_family_is_opened_again(spark, docs, monkeypatch):
+    """Each batch by another object, as in another session; a batch that fails leaves the family as it was; numbers beyond any count of batches."""
+    folder = None
+    for k in range(4):
+        family = suffix_dedup.SuffixFamily.open(spark, folder) if folder else suffix_dedup.SuffixFamily(spark, buckets=5)
+        folder, part = family.folder, docs.filter(F.pmod("doc_id", F.lit(4)) == k)
+        if k == 2:
+            with monkeypatch.context() as m, pytest.raises(RuntimeError):
+                m.setattr(suffix_dedup, "release", lambda spark: (_ for _ in ()).throw(RuntimeError("crash")))
+                family.add(part)
+            family = suffix_dedup.SuffixFamily.open(spark, folder)
+            assert [r for r, _ in family.levels] == [1]
+            family.next_pack = (1 << 43) - (1 << 20)  # as after very many batches
+        family.add(part, last=k == 3)
+    again = suffix_dedup.SuffixFamily.open(spark, folder)
+    assert found_repeats(again.removed()) == brute_repeats(texts(docs))
+    assert again.levels == [] and again.next_pack > (1 << 43) - (1 << 20)
+    with pytest.raises(ValueError, match="last batch"):
+        again.add(docs)
+    family = suffix_dedup.SuffixFamily(spark, buckets=5).add(docs.limit(0))
+    assert rows(family.removed()) == []
+    family.next_pack = 1 << 43
+    with pytest.raises(Exception, match="add smaller batches"):
+        family.add(docs)
+
+
 def test_a_long_text_and_one_anchor(spark):
     long = "".join(f"{i * 7919 % 100003} " for i in range(400_000))
     same = "the very same phrase that stands in all of these texts"
