@@ -197,13 +197,28 @@ def summary(metrics: DataFrame, **more: object) -> str:
     return json.dumps({**more, "stages": len(rows), "rows": sum(r["rows"] or 0 for r in rows), "seconds": round(sum(r["seconds"] for r in rows), 3), "failed": failed, "per_stage": rows}, sort_keys=True, default=str)
 
 
-def extract(texts: DataFrame, confidences: DataFrame, verdicts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Fields and documents of the engines' texts (doc_id, engine, ordinal, text), confidences (doc_id, engine, confidence) and verdicts.
+#: The engine that typed answers stand for, behind all others in their order.
+MODEL, BEHIND = "model", 1 << 30
+
+
+def _with_answers(candidates: DataFrame, confidences: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed answers (doc_id, answer) as one more engine: its values are taken as they are, no text of it is read."""
+    typed = extraction.model_candidates(answers)
+    more = typed.select("doc_id", "field_id", F.lit(MODEL).alias("engine"), F.lit(BEHIND).alias("ordinal"), "raw_text", "value")
+    sure = typed.groupBy("doc_id").agg(F.coalesce(F.avg(F.when(F.col("confidence") > 0, F.col("confidence"))), F.lit(0.0)).alias("confidence"))
+    return candidates.unionByName(more), confidences.unionByName(sure.select("doc_id", F.lit(MODEL).alias("engine"), "confidence"))
+
+
+def extract(texts: DataFrame, confidences: DataFrame, verdicts: DataFrame | None = None, answers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Fields and documents of the engines' texts (doc_id, engine, ordinal, text), confidences (doc_id, engine, confidence), verdicts and a model's answers.
 
     fields: (doc_id, field_id, value, agreed, valid, reason, ocr, verifier, to_verify, bounces); documents: gate()'s rows. A verdict
     (doc_id, field_id, verifier) counts where a field needs one.
     """
-    voted = voting.vote(extraction.extracted(texts), confidences)
+    candidates = extraction.extracted(texts)
+    if answers is not None:
+        candidates, confidences = _with_answers(candidates, confidences, answers)
+    voted = voting.vote(candidates, confidences)
     check = gate.field_valid(F.col("field_id"), F.col("value"))
     fields = voted.select("doc_id", "field_id", "value", F.col("agreement").alias("agreed"), check.alias("check"), F.col("ocr_confidence").alias("ocr"))
     fields = fields.select("*", F.col("check.ok").alias("valid"), F.col("check.reason").alias("reason"), gate.needs_verifier(F.col("agreed"), F.col("ocr")).alias("to_verify")).drop("check")

@@ -253,6 +253,17 @@ def test_verdicts_count_where_they_are_needed(spark):
     assert [tuple(r) for r in documents.collect()] == [("d", True, None)]
 
 
+def test_typed_answers_are_an_engine(spark):
+    """A model's values are taken as they are, whatever its text says; its confidence is the mean of the fields it gave."""
+    texts = spark.createDataFrame([("d", "e1", 1, "ACME LTD INVOICE\n01/02/2026\nVAT: EUR 2.30\nTotal: EUR 12.30")], "doc_id string, engine string, ordinal int, text string")
+    sure = spark.createDataFrame([("d", "e1", 0.8)], "doc_id string, engine string, confidence double")
+    answers = spark.createDataFrame([("d", '{"vendor": "Acme Ltd", "vendor_confidence": 1.0, "total": 12.3, "total_confidence": 0.6, "vat": 9.9, "vat_confidence": 0.8, "date": null}'), ("e", "no json")], "doc_id string, answer string")
+    fields, _ = job.extract(texts, sure, answers=answers)
+    got = {r.field_id: (r.value, r.agreed, round(r.ocr, 9)) for r in fields.filter("doc_id = 'd'").collect()}
+    assert got["total"][1:] == (True, 0.8) and got["vendor"][1:] == (True, 0.8) and got["vat"][1:] == (False, 0.8) and got["date"] == ("01/02/2026", False, 0.8)
+    assert fields.filter("doc_id = 'e'").count() == 0
+
+
 def test_reports(spark):
     q = catalogue.queries()
     card, accuracy = q["extraction_scorecard"](spark, "/root/testdata/sf0.001"), q["extraction_accuracy"](spark, "/root/testdata/sf0.001")
