@@ -31,7 +31,10 @@ def stored(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """df in at least as many partitions as there are cores, for work on each row that costs more than moving it.
 
-    A table of a few large row groups is read by as many tasks, whatever the cluster; one with more is left as it is.
+    A table of a few large row groups is read by as many tasks, whatever the cluster; one with more is left as it is, and so is what
+    a shuffle has dealt, whose partitions are not known before it runs.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

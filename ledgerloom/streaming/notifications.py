@@ -25,6 +25,7 @@ empty table gives no batches, a folder that is not there yet is an empty table.
 
 from __future__ import annotations
 
+import itertools
 import json
 import logging
 import sys
@@ -160,17 +161,12 @@ def following(now: Offset, found: Sequence[int], filled: Sequence[int], patience
     upto = found[-1] if found else now.upto
     have, low = set(found), max(now.upto, upto - patience)
     # only the last `most` numbers that are missing are kept, so the search goes down from the newest
-    missing: list[int] = []
-    for i in range(upto, low, -1):
-        if i not in have:
-            missing.append(i)
-            if len(missing) == most:
-                break
+    missing = list(itertools.islice((i for i in range(upto, low, -1) if i not in have), most))
     waiting = [g for g in now.gaps if g not in set(filled) and g > upto - patience]
-    gaps = sorted({*waiting, *missing})
-    if len(gaps) < len(waiting) + len(missing) or len(waiting) < len(now.gaps) - len(filled) or len(gaps) > most:
-        log.info("ids that are waited for no longer: %s below %s", len(now.gaps) - len(filled) - len(waiting) + max(0, len(gaps) - most), upto)
-    return Offset(upto, tuple(gaps[-most:]), tuple(filled))
+    gaps = sorted({*waiting, *missing})[-most:] if most else []
+    if given_up := len(now.gaps) - len(filled) + len(missing) - len(gaps):
+        log.info("%s ids that were passed over are waited for no longer", given_up)
+    return Offset(upto, tuple(gaps), tuple(filled))
 
 
 @dataclass
