@@ -48,6 +48,13 @@ def test_table_items_of_the_three_cases(spark):
     assert got == [("e", 0, "A & B €", 1.0), ("n", 0, "Inner", 7.0), ("n", 1, "Inner", 5.0), ("u", 0, "A", 1.0), ("u", 1, "B", 2.0)]
 
 
+def test_named_references_end_with_their_semicolon(spark):
+    """A title cut inside `&amp;` keeps what is left of it, as the SQL of page_blocks does."""
+    html = "<html><head><title>a&amp;b &amp</title></head><body><h1>a &lt;c&gt; &amp</h1><p>&copyx; &notit; &AMP; &nosuch; &#8364; &#65 &amp;lt; &"
+    assert [b.text for b in markup.read(html).blocks] == ["a&b &amp", "a <c> &amp", "&copyx; &notit; & &nosuch; € A &lt; &"]
+    assert [r.text for r in pages.blocks(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("block_idx").collect()][0] == "a&b &amp"
+
+
 def test_grid_places():
     html = "<table><tr><th rowspan=2>a<td colspan=2>b<td rowspan=0>c<tr><td>d<td colspan='x'>e<tr><td rowspan=99 colspan=3>f</table>"
     got = {c.text: (c.row, c.column, c.row_span, c.column_span, c.header) for c in markup.read(html).cells}
