@@ -3,14 +3,12 @@
 Texts with one set of shingles are one row until the end. Sets are compared in two ways, an exact and an approximate one, and
 in both what may be similar is compared in full: only then are whole sets made again, from the texts of those that may be.
 
-exact_pairs() is a positional similarity join. In any one order of all shingles two sets of similarity s share one of the
-first (1 - s) of each; here the frequent ones come last, so these prefixes hold rare ones. Prefixes are an inverted index
-that is partitioned by the sets' lengths: one side is in the class of its size and the other in the classes of all sizes
-that may fit, so a frequent shingle's list is cut by class. Where a shingle meets, its places in both sets bound what the sets can
-share; pairs whose bound is too low leave at once. The rest meet as bitmaps of parity, whose differing bits bound the
-sets' difference from below. Neither bound loses a pair.
+exact_pairs() compares all pairs of sets whose sizes allow the similarity, by bitmaps of parity: sets differ in as many shingles
+at least as their bitmaps differ in bits, so none is lost. Sets are dealt to cells: one side to the class of its size, the other to the classes
+of all sizes that may fit, and large classes are cut into blocks on both sides. A task holds a block of one side, and the other passes by it, so memory
+does not grow with the table, and pairs that cannot be similar are never written. The work is quadratic in a class, at about a bit a shingle and pair.
 
-lsh_pairs() deals sets by bands of their MinHash signatures.
+lsh_pairs() deals sets by bands of their MinHash signatures; the bitmaps go with them and sift what meets inside the join.
 
 Defined cases: documents without shingles (null, or shorter than one) never pair; null and repeated ids are rows of their
 own; an empty side gives no rows; other columns are ignored.
@@ -21,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +28,15 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.grams import minima, parity, shingle_set
 from ledgerloom.functions.text import mask_identity, strip
-from ledgerloom.sources.shared import spread, stored
+from ledgerloom.sources.shared import release, spread, stored
 
 SOFT, HARD = 0.85, 0.95
-#: Shingles that are known as frequent to every task, at most; documents that they are learned from, about.
-FREQUENT, LEARNED = 1 << 17, 1 << 15
-#: Bits of a set's parity.
-BITS = 2048
+#: Has no effect any more: what exact_pairs() compares does not depend on which shingles are frequent.
+FREQUENT = 1 << 17
+#: Bits of a set's parity, at least; about a bit for two shingles.
+BITS = 256
+#: Sets of a block of the side that a task holds, and of the one that passes by; rows and columns of a tile of pairs.
+HELD, PASSING, TILE = 1 << 14, 1 << 16, (64, 1024)
 
 
 def _spaced(text: Column) -> Column:
@@ -65,53 +66,22 @@ def set_id(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def frequent(docs: list[DataFrame], k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, sorted, of the shingles that most documents have, and how many; from about LEARNED documents of all.
+def bits(n: int) -> int:
+    """Bits of the parity of a set of n: a power of two, so that a wider parity folds to a narrower one."""
+    return max(BITS, 1 << max(0, math.ceil(n / 2) - 1).bit_length())
 
-    They only decide the order in which sets are looked at, not what is found.
-    """
-    if not most:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def counts(texts: list[str | None]) -> list[pa.Array]:
-        s, n = np.unique(np.concatenate([shingle_set(t, k) for t in texts] or [np.zeros(0, np.int64)]), return_counts=True)
-        return [pa.array(s), pa.array(n.astype(np.int64))]
-
-    found = None
-    for d in docs:
-        some = d.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(max(1, d.count() // LEARNED))) == 0)
-        part = _each(some, "s long, df long", counts)
-        found = part if found is None else found.unionByName(part)
-    top = found.groupBy("s").agg(F.sum("df").alias("df")).filter("df > 1").orderBy(F.desc("df"), "s").limit(most).collect()
-    at = np.array(sorted((r["s"], r["df"]) for r in top), np.int64).reshape(-1, 2)
-    return np.ascontiguousarray(at[:, 0]), np.ascontiguousarray(at[:, 1])
-
-
-def _ordered(s: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The set in the order of the index: unknown shingles by their hash, then known ones by how many documents have them."""
-    hashes, df = known
-    often = np.zeros(len(s), np.int64)
-    if len(hashes):
-        at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
-        often = np.where(hashes[at] == s, df[at], 0)
-    return s[np.lexsort((s, often))]
 
-
-def _least(n: int, soft: float) -> int:
-    """Elements that a set of n shares at least with one that is similar enough."""
-    return math.ceil(n * soft - 1e-9)
-
-
-def _sketch(docs: DataFrame, k: int, ddl: str, more: Callable[[np.ndarray], list]) -> tuple[DataFrame, DataFrame]:
+def _sketch(docs: DataFrame, k: int, ddl: str = "", more: Callable[[np.ndarray], list] = lambda s: []) -> tuple[DataFrame, DataFrame]:
     """(doc_id, set_id) of documents with shingles, and of one document for each set: set_id, n, text_hash, parity and the columns of `more`."""
     kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64())}
-    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[kinds[x.split()[1]] for x in ddl.split(", ")]]
+    ddl = ", ".join(filter(None, ("set_id long, n long, parity array<long>", ddl)))
+    types = [kinds[x.split()[1]] for x in ddl.split(", ")]
 
     def of(texts: list[str | None]) -> list[pa.Array]:
-        rows = [(set_id(s), len(s), parity(s, BITS) if len(s) else [], *more(s)) for s in (shingle_set(t, k) for t in texts)]
+        rows = [(set_id(s), len(s), parity(s, bits(len(s))) if len(s) else [], *more(s)) for s in (shingle_set(t, k) for t in texts)]
         return [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
 
-    made = _each(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), f"set_id long, n long, parity array<long>, {ddl}", of, "doc_id", "text_hash")
+    made = _each(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), ddl, of, "doc_id", "text_hash")
     rows = stored(made.filter("n > 0"))
     return rows.select("doc_id", "set_id"), stored(rows.drop("doc_id").dropDuplicates(["set_id"]))
 
@@ -121,25 +91,83 @@ def length_class(n: Column, soft: float) -> Column:
     return F.floor(F.log(F.greatest(n.cast("double"), F.lit(1.0))) / F.lit(max(-math.log(soft), 1e-6))).cast("int")
 
 
+def folded(m: np.ndarray, words: int) -> np.ndarray:
+    """Parities (rows of 64-bit words) with fewer bits."""
+    while m.shape[1] > words:
+        m = m[:, : m.shape[1] // 2] ^ m[:, m.shape[1] // 2 :]
+    return m
+
+
+def _by_width(b: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(set_id, n, parities) of the rows with each number of words, by size."""
+    lists = b.column("parity")
+    ids, n, starts = b.column("set_id").to_numpy(), b.column("n").to_numpy(), lists.offsets.to_numpy()
+    values, width, out = lists.values.to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy()), {}
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        at = at[np.argsort(n[at], kind="stable")]
+        out[w] = ids[at], n[at], values[starts[at][:, None] + np.arange(w)]
+    return out
+
+
+def alike(t: tuple[np.ndarray, np.ndarray, np.ndarray], e: tuple[np.ndarray, np.ndarray, np.ndarray], soft: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of (set_id, n, parities), both by size, that sizes and parities allow, some at a time."""
+    words = min(t[2].shape[1], e[2].shape[1])
+    a, b = (np.ascontiguousarray(folded(x[2], words).T) for x in (t, e))
+    for lo in range(0, len(t[0]), TILE[0]):
+        n = t[1][lo : lo + TILE[0], None]
+        first, last = np.searchsorted(e[1], math.floor(n[0, 0] * soft)), np.searchsorted(e[1], math.ceil(n[-1, 0] / soft), "right")
+        for at in range(int(first), int(last), TILE[1]):
+            m = e[1][None, at : min(at + TILE[1], int(last))]
+            apart = np.zeros((n.shape[0], m.shape[1]), np.uint16 if words < 1024 else np.uint32)
+            for w in range(words):
+                apart += np.bitwise_count(a[w, lo : lo + n.shape[0], None] ^ b[w, None, at : at + m.shape[1]])
+            may = (apart <= (n + m) * ((1 - soft) / (1 + soft)) + 1e-6) & (np.minimum(n, m) >= np.maximum(n, m) * soft - 1e-9)
+            i, j = np.nonzero(may)
+            if len(i):
+                yield t[0][lo + i], e[0][at + j]
+
+
+def _met(batches: Iterator[pa.RecordBatch], soft: float) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, passing, set_id, n, parity) sorted by cell, those that are held first -> pairs (t, e). What is held of one cell stays, besides the batch."""
+    now, held = None, []
+    for b in batches:
+        cell, passing = b.column("cell").to_numpy(), b.column("passing").to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero((cell[1:] != cell[:-1]) | (passing[1:] != passing[:-1])) + 1, [len(cell)])).tolist() if len(cell) else []
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            if cell[x] != now:
+                now, held = cell[x], []
+            part = _by_width(pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(c).slice(x, y - x)]) for c in ("set_id", "n", "parity")], names=["set_id", "n", "parity"]))
+            if not passing[x]:
+                held.append(part)
+                continue
+            for mine in held:
+                for t in mine.values():
+                    for e in part.values():
+                        for u, v in alike(t, e, soft):
+                            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["t", "e"])
+
+
 def exact_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard: float = HARD, k: int = 5, most: int = FREQUENT) -> DataFrame:
     """(eval_doc_id, train_doc_id, jaccard, tier) of all pairs at or above soft; most: FREQUENT."""
     _checked(soft, hard)
-    known = train.sparkSession.sparkContext.broadcast(frequent([train, evaluation], k, most))
-    prefix = lambda s: [_ordered(s, known.value)[: len(s) - _least(len(s), soft) + 1]]
-    sides = {"t": _sketch(train, k, "prefix array<long>", prefix), "e": _sketch(evaluation, k, "prefix array<long>", prefix)}
-    index = {}
-    for x, (_, sets) in sides.items():
-        here = F.array(length_class(F.col("n"), soft))
-        classes = here if x == "t" else F.sequence(length_class(F.col("n") * soft - 1e-9, soft), length_class(F.col("n") / soft + 1e-9, soft))
-        one = sets.select(F.col("set_id").alias(x), F.col("n").alias(f"{x}_n"), F.explode(classes).alias("class"), "prefix")
-        index[x] = one.select(x, f"{x}_n", "class", F.posexplode("prefix").alias(f"{x}_at", "s"))
-    both = F.col("t_n") + F.col("e_n")
-    need = F.ceil(both * (soft / (1 + soft)) - 1e-6)
-    fits = (F.col("t_n") >= F.col("e_n") * soft - 1e-9) & (F.col("e_n") >= F.col("t_n") * soft - 1e-9)
-    # a shingle at these places is followed by so many in both at most, and what is before it may be shared
-    bound = F.least("t_at", "e_at") + F.least(F.col("t_n") - F.col("t_at"), F.col("e_n") - F.col("e_at"))
-    met = index["t"].join(index["e"], ["class", "s"]).filter(fits & (bound >= need)).select("t", "e").distinct()
-    return _compared(met, sides, {"t": train, "e": evaluation}, soft, hard, k)
+    sides = {"t": _sketch(train, k), "e": _sketch(evaluation, k)}
+    n = F.col("n")
+    classes = {"t": F.array(length_class(n, soft)), "e": F.sequence(length_class(n * soft - 1e-9, soft), length_class(n / soft + 1e-9, soft))}
+    dealt = {x: sets.select("set_id", "n", "parity", F.explode(classes[x]).alias("class")) for x, (_, sets) in sides.items()}
+    # blocks of each class on both sides; a class that one side lacks has no cells
+    size = {x: d.groupBy("class").agg(F.ceil(F.count(F.lit(1)) / F.lit({"t": HELD, "e": PASSING}[x])).cast("int").alias(f"{x}_blocks")) for x, d in dealt.items()}
+    blocks = stored(size["t"].join(size["e"], "class"))
+    rows = None
+    for x, other in (("t", "e"), ("e", "t")):
+        mine = F.pmod(F.xxhash64("set_id"), F.col(f"{x}_blocks")).cast("int")
+        each = dealt[x].join(blocks, "class").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
+        at = F.xxhash64("class", *(("mine", "other") if x == "t" else ("other", "mine")))
+        part = each.select(at.alias("cell"), F.lit(int(x == "e")).alias("passing"), "set_id", "n", "parity")
+        rows = part if rows is None else rows.unionByName(part)
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = rows.repartition(partitions, "cell").sortWithinPartitions("cell", "passing").mapInArrow(partial(_met, soft=soft), "t long, e long")
+    return _compared(stored(met.distinct()), sides, {"t": train, "e": evaluation}, soft, hard, k)
 
 
 #: Of the MinHash signature: bands, and rows of each. A pair at SOFT misses all bands once in 290 times; of those at 0.3 one in 115 meets.
@@ -161,9 +189,20 @@ def lsh_pairs(train: DataFrame, evaluation: DataFrame, soft: float = SOFT, hard:
         return [[int.from_bytes(hashlib.blake2b(bytes([b]) + least[b].tobytes(), digest_size=8).digest(), "little", signed=True) for b in range(bands)]]
 
     sides = {"t": _sketch(train, k, "keys array<long>", keys), "e": _sketch(evaluation, k, "keys array<long>", keys)}
-    dealt = {x: sets.select(F.col("set_id").alias(x), F.explode("keys").alias("key")) for x, (_, sets) in sides.items()}
-    met = dealt["t"].join(dealt["e"], "key").select("t", "e").distinct()
-    return _compared(met, sides, {"t": train, "e": evaluation}, soft, hard, k)
+    dealt = {x: sets.select(F.explode("keys").alias("key"), F.col("set_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("parity").alias(f"{x}_p")) for x, (_, sets) in sides.items()}
+    fits = (F.col("t_n") >= F.col("e_n") * soft - 1e-9) & (F.col("e_n") >= F.col("t_n") * soft - 1e-9)
+    words = F.least(F.size("t_p"), F.size("e_p"))
+    apart = F.aggregate(F.zip_with(_folded("t_p", words), _folded("e_p", words), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
+    may = apart <= (F.col("t_n") + F.col("e_n")) * ((1 - soft) / (1 + soft)) + 1e-6
+    met = dealt["t"].join(dealt["e"], "key").filter(F.when(fits, may)).select("t", "e").distinct()
+    return _compared(stored(met), sides, {"t": train, "e": evaluation}, soft, hard, k)
+
+
+def _folded(c: str, words: Column) -> Column:
+    """folded() as an expression: of each word and those that lie a multiple of `words` behind it, which of the bits are set an odd number of times."""
+    p = F.col(c)
+    fold = F.transform(F.sequence(F.lit(0), words - 1), lambda i: F.aggregate(F.sequence(i, F.size(p) - 1, words), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.get(p, j))))
+    return F.when(F.size(p) == words, p).otherwise(fold)
 
 
 def _checked(soft: float, hard: float) -> None:
@@ -173,24 +212,36 @@ def _checked(soft: float, hard: float) -> None:
         raise ValueError("a similarity is above 0 and at most 1")
 
 
-def _compared(met: DataFrame, sides: dict[str, tuple[DataFrame, DataFrame]], docs: dict[str, DataFrame], soft: float, hard: float, k: int) -> DataFrame:
-    """The pairs of documents whose sets (t, e) met and are similar enough: by their parities first, then in full."""
-    full = met
-    for x, (_, sets) in sides.items():
-        full = full.join(sets.select(F.col("set_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("parity").alias(f"{x}_p")), x)
-    apart = F.aggregate(F.zip_with("t_p", "e_p", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
-    may = apart <= (F.col("t_n") + F.col("e_n")) * ((1 - soft) / (1 + soft)) + 1e-6
-    pairs = stored(full.filter(may).select("t", "e"))
-    arrays = lambda texts: [pa.array([shingle_set(t, k) for t in texts], pa.list_(pa.int64()))]
+def _similar(batches: Iterator[pa.RecordBatch], soft: float, k: int) -> Iterator[pa.RecordBatch]:
+    """Pairs with their texts, sorted by t -> those that are similar enough, with their similarity."""
+    now, one = None, np.zeros(0, np.int64)
+    for b in batches:
+        keep, found = [], []
+        for i, (t, e_text) in enumerate(zip(b.column("t").to_pylist(), b.column("e_text"), strict=True)):
+            if t != now:
+                now, one = t, shingle_set(b.column("t_text")[i].as_py(), k)
+            other = shingle_set(e_text.as_py(), k)
+            common = len(np.intersect1d(one, other, assume_unique=True))
+            if (jaccard := common / (len(one) + len(other) - common)) >= soft:
+                keep.append(i)
+                found.append(jaccard)
+        yield pa.RecordBatch.from_arrays([*b.select(["t", "e"]).take(pa.array(keep, pa.int64())).columns, pa.array(found, pa.float64())], names=["t", "e", "jaccard"])
+
+
+def _compared(pairs: DataFrame, sides: dict[str, tuple[DataFrame, DataFrame]], docs: dict[str, DataFrame], soft: float, hard: float, k: int) -> DataFrame:
+    """The pairs of documents whose sets (t, e; stored) are similar enough, by their shingles."""
     near = pairs
     for x, (_, sets) in sides.items():
         # the texts of the sets that are still wanted are read again, one document for each
-        wanted = sets.join(pairs.select(F.col(x).alias("set_id")).distinct(), "set_id").select("set_id", "text_hash")
-        texts = docs[x].select(F.xxhash64("text").alias("text_hash"), "text").join(wanted, "text_hash").dropDuplicates(["set_id"])
-        made = stored(_each(texts, "sh array<long>", arrays, "set_id"))
-        near = near.join(made.select(F.col("set_id").alias(x), F.col("sh").alias(f"{x}_sh")), x)
-    common = F.size(F.array_intersect("t_sh", "e_sh"))
-    near = near.select("t", "e", (common / (F.size("t_sh") + F.size("e_sh") - common)).alias("jaccard")).filter(F.col("jaccard") >= soft)
+        release(pairs.sparkSession)
+        wanted = sets.join(pairs.select(F.col(x).alias("set_id")).distinct(), "set_id", "left_semi").select(F.col("set_id").alias(x), "text_hash")
+        texts = docs[x].select(F.xxhash64("text").alias("text_hash"), "text").join(wanted.select("text_hash"), "text_hash", "left_semi")
+        texts = texts.groupBy("text_hash").agg(F.first("text").alias("text")).join(wanted, "text_hash")
+        near = near.join(stored(texts.select(x, _spaced(mask_identity(F.col("text"))).alias(f"{x}_text"))), x)
+    release(pairs.sparkSession)
+    near = near.select("t", "e", "t_text", "e_text").sortWithinPartitions("t").mapInArrow(partial(_similar, soft=soft, k=k), "t long, e long, jaccard double")
+    near = stored(near)
+    release(pairs.sparkSession)
     for x, name in (("t", "train_doc_id"), ("e", "eval_doc_id")):
         near = near.join(sides[x][0].select(F.col("doc_id").alias(name), F.col("set_id").alias(x)), x)
     return near.select("eval_doc_id", "train_doc_id", "jaccard", F.when(F.col("jaccard") >= hard, "hard").otherwise("soft").alias("tier"))

@@ -1,6 +1,7 @@
 """Sources, sinks, slots, runs and streams; rows that earlier rules got wrong."""
 
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -83,6 +84,33 @@ def test_lsh_recall_and_empty_texts(spark):
         leakage.exact_pairs(*sides, soft=0.9, hard=0.8)
 
 
+def _shuffled(spark):
+    """Rows that all stages so far have written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+
+def test_exact_leakage_shuffles_sets_and_not_shingles(spark, monkeypatch):
+    """Texts of common shingles: what is written grows with the sets, and neither with their shingles nor with the pairs that share some."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdef") for _ in range(3)) for _ in range(40)]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(3, 400))) for _ in range(151)]
+    texts += [t[:-2] + "zz" for t in texts[:50]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    split = df.filter("doc_id % 2 = 0"), df.filter("doc_id % 2 = 1")
+    before = _shuffled(spark)
+    found = {(r.eval_doc_id, r.train_doc_id) for r in leakage.exact_pairs(*split).collect()}
+    assert sum(n for k, n in _shuffled(spark).items() if k not in before) < 20 * len(texts)
+    sets = [{t[i : i + 5] for i in range(len(t) - 4)} for t in texts]
+    similar = lambda least: {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i % 2 and not j % 2 and len(a & b) >= least * len(a | b)}
+    assert found == similar(0.85) and len(found) > 30
+    monkeypatch.setattr(leakage, "HELD", 20)
+    monkeypatch.setattr(leakage, "PASSING", 30)
+    assert {(r.eval_doc_id, r.train_doc_id) for r in leakage.exact_pairs(*split, soft=0.4).collect()} == similar(0.4)
+
+
 @pytest.mark.parametrize("name", ["lsh_leakage", "corrections_stream", "seeded_buckets"])
 def test_queries_without_sql_run(spark, name):
     assert catalogue.queries()[name](spark, DATA).count() > 0
