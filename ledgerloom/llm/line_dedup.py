@@ -36,6 +36,8 @@ from ledgerloom.llm.common import release, stored
 BLOCKS, FINE = 16, 64
 #: Characters from which lines are compared for an edit.
 MIN_CHARS = 20
+#: Words from which the query's lines are also compared for an edit of a word.
+MIN_WORDS = 8
 #: Kept apart from any column of the input.
 P = "__loom_"
 

@@ -34,7 +34,7 @@ def op5_bpe_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), exact_chars=1)
+    kept = line_dedup.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), exact_chars=1, min_words=line_dedup.MIN_WORDS)
     return kept.select("doc_id", "text", F.col(f"{line_dedup.P}n_lines").alias("n_lines"), F.col(f"{line_dedup.P}n_dropped").alias("n_dropped"))
 
 
@@ -97,7 +97,7 @@ SELECT doc_id, size, source_size, target, (size * (copies + CASE WHEN d.h < k.h
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source
 """
 
-#: Lines by their halves and a direct test for one edit, where the operator joins deletion variants.
+#: Lines by their halves and a direct test for one edit, of a character in all and of a word besides in those of 8 words, where the operator joins deletion variants.
 OP6_SQL = """
 WITH occ AS (SELECT doc_id, i - 1 AS line_no, x, trim(x, chr(32) || chr(9) || chr(13)) AS line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
 e AS (SELECT line, min(row(doc_id, line_no)) AS place FROM occ WHERE length(line) > 0 GROUP BY 1),
@@ -105,7 +105,14 @@ f AS (SELECT line, length(line) AS n, place FROM e WHERE length(line) >= 20),
 k AS (SELECT line, n, place, base, unnest([('h', md5(substr(line, 1, base // 2))), ('t', md5(right(line, base - base // 2)))]) AS half FROM f, LATERAL (SELECT unnest([n, n - 1]) AS base)),
 c AS (SELECT DISTINCT x.line AS a, y.line AS b FROM k x JOIN k y ON x.base = y.base AND x.half = y.half AND y.place < x.place),
 s AS (SELECT a, b, coalesce(list_filter(range(1, length(a) + 1), lambda i: substr(a, i, 1) IS DISTINCT FROM substr(b, i, 1))[1], length(a) + 1) AS i FROM c WHERE abs(length(a) - length(b)) <= 1),
-late AS (SELECT DISTINCT a AS line FROM s WHERE CASE length(a) - length(b) WHEN 0 THEN substr(a, i + 1) = substr(b, i + 1) WHEN 1 THEN substr(a, i + 1) = substr(b, i) ELSE substr(a, i) = substr(b, i + 1) END),
+fw AS (SELECT line, string_split(line, ' ') AS u, place FROM f WHERE len(string_split(line, ' ')) >= 8),
+kw AS (SELECT line, u, place, base, unnest([('h', md5(array_to_string(u[1:base // 2], chr(0)))), ('t', md5(array_to_string(u[len(u) - (base - base // 2) + 1:], chr(0))))]) AS half FROM fw, LATERAL (SELECT unnest([len(u), len(u) - 1]) AS base)),
+cw AS (SELECT DISTINCT x.line AS line, x.u AS a, y.u AS b FROM kw x JOIN kw y ON x.base = y.base AND x.half = y.half AND y.place < x.place),
+late AS (SELECT a AS line FROM s WHERE CASE length(a) - length(b) WHEN 0 THEN substr(a, i + 1) = substr(b, i + 1) WHEN 1 THEN substr(a, i + 1) = substr(b, i) ELSE substr(a, i) = substr(b, i + 1) END
+  UNION SELECT line FROM cw WHERE CASE len(a) - len(b)
+  WHEN 0 THEN len(list_filter(range(1, len(a) + 1), lambda i: a[i] <> b[i])) = 1
+  WHEN 1 THEN len(list_filter(range(1, len(a) + 1), lambda i: list_concat(a[1:i - 1], a[i + 1:]) = b)) > 0
+  WHEN -1 THEN len(list_filter(range(1, len(b) + 1), lambda i: list_concat(b[1:i - 1], b[i + 1:]) = a)) > 0 ELSE false END),
 m AS (SELECT occ.*, length(occ.line) = 0 OR (e.place = row(occ.doc_id, occ.line_no) AND late.line IS NULL) AS stays FROM occ LEFT JOIN e USING (line) LEFT JOIN late USING (line))
 SELECT doc_id, coalesce(string_agg(x, chr(10) ORDER BY line_no) FILTER (stays), '') AS text, count(*)::BIGINT AS n_lines, count(*) FILTER (NOT stays)::BIGINT AS n_dropped FROM m GROUP BY 1
 UNION ALL SELECT doc_id, NULL, 0, 0 FROM documents WHERE text IS NULL

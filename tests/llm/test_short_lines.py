@@ -15,3 +15,19 @@ def test_equal_short_lines_go_from_the_pipeline(spark):
 def test_a_least_length_for_equal_lines(spark):
     df = spark.createDataFrame(DATA, "doc_id long, text string")
     assert {r.doc_id: r.text for r in line_dedup.dedupe_lines(df).collect()} == {1: DATA[0][1], 2: " Short one.\r\n\nShort twa.", 3: DATA[2][1]}
+
+
+def test_the_query_drops_lines_an_edit_of_a_word_apart(spark, tmp_path):
+    """op6_line_dedup and its SQL: a word of a line of eight goes as one edit, of seven not; a character of any."""
+    import duckdb
+
+    from ledgerloom.llm import queries
+
+    eight, seven = "one two three four five six seven eight", "another line that has only seven words"
+    texts = [eight, eight.replace("four", "other"), seven, seven.replace("only", "just"), eight + " nine", seven + "s", "only seven words, but a letter more\nx"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in queries.op6_line_dedup(spark, str(tmp_path)).collect()}
+    assert {d for d, t, _, _ in got if t == ""} == {1, 4, 5}
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert {*duck.execute(queries.oracle_sql()["op6_line_dedup"]).fetchall()} == got
