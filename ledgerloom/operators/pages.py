@@ -20,11 +20,11 @@ _CELLS = pa.list_(pa.struct([("table_idx", pa.int32()), ("depth", pa.int32()), (
 
 
 def _each(pages: DataFrame, key: str, name: str, arrow: pa.DataType, ddl: str, of: Callable[[markup.Page], list]) -> DataFrame:
-    """key and what `of` gives of each page; one list a page, so a page is parsed once and read by built-in functions afterwards."""
+    """key and what `of` gives of each page, of which the part `name` is read; one list a page, so a page is parsed once and read by built-in functions afterwards."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = pa.array([of(markup.read(h)) for h in b.column("html").to_pylist()], arrow)
+            found = pa.array([of(markup.read(h, frozenset((name,)))) for h in b.column("html").to_pylist()], arrow)
             yield pa.RecordBatch.from_arrays([b.column(key), found], names=[key, name])
 
     return pages.select(key, "html").mapInArrow(work, f"{key} {pages.schema[key].dataType.simpleString()}, {name} {ddl}")
@@ -32,20 +32,20 @@ def _each(pages: DataFrame, key: str, name: str, arrow: pa.DataType, ddl: str, o
 
 def blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """(key, block_idx, tag, depth, text) of pages (key, html): text with single spaces, by the nearest block element it stands in."""
-    of = lambda p: [b._asdict() for b in p.blocks]
+    of = lambda p: p.blocks
     found = _each(pages, key, "blocks", _BLOCKS, "array<struct<tag string, depth int, text string>>", of)
     return found.select(key, F.posexplode("blocks").alias("block_idx", "b")).select(key, "block_idx", "b.*")
 
 
 def table_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """(key, rows) of pages (key, html): for every table row its cells' texts, and those joined as one lower-case head."""
-    of = lambda p: [{"cells": c, "head": h} for c, h in zip(p.rows, p.heads, strict=True)]
+    of = lambda p: [*zip(p.rows, p.heads, strict=True)]
     return _each(pages, key, "rows", _ROWS, "array<struct<cells array<string>, head string>>", of)
 
 
 def grids(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """(key, table_idx, depth, row_idx, column_idx, row_span, column_span, header, text) of every cell; tables inside cells are tables of their own."""
-    of = lambda p: [dict(zip(("table_idx", "depth", "row_idx", "column_idx", "row_span", "column_span", "header", "text"), c, strict=True)) for c in p.cells]
+    of = lambda p: p.cells
     ddl = "array<struct<table_idx int, depth int, row_idx int, column_idx int, row_span int, column_span int, header boolean, text string>>"
     return _each(pages, key, "cells", _CELLS, ddl, of).select(key, F.explode("cells").alias("c")).select(key, "c.*")
 

@@ -55,6 +55,22 @@ def test_named_references_end_with_their_semicolon(spark):
     assert [r.text for r in pages.blocks(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("block_idx").collect()][0] == "a&b &amp"
 
 
+@pytest.mark.parametrize("name", CASES)
+def test_parts_that_are_read_alone(name):
+    """What is not wanted is not made, and what is wanted is as in a whole reading."""
+    whole = markup.read(CASES[name][0])
+    for part in markup.PARTS:
+        got = markup.read(CASES[name][0], frozenset((part,)))
+        assert getattr(got, part) == getattr(whole, part) and not any(getattr(got, x) for x in markup.PARTS - {part})
+        assert got.heads == (whole.heads if part == "rows" else [])
+
+
+def test_the_longest_cell_and_the_last_amount(spark):
+    rows = [(1, "<table><tr><td>ab<td>cd<td>1.00<td>2.00<tr><td>3.00<tr><td>x<td>longer<td>EUR 0.00<td>4.00<tr><td>none")]
+    got = lineitems.table_items(spark.createDataFrame(rows, "doc_id long, html string")).orderBy("row_idx").collect()
+    assert [tuple(r)[1:] for r in got] == [(0, "ab", None, 2.0), (1, None, None, 3.0), (2, "EUR 0.00", 0.0, 4.0)]
+
+
 def test_grid_places():
     html = "<table><tr><th rowspan=2>a<td colspan=2>b<td rowspan=0>c<tr><td>d<td colspan='x'>e<tr><td rowspan=99 colspan=3>f</table>"
     got = {c.text: (c.row, c.column, c.row_span, c.column_span, c.header) for c in markup.read(html).cells}
