@@ -61,11 +61,13 @@ def table_items(pages: DataFrame) -> DataFrame:
     joined = F.lower(F.array_join("cells", " "))
     summary = F.exists(F.array(*map(F.lit, SUMMARY_WORDS)), lambda w: F.contains(joined, w))
     kept = cells.filter((F.col("row_idx") >= F.col("skip")) & ~summary & (F.size("cells") > 0))
-    money = F.filter(F.transform("cells", lambda c: first_amount(c, TABLE_MONEY)), lambda v: v.isNotNull())
-    words = F.filter("cells", lambda c: F.coalesce(first_amount(c, TABLE_MONEY), F.lit(0.0)) == 0)
-    longest = F.array_max(F.transform(words, lambda c: F.length(c)))
-    description = F.get(F.filter(words, lambda c: F.length(c) == longest), F.lit(0))
-    out = kept.withColumn("amount", F.try_element_at(money, F.lit(-1))).filter("amount is not null").withColumn("description", description)
+    # as variables of lambdas the amounts are found once a cell
+    found = F.transform("cells", lambda c: F.struct(c.alias("c"), first_amount(c, TABLE_MONEY).alias("amount")))
+    words = lambda x: F.filter(x, lambda y: F.coalesce(y["amount"], F.lit(0.0)) == 0)
+    longest = lambda x: F.array_max(F.transform(words(x), lambda y, i: F.struct(F.length(y["c"]).alias("n"), (-i).alias("at"), y["c"].alias("c"))))
+    last = lambda x: F.try_element_at(F.filter(x, lambda y: y["amount"].isNotNull()), F.lit(-1))
+    both = F.get(F.transform(F.array(found), lambda x: F.struct(last(x)["amount"].alias("amount"), longest(x)["c"].alias("description"))), F.lit(0))
+    out = kept.select("doc_id", "row_idx", F.explode(F.array(both)).alias("x")).select("doc_id", "row_idx", "x.*").filter("amount is not null")
     return out.select("doc_id", F.col("row_idx").cast("long").alias("row_idx"), "description", first_quantity(F.col("description")).alias("quantity"), "amount")
 
 
