@@ -33,6 +33,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as pd
@@ -75,14 +76,18 @@ class ParquetLedger:
 
     def ids_after(self, since: int, limit: int) -> list[int]:
         """The smallest ids above since, `limit` of them at most."""
-        found: list[int] = []
+        found = np.zeros(0, np.int64)
         files = sorted((max(a, since + 1), n) for n, (a, b) in self._files().items() if b > since)
         for low, name in files:  # by their smallest id: the rest is beyond reach once enough smaller ones are known
             if len(found) >= limit and low > found[limit - 1]:
                 break
-            table = pd.dataset(name, filesystem=self.fs, format="parquet").to_table(filter=pc.field(self.key) > since, columns=[self.key])
-            found = sorted({*found, *table.column(0).to_pylist()})
-        return found[:limit]
+            key = pc.field(self.key)
+            wanted = (key > since) & (key < int(found[limit - 1])) if len(found) >= limit else key > since
+            for batch in pd.dataset(name, filesystem=self.fs, format="parquet").to_batches(filter=wanted, columns=[self.key]):
+                new = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                # no more than is asked for stays, so a long backlog costs a look at its ids and no memory
+                found = np.unique(np.concatenate((found, new if len(found) < limit else new[new < found[-1]])))[:limit]
+        return found.tolist()
 
     def present(self, ids: Sequence[int]) -> list[int]:
         if not ids:

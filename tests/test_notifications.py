@@ -305,3 +305,26 @@ def test_waits_grow_and_watch_goes_on():
             raise OSError("down")
 
     assert boxes.watch(step, 60, 3, slept.append) == 1 and len(calls) == 3 and slept == [60, 60]
+
+
+def test_the_next_ids_of_a_long_backlog(tmp_path):
+    """Ids in any order over files that overlap; a poll holds no more of them than it may give, whatever else waits."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ledgerloom.streaming.notifications import ParquetLedger
+
+    ids = np.random.RandomState(1).permutation(400_000) * 3
+    for k, part in enumerate((ids[:150_000], np.sort(ids[100_000:300_000]), ids[300_000:])):
+        pq.write_table(pa.table({"id": part}), tmp_path / f"{k}.parquet", row_group_size=20_000)
+    table = ParquetLedger(f"file://{tmp_path}", "id")
+    tracemalloc.start()
+    for since, limit in ((-1, 10), (-1, 5000), (2999, 5000), (600_000, 1), (1_199_990, 10)):
+        assert table.ids_after(since, limit) == [x for x in range(0, 1_200_000, 3) if x > since][:limit]
+    assert table.ids_after(-1, 10) == [*range(0, 30, 3)]
+    tracemalloc.reset_peak()
+    table.ids_after(-1, 100)
+    assert tracemalloc.get_traced_memory()[1] < 8_000_000
