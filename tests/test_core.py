@@ -111,6 +111,15 @@ def test_exact_leakage_shuffles_sets_and_not_shingles(spark, monkeypatch):
     assert {(r.eval_doc_id, r.train_doc_id) for r in leakage.exact_pairs(*split, soft=0.4).collect()} == similar(0.4)
 
 
+def test_narrower_parities_fold_alike(spark):
+    """The fold of the join's expression is that of numpy."""
+    import numpy as np
+
+    p = np.random.RandomState(4).randint(-1 << 62, 1 << 62, 16)
+    got = spark.createDataFrame([(p.tolist(),)], "p array<long>").select(*[leakage._folded("p", F.lit(w)).alias(str(w)) for w in (4, 8, 16)]).first()
+    assert [*got] == [leakage.folded(p.view(np.uint64)[None], w)[0].view(np.int64).tolist() for w in (4, 8, 16)]
+
+
 @pytest.mark.parametrize("name", ["lsh_leakage", "corrections_stream", "seeded_buckets"])
 def test_queries_without_sql_run(spark, name):
     assert catalogue.queries()[name](spark, DATA).count() > 0
