@@ -111,6 +111,34 @@ def test_exact_leakage_shuffles_sets_and_not_shingles(spark, monkeypatch):
     assert {(r.eval_doc_id, r.train_doc_id) for r in leakage.exact_pairs(*split, soft=0.4).collect()} == similar(0.4)
 
 
+def _shuffled_bytes(spark):
+    """Bytes that all stages so far have written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+
+def test_lsh_leakage_writes_texts_once_a_cell(spark, monkeypatch):
+    """Near copies that are all similar: what is written grows with the texts, and not with the pairs; small blocks give the same pairs."""
+    rnd = random.Random(5)
+    base = [rnd.choice("abcdefghij") * 2 + str(rnd.randint(0, 9999)) for _ in range(400)]
+    texts = [" ".join([*base[: (at := rnd.randrange(400))], "x" * 5 + str(i), *base[at + 1 :]]) for i in range(240)]
+    texts += [" ".join(str(rnd.randint(0, 99999)) for _ in range(rnd.randint(1, 300))) for _ in range(40)] + texts[:3] + ["", "abc", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    split = df.filter("doc_id % 2 = 0"), df.filter("doc_id % 2 = 1")
+    pairs = lambda f: {(r.eval_doc_id, r.train_doc_id): (r.jaccard, r.tier) for r in f(*split).collect()}
+    before, threshold = _shuffled_bytes(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    found = pairs(leakage.lsh_pairs)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert max(n for k, n in _shuffled_bytes(spark).items() if k not in before) < sum(len(t or "") for t in texts)
+    assert found == pairs(leakage.exact_pairs) and len(found) > 14_000
+    for name, value in {"HELD": 20, "PASSING": 30, "SHINGLES": 20_000, "TOGETHER": 10_000, "FEW": 0}.items():
+        monkeypatch.setattr(leakage, name, value)
+    assert pairs(leakage.lsh_pairs) == found
+
+
 def test_narrower_parities_fold_alike(spark):
     """The fold of the join's expression is that of numpy."""
     import numpy as np
