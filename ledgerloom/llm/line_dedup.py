@@ -27,6 +27,8 @@ by the text's hash; a null doc_id comes first; other columns are kept by dedupe_
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,11 @@ def _words(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
+def _let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), with x evaluated once: as the variable of a lambda."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def _first(line: Column, k: Column, by_word: bool) -> Column:
     return F.call_function("substring_index", line, F.lit(" "), k) if by_word else F.substring(line, F.lit(1), k)
 
@@ -64,43 +71,34 @@ def _last(line: Column, n: Column, k: Column, by_word: bool) -> Column:
 
 
 def _half_keys(line: Column, n: Column, by_word: bool) -> Column:
-    """Keys of the halves, for partners of at least this length (base n) and for shorter ones (base n - 1); n: words or characters."""
+    """Keys of the halves, for partners of at least this length (base n) and for shorter ones (base n - 1); n: words or characters. Keys of words are odd."""
     keys = []
     for base in (n, n - 1):
         h = F.shiftright(base, 1)
         keys.append(F.xxhash64(F.lit("head"), F.lit(by_word), base, _first(line, h, by_word)))
         keys.append(F.xxhash64(F.lit("tail"), F.lit(by_word), base, _last(line, n, base - h, by_word)))
-    return F.array(*keys)
+    return F.array(*[F.shiftleft(k, 1).bitwiseOR(F.lit(int(by_word)).cast("long")) for k in keys])
 
 
-def _block_keys(text: Column, base: Column, more: Column, by_word: Column, seed: Column) -> Column:
-    """(k, size, block) of each block of a text of base + more units: all but the block agrees where k does; size: its words or characters.
+def _cut(rows: DataFrame, text: str, seed: Column) -> DataFrame:
+    """(h1, by_word, more, k, size, block): a row for each block of a text of base + more units: all but the block agrees where k does; size: its words or characters.
 
-    more: 0 for a text at its own length, 1 for one as the longer partner of texts with one unit less. A lambda, as so many
-    written-out expressions would be a plan of their own size.
+    more: 0 for a text at its own length, 1 for one as the longer partner of texts with one unit less. The blocks are rows before they are cut, so
+    Spark compiles the work; lambdas over an array of them would be interpreted.
     """
+    text, base, more, by_word, j = F.col(text), F.col("base"), F.col("more"), F.col("by_word"), F.col("j")
     first = lambda x, k: F.when(by_word, _first(x, k, True)).otherwise(_first(x, k, False))
     last = lambda x, total, k: F.when(by_word, _last(x, total, k, True)).otherwise(_last(x, total, k, False))
-
-    def one(j: Column) -> Column:
-        start, end = (F.floor(base * x / BLOCKS).cast("int") for x in (j, j + 1))
-        size = end - start + more
-        k = F.xxhash64(seed, by_word, base, j, first(text, start), last(text, base + more, base - end))
-        return F.struct(k.alias("k"), size.alias("size"), last(first(text, start + size), start + size, size).alias("block"))
-
-    return F.transform(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), one)
+    start, end = (F.floor(base * x / BLOCKS).cast("int") for x in (j, j + 1))
+    size = end - start + more
+    k = F.xxhash64(seed, by_word, base, j, first(text, start), last(text, base + more, base - end))
+    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
+    return rows.select("h1", "by_word", "more", k.alias("k"), size.alias("size"), last(first(text, start + size), start + size, size).alias("block"))
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The rows (k, h1) whose k another line has, too; stored."""
-    keys = rows.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
-    return stored(rows.join(keys, "k", "left_semi"))
-
-
-def _kinds(words: Column, min_words: int | None) -> Column:
-    """Whether by words, of each way in which a line takes part."""
-    chars = F.array(F.lit(False))
-    return chars if min_words is None else F.when(words >= min_words, F.array(F.lit(False), F.lit(True))).otherwise(chars)
+    """The rows whose k another line has, too; a line has each k once."""
+    return rows.join(rows.groupBy("k").agg(F.count(F.lit(1)).alias("lines")).filter("lines > 1").select("k"), "k", "left_semi")
 
 
 def _units(text: Column, size: Column, by_word: Column) -> Column:
@@ -133,31 +131,35 @@ def occurrences(docs: DataFrame, min_chars: int, exact_chars: int, min_words: in
     return lines.select(F.struct("doc_id", "text_hash", "line_no").alias("at"), h1.alias("h1"), h2.alias("h2"), "n", halves.alias("halves"))
 
 
-def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int | None) -> DataFrame:
+def near_earlier(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """h1, h2 of the distinct lines (firsts) of which a line one edit away occurs earlier."""
     keys = firsts.select(F.explode("halves").alias("k"), "h1")
-    shared = keys.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").select("k")
-    close = stored(keys.join(shared, "k", "left_semi").select("h1").distinct().join(firsts.select("h1", "h2", "at", "n"), "h1"))
+    # a line goes on only in the ways in which it shares a half: one edit of a word seldom leaves a half of the characters, and the other way round
+    odd = F.col("k").bitwiseAND(F.lit(1).cast("long")) == 1
+    ways = _shared(keys).select("h1", odd.alias("by_word")).distinct().groupBy("h1").agg(F.sort_array(F.collect_list("by_word")).alias("ways"))
+    close = stored(ways.join(firsts.select("h1", "h2", "at", "n"), "h1"))
     release(docs.sparkSession)
 
     # the text of those lines, read again where they occur first
-    at = close.groupBy(F.col("at.doc_id").alias(f"{P}d"), F.col("at.text_hash").alias(f"{P}t")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "h1", "h2", "n")).alias("want"))
+    at = close.groupBy(F.col("at.doc_id").alias(f"{P}d"), F.col("at.text_hash").alias(f"{P}t")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "h1", "h2", "n", "ways")).alias("want"))
     here = docs.select(F.col("doc_id").alias(f"{P}d"), F.xxhash64("text").alias(f"{P}t"), "text")
     # a merge join at every size: the wanted lines grow with the input, so broadcasting them would only suit small tables
     joined = here.join(at.hint("merge"), here[f"{P}d"].eqNullSafe(at[f"{P}d"]) & (here[f"{P}t"] == at[f"{P}t"]))
     found = joined.select(here[f"{P}d"].alias("doc_id"), here[f"{P}t"].alias("text_hash"), F.split("text", "\n").alias("lines"), F.explode("want").alias("w"))
-    texts = found.select("w.h1", "w.h2", "w.n", F.struct("doc_id", "text_hash", F.col("w.line_no").alias("line_no")).alias("at"), _norm(F.get("lines", F.col("w.line_no"))).alias("line"))
+    texts = found.select("w.h1", "w.h2", "w.n", "w.ways", F.struct("doc_id", "text_hash", F.col("w.line_no").alias("line_no")).alias("at"), _norm(F.get("lines", F.col("w.line_no"))).alias("line"))
     texts = stored(texts.dropDuplicates(["h1", "h2"]))
     release(docs.sparkSession)
 
     words = _words(F.col("line"))
-    kinds = texts.withColumn("by_word", F.explode(_kinds(words, min_words))).withColumn("units", F.when(F.col("by_word"), words).otherwise(F.col("n")))
+    kinds = texts.withColumn("by_word", F.explode("ways")).withColumn("units", F.when(F.col("by_word"), words).otherwise(F.col("n")))
     roles = kinds.withColumn("more", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("base", F.col("units") - F.col("more"))
-    cut = lambda rows, text, seed: rows.withColumn("key", F.explode(_block_keys(F.col(text), F.col("base"), F.col("more"), F.col("by_word"), seed))).select("h1", "by_word", "more", "key.*")
-    coarse = _shared(cut(roles, "line", F.lit(0).cast("long")))
+    # cut once: the keys are read alone to find those that lines share
+    coarse = stored(_shared(stored(_cut(roles, "line", F.lit(0).cast("long")))))
+    release(docs.sparkSession)
     fine = [coarse.filter(F.col("size") <= FINE)]
     while not (coarse := coarse.filter(F.col("size") > FINE)).isEmpty():
-        coarse = _shared(cut(coarse.withColumn("base", F.col("size") - F.col("more")), "block", F.col("k")))
+        coarse = stored(_shared(stored(_cut(coarse.withColumn("base", F.col("size") - F.col("more")), "block", F.col("k")))))
+        release(docs.sparkSession)
         fine.append(coarse.filter(F.col("size") <= FINE))
     meets = fine[0]
     for rows in fine[1:]:
@@ -181,10 +183,13 @@ def near_earlier(docs: DataFrame, firsts: DataFrame, min_words: int | None) -> D
     member = emitted.join(shared_v, "v")
     pick = F.when(F.col("line").isNull(), F.col("swap")).when(F.col("whole"), F.col("longer")).otherwise(F.col("line"))
     pairs = member.withColumn("p", pick).filter(F.col("p.at") < F.col("at")).select("h1", F.col("p.h1").alias("p1"), "by_word").distinct()
-    one = kinds.select("h1", "h2", "by_word", _units(F.col("line"), F.col("units"), F.col("by_word")).alias("units"))
-    other = one.select(F.col("h1").alias("p1"), "by_word", F.col("units").alias("p_units"))
+    # texts go through the joins, arrays of units are made behind them
+    one = kinds.select("h1", "h2", "by_word", "line", "units")
+    other = one.select(F.col("h1").alias("p1"), "by_word", F.col("line").alias("p_line"), F.col("units").alias("p_units"))
     verified = pairs.join(one, ["h1", "by_word"]).join(other, ["p1", "by_word"])
-    return verified.filter(_one_edit(F.col("units"), F.col("p_units"))).select("h1", "h2").distinct()
+    units = lambda t, n: _units(F.col(t), F.col(n), F.col("by_word"))
+    apart = _let(F.struct(units("line", "units").alias("a"), units("p_line", "p_units").alias("b")), lambda x: _one_edit(x["a"], x["b"]))
+    return verified.filter(apart).select("h1", "h2").distinct()
 
 
 def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None, min_words: int | None = None) -> DataFrame:
@@ -197,7 +202,7 @@ def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int |
     found = occurrences(docs.select("doc_id", "text"), min_chars, exact_chars, min_words)
     firsts = stored(found.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.any_value("n").alias("n"), F.any_value("halves").alias("halves")))
     release(docs.sparkSession)
-    late = near_earlier(docs.select("doc_id", "text"), firsts.filter(F.col("n") >= min_chars), min_words)
+    late = near_earlier(docs.select("doc_id", "text"), firsts.filter(F.col("n") >= min_chars))
     kept = firsts.select("h1", "h2", "at").join(late, ["h1", "h2"], "left_anti")
     kept = stored(kept.groupBy(F.col("at.doc_id").alias(f"{P}d"), F.col("at.text_hash").alias(f"{P}t")).agg(F.collect_list("at.line_no").alias(f"{P}kept")))
     release(docs.sparkSession)
