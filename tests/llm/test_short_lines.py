@@ -1,5 +1,6 @@
 """Equal lines that are shorter than those compared for an edit."""
 
+import random
 import corpus_pipeline
 from ledgerloom.llm import line_dedup
 
@@ -31,3 +32,29 @@ def test_the_query_drops_lines_an_edit_of_a_word_apart(spark, tmp_path):
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert {*duck.execute(queries.oracle_sql()["op6_line_dedup"]).fetchall()} == got
+
+
+def test_lines_one_word_apart_move_few_bytes(spark):
+    """Lines that share halves of words only: no arrays of characters are shuffled, nor blocks of the way in which they share none."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 12)))
+    docs = []
+    for _ in range(150):
+        line = [word() for _ in range(60)]
+        docs += [" ".join(line), " ".join([*line[:30], word() + "z" * rnd.randint(1, 9), *line[31:]])]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    before, threshold = _written(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    kept = [r[0] for r in line_dedup.dedupe_lines(df, exact_chars=1, min_words=line_dedup.MIN_WORDS).orderBy("doc_id").select("text").collect()]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    moved = sum(n for k, n in _written(spark).items() if k not in before)
+    assert kept == [t if i % 2 == 0 else "" for i, t in enumerate(docs)]
+    assert moved < 22 * sum(map(len, docs)), (moved, sum(map(len, docs)))
+
+
+def _written(spark):
+    """Bytes that each stage so far has written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
